@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidewell.llm import decontaminate, language_id, quality_classifier, quality_rules
+from tidewell.llm import decontaminate, html_text, language_id, quality_classifier, quality_rules
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1,
+    "op5_html_text": html_text.op5,
     "op6_language_id": language_id.op6,
     "op8_quality_rules": quality_rules.op8,
     "op10_decontaminate": decontaminate.op10,
