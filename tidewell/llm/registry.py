@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidewell.llm import decontaminate, html_text, language_id, mixing, pii, quality_classifier, quality_rules
+from tidewell.llm import decontaminate, html_text, language_id, mixing, pii, quality_classifier, quality_rules, url_filters
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1,
     "op2_source_mixing": mixing.op2,
+    "op3_url_filters": url_filters.op3,
     "op5_html_text": html_text.op5,
     "op6_language_id": language_id.op6,
     "op7_pii": pii.op7,
@@ -15,6 +16,7 @@ QUERIES = {
 }
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
+    "op3_url_filters": url_filters.ORACLE,
     "op7_pii": pii.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
