@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewell.llm import decontaminate, html_text, language_id, mixing, pii, quality_classifier, quality_rules, url_filters
+from tidewell.llm import decontaminate, html_text, language_id, mixing, pii, quality_classifier, quality_rules, substring_dedup, url_filters
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_language_id": language_id.op6,
     "op7_pii": pii.op7,
     "op8_quality_rules": quality_rules.op8,
+    "op9_substring_dedup": substring_dedup.op9,
     "op10_decontaminate": decontaminate.op10,
 }
 ORACLES = {
@@ -19,5 +20,6 @@ ORACLES = {
     "op3_url_filters": url_filters.ORACLE,
     "op7_pii": pii.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "op9_substring_dedup": substring_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
