@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from tidewell.llm import decontaminate, html_text, language_id, mixing, pii, quality_classifier, quality_rules, substring_dedup, url_filters
+from tidewell.llm import decontaminate, html_text, language_id, mixing, near_dedup, pii, quality_classifier, quality_rules, substring_dedup, url_filters
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1,
     "op2_source_mixing": mixing.op2,
     "op3_url_filters": url_filters.op3,
+    "op4_near_dedup": near_dedup.op4,
     "op5_html_text": html_text.op5,
     "op6_language_id": language_id.op6,
     "op7_pii": pii.op7,
@@ -18,6 +19,7 @@ QUERIES = {
 ORACLES = {
     "op2_source_mixing": mixing.ORACLE,
     "op3_url_filters": url_filters.ORACLE,
+    "op4_near_dedup": near_dedup.ORACLE,
     "op7_pii": pii.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
