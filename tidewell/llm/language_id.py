@@ -186,6 +186,22 @@ def predict(documents: DataFrame, model: Filter, key: str = "doc_id") -> DataFra
     return documents.select(F.col(key).cast("long").alias("doc_id"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double, shares array<double>")
 
 
+def keep_decided(documents: DataFrame, model: Filter, least: float) -> DataFrame:
+    """The documents, columns as they are, whose language is decided with a score of ``least`` or
+    more; the texts pass through the same tasks that score them, so nothing is shuffled."""
+    spark = documents.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+    at = documents.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fine = [(d := decide(t, shared.value))[0] != "und" and d[1] >= least for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array(fine, type=pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
+
+
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return predict(documents, train(documents)).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")

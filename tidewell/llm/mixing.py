@@ -99,13 +99,15 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     )
 
 
-def stream(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The mix itself, the sized documents and the sources.
+def stream(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block: int = BLOCK_WORDS, carry: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The mix itself, the sized documents (with carry: and all their columns, as doc) and the sources.
 
     The mix: slot, row, word_from and word_to (exclusive): in the order of slot and row's place,
     these are the pieces of documents that training reads.
     """
-    sized = settle(documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size")), "sizes")
+    whole = [F.struct("*").alias("doc")] if carry else []
+    sized = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *whole)
+    sized = settle(sized, "sizes")
     sources = settle(plan(sized, weights, most, block), "sources")
     totals = sources.agg(F.coalesce(F.sum("n_slots"), F.lit(0)).alias("slots")).first()
     n_slots, n_rows = totals["slots"], sized.count()
@@ -128,13 +130,21 @@ def stream(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     return mixed, sized, sources
 
 
-def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target of the source, words taken."""
-    mixed, sized, sources = stream(documents, weights, most)
+def mix(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, carry: bool = False) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target of the source, words taken; with carry, doc."""
+    mixed, sized, sources = stream(documents, weights, most, carry=carry)
     taken = mixed.groupBy("row").agg(F.sum(F.col("word_to") - F.col("word_from")).alias("taken"))
     known = sources.select(F.col("source").alias("_source"), "source_size", "target")
     out = sized.join(known, F.col("source").eqNullSafe(F.col("_source"))).join(taken, "row", "left")
-    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return out.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), *(["doc"] if carry else []))
+
+
+def mixed_documents(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
+    """The documents that the mix takes words of, with size, source_size, target and taken (which
+    replace columns of these names)."""
+    found = mix(documents, weights, most, carry=True).where("taken > 0")
+    added = ["size", "source_size", "target", "taken"]
+    return found.select(*[F.col(f"doc.`{c}`").alias(c) for c in documents.columns if c not in added], *added)
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -273,12 +273,22 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def keep_first(documents: DataFrame) -> DataFrame:
+    """The documents, columns as they are, that their components keep.  Equal rows stay once; rows
+    with a null id stay."""
+    found = near_duplicates(documents)
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    stay = documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return stay
+
+
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 ORACLE = r"""
-WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS w FROM documents),
 s AS (SELECT DISTINCT doc_id, hash(array_to_string(w[i:i + least(5, len(w)) - 1], ' ')) AS h FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
 n AS (SELECT doc_id, count(*) AS n, sum(h) AS mark FROM s GROUP BY doc_id),
 rep AS (SELECT doc_id, n, min(doc_id) OVER (PARTITION BY n, mark) AS r FROM n),

@@ -83,6 +83,8 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, held_left = None, True
     for batch in batches:
         anchor, seq = (batch.column(k).to_numpy() for k in range(2))
+        if not len(anchor):
+            continue
         if held is not None:
             anchor, seq = np.concatenate([held[0], anchor]), np.concatenate([held[1], seq])
         fresh = np.ones(len(anchor), dtype=bool)
