@@ -14,8 +14,8 @@ similarity is 0.75 or more, and every component keeps its smallest id.
    links a group of near copies without its pairs.  Each comparison also yields a bitmap of the
    elements in which the node differs from the first one; the bits in which two such bitmaps differ
    are a lower bound of the two nodes' difference.
-5. The rest, exactly: in buckets that still hold several components, nodes outside the largest one
-   are joined with the others if the bounds allow a link; these few pairs are estimated jointly by
+5. The rest, exactly: below first nodes that still lead several components, nodes outside the largest
+   one are joined with the others if the bounds allow a link; these few pairs are estimated jointly by
    likelihood from their registers, and verified on their full sets unless six standard errors
    below the threshold.  No bucket, partner or candidate is capped.
 
@@ -142,7 +142,8 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from chunked(rows(batch), _SETS, 256)
 
 
-_BITS = 4
+#: Words of 64 bits in a bitmap of differences.
+_BITS = 16
 _STAR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), *((f"d{k}", pa.int64()) for k in range(_BITS))])
 
 
@@ -218,15 +219,19 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _rest(members: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components in one bucket that the bounds allow and no star has compared."""
-    with_star = members.join(stars.select(F.col("a").alias("first"), F.col("b").alias("node"), *[f"d{k}" for k in range(_BITS)]), ["first", "node"], "left")
+    """Pairs of different components below one first node that the bounds allow and no star has
+    compared.  Nodes of one bucket have the same first node, so rows meet by it, once for all of
+    its buckets."""
+    below = members.select("first", "node", "n", "shared").distinct()
+    with_star = below.join(stars.select(F.col("a").alias("first"), F.col("b").alias("node"), *[f"d{k}" for k in range(_BITS)]), ["first", "node"], "left")
     filled = [F.when(F.col("node") == F.col("first"), F.lit(0).cast("long")).otherwise(F.col(f"d{k}")).alias(f"d{k}") for k in range(_BITS)]
-    named = with_star.join(labels, "node", "left").select("key", "first", "node", "n", "shared", F.coalesce("component", "node").alias("component"), *filled)
-    counts = named.groupBy("key", "component").agg(F.count("*").alias("size"))
-    main = counts.groupBy("key").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("key", "main")
-    open_rows = settle(named.join(main, "key"), "open")
-    x, y = open_rows.where("component <> main").alias("x"), open_rows.alias("y")
-    differ = "x.key = y.key and x.component <> y.component and (y.component = y.main or x.node < y.node) and x.first <> y.node and x.node <> y.first"
+    named = with_star.join(labels, "node", "left").select("first", "node", "n", "shared", F.coalesce("component", "node").alias("component"), *filled)
+    named = settle(named, "named")
+    counts = named.groupBy("first", "component").agg(F.count("*").alias("size"))
+    main = counts.groupBy("first").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("first", "main")
+    open_rows = settle(named.join(main, "first"), "open")
+    x, y = open_rows.where("component <> main and node <> first").alias("x"), open_rows.where("node <> first").alias("y")
+    differ = "x.first = y.first and x.component <> y.component and (y.component = y.main or x.node < y.node)"
     near = f"coalesce({100 + LEAST_PERCENT} * ({_apart('x', 'y')}) <= {100 - LEAST_PERCENT} * (x.n + y.n), true)"
     return x.join(y, F.expr(f"{differ} and {_bound('x', 'y')} and {near}")).selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct()
 
@@ -251,10 +256,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     lone = alone.groupBy("node").agg(F.count("*").alias("lone"))
     viable = sets.select("node", "n").distinct().join(lone, "node", "left").withColumn("shared", F.col("n") - F.coalesce("lone", F.lit(0))).where(f"100 * shared >= {LEAST_PERCENT} * n")
     rows = crowded.join(settle(viable.select("node", "n", "shared"), "viable"), "node")
-    firsts = rows.groupBy("key").agg(F.min_by(F.struct("node", "n", "shared"), "node").alias("f"), F.count("*").alias("size")).where("size > 1")
-    members = settle(rows.join(firsts.select("key", F.col("f.node").alias("first"), F.col("f.n").alias("first_n"), F.col("f.shared").alias("first_shared")), "key"), "members")
-    allowed = f"{100 + LEAST_PERCENT} * least(shared, first_shared) >= {LEAST_PERCENT} * (n + first_n)"
-    star_pairs = members.where("node <> first").where(allowed).select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    # a bucket's first node is the one with the least share of shingles of its own: near copies lie around it
+    order = F.struct((F.col("n") - F.col("shared")) / F.col("n"), "node")
+    firsts = rows.groupBy("key").agg(F.min_by("node", order).alias("first"), F.count("*").alias("size")).where("size > 1")
+    members = settle(rows.join(settle(firsts.select("key", "first"), "firsts"), "key"), "members")
+    star_pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     stars = settle(_verified(star_pairs, sets).dropDuplicates(["a", "b"]), "stars")
     links = stars.where("linked").select("a", "b")
     pairs = settle(_rest(members, stars, components(links)), "pairs")
