@@ -165,6 +165,7 @@ def dedup(documents: DataFrame) -> DataFrame:
     small_batches(spark)
     hashed = candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_extend, "h long, doc_id long, cid long, start int")
     owners = hashed.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("h", "owner")
+    owners = settle(owners, "owners")  # a join of two plain exchanges is one whose hot keys Spark can split
     doomed = hashed.join(owners, "h").where("doc_id > owner").groupBy("cid").agg(F.collect_list("start").alias("starts"))
     cut = candidates.join(doomed, "cid").select("doc_id", "seq", "text", "starts").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text string")
     rows = sketches.select("doc_id", "seq", "n_words").join(first.select("seq", F.col("doc_id").alias("first_id")), "seq", "left")
