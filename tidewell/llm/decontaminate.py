@@ -156,7 +156,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
 def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
     """The documents that are not contaminated, with their own columns; rows without an id stay."""
     bad = contamination(documents, benchmark, n).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return documents.join(bad, F.col("doc_id") == F.col("_bad"), "left_anti")
+    return documents.join(bad, documents["doc_id"] == bad["_bad"], "left_anti")
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -109,32 +109,40 @@ def _fold(kind: Kind, text: Column, matches: Column) -> Column:
 
 
 def detect(documents: DataFrame, text: str = "text", out: str = "spans") -> DataFrame:
-    """The input with one more column: the spans of all kinds, by kind and then start."""
-    whole = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit(""))
-    names = [f"_found_{k.name}" for k in KINDS]
-    nothing = F.array().cast("array<string>")
-    found = documents.withColumns({n: F.when(_needs(k, whole), F.regexp_extract_all(whole, F.lit(k.pattern), F.lit(0))).otherwise(nothing) for n, k in zip(names, KINDS, strict=True)})
+    """The input with one more column (or one replaced): the spans of all kinds, by kind and then start."""
+    found = _seen(documents, text)
+    return found.select(*[F.col(f"doc.`{c}`").alias(c) for c in documents.columns if c != out], F.col("spans").alias(out))
+
+
+def _seen(documents: DataFrame, text: str) -> DataFrame:
+    """The input's columns as doc, its text as whole (empty where null), and the spans."""
+    rows = documents.select(F.struct("*").alias("doc"), F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).alias("whole"))
+    whole, nothing = F.col("whole"), F.array().cast("array<string>")
+    names = [f"found_{k.name}" for k in KINDS]
+    found = rows.withColumns({n: F.when(_needs(k, whole), F.regexp_extract_all(whole, F.lit(k.pattern), F.lit(0))).otherwise(nothing) for n, k in zip(names, KINDS, strict=True)})
     spans = [F.when(F.size(n) > 0, _fold(k, whole, F.col(n))).otherwise(F.array().cast(SPAN)) for n, k in zip(names, KINDS, strict=True)]
-    return found.withColumn(out, F.concat(*spans)).drop(*names)
+    return found.select("doc", "whole", F.concat(*spans).alias("spans"))
 
 
 def redact(documents: DataFrame, text: str = "text") -> DataFrame:
     """Every detected span replaced by its kind in brackets; overlapping spans are replaced as one."""
-    seen = detect(documents, text, "_spans")
-    ordered = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    whole = F.col(f"`{text}`")
+    seen = _seen(documents, text)
+    whole = F.col("whole")
+    ordered = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
 
     def step(acc: Column, s: Column) -> Column:
         gap = F.substring(whole, (acc["at"] + 1).cast("int"), F.greatest(F.lit(0), s["start"] - acc["at"]).cast("int"))
         fresh = F.concat(acc["out"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when((s["start"] >= acc["at"]), fresh).otherwise(acc["out"]).alias("out"))
+        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(s["start"] >= acc["at"], fresh).otherwise(acc["out"]).alias("out"))
 
     done = F.aggregate(ordered, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")), step)
-    clean = F.when(F.size("_spans") == 0, whole).otherwise(F.concat(done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.length(whole))))
-    changed = seen.withColumn(text, clean)
-    if "n_chars" in documents.columns:
-        changed = changed.withColumn("n_chars", F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.length(whole)).cast(documents.schema["n_chars"].dataType))
-    return changed.select(*[F.col(f"`{c}`") for c in documents.columns])
+    touched = F.size("spans") > 0
+    clean = seen.select("doc", touched.alias("touched"), F.when(touched, F.concat(done["out"], F.substring(whole, (done["at"] + 1).cast("int"), F.length(whole)))).otherwise(F.col(f"doc.`{text}`")).alias("clean"))
+    columns = {c: F.col(f"doc.`{c}`") for c in documents.columns}
+    columns[text] = F.col("clean")
+    if "n_chars" in columns and text != "n_chars":
+        columns["n_chars"] = F.when(F.col("touched"), F.length("clean").cast(documents.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return clean.select(*[value.alias(name) for name, value in columns.items()])
 
 
 def _joined(spans: Column) -> Column:

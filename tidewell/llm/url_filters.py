@@ -72,9 +72,9 @@ def patterns(url: Column) -> Column:
 
 
 def judge(captures: DataFrame, dated: DataFrame, url: str = "url", fetched: str = "fetch_date") -> DataFrame:
-    """The captures with host, n_active, the deciding list and entry, and blocked."""
-    kept = [F.col(f"`{c}`").alias(f"c_{c}") for c in captures.columns]
-    numbered = captures.select(*kept, F.monotonically_increasing_id().alias("_row"), F.col(f"`{url}`").cast("string").alias("_url"), F.col(f"`{fetched}`").cast("date").alias("_at"))
+    """The captures with host, n_active, the deciding list and entry, and blocked (which replace
+    columns of these names)."""
+    numbered = captures.select(F.struct("*").alias("capture"), F.monotonically_increasing_id().alias("_row"), F.col(f"`{url}`").cast("string").alias("_url"), F.col(f"`{fetched}`").cast("date").alias("_at"))
     asked = numbered.withColumn("_pattern", F.explode_outer(patterns(F.col("_url"))))
     valid = intervals(dated).select("list", F.col("pattern").alias("_entry"), "verdict", "since", "until")
     active = (F.col("_pattern") == F.col("_entry")) & (F.col("since") <= F.col("_at")) & (F.col("until").isNull() | (F.col("_at") < F.col("until")))
@@ -82,12 +82,12 @@ def judge(captures: DataFrame, dated: DataFrame, url: str = "url", fetched: str
     # least by this order decides: longest pattern first, allow before block, then the list's name
     order = F.struct(-F.length("_entry"), F.col("verdict"), F.col("list"))
     first = F.min_by(F.struct("list", F.col("_entry").alias("entry"), "verdict"), F.when(F.col("_entry").isNotNull(), order))
-    same = [F.any_value(f"c_{c}").alias(c) for c in captures.columns]
-    out = found.groupBy("_row").agg(*same, F.any_value("_url").alias("_url"), F.count("_entry").alias("n_active"), first.alias("_first"))
-    return out.select(
-        *[F.col(f"`{c}`") for c in captures.columns], host(F.col("_url")).alias("host"), "n_active",
-        F.col("_first.list").alias("list"), F.col("_first.entry").alias("entry"), F.coalesce(F.col("_first.verdict") == "block", F.lit(False)).alias("blocked"),
-    )
+    out = found.groupBy("_row").agg(F.any_value("capture").alias("capture"), F.any_value("_url").alias("_url"), F.count("_entry").alias("n_active"), first.alias("_first"))
+    added = {
+        "host": host(F.col("_url")), "n_active": F.col("n_active"), "list": F.col("_first.list"), "entry": F.col("_first.entry"),
+        "blocked": F.coalesce(F.col("_first.verdict") == "block", F.lit(False)),
+    }
+    return out.select(*[F.col(f"capture.`{c}`").alias(c) for c in captures.columns if c not in added], *[v.alias(n) for n, v in added.items()])
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
