@@ -9,6 +9,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import weakref
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -108,6 +109,9 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_settled: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, so a lost
     executor costs no recomputation and no plan is run twice.  The table goes when the driver ends."""
@@ -115,7 +119,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/tidewell-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     atexit.register(discard, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _settled[table] = path
+    return table
+
+
+def release(table: DataFrame) -> None:
+    """Removes a settled table that no later step reads."""
+    if path := _settled.pop(table, None):
+        discard(table.sparkSession, path)
 
 
 def discard(spark: SparkSession, path: str) -> None:
