@@ -229,7 +229,7 @@ def _rest(members: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
     named = settle(named, "named")
     counts = named.groupBy("first", "component").agg(F.count("*").alias("size"))
     main = counts.groupBy("first").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("first", "main")
-    open_rows = settle(named.join(main, "first"), "open")
+    open_rows = settle(named.join(settle(main, "main"), "first"), "open")
     x, y = open_rows.where("component <> main and node <> first").alias("x"), open_rows.where("node <> first").alias("y")
     differ = "x.first = y.first and x.component <> y.component and (y.component = y.main or x.node < y.node)"
     near = f"coalesce({100 + LEAST_PERCENT} * ({_apart('x', 'y')}) <= {100 - LEAST_PERCENT} * (x.n + y.n), true)"
@@ -280,12 +280,11 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """The documents, columns as they are, that their components keep.  Equal rows stay once; rows
-    with a null id stay."""
+    """The documents, columns as they are, that their components keep.  Rows that share an id stay or
+    go together; rows with a null id stay."""
     found = near_duplicates(documents)
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    stay = documents.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
-    return stay
+    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
