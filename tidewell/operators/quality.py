@@ -25,18 +25,20 @@ class ConversionRules:
     texts: tuple[str, ...] = ()
 
 
-def conversion_reasons(rules: ConversionRules) -> Column:
-    """The failed conversions of a row, joined by '; ' (empty: none)."""
+def conversion_reasons(rules: ConversionRules, columns: list[str]) -> Column:
+    """The failed conversions of a row, joined by '; ' (empty: none); rules for absent columns rest."""
     checks: list[tuple[str, Column]] = []
-    checks += [(f"invalid date: {c}", F.col(c).isNotNull() & to_date(F.col(c)).isNull()) for c in rules.dates]
-    checks += [(f"invalid numeric: {c}", F.col(c).isNotNull() & to_number(F.col(c)).isNull()) for c in rules.numbers]
-    checks += [(f"invalid integer: {c}", F.col(c).isNotNull() & ~F.coalesce(is_whole(F.col(c)), F.lit(False))) for c in rules.integers]
-    checks += [(f"blank string: {c}", is_blank(F.col(c))) for c in rules.texts]
+    checks += [(f"invalid date: {c}", F.col(c).isNotNull() & to_date(F.col(c)).isNull()) for c in rules.dates if c in columns]
+    checks += [(f"invalid numeric: {c}", F.col(c).isNotNull() & to_number(F.col(c)).isNull()) for c in rules.numbers if c in columns]
+    checks += [(f"invalid integer: {c}", F.col(c).isNotNull() & ~F.coalesce(is_whole(F.col(c)), F.lit(False))) for c in rules.integers if c in columns]
+    checks += [(f"blank string: {c}", is_blank(F.col(c))) for c in rules.texts if c in columns]
+    if not checks:
+        return F.lit("")
     return F.array_join(F.array_compact(F.array(*[F.when(failed, F.lit(reason)) for reason, failed in checks])), "; ")
 
 
 def with_reasons(df: DataFrame, rules: ConversionRules) -> DataFrame:
-    return df.withColumn("rejection_reason", conversion_reasons(rules))
+    return df.withColumn("rejection_reason", conversion_reasons(rules, df.columns))
 
 
 def valid_rows(df: DataFrame, rules: ConversionRules) -> DataFrame:

@@ -72,9 +72,9 @@ class BatchLog:
     def commit(self, batch: Batch, digest: str, rows: int) -> None:
         self.store.put(self._name(batch.batch_id), {"number": batch.number, "low": batch.low, "high": batch.high, "batch_id": batch.batch_id, "content_hash": digest, "rows": rows})
 
-    def checkpoint(self) -> Any:
-        """The last bound up to which everything is committed, or None."""
-        last = None
+    def checkpoint(self, start: Any = None) -> Any:
+        """The last bound up to which everything after start is committed; start if nothing is."""
+        last = start
         for expected, marker in enumerate(self.committed(), 1):
             if marker["number"] != expected or marker["low"] != last:
                 break

@@ -96,7 +96,7 @@ class BronzeJob:
                 report.require(spec.target)
             deadline.check()
             c.staging.update(staging, validated=True)
-            high = log.checkpoint() if paths else after
+            high = log.checkpoint(after)
             c.store.put(f"control/pointers/bronze.{spec.target}.json", names | {"paths": [*kept, *paths], "high": high})
             c.staging.move(staging, Stage.PUBLISHED)
             status = Status.SUCCESS_WITH_REJECTIONS if rejected else Status.SUCCESS

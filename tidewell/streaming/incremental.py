@@ -36,4 +36,5 @@ def load(stream: DataFrame, log: BatchLog, folder: str, checkpoint: str) -> Stre
 
 def windowed_counts(events: DataFrame, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
     """Events and their values per window and type; rows later than the watermark are left out."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value"))
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))  # watermarks need a time zone
+    return timed.withWatermark("ts", late).groupBy(F.window("ts", width), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("value"))
