@@ -30,7 +30,7 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 #: 1 / phi and frac(2 ** 20 / phi): two parts keep the points exact for long schedules.
 _LOW, _HIGH, _PART = 0.6180339887498949, 0.8025870370864868, 1 << 20
-_CHUNK, _BUCKET_ROWS, _GUIDE = 4096, 4096, 1024
+_CHUNK, _BUCKET_ROWS, _GUIDE = 4096, 256, 1024
 
 
 def n_words(text: Column) -> Column:
