@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.columns import MONEY, date_key
 from tidewell.operators.quality import ContractError, first_per_key
+from tidewell.sources.settled import settle
 
 CUSTOMER = ("customer_id", "customer_name", "customer_type", "customer_name_source", "person_id", "store_id", "territory_id", "account_number")
 PRODUCT = ("product_id", "product_name", "product_number", "product_line", "class", "style", "list_price", "standard_cost", "is_discontinued")
@@ -65,11 +66,12 @@ def require_unique(df: DataFrame, key: str, what: str) -> None:
 
 def fact_batches(details: DataFrame, batch_size: int, key: str = "sales_order_detail_id") -> DataFrame:
     """Batches of up to batch_size rows in key order: number, exclusive lower and inclusive upper bound,
-    rows.  Ranks are prefix sums over ranges of the key, so no task sorts the whole table."""
+    rows.  Ranks are prefix sums over ranges of the key, so no task sorts the whole table; the ranges
+    are written once, as two reads of them must agree."""
     keys = details.select(F.col(key).alias("k")).where("k is not null")
     spread = keys.repartitionByRange("k").select("k", F.spark_partition_id().alias("p"))
     local = F.row_number().over(Window.partitionBy("p").orderBy("k"))
-    placed = spread.withColumn("r", local)
+    placed = settle(spread.withColumn("r", local), "ranks")
     counts = placed.groupBy("p").agg(F.count("*").alias("n"))
     offsets = counts.select("p", (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("offset"))
     numbered = placed.join(F.broadcast(offsets), "p").select("k", F.expr(f"cast((offset + r - 1) div {batch_size} + 1 as bigint)").alias("batch_number"))
