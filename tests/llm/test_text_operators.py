@@ -42,6 +42,10 @@ def test_contamination(spark, most):
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, row int")
     got = decontaminate.contamination(frame(spark), bench, most=most).collect()
     want = [(r[0], *brute_hits(r[1], [x for x in items if x[0] is not None])) for r in awkward()]
+    kept = decontaminate.clean_documents(frame(spark), bench, most=most)
+    bad = {w[0] for w in want if w[-1]}
+    assert kept.columns == frame(spark).columns
+    assert sorted((r["doc_id"] for r in kept.where("doc_id is not null").collect())) == sorted(w[0] for w in want if w[0] is not None and not (w[-1] if most > 3 else w[0] in bad))
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), r["contaminated"]) for r in got), key=str) == sorted(want, key=str)
 
 

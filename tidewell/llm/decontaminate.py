@@ -12,7 +12,6 @@ empty results or no hits; extra columns of either table are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -153,10 +152,33 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
     )
 
 
-def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
-    """The documents that are not contaminated, with their own columns; rows without an id stay."""
-    bad = contamination(documents, benchmark, n).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-    return documents.join(bad, documents["doc_id"] == bad["_bad"], "left_anti")
+def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
+    """The documents that are not contaminated, with their own columns.  With one block of windows,
+    the tasks that scan the texts also filter the rows, and nothing is shuffled; with more, a
+    document's hits are known only when the blocks' meet, and the decision is joined back by id."""
+    parts = list(blocks(benchmark, n, most)) or [[]]
+    if len(parts) > 1:
+        bad = contamination(documents, benchmark, n, most).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
+        return documents.join(bad, documents["doc_id"] == bad["_bad"], "left_anti")
+    spark, at = documents.sparkSession, documents.columns.index("text")
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(WindowSet(parts[0], n))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters, owned = shared.value.unpacked(), shared.value.items
+
+        def fine(text: bytes | None) -> bool:
+            words = words_of(text)
+            covered = np.zeros(len(words), dtype=bool)
+            for start, end in _hits(words, filters, owned)[0]:
+                covered[start:end] = True
+            hit = int(np.count_nonzero(covered))
+            return not hit or CONTAMINATED_ONE_IN * hit < len(words)
+
+        for batch in batches:
+            yield batch.filter(pa.array([fine(t) for t in binaries(batch.column(at))], type=pa.bool_()))
+
+    return documents.mapInArrow(run, documents.schema)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
