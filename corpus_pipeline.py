@@ -5,8 +5,8 @@ before it kept, and its decisions take effect.  Every stage but the last returns
 documents.  run() writes each stage's result to the shared folder and reads it again, so a lost
 executor never costs more than the stage at hand.
 
-Rows with a null doc_id pass near-dedup and decontamination, whose decisions go by id; rows that
-repeat an id stay or go together there.
+Rows with a null doc_id pass near-dedup, whose decisions go by id; rows that repeat an id stay or go
+together there.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 from tidewell.llm import decontaminate, language_id, mixing, near_dedup, pii
 from tidewell.llm.common import settle, table
 
-#: Least score of a language decision; clear texts of one language score near 1.
-LEAST_SCORE = 0.5
+#: Least score of a language decision.  Clear texts score near 1 and texts in two languages near 0.5,
+#: which are kept; below this, no language stands out.
+LEAST_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
