@@ -1,4 +1,4 @@
-"""What the corpus operators share: words, hashes, batches and tables in the shared folder.
+"""What the corpus operators share: words, hashes and batches.
 
 A word is a run of bytes other than ``\\x20 \\x09-\\x0D``; ``bytes.split()`` cuts UTF-8 text
 exactly so.  Word hashes have 64 bits.
@@ -6,10 +6,6 @@ exactly so.  Word hashes have 64 bits.
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-import weakref
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -99,45 +95,5 @@ def chunked(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Itera
         yield rows_to_batch(held, schema)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; a local one only where it is unset."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="tidewell-")
-        spark.sparkContext.setCheckpointDir(named)
-        spark.conf.set("spark.checkpoint.dir", named)
-    return named.rstrip("/")
-
-
-_settled: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-
-
-def settle(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as a table in the shared folder and reads it back: lineage ends there, so a lost
-    executor costs no recomputation and no plan is run twice.  The table goes when the driver ends."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/tidewell-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(discard, spark, path)
-    table = spark.read.schema(df.schema).parquet(path)
-    _settled[table] = path
-    return table
-
-
-def release(table: DataFrame) -> None:
-    """Removes a settled table that no later step reads."""
-    if path := _settled.pop(table, None):
-        discard(table.sparkSession, path)
-
-
-def discard(spark: SparkSession, path: str) -> None:
-    """Removes a settled table that nothing reads any more."""
-    try:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    except Exception:  # the session is gone, and with it the way to delete
-        return
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import chunked, held_out, mix, settle, small_batches, table
+from tidewell.llm.common import chunked, held_out, mix, small_batches, table
+from tidewell.sources.settled import settle
 
 LENGTHS = (1, 2, 3, 4)
 #: Expected labelled rows that training reads per language (chosen by hash of the text).

@@ -35,8 +35,9 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import binaries, chunked, mix, settle, small_batches, table, windows, word_hashes
+from tidewell.llm.common import binaries, chunked, mix, small_batches, table, windows, word_hashes
 from tidewell.llm.components import components
+from tidewell.sources.settled import settle
 
 SHINGLE, LEAST_PERCENT = 5, 75
 #: SetSketch: BANDS * ROWS registers of 16 bits, base and rate of the exponential spacing.

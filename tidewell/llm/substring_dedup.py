@@ -28,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import binaries, chunked, release, settle, small_batches, table, windows, word_hashes
+from tidewell.llm.common import binaries, chunked, small_batches, table, windows, word_hashes
+from tidewell.sources.settled import release, settle
 
 WINDOW, PERIOD = 50, 31
 ANCHOR = WINDOW - PERIOD + 1
