@@ -160,7 +160,7 @@ def dedup(documents: DataFrame) -> DataFrame:
     spread = sketches.select(F.explode("anchors").alias("anchor"), seq64.alias("seq64")).repartitionByRange("anchor", "seq64").sortWithinPartitions("anchor", "seq64")
     shared = spread.mapInArrow(_shared, "seq64 long, anchor long").groupBy("seq64").agg(F.collect_set("anchor").alias("shared"))
     long_rows = known.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW))
-    first = long_rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id"))
+    first = settle(long_rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "first")
     chosen = first.select("doc_id", "seq", seq64.alias("seq64")).join(shared, "seq64").select("doc_id", "seq", "shared")
     found = texts.where("doc_id is not null and text is not null").join(chosen, "doc_id").where(_right_text("seq", "text")).dropDuplicates(["doc_id", "seq"])
     candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
