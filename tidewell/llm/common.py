@@ -6,8 +6,13 @@ exactly so.  Word hashes have 64 bits.
 
 from __future__ import annotations
 
+import atexit
+import io
+import uuid
+import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +20,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tidewell
+from tidewell.sources.settled import discard, shared_folder
+
 #: Odd multipliers of the 64-bit mixers (fixed values).
 MIX_A, MIX_B, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 #: The held-out remainder of crc32(doc_id as text) mod 4.
@@ -26,8 +34,35 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == HELD_OUT, F.lit(False))
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once an application: an archive in the shared folder,
+    so that workers need neither this machine's folders nor its PYTHONPATH."""
+    context, root = spark.sparkContext, Path(tidewell.__file__).parent
+    if context.applicationId in _shipped or not root.is_dir():
+        return
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(root.rglob("*.py")):
+            archive.writestr(str(path.relative_to(root.parent)), path.read_bytes())
+    at = f"{shared_folder(spark)}/tidewell-code-{uuid.uuid4().hex}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(at)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    try:
+        out.write(bytearray(held.getvalue()))
+    finally:
+        out.close()
+    context.addPyFile(at)
+    atexit.register(discard, spark, at)
+    _shipped.add(context.applicationId)
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Bounds what one Arrow batch of whole texts holds; set in the session, as plans run later."""
+    """Gets Python workers ready: sends the code, and bounds what one Arrow batch of whole texts holds
+    (set in the session, as plans run later)."""
+    ship_code(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
 
