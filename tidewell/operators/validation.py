@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidewell.operators.gold import MEASURES
 from tidewell.operators.kpi import TOLERANCE, kpi_baseline, kpi_gold, kpi_variance
-from tidewell.operators.quality import ContractError, orphans
+from tidewell.operators.quality import ContractError
 
 LINEAGE = ("_source_system", "_source_table", "_load_date", "_record_hash")
 FORMULA_TOLERANCE = 1e-4
@@ -113,15 +114,14 @@ def fact_counters(fact: DataFrame) -> DataFrame:
 
 
 def orphan_counts(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
-    """Orphans of every foreign key, each from its distinct keys."""
-    parts = []
-    for column, (name, key) in FACT_KEYS.items():
-        lost = orphans(fact.groupBy(column).agg(F.count("*").alias("n")), column, dimensions[name], key)
-        parts.append(lost.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphans")).select(F.lit(column).alias("foreign_key"), "orphans"))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Orphans of every foreign key.  The fact is read once: its keys are counted per column and value
+    before they are shuffled, and the few distinct values meet the dimensions' keys."""
+    values = F.explode(F.array(*[F.struct(F.lit(c).alias("foreign_key"), F.col(c).cast("bigint").alias("value")) for c in FACT_KEYS]))
+    counted = fact.select(values.alias("v")).select("v.*").where("value is not null").groupBy("foreign_key", "value").agg(F.count("*").alias("n"))
+    keys = [dimensions[name].select(F.lit(column).alias("foreign_key"), F.col(key).cast("bigint").alias("value")) for column, (name, key) in FACT_KEYS.items()]
+    lost = counted.join(reduce(DataFrame.unionByName, keys), ["foreign_key", "value"], "left_anti").select("foreign_key", "n")
+    none = fact.sparkSession.createDataFrame([(c, 0) for c in FACT_KEYS], "foreign_key string, n bigint")
+    return lost.unionByName(none).groupBy("foreign_key").agg(F.sum("n").alias("orphans"))
 
 
 def gold_report(fact: DataFrame, dimensions: dict[str, DataFrame], details: DataFrame, headers: DataFrame, tolerance: float = TOLERANCE) -> Report:

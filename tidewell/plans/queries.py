@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewell.functions.columns import record_hash, to_date, to_number
+from tidewell.functions.columns import is_blank, is_whole, to_date, to_number
 from tidewell.operators import gold, kpi, quality, silver, validation
 from tidewell.sources import raw, readers
 from tidewell.sources.adapter import RELATIONS, SalesTables
@@ -394,15 +394,11 @@ def quarantine_numeric(t):
 
 @query("quarantine_integer", "SELECT SalesOrderID, CustomerID, try_cast(CustomerID AS DECIMAL(28,8)) % 1 <> 0 AS rejected FROM raw_header", "raw_header")
 def quarantine_integer(t):
-    from tidewell.functions.columns import is_whole
-
     return raw.raw_header(t).select("SalesOrderID", "CustomerID", (~is_whole(F.col("CustomerID"))).alias("rejected"))
 
 
 @query("quarantine_blank", "SELECT CustomerID, AccountNumber IS NOT NULL AND trim(AccountNumber) = '' AS rejected, _load_date FROM raw_customer", "raw_customer")
 def quarantine_blank(t):
-    from tidewell.functions.columns import is_blank
-
     return raw.raw_customer(t).select("CustomerID", is_blank(F.col("AccountNumber")).alias("rejected"), "_load_date")
 
 
