@@ -12,7 +12,6 @@ together there.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewell.llm import decontaminate, language_id, mixing, near_dedup, pii
 from tidewell.llm.common import table

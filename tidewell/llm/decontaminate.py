@@ -130,16 +130,14 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
     parts = list(blocks(benchmark, n, most)) or [[]]
     if len(parts) == 1:
         found = scan(documents, parts[0], n)
-        starts, ends = "starts", "ends"
     else:  # one scan a block; rows meet again by a row id, and so do their ranges
         numbered = documents.withColumn("_row", F.monotonically_increasing_id())
         scans = [scan(numbered, part, n, "_row") for part in parts]
         found = reduce(DataFrame.unionByName, scans).groupBy("row", "doc_id", "n_words").agg(
             F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
         )
-        starts, ends = "starts", "ends"
     # words covered by the union of the ranges: sort them, then add what each reaches beyond those before
-    ranges = F.array_sort(F.arrays_zip(F.col(starts).alias("a"), F.col(ends).alias("b")))
+    ranges = F.array_sort(F.arrays_zip(F.col("starts").alias("a"), F.col("ends").alias("b")))
     covered = F.aggregate(
         ranges,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")),

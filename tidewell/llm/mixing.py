@@ -17,8 +17,6 @@ empty table gives an empty result; of the input only doc_id, source and text are
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
