@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import corpus_pipeline
+from tests.llm.corpus import awkward, frame, prose
 from tests.llm.test_mixing import check, size
 from tests.llm.test_near_dedup import brute
 from tests.llm.test_text_operators import PII_TEXTS, brute_hits, brute_spans
@@ -71,3 +72,19 @@ def test_stages_keep_the_columns_of_documents(stages):
 def test_run_equals_the_stages(spark, stages):
     got = corpus_pipeline.run(spark, SMALL)
     assert sorted(map(str, got.collect())) == sorted(map(str, stages["mixing"]))
+
+
+@pytest.mark.parametrize("n", [0, None])
+def test_stages_on_awkward_and_empty_tables(spark, tmp_path, n):
+    """Extra columns pass through; language ID learns from these rows, so only its certain part is checked."""
+    rows = awkward()[:n]
+    docs = frame(spark, rows)
+    spark.createDataFrame([(1, None), (None, "one two"), (2, prose(2, 70))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        out.write.parquet(f"{tmp_path}/{name}")
+        kept = spark.read.parquet(f"{tmp_path}/{name}")
+        assert set(docs.columns) <= set(kept.columns) and kept.count() <= docs.count()
+        docs = kept
+    texts = {r["text"] for r in docs.collect()}
+    assert not texts & {None, "", " \n\t "} and (not rows or len(texts) > 5)
