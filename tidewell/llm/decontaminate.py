@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import binaries, cheap_hashes, chunked, small_batches, table, windows
 
 N_WORDS = 13
-#: Windows in one broadcast block: about 100 bytes each with their words.
-MAX_WINDOWS = 250_000
+#: Windows in one broadcast block: about 400 bytes each with their words, so 40 MB in a worker.
+MAX_WINDOWS = 100_000
 #: Share of a document's words that must be hit: one in this many.
 CONTAMINATED_ONE_IN = 20
 #: A-Z become a-z; ASCII characters other than letters and digits separate words (fixed values).
