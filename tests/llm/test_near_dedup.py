@@ -63,6 +63,13 @@ def test_chains_and_large_groups_of_near_copies(spark):
     assert sorted(map(tuple, got), key=str) == brute(rows)
 
 
+def test_null_id_before_the_only_copy_in_its_task(spark):
+    rows = [(None, prose(1, 60)), (1, prose(1, 60)), (2, prose(2, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = near_dedup.near_duplicates(docs).collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
 def test_empty_table(spark):
     assert near_dedup.near_duplicates(spark.createDataFrame([], SCHEMA)).count() == 0
 

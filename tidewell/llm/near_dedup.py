@@ -81,14 +81,14 @@ _SKETCH = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("n", pa.in
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's set size and fingerprint, and the registers of each set once a task."""
+    """Each row's set size and fingerprint, and the registers of each set once a task, on a row with an id."""
     seen: set[bytes] = set()
 
     def rows(batch: pa.RecordBatch):
         for doc_id, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
             found = shingles(text)
             mark = fingerprint(found)
-            new = len(found) > 0 and mark not in seen
+            new = doc_id is not None and len(found) > 0 and mark not in seen
             if new:
                 seen.add(mark)
             yield doc_id, mark, len(found), registers(found).tobytes() if new else None
