@@ -5,8 +5,8 @@ before it kept, and its decisions take effect.  Every stage but the last returns
 documents.  run() writes each stage's result to the shared folder and reads it again, so a lost
 executor never costs more than the stage at hand.
 
-Rows with a null doc_id pass near-dedup, whose decisions go by id; rows that repeat an id stay or go
-together there.
+Rows with a null doc_id pass near-dedup; all other decisions go by row, so rows that share an id are
+judged by their own texts.
 """
 
 from __future__ import annotations

@@ -82,6 +82,14 @@ def test_keep_first_keeps_columns(spark):
     assert 6 not in {r["doc_id"] for r in kept.collect()}
 
 
+def test_keep_first_decides_by_row(spark):
+    """Two sets share an id, an exact row repeats, and a null id stays."""
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    rows = [(7, a), (7, b), (3, b), (9, a), (5, c), (5, c), (None, c)]
+    kept = near_dedup.keep_first(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([(7, a), (3, b), (5, c), (None, c)], key=str)
+
+
 def test_registers_merge_and_estimate():
     draw = np.random.default_rng(3)
     pool = draw.integers(0, 2**63, 3000).astype(np.uint64)

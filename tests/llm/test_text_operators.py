@@ -49,6 +49,15 @@ def test_contamination(spark, most):
     assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), r["contaminated"]) for r in got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("most", [100_000, 60])
+def test_clean_documents_judges_each_row(spark, most):
+    """Null and repeated ids give the same with one block of windows and with many."""
+    bench = spark.createDataFrame([(1, prose(2, 70)), (2, prose(3, 70))], "item_id long, text string")
+    rows = [(7, prose(2, 70)), (7, prose(9, 90)), (None, prose(3, 70)), (None, prose(8, 50)), (4, prose(9, 90))]
+    kept = decontaminate.clean_documents(spark.createDataFrame(rows, "doc_id long, text string"), bench, most=most).collect()
+    assert sorted(map(tuple, kept), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
+
+
 def test_contamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(empty(spark), none).count() == 0

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import tidewell
-from tidewell.sources.settled import discard, shared_folder
+from tidewell.sources.settled import discard, settle, shared_folder
 
 #: Odd multipliers of the 64-bit mixers (fixed values).
 MIX_A, MIX_B, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -132,3 +132,11 @@ def chunked(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Itera
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def numbered_rows(documents: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with an id of their own, written once so that every read agrees on it, and its column's name."""
+    name, taken = "_row", {c.lower() for c in documents.columns}
+    while name in taken:
+        name += "_"
+    return settle(documents.withColumn(name, F.monotonically_increasing_id()), "numbered"), name

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import binaries, cheap_hashes, chunked, small_batches, table, windows
+from tidewell.llm.common import binaries, cheap_hashes, chunked, numbered_rows, small_batches, table, windows
 
 N_WORDS = 13
 #: Windows in one broadcast block: about 400 bytes each with their words, so 40 MB in a worker.
@@ -125,17 +125,15 @@ def blocks(benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> I
         yield held
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
-    """Per document: doc_id, n_words, n_hit, hit ranges (starts, ends), items, contaminated."""
-    parts = list(blocks(benchmark, n, most)) or [[]]
-    if len(parts) == 1:
-        found = scan(documents, parts[0], n)
-    else:  # one scan a block; rows meet again by a row id, and so do their ranges
-        numbered = documents.withColumn("_row", F.monotonically_increasing_id())
-        scans = [scan(numbered, part, n, "_row") for part in parts]
-        found = reduce(DataFrame.unionByName, scans).groupBy("row", "doc_id", "n_words").agg(
-            F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-        )
+def _scanned(documents: DataFrame, parts: list[list[tuple[str, list[bytes]]]], n: int, row: str | None = None) -> DataFrame:
+    """The hits of several blocks: one scan a block; rows meet again by their row id, and so do their ranges."""
+    scans = [scan(documents, part, n, row) for part in parts]
+    return reduce(DataFrame.unionByName, scans).groupBy("row", "doc_id", "n_words").agg(
+        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    )
+
+
+def _decided(found: DataFrame) -> DataFrame:
     # words covered by the union of the ranges: sort them, then add what each reaches beyond those before
     ranges = F.array_sort(F.arrays_zip(F.col("starts").alias("a"), F.col("ends").alias("b")))
     covered = F.aggregate(
@@ -143,21 +141,30 @@ def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("to")),
         lambda acc, x: F.struct((acc["n"] + F.greatest(F.lit(0), x["b"] - F.greatest(x["a"], acc["to"]))).alias("n"), F.greatest(acc["to"], x["b"]).alias("to")),
     )["n"].cast("long")
-    return (
-        found.withColumn("n_hit", covered)
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * CONTAMINATED_ONE_IN >= F.col("n_words")))
-        .select("doc_id", "n_words", "n_hit", "starts", "ends", "items", "contaminated")
-    )
+    return found.withColumn("n_hit", covered).withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * CONTAMINATED_ONE_IN >= F.col("n_words")))
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
+    """Per document: doc_id, n_words, n_hit, hit ranges (starts, ends), items, contaminated."""
+    parts = list(blocks(benchmark, n, most)) or [[]]
+    if len(parts) == 1:
+        found = scan(documents, parts[0], n)
+    else:
+        numbered, row = numbered_rows(documents.select("doc_id", "text"))
+        found = _scanned(numbered, parts, n, row)
+    return _decided(found).select("doc_id", "n_words", "n_hit", "starts", "ends", "items", "contaminated")
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
-    """The documents that are not contaminated, with their own columns.  With one block of windows,
-    the tasks that scan the texts also filter the rows, and nothing is shuffled; with more, a
-    document's hits are known only when the blocks' meet, and the decision is joined back by id."""
+    """The documents that are not contaminated, with their own columns; each row is judged by itself.
+    With one block of windows, the tasks that scan the texts also filter the rows, and nothing is
+    shuffled; with more, a row's hits are known only when the blocks' meet, and the decision is joined
+    back by a row id."""
     parts = list(blocks(benchmark, n, most)) or [[]]
     if len(parts) > 1:
-        bad = contamination(documents, benchmark, n, most).where("contaminated").select(F.col("doc_id").alias("_bad")).distinct()
-        return documents.join(bad, documents["doc_id"] == bad["_bad"], "left_anti")
+        numbered, row = numbered_rows(documents)
+        bad = _decided(_scanned(numbered, parts, n, row)).where("contaminated").select(F.col("row").alias("_bad"))
+        return numbered.join(bad, numbered[row] == bad["_bad"], "left_anti").drop(row)
     spark, at = documents.sparkSession, documents.columns.index("text")
     small_batches(spark)
     shared = spark.sparkContext.broadcast(WindowSet(parts[0], n))

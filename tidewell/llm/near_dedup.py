@@ -32,10 +32,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import binaries, chunked, mix, small_batches, table, windows, word_hashes
+from tidewell.llm.common import binaries, chunked, mix, numbered_rows, small_batches, table, windows, word_hashes
 from tidewell.llm.components import components
 from tidewell.sources.settled import settle
 
@@ -77,7 +77,7 @@ def fingerprint(found: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(found.tobytes())
 
 
-_SKETCH = pa.schema([("doc_id", pa.int64()), ("print", pa.binary()), ("n", pa.int64()), ("registers", pa.binary())])
+_SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("print", pa.binary()), ("n", pa.int64()), ("registers", pa.binary())])
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,13 +85,13 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen: set[bytes] = set()
 
     def rows(batch: pa.RecordBatch):
-        for doc_id, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
+        for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binaries(batch.column(2)), strict=True):
             found = shingles(text)
             mark = fingerprint(found)
             new = doc_id is not None and len(found) > 0 and mark not in seen
             if new:
                 seen.add(mark)
-            yield doc_id, mark, len(found), registers(found).tobytes() if new else None
+            yield row, doc_id, mark, len(found), registers(found).tobytes() if new else None
 
     for batch in batches:
         yield from chunked(rows(batch), _SKETCH, 1024)
@@ -237,20 +237,21 @@ def _rest(members: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
     return x.join(y, F.expr(f"{differ} and {_bound('x', 'y')} and {near}")).selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct()
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
+def _judged(documents: DataFrame, row: Column) -> DataFrame:
+    """row, doc_id, n_shingles, and the id and row of the first document (least_id, least_row) of the
+    row's component, null without one; rows of one id are told apart by row."""
     spark = documents.sparkSession
-    texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    texts = documents.select(row.cast("long").alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     small_batches(spark)
-    sketches = settle(texts.mapInArrow(_sketch, "doc_id long, print binary, n long, registers binary"), "sketches")
-    sets_of = sketches.where("doc_id is not null and n > 0").groupBy("print").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("registers").alias("registers"))
+    sketches = settle(texts.mapInArrow(_sketch, "row long, doc_id long, print binary, n long, registers binary"), "sketches")
+    sets_of = sketches.where("doc_id is not null and n > 0").groupBy("print").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.max("n").alias("n"), F.max("registers").alias("registers"))
     nodes = settle(sets_of.withColumn("node", F.monotonically_increasing_id()), "nodes")
     small_batches(spark, 8192)
     keys = nodes.select("node", "registers").mapInArrow(_band_rows, "key long, node long")
     crowded = keys.repartitionByRange("key", "node").sortWithinPartitions("key", "node").mapInArrow(_crowded, "key long, node long")
     crowded = settle(crowded, "crowded")
     small_batches(spark)
-    wanted = nodes.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "print", "doc_id")
+    wanted = nodes.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "print", F.col("least.doc_id").alias("doc_id"))
     sets = settle(texts.join(wanted, "doc_id").select("node", "print", "text").mapInArrow(_full_sets, "node long, n long, found array<long>"), "sets")
     # shingles of one node only: none of its links can use them
     alone = sets.select("node", F.explode("found").alias("h")).groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("times")).where("times = 1")
@@ -271,21 +272,26 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     likely = pairs.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_likely, "a long, b long")
     more = settle(_verified(likely, sets).where("linked").select("a", "b"), "more")
     labels = components(links.unionByName(more))
-    named = nodes.select("node", "print", "doc_id").join(labels, "node")
-    smallest = named.groupBy("component").agg(F.min("doc_id").alias("least_id"))
-    known = nodes.select("node", "print", "doc_id").join(labels, "node", "left").join(smallest, "component", "left")
-    known = known.select("print", F.coalesce("least_id", "doc_id").alias("least_id"))
-    out = sketches.select("doc_id", "print", F.col("n").alias("n_shingles")).join(known, "print", "left")
-    component = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), F.col("least_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    smallest = nodes.select("node", "least").join(labels, "node").groupBy("component").agg(F.min("least").alias("of_all"))
+    known = nodes.select("node", "print", "least").join(labels, "node", "left").join(smallest, "component", "left")
+    known = known.select("print", F.coalesce("of_all", "least").alias("least"))
+    out = sketches.select("row", "doc_id", "print", F.col("n").alias("n_shingles")).join(known, "print", "left")
+    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    return out.select("row", "doc_id", "n_shingles", *[F.when(linked, F.col(f"least.{of}")).alias(f"least_{name}") for of, name in (("doc_id", "id"), ("row", "row"))])
+
+
+def near_duplicates(documents: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document."""
+    component = F.coalesce("least_id", "doc_id")
+    return _judged(documents, F.lit(0)).select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
-    """The documents, columns as they are, that their components keep.  Rows that share an id stay or
-    go together; rows with a null id stay."""
-    found = near_duplicates(documents)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")
+    """The documents, columns as they are, that their components keep: the row with the smallest id,
+    one of them if rows share it.  Rows with a null id stay.  Decisions go by row, not by id."""
+    numbered, row = numbered_rows(documents)
+    gone = _judged(numbered, numbered[row]).where("row <> least_row").select(F.col("row").alias("_gone"))
+    return numbered.join(gone, numbered[row] == gone["_gone"], "left_anti").drop(row)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
