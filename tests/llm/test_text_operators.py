@@ -220,6 +220,13 @@ def test_page_without_containers():
     assert html_text.main_text(page) == f"Title\n\n{long}\n\nShort part\n\n{long}"
 
 
+def test_headings_with_inline_tags():
+    page = "<article><h2><a href=x>Linked title</a></h2><p>Short <a href=y>link</a><h3><div><a href=z>Wrapped</a></div></h3><p><a href=w>More</a></p><h4>An <em>emphasis</em></h4></article>"
+    found = {b.text: b.heading for b in html_text.blocks(page)}
+    assert found == {"Linked title": True, "Short link": False, "Wrapped": True, "More": False, "An emphasis": True}
+    assert html_text.main_text(page) == "Linked title\n\nShort link\n\nWrapped\n\nAn emphasis"
+
+
 def test_extract_keeps_every_row(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (1, "u", "<p>x"), (None, None, None)], "page_id long, url string, html string")
     assert html_text.extract(pages).count() == 3 and html_text.extract(pages.where("false")).count() == 0

@@ -138,7 +138,8 @@ def blocks(page: str) -> list[Block]:
             in_main += tag in MAIN_CONTAINERS
             in_bad += bad
             in_link += tag == "a"
-        heading = bool(re.fullmatch("h[1-6]", tag)) and not closing
+        if tag in BLOCK_TAGS and not (heading and tag == "div"):  # inline tags and wrappers leave a heading one
+            heading = bool(re.fullmatch("h[1-6]", tag)) and not closing
     close_block()
     return found
 
