@@ -227,6 +227,20 @@ def test_headings_with_inline_tags():
     assert html_text.main_text(page) == "Linked title\n\nShort link\n\nWrapped\n\nAn emphasis"
 
 
+@pytest.mark.parametrize("attribute", ['class="has-sidebar"', 'class="no-sidebar"', 'class="page content-with-sidebar"', 'id="search-results"', 'class="sidebar"', 'class="widget"'])
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_named_wrappers_around_the_text(attribute, tag):
+    page = f"<nav>Menu</nav><div {attribute}><{tag}><h1>Head</h1><p>The text of the page</p></{tag}></div><aside>More</aside>"
+    assert html_text.main_text(page) == "Head\n\nThe text of the page"
+
+
+def test_names_inside_the_article():
+    kept = '<h2 id="related-work">Related work</h2><section id="search-methods"><p>How to find it is shown here</p></section><p id="legal-basis">The basis in law</p><h2 id="comments">On comments</h2>'
+    bad = "".join(f'<div class="{c}">Not a part of the text</div>' for c in ("ad", "ad-banner", "x Cookie-Notice", "social_share", "site-nav", "related-posts", "comments-area", "ad-1", "post-sidebar", "sponsored-content", "js-share-button"))
+    teasers = '<div class="related"><article>A teaser of other text</article></div>'
+    assert html_text.main_text(f"<article>{kept}{bad}</article>{teasers}") == "Related work\n\nHow to find it is shown here\n\nThe basis in law\n\nOn comments"
+
+
 def test_extract_keeps_every_row(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (1, "u", "<p>x"), (None, None, None)], "page_id long, url string, html string")
     assert html_text.extract(pages).count() == 3 and html_text.extract(pages.where("false")).count() == 0

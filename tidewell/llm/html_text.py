@@ -42,9 +42,13 @@ BAD_CONTAINERS = frozenset("nav footer aside form dialog menu fieldset".split())
 MAIN_CONTAINERS = frozenset("article main".split())
 #: Words of class, id and role attributes that name parts around the main text.
 BAD_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|footer|masthead|cookie\w*|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies|pagination|pager|widget|toolbar|legal|copyright|alert|search)(?:$|[\s_-])",
+    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar|footer|masthead|cookie\w*|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies|pagination|pager|widget|toolbar|legal|copyright|alert|search",
     re.IGNORECASE,
 )
+#: Words that may stand beside such a word in a hyphenated name; with any other word the name is of something else.
+PLAIN_NAMES = frozenset(
+    "site page global top bottom left right main primary secondary sub mobile desktop sticky floating user post posts article articles entry stories story header head area bar block box btn button buttons card cards container count field form group holder icon icons inner input inline item items label leaderboard link links list message module outer overlay panel row section slot slots space text thread title unit wrap wrapper js wp widgets banners body meta author tools media follow this default fixed dark light toggle dropdown".split()
+)
 SITE_HEADERS = re.compile(r"(?:^|\s)(?:(?:site|page|global|top|main)[_-]?)?header(?:$|\s)", re.IGNORECASE)
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 #: Length in characters below which a block can't be judged alone, and the densities that decide.
@@ -53,6 +57,7 @@ SHORT, LINKS_MOST, STOPS_LOW, STOPS_HIGH = 70, 0.5, 0.1, 0.2
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _RAW_TAGS = frozenset("script style textarea title noscript iframe template svg".split())
+_HEADING = re.compile("h[1-6]")
 
 
 @dataclass
@@ -64,28 +69,46 @@ class Block:
     n_chars: int
     link_share: float
     stop_share: float
+    #: The article or main that it stands in, if all that makes it bad are names of what is around that one.
+    wrapped: int | None = None
+
+
+def _is_bad_name(token: str) -> bool:
+    """True for a bad word, alone or with numbers, other bad words and plain words around it."""
+    words = [w for w in re.split("[-_]+", token) if w]
+    bad = [bool(BAD_NAMES.fullmatch(w)) for w in words]
+    if words and bad[0] and words[-1].lower() == "content" and words[0].lower() != "sidebar":  # not a layout
+        words, bad = words[:-1], bad[:-1]
+    return any(bad) and all(b or w.isdigit() or w.lower() in PLAIN_NAMES for b, w in zip(bad, words, strict=True))
 
 
-def _names_bad_part(tag: str, attributes: str, in_main: bool) -> bool:
+def _names_bad_part(tag: str, attributes: str, in_main: bool) -> str:
+    """Why a tag opens a bad part: "kind" (its tag, role or hidden), "name" (its class or id), or ""."""
     if tag in BAD_CONTAINERS or (tag == "header" and not in_main):
-        return True
+        return "kind"
+    named = ""
     for name, *values in _ATTRIBUTE.findall(attributes) if attributes.strip() else ():
         value, name = next((v for v in values if v), ""), name.lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return "kind"
         if name == "role" and value.lower() in BAD_ROLES:
-            return True
-        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and (BAD_NAMES.search(value) or (not in_main and SITE_HEADERS.search(value))):
-            return True
-    return False
+            return "kind"
+        if name in ("class", "id") and tag not in ("html", "body", "article", "main") and not (name == "id" and _HEADING.fullmatch(tag)):
+            if any(map(_is_bad_name, value.split())) or (not in_main and SITE_HEADERS.search(value)):
+                named = "name"
+    return named
 
 
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with what the rules need to know of each."""
     found: list[Block] = []
-    open_tags: list[tuple[str, bool]] = []  # tag, whether it names a bad part
+    open_tags: list[tuple[str, str]] = []  # tag, why it opens a bad part
     pieces: list[str] = []
-    in_main = in_bad = in_link = 0
+    in_main = in_bad = in_link = n_main = 0
+    #: Bad names open now, those around the innermost article or main (of each open one), and its number.
+    named, around = 0, [(0, 0)]
+    #: Bad names around the innermost main, which are none for what it holds.
+    passed = [0]
     link_chars, heading, at = 0, False, 0
 
     def close_block() -> None:
@@ -95,13 +118,20 @@ def blocks(page: str) -> list[Block]:
         if text:
             words = text.lower().split()
             stops = sum(w.strip(".,;:!?\"'()") in STOP_WORDS for w in words)
-            found.append(Block(text, in_main > 0, in_bad > 0, heading, len(text), min(1.0, links / max(1, len(raw.strip()))), stops / len(words)))
+            bad = in_bad > 0 or named > passed[-1]
+            wrapped = around[-1][1] if bad and in_main and not in_bad and named == around[-1][0] else None
+            found.append(Block(text, in_main > 0, bad, heading, len(text), min(1.0, links / max(1, len(raw.strip()))), stops / len(words), wrapped))
 
     def leave(k: int) -> None:
-        nonlocal in_main, in_bad, in_link
+        nonlocal in_main, in_bad, in_link, named
         for tag, bad in open_tags[k:]:
-            in_main -= tag in MAIN_CONTAINERS
-            in_bad -= bad
+            if tag in MAIN_CONTAINERS:
+                in_main -= 1
+                around.pop()
+            if tag == "main":
+                passed.pop()
+            in_bad -= bad == "kind"
+            named -= bad == "name"
             in_link -= tag == "a"
         del open_tags[k:]
 
@@ -135,11 +165,16 @@ def blocks(page: str) -> list[Block]:
                     leave(k)
             bad = _names_bad_part(tag, attributes, in_main > 0)
             open_tags.append((tag, bad))
-            in_main += tag in MAIN_CONTAINERS
-            in_bad += bad
+            in_bad += bad == "kind"
+            named += bad == "name"
+            if tag in MAIN_CONTAINERS:
+                in_main, n_main = in_main + 1, n_main + 1
+                around.append((named, n_main))
+            if tag == "main":
+                passed.append(named)
             in_link += tag == "a"
         if tag in BLOCK_TAGS and not (heading and tag == "div"):  # inline tags and wrappers leave a heading one
-            heading = bool(re.fullmatch("h[1-6]", tag)) and not closing
+            heading = bool(_HEADING.fullmatch(tag)) and not closing
     close_block()
     return found
 
@@ -181,11 +216,25 @@ def second_pass(page_blocks: list[Block], labels: list[bool | None]) -> list[boo
     return out
 
 
-def main_text(page: str | None) -> str:
-    found = blocks(page or "")
+def unwrap(found: list[Block]) -> None:
+    """A named wrapper around the page's only article is not bad for what is in it.  With several, the
+    wrapper is a list of teasers or comments, unless the page has no other text."""
+    wrapped = [b for b in found if b.wrapped is not None]
+    if wrapped and not any(b.in_main and not b.in_bad for b in found) and (len({b.wrapped for b in wrapped}) == 1 or not _good(found)):
+        for block in wrapped:
+            block.in_bad = False
+
+
+def _good(found: list[Block]) -> list[Block]:
     has_main = any(b.in_main and not b.in_bad for b in found)
     labels = second_pass(found, [first_pass(b, has_main) for b in found])
-    return "\n\n".join(b.text for b, good in zip(found, labels, strict=True) if good)
+    return [b for b, good in zip(found, labels, strict=True) if good]
+
+
+def main_text(page: str | None) -> str:
+    found = blocks(page or "")
+    unwrap(found)
+    return "\n\n".join(b.text for b in _good(found))
 
 
 _ARROW = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
