@@ -241,6 +241,12 @@ def test_names_inside_the_article():
     assert html_text.main_text(f"<article>{kept}{bad}</article>{teasers}") == "Related work\n\nHow to find it is shown here\n\nThe basis in law\n\nOn comments"
 
 
+@pytest.mark.parametrize("skipped", ['<svg class="x"/>', "<math />", "<svg><svg/><svg><text>no</text></svg><text>no</text></svg>", "<button>", "<select>", "<object data='x'>", "<canvas>", "<template>", "<button>no</button>", "<svg><title/><style/><path/></svg>", "<!-- <svg> -->", "<script>'<button>'</script>"])
+def test_skipped_tags_end_where_they_do(skipped):
+    page = f"<article><p>Before it {skipped}is text</p><p>And after it</p><button>no</button><svg><path/></svg><p>Last</p></article>"
+    assert html_text.main_text(page) == "Before it is text\n\nAnd after it\n\nLast"
+
+
 def test_extract_keeps_every_row(spark):
     pages = spark.createDataFrame([(1, "u", "<p>x"), (1, "u", "<p>x"), (None, None, None)], "page_id long, url string, html string")
     assert html_text.extract(pages).count() == 3 and html_text.extract(pages.where("false")).count() == 0

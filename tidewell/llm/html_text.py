@@ -7,8 +7,8 @@ the nearest decided neighbours in its own section: the label of both if they agr
 nearer one.  Good blocks are joined in page order.
 
 Defined results: null, empty or textless html gives an empty text; unclosed and stray tags,
-comments and references are read as browsers do; an unclosed script, style or comment swallows
-the rest; ``<br>`` is white space in its block; repeated rows get a row each; pages of any length
+comments and references are read as browsers do; an unclosed script, style, textarea, title, noscript,
+iframe or comment swallows the rest, and of other skipped tags without an end only the tag goes; ``<br>`` is white space in its block; repeated rows get a row each; pages of any length
 are read whole; of the input only page_id, url and html are read.
 """
 
@@ -56,7 +56,11 @@ SHORT, LINKS_MOST, STOPS_LOW, STOPS_HIGH = 70, 0.5, 0.1, 0.2
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
-_RAW_TAGS = frozenset("script style textarea title noscript iframe template svg".split())
+_RAW_TAGS = frozenset("script style textarea title noscript iframe".split())
+#: Tags skipped up to their own end, if they have one; svg and math may also end in themselves.
+_CLOSED_TAGS = frozenset("template svg math object canvas select button".split())
+_SELF_CLOSED = frozenset("svg math".split())
+_CLOSED_TOKEN = re.compile(rf"<!--.*?(?:-->|$)|<({'|'.join(sorted(_RAW_TAGS))})(?=[\s/>])[^>]*(?<!/)>.*?(?:</\1\s*>|$)|<(/?)({'|'.join(sorted(_CLOSED_TAGS))})(?=[\s/>])((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL | re.IGNORECASE)
 _HEADING = re.compile("h[1-6]")
 
 
@@ -99,6 +103,22 @@ def _names_bad_part(tag: str, attributes: str, in_main: bool) -> str:
     return named
 
 
+def _ends_of_skipped(page: str) -> dict[int, int]:
+    """Where the skipped tags that have an end begin (behind their first tag) and end, from one pass."""
+    ends: dict[int, int] = {}
+    open_at: dict[str, list[int]] = {}
+    for token in _CLOSED_TOKEN.finditer(page):
+        closing, tag, attributes = token.group(2), (token.group(3) or "").lower(), token.group(4) or ""
+        if not tag:
+            continue
+        if not closing:
+            if not (tag in _SELF_CLOSED and attributes.endswith("/")):
+                open_at.setdefault(tag, []).append(token.end())
+        elif open_at.get(tag):
+            ends[open_at[tag].pop()] = token.end()
+    return ends
+
+
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, with what the rules need to know of each."""
     found: list[Block] = []
@@ -110,6 +130,7 @@ def blocks(page: str) -> list[Block]:
     #: Bad names around the innermost main, which are none for what it holds.
     passed = [0]
     link_chars, heading, at = 0, False, 0
+    ends: dict[int, int] | None = None
 
     def close_block() -> None:
         nonlocal pieces, link_chars
@@ -155,7 +176,10 @@ def blocks(page: str) -> list[Block]:
             if k is not None and (tag in BLOCK_TAGS or not any(t in BLOCK_TAGS for t, _ in open_tags[k + 1 :])):
                 leave(k)
         elif tag in SKIPPED_TAGS and tag != "head":
-            if tag in _RAW_TAGS or tag in ("button", "select", "object", "canvas", "math"):  # whatever is inside is no text
+            if tag in _CLOSED_TAGS:  # whatever is inside is no text
+                ends = _ends_of_skipped(page) if ends is None else ends
+                at = ends.get(at, at)
+            elif tag in _RAW_TAGS:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
                 at = end.end() if end else len(page)
         elif tag not in VOID_TAGS and not attributes.rstrip().endswith("/"):
