@@ -198,6 +198,26 @@ def test_pii_added_kinds_and_redaction(spark):
     assert pii.redact(frame(spark)).count() == len(awkward()) and pii.redact(empty(spark)).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("IBAN ES9121000418450200051332 BIC CAIXESBB", ["ES9121000418450200051332"]),
+        ("BE68 5390 0754 7034 BIC GKCCBEBB", ["BE68 5390 0754 7034"]),
+        ("AT611904300234573201 BIC and SE45 5000 0000 0583 9825 7466 BIC X", ["AT611904300234573201", "SE45 5000 0000 0583 9825 7466"]),
+        ("ES91 2100 0418 4502 0005 1332 ES91 2100 0418 4502 0005 1332", ["ES91 2100 0418 4502 0005 1332"] * 2),
+        ("REF AB12 3456 7890 DE89 3704 0044 0532 0130 00 OK", ["DE89 3704 0044 0532 0130 00"]),
+        ("NO93 8601 1117 947 BIC, MT84 MALT 0110 0001 2345 MTLC AST0 01S", ["NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]),
+        ("ES91 2100 0418 4502 0005 1333 BIC", []),
+    ],
+)
+def test_account_numbers_before_other_capitals(spark, text, want):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = [s for s in pii.detect(docs).first()["spans"] if s["kind"] == "iban"]
+    assert [text[s["start"] : s["end"]] for s in spans] == want
+    left = pii.redact(docs).first()["text"]
+    assert left.count("[IBAN]") == len(want) and not any(w in left for w in want)
+
+
 # HTML.
 
 
