@@ -58,6 +58,22 @@ def test_clean_documents_judges_each_row(spark, most):
     assert sorted(map(tuple, kept), key=str) == sorted([rows[1], rows[3], rows[4]], key=str)
 
 
+@pytest.mark.parametrize("most", [100_000, 40])
+def test_windows_are_cut_into_bounded_blocks(spark, most):
+    """One item is longer than a block, and items without an id are windows too, as in the SQL."""
+    items = [(1, prose(2, 110)), (1, prose(2, 110)), (2, prose(2, 30)), (None, prose(3, 40)), (None, "one two"), (3, None), (4, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    rows = [(7, prose(2, 110)), (7, prose(3, 40)), (None, "x one two"), (8, prose(9, 90)), (9, prose(2, 110) + " " + prose(3, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    parts = decontaminate.Blocks(bench, 13, most)
+    sizes = [r["count"] for r in parts.table.groupBy("block").count().collect()]
+    assert max(sizes) <= most and sum(sizes) == 98 + 18 + 28 + 1 and len(parts.numbers) == (1 if most > 1000 else 4)
+    got = decontaminate.contamination(docs, bench, most=most).collect()
+    found = sorted(((r["doc_id"], r["n_hit"], r["items"], r["contaminated"]) for r in got), key=str)
+    assert found == sorted([(7, 110, ["1", "2"], True), (7, 40, [None], True), (None, 2, [None], True), (8, 0, [], False), (9, 150, ["1", "2", None], True)], key=str)
+    assert [r["doc_id"] for r in decontaminate.clean_documents(docs, bench, most=most).collect()] == [8]
+
+
 def test_contamination_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontaminate.contamination(empty(spark), none).count() == 0

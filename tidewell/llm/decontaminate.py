@@ -1,12 +1,15 @@
 """Benchmark decontamination: a broadcast hash set of the benchmark's windows.
 
 The benchmark is cut into windows of 13 normalised words (an item of fewer words is one window).
-Their 64-bit hashes are broadcast in blocks of at most ``MAX_WINDOWS``, so the size sent to the
-executors has a fixed bound however large the benchmark is; every block scans all documents, and
-the blocks' hits of a document are merged.  A hash that hits is verified on the words themselves.
-
-Defined results: a null or wordless text has no words and no hits; a null or wordless item is no
-window; repeated items and ids count once; repeated documents each get a row; empty tables give
+Spark cuts them, drops repeats, numbers them by a two-level rank and writes them to the shared
+folder.  They are read back and broadcast in blocks of at most ``MAX_WINDOWS``, one at a time, so what
+the driver and the executors hold has a fixed bound however large the benchmark is; every block scans
+all documents and writes its hits before the next one is read, and the hits of a document are merged.
+A hash that hits is verified on the words themselves.
+
+Defined results: a null or wordless text has no words and no hits; an item with a null or wordless
+text is no window; an item with a null id is one, and all such items are one null owner, the last in
+the list of items; repeated items and ids count once; repeated documents each get a row; empty tables give
 empty results or no hits; extra columns of either table are not read.
 """
 
@@ -17,14 +20,18 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, cheap_hashes, chunked, numbered_rows, small_batches, table, windows
+from tidewell.sources.settled import settle
 
 N_WORDS = 13
 #: Windows in one broadcast block: about 400 bytes each with their words, so 40 MB in a worker.
 MAX_WINDOWS = 100_000
+#: Bytes of words in one broadcast block.
+MAX_BYTES = 32 << 20
 #: Share of a document's words that must be hit: one in this many.
 CONTAMINATED_ONE_IN = 20
 #: A-Z become a-z; ASCII characters other than letters and digits separate words (fixed values).
@@ -42,15 +49,13 @@ def item_windows(words: list[bytes], n: int) -> list[list[bytes]]:
 class WindowSet:
     """The windows of some items by length: a bitmap over hash bits, then sorted hashes, then the words."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], n: int):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], n: int):
         self.by_length: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        self.items: dict[tuple[bytes, ...], list[str]] = {}
+        self.items: dict[tuple[bytes, ...], dict[str | None, None]] = {}
         hashes: dict[int, set[int]] = {}
         for item, words in items:
             for window in item_windows(words, n):
-                owners = self.items.setdefault(tuple(window), [])
-                if item not in owners:
-                    owners.append(item)
+                self.items.setdefault(tuple(window), {})[item] = None
                 hashes.setdefault(len(window), set()).add(int(windows(cheap_hashes(window), len(window))[0]))
         for length, found in hashes.items():
             known = np.array(sorted(found), dtype=np.uint64)
@@ -62,10 +67,10 @@ class WindowSet:
         return {k: (np.unpackbits(bits).view(bool), known) for k, (bits, known) in self.by_length.items()}
 
 
-def _hits(words: list[bytes], filters: dict, items: dict) -> tuple[list[tuple[int, int]], set[str]]:
+def _hits(words: list[bytes], filters: dict, items: dict) -> tuple[list[tuple[int, int]], set[str | None]]:
     """Ranges [start, end) of the document's words inside windows that occur, and the items that own them."""
     ranges: list[tuple[int, int]] = []
-    owners: set[str] = set()
+    owners: set[str | None] = set()
     hashes = cheap_hashes(words)
     for length, (bitmap, known) in filters.items():
         at = windows(hashes, length)
@@ -86,11 +91,9 @@ _SCHEMA = "row long, doc_id long, n_words long, starts array<int>, ends array<in
 _ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
 
 
-def scan(documents: DataFrame, items: list[tuple[str, list[bytes]]], n: int = N_WORDS, row: str | None = None) -> DataFrame:
-    """The hits of one block of items in every document."""
-    spark = documents.sparkSession
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(WindowSet(items, n))
+def scan(documents: DataFrame, shared: Broadcast, row: str | None = None) -> DataFrame:
+    """The hits of one block of windows in every document."""
+    small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, owned = shared.value.unpacked(), shared.value.items
@@ -99,7 +102,7 @@ def scan(documents: DataFrame, items: list[tuple[str, list[bytes]]], n: int = N_
             for at, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binaries(batch.column(2)), strict=True):
                 words = words_of(text)
                 ranges, owners = _hits(words, filters, owned)
-                yield at, doc_id, len(words), [a for a, _ in ranges], [b for _, b in ranges], sorted(owners)
+                yield at, doc_id, len(words), [a for a, _ in ranges], [b for _, b in ranges], sorted(owners, key=lambda x: (x is None, x or ""))
 
         for batch in batches:
             yield from chunked(rows(batch), _ARROW)
@@ -108,26 +111,72 @@ def scan(documents: DataFrame, items: list[tuple[str, list[bytes]]], n: int = N_
     return documents.select(at.alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SCHEMA)
 
 
-def blocks(benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """The benchmark's items in blocks of at most ``most`` windows (one item at least), read partition by partition."""
-    held: list[tuple[str, list[bytes]]] = []
-    size = 0
-    rows = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("string"), F.col("text").cast("string"))
-    for item, text in rows.toLocalIterator():
-        words = words_of(text.encode())
-        added = max(1, len(words) - n + 1)
-        if held and size + added > most:
-            yield held
-            held, size = [], 0
-        held.append((item, words))
-        size += added
-    if held:
-        yield held
-
-
-def _scanned(documents: DataFrame, parts: list[list[tuple[str, list[bytes]]]], n: int, row: str | None = None) -> DataFrame:
-    """The hits of several blocks: one scan a block; rows meet again by their row id, and so do their ranges."""
-    scans = [scan(documents, part, n, row) for part in parts]
+_CUT = pa.schema([("item", pa.string()), ("words", pa.binary())])
+_PLACED = pa.schema([*_CUT, ("part", pa.int32()), ("place", pa.int64()), ("ahead", pa.int64())])
+
+
+def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each window's task, its place there and the bytes of the windows ahead of it there."""
+    part, place, ahead = TaskContext.get().partitionId(), 0, 0
+
+    def rows(batch: pa.RecordBatch):
+        nonlocal place, ahead
+        for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            yield item, words, part, place, ahead
+            place, ahead = place + 1, ahead + len(words)
+
+    for batch in batches:
+        yield from chunked(rows(batch), _PLACED)
+
+
+class Blocks:
+    """The distinct windows of a benchmark with their items, written in blocks of at most ``most``
+    windows and MAX_BYTES (one window at least); an item's windows may be in several blocks."""
+
+    def __init__(self, benchmark: DataFrame, n: int, most: int):
+        self.spark, self.n = benchmark.sparkSession, n
+        small_batches(self.spark)
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def rows(batch: pa.RecordBatch):
+                for item, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
+                    words = words_of(text)
+                    for i in range(max(1, len(words) - n + 1) if words else 0):
+                        yield item, b" ".join(words[i : i + n])
+
+            for batch in batches:
+                yield from chunked(rows(batch), _CUT)
+
+        windows_of = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(cut, "item string, words binary")
+        self.table = settle(windows_of.distinct().mapInArrow(_place, "item string, words binary, part int, place long, ahead long"), "windows")
+        parts = self.table.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("bytes")).orderBy("part").collect()
+        if sum(r["n"] for r in parts) <= most and sum(r["bytes"] for r in parts) <= MAX_BYTES:
+            self.numbers = [0]
+            self.table = self.table.withColumn("block", F.lit(0).cast("long"))
+            return
+        before, rank, size = [], 0, 0
+        for r in parts:
+            before.append((r["part"], rank, size))
+            rank, size = rank + r["n"], size + r["bytes"]
+        starts = F.broadcast(self.spark.createDataFrame(before, "part int, rank long, size long"))
+        block = F.expr(f"(rank + place) div {most} + (size + ahead) div {MAX_BYTES}")  # both only grow, so each bounds a block
+        self.table = settle(self.table.join(starts, "part").select("item", "words", block.alias("block")), "blocks")
+        self.numbers = [r["block"] for r in self.table.select("block").distinct().orderBy("block").collect()]
+
+    def broadcast(self, number: int) -> Broadcast:
+        rows = self.table.where(F.col("block") == number).select("item", "words").collect()
+        return self.spark.sparkContext.broadcast(WindowSet([(r["item"], bytes(r["words"]).split(b" ")) for r in rows], self.n))
+
+
+def _scanned(numbered: DataFrame, row: str, parts: Blocks) -> DataFrame:
+    """The hits of several blocks: one scan a block, each written before the next block is read; rows
+    meet again by their row id, and so do their ranges."""
+    scans = []
+    for number in parts.numbers:
+        shared = parts.broadcast(number)
+        found = scan(numbered, shared, row)
+        scans.append(settle(found.where("size(starts) > 0") if scans else found, "hits"))
+        shared.destroy()
     return reduce(DataFrame.unionByName, scans).groupBy("row", "doc_id", "n_words").agg(
         F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
     )
@@ -146,12 +195,12 @@ def _decided(found: DataFrame) -> DataFrame:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, hit ranges (starts, ends), items, contaminated."""
-    parts = list(blocks(benchmark, n, most)) or [[]]
-    if len(parts) == 1:
-        found = scan(documents, parts[0], n)
+    parts = Blocks(benchmark, n, most)
+    if len(parts.numbers) == 1:
+        found = scan(documents, parts.broadcast(0))
     else:
         numbered, row = numbered_rows(documents.select("doc_id", "text"))
-        found = _scanned(numbered, parts, n, row)
+        found = _scanned(numbered, row, parts)
     return _decided(found).select("doc_id", "n_words", "n_hit", "starts", "ends", "items", "contaminated")
 
 
@@ -160,14 +209,12 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS
     With one block of windows, the tasks that scan the texts also filter the rows, and nothing is
     shuffled; with more, a row's hits are known only when the blocks' meet, and the decision is joined
     back by a row id."""
-    parts = list(blocks(benchmark, n, most)) or [[]]
-    if len(parts) > 1:
+    parts = Blocks(benchmark, n, most)
+    if len(parts.numbers) > 1:
         numbered, row = numbered_rows(documents)
-        bad = _decided(_scanned(numbered, parts, n, row)).where("contaminated").select(F.col("row").alias("_bad"))
+        bad = _decided(_scanned(numbered, row, parts)).where("contaminated").select(F.col("row").alias("_bad"))
         return numbered.join(bad, numbered[row] == bad["_bad"], "left_anti").drop(row)
-    spark, at = documents.sparkSession, documents.columns.index("text")
-    small_batches(spark)
-    shared = spark.sparkContext.broadcast(WindowSet(parts[0], n))
+    at, shared = documents.columns.index("text"), parts.broadcast(0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, owned = shared.value.unpacked(), shared.value.items
