@@ -10,14 +10,16 @@ similarity is 0.75 or more, and every component keeps its smallest id.
    A pair at 0.75 shares none of the 40 bands with probability 3e-7.
 3. Shared counts: a shingle that only one of these nodes has can't be in any intersection.  What is
    left bounds every intersection exactly; nodes and pairs that can't reach 0.75 go.
-4. Stars: in each bucket the nodes are compared with its first node only, on their full sets.  That
-   links a group of near copies without its pairs.  Each comparison also yields a bitmap of the
-   elements in which the node differs from the first one; the bits in which two such bitmaps differ
-   are a lower bound of the two nodes' difference.
-5. The rest, exactly: below first nodes that still lead several components, nodes outside the largest
-   one are joined with the others if the bounds allow a link; these few pairs are estimated jointly by
-   likelihood from their registers, and verified on their full sets unless six standard errors
-   below the threshold.  No bucket, partner or candidate is capped.
+4. Stars: in each bucket the nodes are compared with its first node only: pairs that are likely by
+   their registers are verified on their full sets.  That links a group of near copies without its
+   pairs.  Buckets that still hold several components get one more leader each, by hash.
+5. The rest, exactly: below first nodes that still lead several components, every node gets an odd
+   sketch (the parities of its shingles' counts in m places).  The places in which two odd sketches
+   differ never outnumber the elements in which the sets differ, and with m at 32 times the largest
+   difference that a link allows they come within a few percent of them.  Blocks of sketches are
+   compared in the tasks, and only pairs of different components whose bound allows a link become
+   rows; these few are estimated jointly by likelihood from their registers, and verified on their
+   full sets unless six standard errors below the threshold.  No bucket, partner or candidate is capped.
 
 Defined results: null and wordless texts have an empty set, are linked with nothing and kept; texts
 of fewer than five words have one shingle; a null doc_id is linked with nothing, has no component
@@ -143,23 +145,18 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from chunked(rows(batch), _SETS, 256)
 
 
-#: Words of 64 bits in a bitmap of differences.
-_BITS = 16
-_STAR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), *((f"d{k}", pa.int64()) for k in range(_BITS))])
+_STAR = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether two full sets are linked, and a bitmap of what is in one of them only."""
+    """Whether two full sets are linked."""
 
     def rows(batch: pa.RecordBatch):
         a, b, left, right = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), batch.column(3)
         for k in range(len(a)):
             x, y = (side[k].values.to_numpy().view(np.uint64) for side in (left, right))
-            apart = np.setxor1d(x, y, assume_unique=True)
-            both = (len(x) + len(y) - len(apart)) // 2
-            bits = np.zeros(64 * _BITS, dtype=np.uint8)
-            bits[apart % np.uint64(64 * _BITS)] = 1
-            yield a[k], b[k], 100 * both >= LEAST_PERCENT * (len(x) + len(y) - both), *np.packbits(bits).view(np.int64).tolist()
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            yield a[k], b[k], 100 * both >= LEAST_PERCENT * (len(x) + len(y) - both)
 
     for batch in batches:
         yield from chunked(rows(batch), _STAR, 1024)
@@ -190,51 +187,113 @@ def joint_estimate(first: np.ndarray, second: np.ndarray, n_first: np.ndarray, n
 
 #: Estimates this far below the threshold are not verified: six standard errors.
 MARGIN = 6 * (0.75 * 0.25 / REGISTERS) ** 0.5
+#: Estimates from here on are verified before all the rest is compared: a standard error below the threshold.
+CLOSE = 0.75 - (0.75 * 0.25 / REGISTERS) ** 0.5
 _PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def _likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not len(batch.column(0)):
-            continue
-        first, second = (np.stack([np.frombuffer(r, dtype=np.uint16) for r in batch.column(k).to_pylist()]) for k in (2, 3))
-        sizes = [batch.column(k).to_numpy().astype(np.float64) for k in (4, 5)]
-        keep = joint_estimate(first, second, *sizes) >= LEAST_PERCENT / 100 - MARGIN
-        yield pa.RecordBatch.from_arrays([pa.array(batch.column(k).to_numpy()[keep]) for k in (0, 1)], schema=_PAIRS)
-
-
-def _bound(a: str, b: str) -> str:
-    """SQL: the shared counts of two rows allow 100 * intersection >= 75 * union."""
-    return f"{100 + LEAST_PERCENT} * least({a}.shared, {b}.shared) >= {LEAST_PERCENT} * ({a}.n + {b}.n)"
+def _likely(pairs: DataFrame, nodes: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose estimated similarity is ``least`` or more."""
+    marks = nodes.select("node", "registers", "n")
+    for side in ("a", "b"):
+        pairs = pairs.join(marks.select(F.col("node").alias(side), F.col("registers").alias(f"r{side}"), F.col("n").alias(f"n{side}")), side)
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch.column(0)):
+                continue
+            first, second = (np.stack([np.frombuffer(r, dtype=np.uint16) for r in batch.column(k).to_pylist()]) for k in (2, 3))
+            sizes = [batch.column(k).to_numpy().astype(np.float64) for k in (4, 5)]
+            keep = joint_estimate(first, second, *sizes) >= least
+            yield pa.RecordBatch.from_arrays([pa.array(batch.column(k).to_numpy()[keep]) for k in (0, 1)], schema=_PAIRS)
 
-def _apart(a: str, b: str) -> str:
-    """SQL: a lower bound of the symmetric difference, from bitmaps against the same first node."""
-    return " + ".join(f"bit_count({a}.d{k} ^ {b}.d{k})" for k in range(_BITS))
+    return pairs.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are linked by their full sets."""
     left = pairs.join(sets.select(F.col("node").alias("a"), F.col("found").alias("left")), "a")
     both = left.join(sets.select(F.col("node").alias("b"), F.col("found").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(_compare, "a long, b long, linked boolean, " + ", ".join(f"d{k} long" for k in range(_BITS)))
-
-
-def _rest(members: DataFrame, stars: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of different components below one first node that the bounds allow and no star has
-    compared.  Nodes of one bucket have the same first node, so rows meet by it, once for all of
-    its buckets."""
-    below = members.select("first", "node", "n", "shared").distinct()
-    with_star = below.join(stars.select(F.col("a").alias("first"), F.col("b").alias("node"), *[f"d{k}" for k in range(_BITS)]), ["first", "node"], "left")
-    filled = [F.when(F.col("node") == F.col("first"), F.lit(0).cast("long")).otherwise(F.col(f"d{k}")).alias(f"d{k}") for k in range(_BITS)]
-    named = with_star.join(labels, "node", "left").select("first", "node", "n", "shared", F.coalesce("component", "node").alias("component"), *filled)
-    named = settle(named, "named")
-    counts = named.groupBy("first", "component").agg(F.count("*").alias("size"))
-    main = counts.groupBy("first").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1").select("first", "main")
-    open_rows = settle(named.join(settle(main, "main"), "first"), "open")
-    x, y = open_rows.where("component <> main and node <> first").alias("x"), open_rows.where("node <> first").alias("y")
-    differ = "x.first = y.first and x.component <> y.component and (y.component = y.main or x.node < y.node)"
-    near = f"coalesce({100 + LEAST_PERCENT} * ({_apart('x', 'y')}) <= {100 - LEAST_PERCENT} * (x.n + y.n), true)"
-    return x.join(y, F.expr(f"{differ} and {_bound('x', 'y')} and {near}")).selectExpr("least(x.node, y.node) as a", "greatest(x.node, y.node) as b").distinct()
+    found = both.select("a", "b", "left", "right").mapInArrow(_compare, "a long, b long, linked boolean")
+    return settle(found.where("linked").select("a", "b").distinct(), "linked")
+
+
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows with the component of their node, which is the node itself if nothing is linked with it."""
+    return rows.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _second_leaders(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """In each bucket of several components, the pairs of a node, drawn by hash, with those of other components."""
+    named = settle(_named(members.select("key", "node"), labels), "buckets")
+    turn = F.xxhash64("key", "node")
+    leaders = named.groupBy("key").agg(F.min_by(F.struct("node", "component"), turn).alias("leader"), F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    met = named.join(settle(leaders.select("key", "leader"), "leaders"), "key").where("component <> leader.component")
+    return met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
+
+
+#: Bytes of odd sketches that a block holds, about, and the least and most places of a sketch.
+BLOCK_BYTES, LEAST_PLACES, MOST_PLACES = 1 << 20, 1 << 10, 1 << 20
+
+
+def odd_sketch(found: np.ndarray, places: int) -> bytes:
+    """Whether each of the places (a power of two) has an odd number of the elements."""
+    return np.packbits(np.bincount((found & np.uint64(places - 1)).view(np.int64), minlength=places).astype(np.uint8) & 1).tobytes()
+
+
+_SKETCHED = pa.schema([("first", pa.int64()), ("block", pa.int64()), ("node", pa.int64()), ("n", pa.int64()), ("shared", pa.int64()), ("component", pa.int64()), ("inside", pa.bool_()), ("odd", pa.binary())])
+
+
+def _odd_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        *kept, places, found = batch.columns
+        odd = [odd_sketch(found[k].values.to_numpy().view(np.uint64), p) for k, p in enumerate(places.to_pylist())]
+        yield pa.RecordBatch.from_arrays([*kept, pa.array(odd, type=pa.binary())], schema=_SKETCHED)
+
+
+def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of two blocks below one first node, the pairs of different components, not both of the main one,
+    whose shared counts and odd sketches allow a link."""
+
+    def side(column: pa.Array, k: int) -> tuple:
+        *numbers, odd = column[k].values.flatten()
+        sketches = np.frombuffer(b"".join(odd.to_pylist()), dtype=np.uint64).reshape(len(odd), -1)
+        return *[x.to_numpy(zero_copy_only=False) for x in numbers], sketches
+
+    for batch in batches:
+        for k in range(batch.num_rows):
+            same = batch.column(0)[k].as_py()
+            (node, n, shared, component, inside, odd), (others, m, their, parts, within, sketches) = (side(batch.column(c), k) for c in (1, 2))
+            for i in range(len(node)):
+                fine = (parts != component[i]) & ~(within & inside[i])
+                fine &= (100 + LEAST_PERCENT) * np.minimum(shared[i], their) >= LEAST_PERCENT * (n[i] + m)
+                if same:
+                    fine[: i + 1] = False
+                at = np.flatnonzero(fine)
+                apart = np.bitwise_count(sketches[at] ^ odd[i]).sum(axis=1, dtype=np.int64)
+                at = at[(100 + LEAST_PERCENT) * apart <= (100 - LEAST_PERCENT) * (n[i] + m[at])]
+                if len(at):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], others[at])), pa.array(np.maximum(node[i], others[at]))], schema=_PAIRS)
+
+
+def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs of different components below one first node that the bounds allow.  Nodes of one bucket
+    have the same first node, so blocks meet by it, once for all of its buckets."""
+    named = settle(_named(members.select("first", "node", "n", "shared").distinct(), labels), "named")
+    counts = named.groupBy("first", "component").agg(F.count("*").alias("size"), F.max("n").alias("most"))
+    groups = counts.groupBy("first").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"), F.sum("size").alias("size"), F.max("most").alias("most"))
+    widest = F.expr(f"64D * {100 - LEAST_PERCENT} / {100 + LEAST_PERCENT} * most")  # 32 times the difference that a link of two such sets allows
+    places = F.least(F.lit(MOST_PLACES), F.greatest(F.lit(LEAST_PLACES), F.pow(F.lit(2.0), F.ceil(F.log2(widest))))).cast("long")
+    groups = groups.where("parts > 1").withColumn("places", places).withColumn("blocks", F.expr(f"cast(ceil(size * places / {8 * BLOCK_BYTES}D) as bigint)"))
+    rows = named.join(settle(groups.select("first", "main", "places", "blocks"), "groups"), "first")
+    rows = settle(rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("inside", F.expr("component = main")), "open")
+    met = rows.join(sets.select("node", "found"), "node").select("first", "block", "node", "n", "shared", "component", "inside", "places", "found")
+    odd = met.mapInArrow(_odd_sketches, "first long, block long, node long, n long, shared long, component long, inside boolean, odd binary").dropDuplicates(["first", "node"])
+    packed = F.collect_list(F.struct("node", "n", "shared", "component", "inside", "odd")).alias("rows")
+    blocks = settle(odd.groupBy("first", "block").agg(packed, F.bool_and("inside").alias("inside")), "blocks")
+    x, y = blocks.alias("x"), blocks.alias("y")
+    two = x.join(y, F.expr("x.first = y.first and x.block <= y.block and not (x.inside and y.inside)"))
+    return two.selectExpr("x.block = y.block as same", "x.rows as left", "y.rows as right").mapInArrow(_near, "a long, b long").distinct()
 
 
 def _judged(documents: DataFrame, row: Column) -> DataFrame:
@@ -262,16 +321,16 @@ def _judged(documents: DataFrame, row: Column) -> DataFrame:
     order = F.struct((F.col("n") - F.col("shared")) / F.col("n"), "node")
     firsts = rows.groupBy("key").agg(F.min_by("node", order).alias("first"), F.count("*").alias("size")).where("size > 1")
     members = settle(rows.join(settle(firsts.select("key", "first"), "firsts"), "key"), "members")
-    star_pairs = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    stars = settle(_verified(star_pairs, sets).dropDuplicates(["a", "b"]), "stars")
-    links = stars.where("linked").select("a", "b")
-    pairs = settle(_rest(members, stars, components(links)), "pairs")
-    marks = nodes.select("node", "registers", "n")
-    for side in ("a", "b"):
-        pairs = pairs.join(marks.select(F.col("node").alias(side), F.col("registers").alias(f"r{side}"), F.col("n").alias(f"n{side}")), side)
-    likely = pairs.select("a", "b", "ra", "rb", "na", "nb").mapInArrow(_likely, "a long, b long")
-    more = settle(_verified(likely, sets).where("linked").select("a", "b"), "more")
-    labels = components(links.unionByName(more))
+    stars = members.where("node <> first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
+    links = _linked(_likely(stars, nodes, CLOSE), sets)
+    labels = components(links)
+    more = _linked(_likely(_second_leaders(members, labels), nodes, CLOSE), sets)
+    if not more.isEmpty():
+        links = links.unionByName(more)
+        labels = components(links)
+    rest = _linked(_likely(settle(_rest(members, labels, sets), "pairs"), nodes, LEAST_PERCENT / 100 - MARGIN), sets)
+    if not rest.isEmpty():
+        labels = components(links.unionByName(rest))
     smallest = nodes.select("node", "least").join(labels, "node").groupBy("component").agg(F.min("least").alias("of_all"))
     known = nodes.select("node", "print", "least").join(labels, "node", "left").join(smallest, "component", "left")
     known = known.select("print", F.coalesce("of_all", "least").alias("least"))
