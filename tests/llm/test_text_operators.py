@@ -35,18 +35,18 @@ def brute_hits(text, items, n=13):
     return len(words), len(hit), tuple(sorted(owners)), bool(hit) and 20 * len(hit) >= len(words)
 
 
-@pytest.mark.parametrize("most", [100_000, 3])
+@pytest.mark.parametrize("most", [100_000, 3, 1])
 def test_contamination(spark, most):
-    """One block of windows, and many."""
+    """One broadcast set of windows, and a join; rows are judged alike, and items without an id are windows."""
     items = [(10, prose(2, 70)), (9, "One-TWO three"), (8, ""), (7, None), (6, prose(6, 40)), (6, prose(6, 40)), (5, "one"), (None, prose(1, 20))]
     bench = spark.createDataFrame([(i, t, 0) for i, t in items], "item_id long, text string, row int")
     got = decontaminate.contamination(frame(spark), bench, most=most).collect()
-    want = [(r[0], *brute_hits(r[1], [x for x in items if x[0] is not None])) for r in awkward()]
+    want = [(r[0], *brute_hits(r[1], items)) for r in awkward()]
     kept = decontaminate.clean_documents(frame(spark), bench, most=most)
-    bad = {w[0] for w in want if w[-1]}
     assert kept.columns == frame(spark).columns
-    assert sorted((r["doc_id"] for r in kept.where("doc_id is not null").collect())) == sorted(w[0] for w in want if w[0] is not None and not (w[-1] if most > 3 else w[0] in bad))
-    assert sorted(((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), r["contaminated"]) for r in got), key=str) == sorted(want, key=str)
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted((w[0] for w in want if not w[-1]), key=str)
+    found = [(r["doc_id"], r["n_words"], r["n_hit"], tuple(sorted(map(str, r["items"]))), r["contaminated"]) for r in got]
+    assert sorted(found, key=str) == sorted(want, key=str) and all(None not in r["items"][:-1] for r in got)
 
 
 @pytest.mark.parametrize("most", [100_000, 60])
@@ -59,15 +59,18 @@ def test_clean_documents_judges_each_row(spark, most):
 
 
 @pytest.mark.parametrize("most", [100_000, 40])
-def test_windows_are_cut_into_bounded_blocks(spark, most):
-    """One item is longer than a block, and items without an id are windows too, as in the SQL."""
+def test_long_and_nameless_items(spark, most):
+    """One item has more windows than a set holds, and items without an id are windows too, as in the SQL."""
     items = [(1, prose(2, 110)), (1, prose(2, 110)), (2, prose(2, 30)), (None, prose(3, 40)), (None, "one two"), (3, None), (4, "")]
     bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
     rows = [(7, prose(2, 110)), (7, prose(3, 40)), (None, "x one two"), (8, prose(9, 90)), (9, prose(2, 110) + " " + prose(3, 40))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    parts = decontaminate.Blocks(bench, 13, most)
-    sizes = [r["count"] for r in parts.table.groupBy("block").count().collect()]
-    assert max(sizes) <= most and sum(sizes) == 98 + 18 + 28 + 1 and len(parts.numbers) == (1 if most > 1000 else 4)
+    found = decontaminate.cut_windows(bench, 13)
+    assert found.count() == 98 + 18 + 28 + 1
+    assert (decontaminate._in_one_set(found, 13, most) is None) == (most < 1000)
+    bloom, lengths = decontaminate.window_filter(found)
+    hashes = np.array([r["hash"] for r in found.collect()]).view(np.uint64)
+    assert lengths == [2, 13] and decontaminate.passes(bloom, hashes).all() and decontaminate.passes(bloom, hashes + np.uint64(1)).mean() < 0.1
     got = decontaminate.contamination(docs, bench, most=most).collect()
     found = sorted(((r["doc_id"], r["n_hit"], r["items"], r["contaminated"]) for r in got), key=str)
     assert found == sorted([(7, 110, ["1", "2"], True), (7, 40, [None], True), (None, 2, [None], True), (8, 0, [], False), (9, 150, ["1", "2", None], True)], key=str)

@@ -1,11 +1,12 @@
 """Benchmark decontamination: a broadcast hash set of the benchmark's windows.
 
 The benchmark is cut into windows of 13 normalised words (an item of fewer words is one window).
-Spark cuts them, drops repeats, numbers them by a two-level rank and writes them to the shared
-folder.  They are read back and broadcast in blocks of at most ``MAX_WINDOWS``, one at a time, so what
-the driver and the executors hold has a fixed bound however large the benchmark is; every block scans
-all documents and writes its hits before the next one is read, and the hits of a document are merged.
-A hash that hits is verified on the words themselves.
+Spark cuts them, drops repeats and writes them to the shared folder.  Up to ``MAX_WINDOWS`` of them and
+``MAX_BYTES`` of their words are read back and broadcast as one hash set, and the tasks that scan the
+texts verify each hit on the words.  A larger benchmark is never held by the driver or a task: what is
+broadcast is a Bloom filter of at most ``MOST_BITS`` over the windows' hashes; one scan finds the places that
+pass, and these are joined with the windows, by hash and then by the words themselves.  Both ways give the
+same results.
 
 Defined results: a null or wordless text has no words and no hits; an item with a null or wordless
 text is no window; an item with a null id is one, and all such items are one null owner, the last in
@@ -16,11 +17,10 @@ empty results or no hits; extra columns of either table are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast, TaskContext
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +28,12 @@ from tidewell.llm.common import binaries, cheap_hashes, chunked, numbered_rows,
 from tidewell.sources.settled import settle
 
 N_WORDS = 13
-#: Windows in one broadcast block: about 400 bytes each with their words, so 40 MB in a worker.
+#: Windows in a broadcast hash set: about 400 bytes each with their words, so 40 MB in a worker.
 MAX_WINDOWS = 100_000
-#: Bytes of words in one broadcast block.
+#: Bytes of words in a broadcast hash set.
 MAX_BYTES = 32 << 20
+#: The Bloom filter of a larger benchmark: bits a window, as a power of two, up to 16 MB in all, and probes.
+WINDOW_BITS, MOST_BITS, PROBES = 32, 1 << 27, 3
 #: Share of a document's words that must be hit: one in this many.
 CONTAMINATED_ONE_IN = 20
 #: A-Z become a-z; ASCII characters other than letters and digits separate words (fixed values).
@@ -87,98 +89,123 @@ def _hits(words: list[bytes], filters: dict, items: dict) -> tuple[list[tuple[in
     return ranges, owners
 
 
-_SCHEMA = "row long, doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
-_ARROW = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
+_SCHEMA = "doc_id long, n_words long, starts array<int>, ends array<int>, items array<string>"
+_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))])
 
 
-def scan(documents: DataFrame, shared: Broadcast, row: str | None = None) -> DataFrame:
-    """The hits of one block of windows in every document."""
+def scan(documents: DataFrame, shared: Broadcast) -> DataFrame:
+    """The hits of a hash set of windows in every document."""
     small_batches(documents.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, owned = shared.value.unpacked(), shared.value.items
 
         def rows(batch: pa.RecordBatch):
-            for at, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binaries(batch.column(2)), strict=True):
+            for doc_id, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
                 words = words_of(text)
                 ranges, owners = _hits(words, filters, owned)
-                yield at, doc_id, len(words), [a for a, _ in ranges], [b for _, b in ranges], sorted(owners, key=lambda x: (x is None, x or ""))
+                yield doc_id, len(words), [a for a, _ in ranges], [b for _, b in ranges], sorted(owners, key=lambda x: (x is None, x or ""))
 
         for batch in batches:
             yield from chunked(rows(batch), _ARROW)
 
-    at = F.col(row) if row else F.lit(0).cast("long")
-    return documents.select(at.alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SCHEMA)
-
-
-_CUT = pa.schema([("item", pa.string()), ("words", pa.binary())])
-_PLACED = pa.schema([*_CUT, ("part", pa.int32()), ("place", pa.int64()), ("ahead", pa.int64())])
-
-
-def _place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window's task, its place there and the bytes of the windows ahead of it there."""
-    part, place, ahead = TaskContext.get().partitionId(), 0, 0
-
-    def rows(batch: pa.RecordBatch):
-        nonlocal place, ahead
-        for item, words in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            yield item, words, part, place, ahead
-            place, ahead = place + 1, ahead + len(words)
-
-    for batch in batches:
-        yield from chunked(rows(batch), _PLACED)
-
-
-class Blocks:
-    """The distinct windows of a benchmark with their items, written in blocks of at most ``most``
-    windows and MAX_BYTES (one window at least); an item's windows may be in several blocks."""
-
-    def __init__(self, benchmark: DataFrame, n: int, most: int):
-        self.spark, self.n = benchmark.sparkSession, n
-        small_batches(self.spark)
-
-        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def rows(batch: pa.RecordBatch):
-                for item, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
-                    words = words_of(text)
-                    for i in range(max(1, len(words) - n + 1) if words else 0):
-                        yield item, b" ".join(words[i : i + n])
-
-            for batch in batches:
-                yield from chunked(rows(batch), _CUT)
-
-        windows_of = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string")).mapInArrow(cut, "item string, words binary")
-        self.table = settle(windows_of.distinct().mapInArrow(_place, "item string, words binary, part int, place long, ahead long"), "windows")
-        parts = self.table.groupBy("part").agg(F.count("*").alias("n"), F.sum(F.length("words")).alias("bytes")).orderBy("part").collect()
-        if sum(r["n"] for r in parts) <= most and sum(r["bytes"] for r in parts) <= MAX_BYTES:
-            self.numbers = [0]
-            self.table = self.table.withColumn("block", F.lit(0).cast("long"))
-            return
-        before, rank, size = [], 0, 0
-        for r in parts:
-            before.append((r["part"], rank, size))
-            rank, size = rank + r["n"], size + r["bytes"]
-        starts = F.broadcast(self.spark.createDataFrame(before, "part int, rank long, size long"))
-        block = F.expr(f"(rank + place) div {most} + (size + ahead) div {MAX_BYTES}")  # both only grow, so each bounds a block
-        self.table = settle(self.table.join(starts, "part").select("item", "words", block.alias("block")), "blocks")
-        self.numbers = [r["block"] for r in self.table.select("block").distinct().orderBy("block").collect()]
-
-    def broadcast(self, number: int) -> Broadcast:
-        rows = self.table.where(F.col("block") == number).select("item", "words").collect()
-        return self.spark.sparkContext.broadcast(WindowSet([(r["item"], bytes(r["words"]).split(b" ")) for r in rows], self.n))
-
-
-def _scanned(numbered: DataFrame, row: str, parts: Blocks) -> DataFrame:
-    """The hits of several blocks: one scan a block, each written before the next block is read; rows
-    meet again by their row id, and so do their ranges."""
-    scans = []
-    for number in parts.numbers:
-        shared = parts.broadcast(number)
-        found = scan(numbered, shared, row)
-        scans.append(settle(found.where("size(starts) > 0") if scans else found, "hits"))
-        shared.destroy()
-    return reduce(DataFrame.unionByName, scans).groupBy("row", "doc_id", "n_words").agg(
-        F.flatten(F.collect_list("starts")).alias("starts"), F.flatten(F.collect_list("ends")).alias("ends"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    return documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, _SCHEMA)
+
+
+_CUT = pa.schema([("item", pa.string()), ("words", pa.binary()), ("length", pa.int32()), ("hash", pa.int64())])
+
+
+def cut_windows(benchmark: DataFrame, n: int) -> DataFrame:
+    """The distinct windows of a benchmark: item, words (joined by a space), their number and hash."""
+    small_batches(benchmark.sparkSession)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(batch: pa.RecordBatch):
+            for item, text in zip(batch.column(0).to_pylist(), binaries(batch.column(1)), strict=True):
+                words = words_of(text)
+                length = min(n, len(words))
+                hashes = windows(cheap_hashes(words), length).view(np.int64).tolist() if words else []
+                for i, h in enumerate(hashes):
+                    yield item, b" ".join(words[i : i + length]), length, h
+
+        for batch in batches:
+            yield from chunked(rows(batch), _CUT)
+
+    texts = benchmark.select(F.col("item_id").cast("string"), F.col("text").cast("string"))
+    return settle(texts.mapInArrow(cut, "item string, words binary, length int, hash long").distinct(), "windows")
+
+
+def _in_one_set(found: DataFrame, n: int, most: int) -> Broadcast | None:
+    """The windows as a broadcast hash set, if they are few and small enough."""
+    size = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("words")), F.lit(0)).alias("bytes")).first()
+    if size["n"] > most or size["bytes"] > MAX_BYTES:
+        return None
+    rows = found.select("item", "words").collect()
+    return found.sparkSession.sparkContext.broadcast(WindowSet([(r["item"], bytes(r["words"]).split(b" ")) for r in rows], n))
+
+
+def window_filter(found: DataFrame) -> tuple[np.ndarray, list[int]]:
+    """A Bloom filter of the windows' hashes, in words of 64 bits (a power of two), and the windows' lengths."""
+    lengths = {r["length"]: r["n"] for r in found.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    bits = min(MOST_BITS, max(1 << 10, 1 << (WINDOW_BITS * sum(lengths.values()) - 1).bit_length()))
+    step = f"((shiftrightunsigned(hash, 32) | 1) & {bits - 1})"
+    slots = found.select(F.explode(F.array(*[F.expr(f"((hash & {bits - 1}) + {k} * {step}) & {bits - 1}") for k in range(PROBES)])).alias("slot"))
+    words = slots.groupBy(F.expr("slot div 64").alias("at")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 64 as int)))").alias("bits")).toArrow()  # at most MOST_BITS / 64 rows
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(np.uint64), sorted(lengths)
+
+
+def passes(bloom: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    last = np.uint64(64 * len(bloom) - 1)
+    step = ((hashes >> np.uint64(32)) | np.uint64(1)) & last
+    out = np.ones(len(hashes), dtype=bool)
+    for k in range(PROBES):
+        slot = ((hashes & last) + np.uint64(k) * step) & last
+        out &= (bloom[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
+    return out
+
+
+_PLACE = pa.struct([("hash", pa.int64()), ("at", pa.int32()), ("length", pa.int32()), ("words", pa.binary())])
+_PROBED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("places", pa.list_(_PLACE))])
+
+
+def _joined(numbered: DataFrame, row: str, found: DataFrame) -> DataFrame:
+    """The hits of more windows than a hash set holds, as scan() has them: one scan, then a join of the
+    places that pass the filter with the windows.  A hot window's places are many rows of one side of a
+    join, which Spark splits."""
+    spark = numbered.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(window_filter(found))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom, lengths = shared.value
+
+        def places(words: list[bytes]) -> Iterator[dict]:
+            hashes = cheap_hashes(words)
+            for length in lengths:
+                at = windows(hashes, length)
+                for i in np.flatnonzero(passes(bloom, at)).tolist():
+                    yield {"hash": int(at[i : i + 1].view(np.int64)[0]), "at": i, "length": length, "words": b" ".join(words[i : i + length])}
+
+        def rows(batch: pa.RecordBatch):
+            for at, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binaries(batch.column(2)), strict=True):
+                words = words_of(text)
+                yield at, doc_id, len(words), list(places(words))
+
+        for batch in batches:
+            yield from chunked(rows(batch), _PROBED, 256)
+
+    texts = numbered.select(F.col(row).alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    probed = settle(texts.mapInArrow(run, "row long, doc_id long, n_words long, places array<struct<hash:long,at:int,length:int,words:binary>>"), "probed")
+    asked = probed.select("row", F.explode("places").alias("p")).select("row", "p.*")
+    hits = asked.join(found.select("item", F.col("hash").alias("_hash"), F.col("words").alias("_words")), (F.col("hash") == F.col("_hash")) & (F.col("words") == F.col("_words")))
+    ranges = F.collect_set(F.struct("at", (F.col("at") + F.col("length")).alias("end")))
+    nameless = F.when(F.bool_or(F.col("item").isNull()), F.array(F.lit(None).cast("string"))).otherwise(F.array().cast("array<string>"))
+    per = hits.groupBy("row").agg(ranges.alias("ranges"), F.concat(F.array_sort(F.collect_set("item")), nameless).alias("items"))
+    none = F.array().cast("array<int>")
+    return probed.select("row", "doc_id", "n_words").join(per, "row", "left").select(
+        "row", "doc_id", "n_words", F.coalesce("ranges.at", none).alias("starts"), F.coalesce("ranges.end", none).alias("ends"), F.coalesce("items", F.array().cast("array<string>")).alias("items")
     )
 
 
@@ -195,26 +222,26 @@ def _decided(found: DataFrame) -> DataFrame:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, hit ranges (starts, ends), items, contaminated."""
-    parts = Blocks(benchmark, n, most)
-    if len(parts.numbers) == 1:
-        found = scan(documents, parts.broadcast(0))
+    found = cut_windows(benchmark, n)
+    if shared := _in_one_set(found, n, most):
+        hits = scan(documents, shared)
     else:
         numbered, row = numbered_rows(documents.select("doc_id", "text"))
-        found = _scanned(numbered, row, parts)
-    return _decided(found).select("doc_id", "n_words", "n_hit", "starts", "ends", "items", "contaminated")
+        hits = _joined(numbered, row, found)
+    return _decided(hits).select("doc_id", "n_words", "n_hit", "starts", "ends", "items", "contaminated")
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, n: int = N_WORDS, most: int = MAX_WINDOWS) -> DataFrame:
     """The documents that are not contaminated, with their own columns; each row is judged by itself.
-    With one block of windows, the tasks that scan the texts also filter the rows, and nothing is
-    shuffled; with more, a row's hits are known only when the blocks' meet, and the decision is joined
-    back by a row id."""
-    parts = Blocks(benchmark, n, most)
-    if len(parts.numbers) > 1:
+    With one hash set, the tasks that scan the texts also filter the rows, and nothing is shuffled;
+    else a row's hits are known only after the join, and the decision is joined back by a row id."""
+    found = cut_windows(benchmark, n)
+    shared = _in_one_set(found, n, most)
+    if shared is None:
         numbered, row = numbered_rows(documents)
-        bad = _decided(_scanned(numbered, row, parts)).where("contaminated").select(F.col("row").alias("_bad"))
+        bad = _decided(_joined(numbered, row, found)).where("contaminated").select(F.col("row").alias("_bad"))
         return numbered.join(bad, numbered[row] == bad["_bad"], "left_anti").drop(row)
-    at, shared = documents.columns.index("text"), parts.broadcast(0)
+    at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filters, owned = shared.value.unpacked(), shared.value.items
