@@ -80,3 +80,23 @@ def test_mixed_documents_keep_columns(spark):
     out = mixing.mixed_documents(frame(spark))
     assert {"doc_id", "text", "node", "taken"} <= set(out.columns) and len(set(out.columns)) == len(out.columns)
     assert out.where("taken = 0").count() == 0
+
+
+def test_one_source_over_many_levels(spark, monkeypatch):
+    """Tiny buckets, chunks and fans give four levels of sums, and the same words as a plan of one level."""
+    rows = [(i, prose(i, 1 + i % 60), None, "only", 0, 0, 0, "", "", "") for i in range(700)]
+    rows += [(1000 + i, prose(i, 30), None, "b", 0, 0, 0, "", "", "") for i in range(40)]
+    docs = frame(spark, rows)
+    want = sorted(map(tuple, mixing.mix(docs).collect()))
+    for name, value in {"_CHUNK": 4, "_BUCKET_ROWS": 1, "_FAN": 4}.items():
+        monkeypatch.setattr(mixing, name, value)
+    got = mixing.mix(docs).collect()
+    check(rows, got)
+    assert sorted(map(tuple, got)) == want
+
+
+def test_offsets(spark):
+    rows = [(s, p, 1 + (7 * p + s) % 5) for s in (0, 3) for p in range(0, 1000, 3)]
+    sums = spark.createDataFrame(rows, "sid long, place long, n long")
+    got = {(r["sid"], r["place"]): r["offset"] for r in mixing.offsets(sums, "place", 999).collect()}
+    assert got == {(s, p): sum(n for t, q, n in rows if t == s and q < p) for s, p, _ in rows}

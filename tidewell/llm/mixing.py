@@ -7,8 +7,10 @@ the slots, so every stretch of the schedule holds the sources near their weights
 ranked within their source; rank r takes block r modulo the number of blocks, so a source is read
 again once it is used up.  A source's last slot is cut so that its words equal its target.
 
-Ranks and word offsets are prefix sums in two levels (per chunk or hash prefix, then inside), so
-no task holds a source's rows, however large its share.  All work is SQL functions in the JVM.
+Ranks and word offsets are prefix sums over a tree: inside a chunk or hash bucket, then over ``_FAN``
+neighbours at a time, level by level.  So no task holds a source's rows, nor its chunks or buckets,
+however large its share.  The plan alone, one row of a few numbers a source, is made in one task.  All
+work is SQL functions in the JVM.
 
 Defined results: null texts have size 0 and are never taken; null is a source of its own, the
 last; repeated rows get a row each; rows that share id, source and size are interchangeable; an
@@ -29,7 +31,7 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 #: 1 / phi and frac(2 ** 20 / phi): two parts keep the points exact for long schedules.
 _LOW, _HIGH, _PART = 0.6180339887498949, 0.8025870370864868, 1 << 20
-_CHUNK, _BUCKET_ROWS, _GUIDE = 4096, 256, 1024
+_CHUNK, _BUCKET_ROWS, _FAN, _GUIDE = 4096, 256, 256, 1024
 
 
 def n_words(text: Column) -> Column:
@@ -38,6 +40,19 @@ def n_words(text: Column) -> Column:
     return F.when(spaced == "", 0).otherwise(F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
+def offsets(sums: DataFrame, place: str, last: int) -> DataFrame:
+    """sid, place and offset: what the places (0 to last) of the same sid before this one add up to in
+    column n.  Places meet in windows of _FAN neighbours, and the sums of these in the next level's."""
+    parent = f"{place}_above"
+    inside = F.sum("n").over(Window.partitionBy("sid", parent).orderBy(place)) - F.col("n")
+    local = sums.withColumn(parent, F.expr(f"{place} div {_FAN}")).withColumn("offset", inside)
+    if last < _FAN:
+        return local.select("sid", place, "offset")
+    above = offsets(local.groupBy("sid", parent).agg(F.sum("n").alias("n")), parent, last // _FAN)
+    joined = local.join(above.withColumnRenamed("offset", "before"), ["sid", parent])
+    return joined.select("sid", place, (F.col("offset") + F.col("before")).alias("offset"))
+
+
 def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, block: int = BLOCK_WORDS) -> DataFrame:
     """Per source: its number, size, target, quota, block length and slots; one row a source.
 
@@ -85,9 +100,8 @@ def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
     points = spark.range(n_slots).select(F.col("id").alias("slot"), point.alias("point")).withColumn("cell", F.floor(F.col("point") * _GUIDE))
     dealt = points.join(guide, "cell").where("point >= low and (point < high)").select("slot", "sid", F.expr(f"slot div {_CHUNK}").alias("chunk"))
     counts = dealt.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
-    offsets = counts.select("sid", "chunk", (F.sum("n").over(Window.partitionBy("sid").orderBy("chunk")) - F.col("n")).alias("offset"))
     local = F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot")) - 1
-    ranked = dealt.withColumn("local", local).join(offsets, ["sid", "chunk"]).select("slot", "sid", (F.col("local") + F.col("offset")).alias("rank"))
+    ranked = dealt.withColumn("local", local).join(offsets(counts, "chunk", n_slots // _CHUNK), ["sid", "chunk"]).select("slot", "sid", (F.col("local") + F.col("offset")).alias("rank"))
     # the points give each source its number of slots but for a few: those over are left out, those missing follow at the end
     missing = sources.join(counts.groupBy("sid").agg(F.sum("n").alias("n")), "sid", "left").withColumn("n", F.coalesce("n", F.lit(0))).where("n < n_slots")
     tail = missing.select(F.col("sid"), F.explode(F.expr("sequence(n, n_slots - 1)")).alias("rank")).select((F.col("rank") + F.lit(n_slots)).alias("slot"), "sid", "rank")
@@ -118,11 +132,10 @@ def stream(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
         digits += 1
     turn = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     known = sized.where("size > 0").join(sources.select(F.col("source").alias("_source"), "sid", "block_words"), F.col("source").eqNullSafe(F.col("_source")))
-    known = known.select("row", "doc_id", "size", "sid", "block_words", turn.alias("turn")).withColumn("bucket", F.substring("turn", 1, digits))
+    known = known.select("row", "doc_id", "size", "sid", "block_words", turn.alias("turn")).withColumn("bucket", F.conv(F.substring("turn", 1, digits), 16, 10).cast("long"))
     sums = known.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
-    offsets = sums.select("sid", "bucket", (F.sum("n").over(Window.partitionBy("sid").orderBy("bucket")) - F.col("n")).alias("offset"))
     running = F.sum("size").over(Window.partitionBy("sid", "bucket").orderBy("turn", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1))
-    placed = known.withColumn("local", F.coalesce(running, F.lit(0))).join(offsets, ["sid", "bucket"]).withColumn("start", F.col("local") + F.col("offset"))
+    placed = known.withColumn("local", F.coalesce(running, F.lit(0))).join(offsets(sums, "bucket", 16**digits - 1), ["sid", "bucket"]).withColumn("start", F.col("local") + F.col("offset"))
     pieces = placed.withColumn("block", F.explode(F.expr("sequence(start div block_words, (start + size - 1) div block_words)")))
     mixed = schedule(sources, n_slots).join(pieces.select("sid", "block", "row", "start", "size"), ["sid", "block"])
     mixed = mixed.selectExpr("slot", "row", "start as place", "greatest(first, start) - start as word_from", "least(last, start + size) - start as word_to").where("word_to > word_from")
