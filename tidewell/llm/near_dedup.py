@@ -232,8 +232,8 @@ def _second_leaders(members: DataFrame, labels: DataFrame) -> DataFrame:
     return met.select(F.least("node", "leader.node").alias("a"), F.greatest("node", "leader.node").alias("b")).distinct()
 
 
-#: Bytes of odd sketches that a block holds, about, and the least and most places of a sketch.
-BLOCK_BYTES, LEAST_PLACES, MOST_PLACES = 1 << 20, 1 << 10, 1 << 20
+#: Bytes of odd sketches and rows that a block holds, about, and the least and most places of a sketch.
+BLOCK_BYTES, BLOCK_ROWS, LEAST_PLACES, MOST_PLACES = 1 << 20, 128, 1 << 10, 1 << 20
 
 
 def odd_sketch(found: np.ndarray, places: int) -> bytes:
@@ -284,7 +284,7 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     groups = counts.groupBy("first").agg(F.max_by("component", F.struct("size", "component")).alias("main"), F.count("*").alias("parts"), F.sum("size").alias("size"), F.max("most").alias("most"))
     widest = F.expr(f"64D * {100 - LEAST_PERCENT} / {100 + LEAST_PERCENT} * most")  # 32 times the difference that a link of two such sets allows
     places = F.least(F.lit(MOST_PLACES), F.greatest(F.lit(LEAST_PLACES), F.pow(F.lit(2.0), F.ceil(F.log2(widest))))).cast("long")
-    groups = groups.where("parts > 1").withColumn("places", places).withColumn("blocks", F.expr(f"cast(ceil(size * places / {8 * BLOCK_BYTES}D) as bigint)"))
+    groups = groups.where("parts > 1").withColumn("places", places).withColumn("blocks", F.expr(f"cast(ceil(greatest(size * places / {8 * BLOCK_BYTES}D, size / {BLOCK_ROWS}D)) as bigint)"))
     rows = named.join(settle(groups.select("first", "main", "places", "blocks"), "groups"), "first")
     rows = settle(rows.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")).withColumn("inside", F.expr("component = main")), "open")
     met = rows.join(sets.select("node", "found"), "node").select("first", "block", "node", "n", "shared", "component", "inside", "places", "found")
