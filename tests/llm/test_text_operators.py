@@ -224,6 +224,7 @@ def test_pii_added_kinds_and_redaction(spark):
         ("BE68 5390 0754 7034 BIC GKCCBEBB", ["BE68 5390 0754 7034"]),
         ("AT611904300234573201 BIC and SE45 5000 0000 0583 9825 7466 BIC X", ["AT611904300234573201", "SE45 5000 0000 0583 9825 7466"]),
         ("ES91 2100 0418 4502 0005 1332 ES91 2100 0418 4502 0005 1332", ["ES91 2100 0418 4502 0005 1332"] * 2),
+        ("AB12 3456 7890 1234 ES91 2100 0418 4502 0005 1332 XES9121000418450200051332", ["ES91 2100 0418 4502 0005 1332"]),
         ("REF AB12 3456 7890 DE89 3704 0044 0532 0130 00 OK", ["DE89 3704 0044 0532 0130 00"]),
         ("NO93 8601 1117 947 BIC, MT84 MALT 0110 0001 2345 MTLC AST0 01S", ["NO93 8601 1117 947", "MT84 MALT 0110 0001 2345 MTLC AST0 01S"]),
         ("ES91 2100 0418 4502 0005 1333 BIC", []),
@@ -237,6 +238,40 @@ def test_account_numbers_before_other_capitals(spark, text, want):
     assert left.count("[IBAN]") == len(want) and not any(w in left for w in want)
 
 
+SCORED = [
+    "call 555-123-4567 or 555-123-4568-1, order 555-123-4569", "my ssn 123-45-6789 and phone x123-45-6789", "order no. ES9121000418450200051332", "bank order ES9121000418450200051332 BIC CAIXESBB",
+    "card 378282246310005 then invoice 378282246310005 and amex order 378282246310005", "+378282246310005 account 378282246310005.", "version 1.2.3.4 server 1.2.3.4", "phone 555-123-4567" + " x 555-123-4568" * 700, "IBAN \n ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332",
+]
+
+
+def test_pii_against_its_sql(spark, tmp_path):
+    """Kinds that need context, words against them, many spans in one text, and all texts of the other tests."""
+    import duckdb
+
+    account_texts = [t for m in test_account_numbers_before_other_capitals.pytestmark for t, _ in m.args[1]]
+    rows = [(i, t) for i, t in enumerate([*PII_TEXTS, *SCORED, *account_texts, *[r[1] for r in awkward()], "é é " * 3000 + "a@b.cd " * 900])]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {tuple(r[c] for c in sorted(r.asDict())) for r in pii.op7(spark, str(tmp_path)).collect()}
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    answer = connection.execute(pii.ORACLE)
+    names = [c[0] for c in answer.description]
+    assert got == {tuple(r[names.index(c)] for c in sorted(names)) for r in answer.fetchall()}
+    scores = {r["doc_id"]: (r["spans"], r["scores"]) for r in pii.op7(spark, str(tmp_path)).collect()}
+    first = len(PII_TEXTS)
+    assert [scores[first + k] for k in range(7)] == [
+        ("local:5:17", "60"), ("taxid:7:18", "60"), ("", ""), ("iban:11:35", "60"), ("account:5:20", "60"), ("phone:0:16,account:25:40", "70,60"), ("ip:8:15,ip:23:30", "30,50")
+    ]
+    assert len(scores[first + 7][0].split(",")) == 1 and len(scores[len(rows) - 1][0].split(",")) == 900
+
+
+def test_redaction_of_many_and_overlapping_spans(spark):
+    text = "日本 " + "a@b.cd é " * 700 + "call +44 555-123-4567 now"
+    docs = spark.createDataFrame([(1, text, 0)], "doc_id long, text string, n_chars long")
+    row = pii.redact(docs).first()
+    assert row["text"] == "日本 " + "[EMAIL] é " * 700 + "call [PHONE] now" and row["n_chars"] == len(row["text"])
+
+
 # HTML.
 
 
