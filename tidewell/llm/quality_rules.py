@@ -1,9 +1,9 @@
 """Quality rules as a bitmask ledger.
 
 One pass over the whole texts measures every document and evaluates every rule once: bit i of
-``fail_bits`` is set where rule i fails.  The ledger (measurements and bits) is the stored
-result.  A policy is a version name with a mask and a limit; applying or comparing policies reads
-the bits alone, never the texts, and ablations are bitwise aggregates over the ledger.
+``fail_bits`` is set where rule i fails.  The ledger (measurements and bits) is stored in the shared
+folder.  A policy is a version name with a mask and a limit; applying or comparing policies reads
+the stored bits alone, never the texts, and ablations are bitwise aggregates over the ledger.
 
 Defined results: a null, empty or wordless text has no words, fails ``too_few_words`` and is not
 kept; a repeated row gets a row of its own; an empty table gives an empty ledger; of the input
@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, chunked, small_batches, table, windows, word_hashes
+from tidewell.sources.settled import settle
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -131,17 +133,24 @@ def ablation(entries: DataFrame, policy: Policy) -> DataFrame:
 
 
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = ledger(table(spark, sf_dir, "documents"))
+    entries = settle(ledger(table(spark, sf_dir, "documents")), "ledger")
     base, production = POLICIES["base"], POLICIES[PRODUCTION]
     return entries.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", *_MEASURES,
         (~keeps(base, F.col("fail_bits"))).alias("base_failed"),
         (keeps(base, F.col("fail_bits")) & keeps(production, F.col("fail_bits"))).alias("kept"),
         "fail_bits",
     )
 
 
-ORACLE = r"""
+def ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ablation of every policy, from one stored ledger."""
+    entries = settle(ledger(table(spark, sf_dir, "documents")), "ledger")
+    each = [ablation(entries, p).select(F.lit(p.version).alias("version"), "rule", "n_fail", "n_fail_alone", "n_kept_without") for p in POLICIES.values()]
+    return reduce(DataFrame.unionByName, each)
+
+
+_LEDGER = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
 win AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS s FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) > 8)),
@@ -150,11 +159,24 @@ rep AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8))
 m AS (SELECT d.r, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
              CAST(len(lines) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
-             length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AS n_letters, length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS n_upper
+             CAST(length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AS BIGINT) AS n_letters, CAST(length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_upper
       FROM d LEFT JOIN rep ON d.r = rep.r),
 b AS (SELECT *, CAST((CASE WHEN n_words < 20 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END)
              + (CASE WHEN word_chars < 2 * n_words THEN 4 ELSE 0 END) + (CASE WHEN word_chars > 25 * n_words THEN 8 ELSE 0 END)
              + (CASE WHEN 10 * n_symbols > 3 * n_words THEN 16 ELSE 0 END) + (CASE WHEN n_lines > 3 AND 10 * n_dup_lines > 5 * n_lines THEN 32 ELSE 0 END)
              + (CASE WHEN n_letters > 0 AND 10 * n_upper > 5 * n_letters THEN 64 ELSE 0 END) AS BIGINT) AS fail_bits FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b
 """
+ORACLE = f"""{_LEDGER}SELECT doc_id, {', '.join(_MEASURES)}, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits FROM b"""
+
+
+def _ablation_sql(policy: Policy) -> str:
+    """Each rule of a policy against its documents, one by one, with the bits spelled out."""
+    used, fatal, counted = mask(policy.fatal + policy.counted), mask(policy.fatal), mask(policy.counted)
+    kept = f"x & {fatal} = 0 AND ({counted} = 0 OR bit_count(x & {counted}) < {policy.limit})"
+    rules = ", ".join(f"('{name}', {1 << i})" for i, name in enumerate(RULES) if name in policy.fatal + policy.counted)
+    return f"""SELECT '{policy.version}' AS version, rule, CAST(count(*) AS BIGINT) AS n_fail, CAST(count(*) FILTER (WHERE fail_bits & {used} = bit) AS BIGINT) AS n_fail_alone,
+        CAST(count(*) FILTER (WHERE {kept.replace('x &', f'(fail_bits & {used} & ~bit) &')}) AS BIGINT) AS n_kept_without
+        FROM b JOIN (VALUES {rules}) r(rule, bit) ON fail_bits & bit <> 0 GROUP BY rule"""
+
+
+ABLATION_ORACLE = f"{_LEDGER}{' UNION ALL '.join(map(_ablation_sql, POLICIES.values()))}"

@@ -13,6 +13,7 @@ QUERIES = {
     "op6_language_id": language_id.op6,
     "op7_pii": pii.op7,
     "op8_quality_rules": quality_rules.op8,
+    "quality_rule_ablations": quality_rules.ablations,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_decontaminate": decontaminate.op10,
 }
@@ -22,6 +23,7 @@ ORACLES = {
     "op4_near_dedup": near_dedup.ORACLE,
     "op7_pii": pii.ORACLE,
     "op8_quality_rules": quality_rules.ORACLE,
+    "quality_rule_ablations": quality_rules.ABLATION_ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
