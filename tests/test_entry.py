@@ -26,9 +26,10 @@ def test_entry_returns_the_flagship_query(spark):
     assert df.count() == 25 and df.columns == ["territory_id", "territory_name", "revenue", "line_items"]
 
 
-def test_entry_works_without_the_corpus_operators(tmp_path):
+@pytest.mark.parametrize("deleted", [("llm", "corpus_pipeline.py"), ("llm",)])
+def test_entry_works_without_the_corpus_operators(tmp_path, deleted):
     copy = tmp_path / "repo"
-    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", "llm", "corpus_pipeline.py"))
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "__pycache__", *deleted))
     n, extra, fine = shown(copy)
     assert int(n) > 60 and extra == "0" and fine == "True"
 

@@ -362,3 +362,33 @@ def test_windowed_counts(spark, tmp_path):
     counts.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start().awaitTermination(120)
     got = spark.sql("select sum(events) from windows").first()[0]
     assert got == events.count()
+
+
+# Settled tables.
+
+
+def test_scratch_releases_what_is_not_kept(spark):
+    from tidewell.sources import settled
+
+    with settled.scratch() as kept:
+        one, two = settled.settle(spark.range(3), "one"), settled.settle(spark.range(4), "two")
+        with settled.scratch() as inner:
+            three, four = settled.settle(spark.range(5), "three"), settled.settle(spark.range(6), "four")
+            inner.append(three)
+        kept.append(two)
+    gone = [t for t in (one, three, four) if t not in settled._settled]
+    assert len(gone) == 3 and two.count() == 4
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from tidewell.sources.settled import shared_folder
+
+    def session(master):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None, set=lambda *_: None), sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None, setCheckpointDir=lambda _: None))
+
+    for master in ("yarn", "spark://host:7077", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_folder(session(master))
+    assert "tidewell-" in shared_folder(session("local[4]"))
