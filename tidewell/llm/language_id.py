@@ -10,7 +10,7 @@ language, corrected for the filter's false positives, and the language with most
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; ties go to the
 first language by code point; with no labelled row every text is ``und``; repeated rows get a row
-each; texts of any length are read whole, in pieces; lang, source and doc_id are never inputs.
+each; texts of any length are read whole, in pieces, and each n-gram once; lang, source and doc_id are never inputs.
 """
 
 from __future__ import annotations
@@ -34,36 +34,38 @@ LENGTHS = (1, 2, 3, 4)
 SAMPLE_PER_LANGUAGE = 2_000
 MIN_SHARE, MIN_RATIO = 1e-4, 0.3
 PROBES, SLOTS = 2, 1 << 20
-#: Characters worked on at once.
-PIECE = 1 << 19
+#: Characters worked on at once, and counts that a training task holds, about.
+PIECE, HELD = 1 << 19, 200_000
 _LETTER: list[np.ndarray] = []
 
 
 def letters() -> np.ndarray:
     """Whether each code point is a letter, built from the character database once a worker."""
     if not _LETTER:
-        _LETTER.append(np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x30000)), dtype=bool, count=0x30000))
+        _LETTER.append(np.fromiter((unicodedata.category(chr(c))[0] == "L" for c in range(0x110000)), dtype=bool, count=0x110000))
     return _LETTER[0]
 
 
-def pieces(text: str) -> Iterator[np.ndarray]:
-    """Code points of the lower-cased text in pieces that overlap by the longest n-gram."""
+def pieces(text: str) -> Iterator[tuple[np.ndarray, int]]:
+    """Code points of the lower-cased text in pieces, each with how many of its first ones the piece
+    before it has had: the overlap that the longest n-gram needs."""
     reach = max(LENGTHS) - 1
     table_ = letters()
     for start in range(0, max(1, len(text)), PIECE):
-        part = text[max(0, start - reach) : start + PIECE].lower()
-        points = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-        known = table_[np.minimum(points, len(table_) - 1)]
-        points = np.where(known, points, 0x20)
-        if start == 0:
-            points = np.concatenate([np.array([0x20], dtype=np.uint32), points, np.array([0x20], dtype=np.uint32)])
+        again, fresh = text[max(0, start - reach) : start].lower(), text[start : start + PIECE].lower()
+        # the text stands between two boundaries
+        again, fresh = (" " if 0 < start < reach else "") + again, (" " if start == 0 else "") + fresh + (" " if start + PIECE >= len(text) else "")
+        points = np.frombuffer((again + fresh).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points = np.where(table_[points], points, 0x20)
         keep = np.ones(len(points), dtype=bool)
         keep[1:] = (points[1:] != 0x20) | (points[:-1] != 0x20)  # runs of other characters are one boundary
-        yield points[keep].astype(np.uint64)
+        yield points[keep].astype(np.uint64), int(np.count_nonzero(keep[: len(again)]))
 
 
-def grams(points: np.ndarray, n: int) -> np.ndarray:
-    """Packed n-grams of 16 bits a character (larger code points fold); boundaries only at the ends."""
+def grams(points: np.ndarray, n: int, had: int = 0) -> np.ndarray:
+    """Packed n-grams of 16 bits a character (larger code points fold), but for those inside the first
+    ``had`` points; boundaries only at the ends."""
+    points = points[max(0, had - n + 1) :]
     size = len(points) - n + 1
     if size <= 0:
         return np.empty(0, dtype=np.uint64)
@@ -81,16 +83,19 @@ _COUNTS = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("gram", pa.
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts per language, length and n-gram, added up within a batch of rows before the shuffle."""
+    """Counts per language, length and n-gram, added up before the shuffle, up to HELD of them at once."""
+    counts: Counter = Counter()
     for batch in batches:
-        counts: Counter = Counter()
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            for points in pieces(text):
+            for points, had in pieces(text):
                 for n in LENGTHS:
-                    found, times = np.unique(grams(points, n), return_counts=True)
+                    found, times = np.unique(grams(points, n, had), return_counts=True)
                     for g, k in zip(found.view(np.int64).tolist(), times.tolist(), strict=True):
                         counts[lang, n, g] += k
-        yield from chunked(((lang, n, g, k) for (lang, n, g), k in counts.items()), _COUNTS, 65_536)
+                if len(counts) > HELD:
+                    yield from chunked(((lang, n, g, k) for (lang, n, g), k in counts.items()), _COUNTS, 65_536)
+                    counts = Counter()
+    yield from chunked(((lang, n, g, k) for (lang, n, g), k in counts.items()), _COUNTS, 65_536)
 
 
 @dataclass(frozen=True)
@@ -116,13 +121,13 @@ def train(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Filt
     spark = documents.sparkSession
     small_batches(spark)
     labelled = documents.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col("text").cast("string"), F.col("lang").cast("string"))
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    # a hash of the text draws about per_language rows of every language, however large it is, and its first text
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
+    sizes = {r["lang"]: (r["n"], r["first"]) for r in labelled.groupBy("lang").agg(F.count("*").alias("n"), F.min(draw).alias("first")).collect()}
     if not sizes:
         return Filter((), np.zeros((1, SLOTS), dtype=np.uint64), np.zeros(0))
-    # a hash of the text draws about per_language rows of every language, however large it is
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    rates = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(1.0, per_language / n))])
-    sample = labelled.where(draw < rates[F.col("lang")])
+    rates = F.create_map(*[F.lit(x) for lang, (n, first) in sorted(sizes.items()) for x in (lang, max(first, min(1.0, per_language / n)))])
+    sample = labelled.where(draw <= rates[F.col("lang")])
     counts = sample.mapInArrow(_count, "lang string, length int, gram long, n long").groupBy("lang", "length", "gram").agg(F.sum("n").alias("n"))
     counts = settle(counts, "grams")
     totals = counts.groupBy("lang", "length").agg(F.sum("n").alias("total"))
@@ -151,9 +156,9 @@ def decide(text: str | None, model: Filter) -> tuple[str, float, list[float]]:
     """The language, its score and the corrected share of n-grams of every language."""
     n_languages = len(model.languages)
     hits, total = np.zeros(n_languages), 0
-    for points in pieces(text or ""):
+    for points, had in pieces(text or ""):
         for n in LENGTHS:
-            found = grams(points, n)
+            found = grams(points, n, had)
             if not len(found) or not n_languages:
                 continue
             total += len(found)
