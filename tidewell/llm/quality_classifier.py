@@ -3,8 +3,9 @@
 A text's features are n-grams of its lower-cased words (1 and 2) and of its words' shapes (1 to 3;
 a shape keeps punctuation and the kinds of characters, so shouting, tables and symbol noise show),
 hashed into 2 ** BITS places with values sqrt(share of the group).  Training reads at most
-``MAX_ROWS`` labelled rows (those with the smallest id hashes; the documented bound), splits them
-into shards of about ``SHARD_ROWS`` that learn on their own, and averages their weights.  The model is one array of
+``MAX_ROWS`` labelled rows (those with the smallest id hashes; the documented bound), splits those that
+have a document into shards of about ``SHARD_ROWS`` rows and at most about ``SHARD_FEATURES`` features that
+learn on their own, and averages their weights.  The model is one array of
 2 ** BITS floats, so what is broadcast has a fixed size.  A score is the logistic function of a
 sparse dot product.
 
@@ -25,9 +26,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, cheap_hashes, chunked, held_out, mix, small_batches, table, windows
+from tidewell.sources.settled import settle
 
 BITS = 18
-MAX_ROWS, SHARD_ROWS, EPOCHS = 12_000, 1_500, 4
+MAX_ROWS, SHARD_ROWS, SHARD_FEATURES, EPOCHS = 12_000, 1_500, 4_000_000, 4
 #: Step size, its offset, and the weights of the absolute and squared penalties.
 ALPHA, BETA, L1, L2 = 0.6, 1.0, 0.02, 0.01
 THRESHOLD = 0.7
@@ -88,7 +90,7 @@ def _learn(rows: pd.DataFrame) -> pd.DataFrame:
             np.add.at(z, at, slope - (np.sqrt(n[at] + square) - np.sqrt(n[at])) / ALPHA * w)
             np.add.at(n, at, square)
     at = np.flatnonzero(np.abs(z) > L1)
-    return pd.DataFrame({"place": at.astype(np.int32), "weight": weights(at)})
+    return pd.DataFrame({"place": np.append(at, -1).astype(np.int32), "weight": np.append(weights(at), 1.0)})  # place -1 counts the shards
 
 
 def train(documents: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> np.ndarray:
@@ -100,14 +102,16 @@ def train(documents: DataFrame, labels: DataFrame, most: int = MAX_ROWS) -> np.n
         .select("doc_id", F.col("quality").cast("int"), F.xxhash64(F.col("doc_id").cast("long")).alias("turn"))
         .orderBy("turn", "doc_id", "quality").limit(most)
     )
-    shards = max(1, -(-chosen.count() // SHARD_ROWS))
     rows = documents.select("doc_id", F.col("text").cast("string")).join(F.broadcast(chosen.select("doc_id", "quality")), "doc_id")
-    rows = rows.select(F.col("doc_id").cast("long"), "quality", "text").mapInArrow(_featurise, "doc_id long, quality int, place array<int>, value array<float>")
+    rows = settle(rows.select(F.col("doc_id").cast("long"), "quality", "text").mapInArrow(_featurise, "doc_id long, quality int, place array<int>, value array<float>"), "features")
+    size = rows.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.size("place")), F.lit(0)).alias("features")).first()
+    shards = max(1, -(-size["rows"] // SHARD_ROWS), -(-size["features"] // SHARD_FEATURES))
     rows = rows.withColumn("turn", F.xxhash64("doc_id")).withColumn("shard", F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(shards)))
     learned = rows.groupBy("shard").applyInPandas(_learn, "place int, weight double")
-    mean = learned.groupBy("place").agg((F.sum("weight") / shards).alias("weight")).toPandas()  # at most 2 ** BITS rows
+    total = learned.groupBy("place").agg(F.sum("weight").alias("weight")).toPandas()  # at most 2 ** BITS rows
+    n_learned, mean = total.loc[total["place"] < 0, "weight"].sum(), total[total["place"] >= 0]
     out = np.zeros(1 << BITS, dtype=np.float32)
-    out[mean["place"].to_numpy(dtype=np.int64)] = mean["weight"].to_numpy()
+    out[mean["place"].to_numpy(dtype=np.int64)] = mean["weight"].to_numpy() / max(1, n_learned)
     return out
 
 
