@@ -7,8 +7,9 @@ host's suffixes and the host with each prefix of the path), and an as-of join fi
 that hold at its fetch date.  Of the active entries, the longest pattern decides; of equally long
 ones ``allow`` goes before ``block``, then the first list by name.
 
-The join is on the pattern; Spark broadcasts the intervals while they are small and else sorts and
-merges, splitting hot hosts.  Nothing is collected.
+The join is on the pattern, and only a capture's row id, date and patterns take part in it; what it
+finds (rows that an entry names) joins the captures back.  Spark broadcasts the intervals while they are
+small and else sorts and merges, splitting hot hosts.  Nothing is collected.
 
 Defined results: a null or hostless URL matches nothing and is kept; user names, ports, letter
 case of the host and a final dot don't matter; repeated captures get a row each; repeated entries
@@ -21,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import table
+from tidewell.llm.common import numbered_rows, table
 
 #: The production list (list name, pattern, date, action).
 ENTRIES = (
@@ -74,17 +75,18 @@ def patterns(url: Column) -> Column:
 def judge(captures: DataFrame, dated: DataFrame, url: str = "url", fetched: str = "fetch_date") -> DataFrame:
     """The captures with host, n_active, the deciding list and entry, and blocked (which replace
     columns of these names)."""
-    numbered = captures.select(F.struct("*").alias("capture"), F.monotonically_increasing_id().alias("_row"), F.col(f"`{url}`").cast("string").alias("_url"), F.col(f"`{fetched}`").cast("date").alias("_at"))
-    asked = numbered.withColumn("_pattern", F.explode_outer(patterns(F.col("_url"))))
+    numbered, row = numbered_rows(captures)
+    name = F.col(f"`{url}`").cast("string")
+    asked = numbered.select(F.col(row).alias("_row"), F.explode(patterns(name)).alias("_pattern"), F.col(f"`{fetched}`").cast("date").alias("_at"))
     valid = intervals(dated).select("list", F.col("pattern").alias("_entry"), "verdict", "since", "until")
     active = (F.col("_pattern") == F.col("_entry")) & (F.col("since") <= F.col("_at")) & (F.col("until").isNull() | (F.col("_at") < F.col("until")))
-    found = asked.join(valid, active, "left")
     # least by this order decides: longest pattern first, allow before block, then the list's name
     order = F.struct(-F.length("_entry"), F.col("verdict"), F.col("list"))
-    first = F.min_by(F.struct("list", F.col("_entry").alias("entry"), "verdict"), F.when(F.col("_entry").isNotNull(), order))
-    out = found.groupBy("_row").agg(F.any_value("capture").alias("capture"), F.any_value("_url").alias("_url"), F.count("_entry").alias("n_active"), first.alias("_first"))
+    first = F.min_by(F.struct("list", F.col("_entry").alias("entry"), "verdict"), order)
+    found = asked.join(valid, active).groupBy("_row").agg(F.count("*").alias("_n"), first.alias("_first")).withColumnRenamed("_row", "_named")
+    out = numbered.select(F.struct("*").alias("capture")).join(found, F.col(f"capture.{row}") == F.col("_named"), "left")
     added = {
-        "host": host(F.col("_url")), "n_active": F.col("n_active"), "list": F.col("_first.list"), "entry": F.col("_first.entry"),
+        "host": host(F.col(f"capture.`{url}`").cast("string")), "n_active": F.coalesce("_n", F.lit(0).cast("long")), "list": F.col("_first.list"), "entry": F.col("_first.entry"),
         "blocked": F.coalesce(F.col("_first.verdict") == "block", F.lit(False)),
     }
     return out.select(*[F.col(f"capture.`{c}`").alias(c) for c in captures.columns if c not in added], *[v.alias(n) for n, v in added.items()])
