@@ -12,6 +12,7 @@ import uuid
 import zipfile
 import zlib
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -59,12 +60,26 @@ def ship_code(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Gets Python workers ready: sends the code, and bounds what one Arrow batch of whole texts holds
-    (set in the session, as plans run later)."""
+_RECORDS, _BYTES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Gets Python workers ready: sends the code, and bounds what one Arrow batch of whole texts holds.
+    All operators want the same bounds and plans run later, so they stay in the session."""
     ship_code(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set(_RECORDS, "256")
+    spark.conf.set(_BYTES, str(8 << 20))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Larger batches, for steps over short rows that run inside."""
+    before = spark.conf.get(_RECORDS)
+    spark.conf.set(_RECORDS, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_RECORDS, before)
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.sources.settled import settle
+from tidewell.sources.settled import scratch, settle
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -36,5 +36,7 @@ def components(links: DataFrame) -> DataFrame:
         if mark == before or not mark[0]:
             break
         before = mark
-        now = settle(_small_star(_large_star(now)).where("a <> b").distinct(), "links")
+        with scratch() as kept:
+            now = settle(_small_star(_large_star(now)).where("a <> b").distinct(), "links")
+            kept.append(now)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

@@ -37,9 +37,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import binaries, chunked, mix, numbered_rows, small_batches, table, windows, word_hashes
+from tidewell.llm.common import batches_of, binaries, chunked, mix, numbered_rows, small_batches, table, windows, word_hashes
 from tidewell.llm.components import components
-from tidewell.sources.settled import settle
+from tidewell.sources.settled import scratch, settle
 
 SHINGLE, LEAST_PERCENT = 5, 75
 #: SetSketch: BANDS * ROWS registers of 16 bits, base and rate of the exponential spacing.
@@ -296,20 +296,13 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     return two.selectExpr("x.block = y.block as same", "x.rows as left", "y.rows as right").mapInArrow(_near, "a long, b long").distinct()
 
 
-def _judged(documents: DataFrame, row: Column) -> DataFrame:
-    """row, doc_id, n_shingles, and the id and row of the first document (least_id, least_row) of the
-    row's component, null without one; rows of one id are told apart by row."""
-    spark = documents.sparkSession
-    texts = documents.select(row.cast("long").alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    small_batches(spark)
-    sketches = settle(texts.mapInArrow(_sketch, "row long, doc_id long, print binary, n long, registers binary"), "sketches")
-    sets_of = sketches.where("doc_id is not null and n > 0").groupBy("print").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.max("n").alias("n"), F.max("registers").alias("registers"))
-    nodes = settle(sets_of.withColumn("node", F.monotonically_increasing_id()), "nodes")
-    small_batches(spark, 8192)
-    keys = nodes.select("node", "registers").mapInArrow(_band_rows, "key long, node long")
-    crowded = keys.repartitionByRange("key", "node").sortWithinPartitions("key", "node").mapInArrow(_crowded, "key long, node long")
-    crowded = settle(crowded, "crowded")
-    small_batches(spark)
+def _labels(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and component of every node that has a link."""
+    spark = texts.sparkSession
+    with batches_of(spark, 8192):
+        keys = nodes.select("node", "registers").mapInArrow(_band_rows, "key long, node long")
+        crowded = keys.repartitionByRange("key", "node").sortWithinPartitions("key", "node").mapInArrow(_crowded, "key long, node long")
+        crowded = settle(crowded, "crowded")
     wanted = nodes.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "print", F.col("least.doc_id").alias("doc_id"))
     sets = settle(texts.join(wanted, "doc_id").select("node", "print", "text").mapInArrow(_full_sets, "node long, n long, found array<long>"), "sets")
     # shingles of one node only: none of its links can use them
@@ -331,6 +324,21 @@ def _judged(documents: DataFrame, row: Column) -> DataFrame:
     rest = _linked(_likely(settle(_rest(members, labels, sets), "pairs"), nodes, LEAST_PERCENT / 100 - MARGIN), sets)
     if not rest.isEmpty():
         labels = components(links.unionByName(rest))
+    return labels
+
+
+def _judged(documents: DataFrame, row: Column) -> DataFrame:
+    """row, doc_id, n_shingles, and the id and row of the first document (least_id, least_row) of the
+    row's component, null without one; rows of one id are told apart by row."""
+    spark = documents.sparkSession
+    texts = documents.select(row.cast("long").alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    small_batches(spark)
+    sketches = settle(texts.mapInArrow(_sketch, "row long, doc_id long, print binary, n long, registers binary"), "sketches")
+    sets_of = sketches.where("doc_id is not null and n > 0").groupBy("print").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.max("n").alias("n"), F.max("registers").alias("registers"))
+    nodes = settle(sets_of.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    with scratch() as kept:
+        labels = settle(_labels(texts, nodes), "labels")
+        kept.append(labels)
     smallest = nodes.select("node", "least").join(labels, "node").groupBy("component").agg(F.min("least").alias("of_all"))
     known = nodes.select("node", "print", "least").join(labels, "node", "left").join(smallest, "component", "left")
     known = known.select("print", F.coalesce("of_all", "least").alias("least"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import binaries, chunked, small_batches, table, windows, word_hashes
+from tidewell.llm.common import batches_of, binaries, chunked, small_batches, table, windows, word_hashes
 from tidewell.sources.settled import release, settle
 
 WINDOW, PERIOD = 50, 31
@@ -121,7 +121,7 @@ def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), ids[k])), pa.array(np.full(len(h), cids[k])), pa.array(start.astype(np.int32))], schema=_WINDOWS)
 
 
-_KEPT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("kept_text", pa.string())])
+_KEPT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("kept_text", pa.binary())])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edges, at, 1)
             np.add.at(edges, at + WINDOW, -1)
             keep = np.flatnonzero(np.cumsum(edges[:-1]) == 0).tolist()
-            yield ids[k], seqs[k], len(words) - len(keep), b" ".join([words[i] for i in keep]).decode()
+            yield ids[k], seqs[k], len(words) - len(keep), b" ".join([words[i] for i in keep])
 
     for batch in batches:
         yield from chunked(rows(batch), _KEPT, 256)
@@ -156,21 +156,20 @@ def dedup(documents: DataFrame) -> DataFrame:
     sketches = settle(texts.mapInArrow(_sketch, "doc_id long, seq binary, n_words long, anchors array<long>"), "anchors")
     known = settle(sketches.select("doc_id", "seq", "n_words"), "rows")
     seq64 = F.xxhash64("seq")
-    small_batches(spark, 16_384)
     spread = sketches.select(F.explode("anchors").alias("anchor"), seq64.alias("seq64")).repartitionByRange("anchor", "seq64").sortWithinPartitions("anchor", "seq64")
     shared = spread.mapInArrow(_shared, "seq64 long, anchor long").groupBy("seq64").agg(F.collect_set("anchor").alias("shared"))
     long_rows = known.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW))
     first = settle(long_rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "first")
     chosen = first.select("doc_id", "seq", seq64.alias("seq64")).join(shared, "seq64").select("doc_id", "seq", "shared")
     found = texts.where("doc_id is not null and text is not null").join(chosen, "doc_id").where(_right_text("seq", "text")).dropDuplicates(["doc_id", "seq"])
-    candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
+    with batches_of(spark, 16_384):
+        candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
     release(sketches)
-    small_batches(spark)
     hashed = candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_extend, "h long, doc_id long, cid long, start int")
     owners = hashed.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("h", "owner")
     owners = settle(owners, "owners")  # a join of two plain exchanges is one whose hot keys Spark can split
     doomed = hashed.join(owners, "h").where("doc_id > owner").groupBy("cid").agg(F.collect_list("start").alias("starts"))
-    cut = candidates.join(doomed, "cid").select("doc_id", "seq", "text", "starts").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text string")
+    cut = candidates.join(doomed, "cid").select("doc_id", "seq", "text", "starts").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text binary").withColumn("kept_text", F.col("kept_text").cast("string"))
     rows = known.join(first.select("seq", F.col("doc_id").alias("first_id")), "seq", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)) & (F.col("n_words") >= WINDOW)
     out = rows.join(cut, ["doc_id", "seq"], "left")
