@@ -129,6 +129,19 @@ def test_classifier_without_labels_and_empty(spark):
     assert quality_classifier.score(empty(spark), weights).count() == 0
 
 
+def test_labels_without_a_document_and_long_texts(spark, monkeypatch):
+    """Shards are counted over rows that have a document, and split by their features; empty ones do not shrink weights."""
+    rows = [(i, prose(i, 60) if i % 2 else "# $ % " * 30) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(5000)], "doc_id long, quality int, toxic int")
+    few = quality_classifier.train(docs, labels)
+    assert np.allclose(few, quality_classifier.train(docs, labels.where("doc_id < 200")), atol=1e-6) and np.abs(few).max() > 0.05
+    monkeypatch.setattr(quality_classifier, "SHARD_FEATURES", 2000)
+    split = quality_classifier.train(docs, labels)
+    scores = {r["doc_id"]: r["score"] for r in quality_classifier.score(docs, split).collect()}
+    assert not np.allclose(few, split) and all((s > 0.5) == bool(i % 2) for i, s in scores.items())
+
+
 def test_classifier_is_deterministic(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
@@ -158,6 +171,26 @@ def test_language_of_awkward_rows(spark):
     assert kept.where("text is null or trim(text) = ''").count() == 0
 
 
+def test_each_ngram_counts_once_in_pieces(monkeypatch):
+    """Pieces of any length give the n-grams of the whole text; letters beyond the lower planes are letters."""
+    text = "Der  Hund -- läuft\n\n12 über die   Straße, \U00030001\U00030002 x " * 3
+    whole = [np.sort(np.concatenate([language_id.grams(p, n, had) for p, had in language_id.pieces(text)])) for n in language_id.LENGTHS]
+    for piece in (1, 3, 4, 7, 10, 50):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        for n, want in zip(language_id.LENGTHS, whole, strict=True):
+            got = np.sort(np.concatenate([language_id.grams(p, n, had) for p, had in language_id.pieces(text)]))
+            assert (got == want).all() and len(got) == len(want), (piece, n)
+    monkeypatch.undo()
+    model = language_id.Filter(("a",), np.zeros((1, language_id.SLOTS), dtype=np.uint64), np.zeros(1))
+    assert language_id.decide("\U00030001", model)[0] == "a" and language_id.decide("1 2", model)[0] == "und"
+
+
+def test_a_language_with_one_text_is_learned(spark):
+    rows = [(i, f"the words of text number {i} are such", "en") for i in range(4000)] + [(i, "ein einziger deutscher satz steht hier", "de") for i in range(4000, 9000)]
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), per_language=5)
+    assert language_id.decide("ein deutscher satz", model)[0] == "de" and language_id.decide("the words of", model)[0] == "en"
+
+
 def test_language_filter_with_many_languages():
     draw = np.random.default_rng(1)
     names = tuple(f"l{i:02d}" for i in range(70))
