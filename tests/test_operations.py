@@ -118,6 +118,57 @@ def test_batches_resume_after_a_failure_and_skip_what_is_done(spark, store):
     assert log.resolve("unknown", "x") is Action.WRITE
 
 
+def test_jobs_do_not_grow_with_batches(spark, store):
+    """The first write and a resumed one, by 40 batches and by 60 (Spark lists over 32 folders by a job)."""
+    df = spark.range(1, 601).withColumn("v", F.col("id") * 2)
+    jobs = {}
+    for size in (15, 10):
+        batches = plan_batches(df, "t", "id", size, "s")
+        log = BatchLog(store, f"load{size}")
+
+        def fail(batch):
+            if batch.number == 3:
+                raise RuntimeError("lost")
+
+        for run, before in enumerate((fail, None)):
+            spark.sparkContext.setJobGroup(f"{size}-{run}", "batches")
+            if before:
+                with pytest.raises(RuntimeError):
+                    write_batches(df, "id", batches, log, f"staging/{size}", before=before)
+            else:
+                assert write_batches(df, "id", batches, log, f"staging/{size}") == 600
+            jobs[size, run] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"{size}-{run}"))
+        assert len(log.committed()) == len(batches) == 600 // size
+        assert {m["rows"] for m in log.committed()} == {size} and read_committed(log, f"staging/{size}").distinct().count() == 600
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[15, 0] == jobs[10, 0] > 0 and jobs[15, 1] == jobs[10, 1] > 0
+
+
+def test_batches_of_text_and_date_keys(spark, store):
+    rows = spark.range(1, 31).selectExpr("concat('k', lpad(cast(id as string), 3, '0')) as k", "date_add(date'2024-01-01', cast(id as int)) as d", "id as v")
+    for key in ("k", "d"):
+        batches = plan_batches(rows, "t", key, 7, "s")
+        log = BatchLog(store, f"load-{key}")
+        assert len(batches) == 5 and write_batches(rows, key, batches, log, f"staging/{key}") == 30
+        assert [m["rows"] for m in log.committed()] == [7, 7, 7, 7, 2]
+
+
+def test_bounds_on_the_driver_are_few(spark, monkeypatch):
+    from tidewell.plans import batches as module
+
+    monkeypatch.setattr(module, "MOST_BATCHES", 4)
+    assert len(plan_batches(spark.range(1, 101), "t", "id", 10, "s")) == 4
+
+
+def test_redaction_of_credentials():
+    from tidewell.functions.identity import redact
+
+    text = "db_password=x PGPASSWORD=y password: 'a b;c' {\"secret\": \"q\\\"w\"} pwd={a;b} jdbc:p://u:pw@h/db api_key = zz1"
+    out = redact(text)
+    assert not any(w in out for w in ("=x", "=y", "a b;c", "q\\", "a;b", "pw@", "zz1")) and out.count("[REDACTED]") == 7 and "u:[REDACTED]@h/db" in out
+    assert redact("tokenizer=3, no secrets: none") != "" and redact("tokenizer=3") == "tokenizer=3" and redact("hush now", ["hush"]) == "[REDACTED] now"
+
+
 def test_half_written_batches_are_not_read(spark, store):
     df = spark.range(1, 6)
     log = BatchLog(store, "load")

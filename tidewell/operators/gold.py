@@ -76,4 +76,5 @@ def fact_batches(details: DataFrame, batch_size: int, key: str = "sales_order_de
     offsets = counts.select("p", (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("offset"))
     numbered = placed.join(F.broadcast(offsets), "p").select("k", F.expr(f"cast((offset + r - 1) div {batch_size} + 1 as bigint)").alias("batch_number"))
     out = numbered.groupBy("batch_number").agg(F.max("k").alias("upper_bound"), F.count("*").alias("rows"))
-    return out.select("batch_number", F.lag("upper_bound").over(Window.orderBy("batch_number")).alias("lower_bound"), "upper_bound", "rows")
+    before = out.select((F.col("batch_number") + 1).alias("batch_number"), F.col("upper_bound").alias("lower_bound"))
+    return out.join(before, "batch_number", "left").select("batch_number", "lower_bound", "upper_bound", "rows")

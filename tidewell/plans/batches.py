@@ -1,7 +1,8 @@
-"""Batches with commit markers: write the data, then one marker file; the marker is the truth.
+"""Batches with commit markers: write the data, then one marker file each; the marker is the truth.
 
-A batch without a marker never happened, whatever files it left; its folder is overwritten when it
-is tried again.  The checkpoint of a load is the upper bound of the last batch of an unbroken row
+All batches that are not committed are written by one job, and one aggregate gives their hashes and
+rows, so the number of Spark jobs does not depend on the number of batches.  A batch without a marker
+never happened, whatever files it left; its folder is overwritten when it is tried again.  The checkpoint of a load is the upper bound of the last batch of an unbroken row
 of markers.
 """
 
@@ -12,15 +13,18 @@ from dataclasses import dataclass
 from enum import StrEnum
 from typing import Any
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewell.functions.identity import batch_id, content_hash
+from tidewell.functions.identity import batch_id, content_hashes
 from tidewell.operators.gold import fact_batches
 from tidewell.operators.quality import ContractError
 from tidewell.plans.retry import Retry
 from tidewell.plans.store import Store
-from tidewell.sources.readers import between_keys
+
+#: Batches of one load, about, at most: their bounds and markers pass through the driver.
+MOST_BATCHES = 10_000
 
 
 @dataclass(frozen=True)
@@ -37,8 +41,10 @@ class Action(StrEnum):
 
 
 def plan_batches(df: DataFrame, table: str, key: str, size: int, snapshot: str, after: Any = None) -> list[Batch]:
-    """Batches of up to size rows in key order; only their bounds reach the driver."""
+    """Batches of up to size rows in key order, or of more rows if there were more than MOST_BATCHES;
+    only their bounds reach the driver."""
     rows = df if after is None else df.where(F.col(key) > F.lit(after))
+    size = max(size, -(-rows.count() // MOST_BATCHES))
     out, low = [], after
     for r in fact_batches(rows, size, key).orderBy("batch_number").collect():
         out.append(Batch(r["batch_number"], low, r["upper_bound"], batch_id(table, key, low, r["upper_bound"], snapshot)))
@@ -46,6 +52,33 @@ def plan_batches(df: DataFrame, table: str, key: str, size: int, snapshot: str,
     return out
 
 
+def inside(key: str, batches: list[Batch]) -> Column:
+    """Whether a key is in one of the batches; batches side by side make one range."""
+    ranges: list[list[Any]] = []
+    for b in batches:
+        if ranges and ranges[-1][1] == b.low:
+            ranges[-1][1] = b.high
+        else:
+            ranges.append([b.low, b.high])
+    found = F.lit(False)
+    for low, high in ranges:
+        upper = F.col(key) <= F.lit(high)
+        found = found | (upper if low is None else (F.col(key) > F.lit(low)) & upper)
+    return found
+
+
+def batch_of(key: Column, batches: list[Batch]) -> Column:
+    """The id of the batch that a key inside of them is in: the first whose upper bound is not below it.
+    A binary search over Arrow batches of keys, as SQL has no join by the nearest bound."""
+    highs, ids = pd.Index([b.high for b in batches]), pd.Series([b.batch_id for b in batches])
+
+    @F.pandas_udf("string")
+    def found(keys: pd.Series) -> pd.Series:
+        return ids.iloc[highs.searchsorted(keys)].reset_index(drop=True)
+
+    return found(key)
+
+
 class BatchLog:
     """Markers of the batches of one load."""
 
@@ -85,20 +118,31 @@ class BatchLog:
 def write_batches(
     df: DataFrame, key: str, batches: list[Batch], log: BatchLog, folder: str, build: Callable[[DataFrame], DataFrame] = lambda x: x, retry: Retry = Retry(), before: Callable[[Batch], None] | None = None
 ) -> int:
-    """Writes what is not committed yet; returns the rows of all committed batches.  before: called ahead of each."""
-    for batch in batches:
-        if before:
-            before(batch)
-        rows = build(between_keys(df, key, batch.low, batch.high))
-        digest = content_hash(rows)
-        if log.resolve(batch.batch_id, digest) is Action.WRITE:
-            path = log.store.path(f"{folder}/batch_id={batch.batch_id}")
-
-            def step(rows=rows, path=path, batch=batch, digest=digest) -> None:
-                rows.write.mode("overwrite").parquet(path)
-                log.commit(batch, digest, rows.sparkSession.read.parquet(path).count())
-
-            retry.run(step)
+    """Writes what is not committed yet, and holds what is against the rows as they are now; returns the
+    rows of all committed batches.  before: called ahead of each commit."""
+    spark, done = df.sparkSession, {m["batch_id"] for m in log.committed()}
+    closed, fresh = [b for b in batches if b.batch_id in done], [b for b in batches if b.batch_id not in done]
+
+    def of(some: list[Batch]) -> DataFrame:
+        return build(df.where(inside(key, some))).withColumn("batch_id", batch_of(F.col(key), some))
+
+    if closed:
+        now = content_hashes(of(closed), "batch_id")
+        for batch in closed:
+            log.resolve(batch.batch_id, now.get(batch.batch_id, ("no rows", 0))[0])
+    if fresh:
+        rows = of(fresh).repartitionByRange(key)  # a task writes a few batches, not a bit of each
+
+        def step() -> dict[Any, tuple[str, int]]:
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log.store.path(folder))
+            written = spark.read.schema(rows.schema).parquet(log.store.path(folder))
+            return content_hashes(written.where(F.col("batch_id").isin([b.batch_id for b in fresh])), "batch_id")
+
+        found = retry.run(step)
+        for batch in fresh:
+            if before:
+                before(batch)
+            log.commit(batch, *found[batch.batch_id])
     return sum(m["rows"] for m in log.committed())
 
 

@@ -86,6 +86,7 @@ class BronzeJob:
             staging = c.staging.open(spec.target, load_id, snapshot_id)
             log, folder = BatchLog(c.store, staging), f"staging/{staging}"
             batches = plan_batches(valid, spec.source, spec.order_by, s.batch_size, snapshot_id, after)
+            deadline.check()
             written = write_batches(valid, spec.order_by, batches, log, folder, retry=c.retry, before=lambda _: deadline.check())
             paths = [f"{folder}/batch_id={m['batch_id']}" for m in log.committed()]
             kept = before["paths"] if after is not None else []
