@@ -183,3 +183,51 @@ def test_filters_reach_the_scan(spark):
     df = readers.scan(spark.read.parquet(f"{SMALL}/orders.parquet"), ["o_orderkey"], "o_orderkey", 1000)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_orderkey,1000)" in plan and "o_custkey" not in plan
+
+
+def test_header_contract(spark):
+    row = header(spark, (1, "2024-01-03", "13.00", 5, "2024-09-01"))
+    clean = silver.clean_header(row)
+    assert clean.columns == [
+        "sales_order_id", "order_date", "due_date", "ship_date", "customer_id", "salesperson_id", "territory_id", "subtotal", "tax_amt", "freight", "total_due", "is_online_order", "status_code", "_source_system", "_load_date",
+    ]
+    assert clean.first()["_load_date"] == "2024-09-01" and clean.first()["_source_system"] is None
+
+
+@pytest.mark.parametrize(
+    ("table", "row", "reasons"),
+    [
+        ("sales_territory", {"TerritoryID": 1, "Name": "N", "CountryRegionCode": " ", "Group": ""}, "blank string: CountryRegionCode; blank string: Group"),
+        ("sales_territory", {"TerritoryID": 1, "Name": "\t", "CountryRegionCode": "US", "Group": "G"}, "blank string: Name"),
+        ("sales_territory", {"TerritoryID": 1, "Name": None, "CountryRegionCode": None, "Group": "G"}, None),
+        ("product", {"ProductID": 1, "Name": "N", "ProductNumber": " ", "ListPrice": "1"}, "blank string: ProductNumber"),
+        ("product", {"ProductID": 1, "Name": "N", "ProductNumber": "P", "ListPrice": "1"}, None),
+    ],
+)
+def test_blank_texts_are_rejected(spark, table, row, reasons):
+    df = spark.createDataFrame([tuple(row.values())], ", ".join(f"`{c}` {'int' if isinstance(v, int) else 'string'}" for c, v in row.items()))
+    found = [r["rejection_reason"] for r in quality.rejected_rows(df, silver.RULES[table], next(iter(row))).collect()]
+    assert found == ([reasons] if reasons else [])
+
+
+def test_stored_tables_against_their_contracts(spark):
+    specs = {n: GOLD[n] for n in ("dim_territory", "fact_sales")}
+    names = GOLD["fact_sales"].columns
+    facts = spark.createDataFrame([(1, 9), (1, 2), (None, 1)], "sales_order_detail_id bigint, territory_id bigint")
+    whole = facts.select(*[(F.col(n) if n in facts.columns else F.lit(None)).cast(f.dataType).alias(n) for n, f in zip(names, GOLD["fact_sales"].schema.fields, strict=True)])
+    territories = spark.createDataFrame([(1, "a", "b", "c"), (2, "a", "b", "c")], "territory_id bigint, territory_name string, country_region_code string, territory_group string")
+    assert validation.stored_problems({"dim_territory": territories, "fact_sales": whole}, specs) == ["fact_sales: 1 null keys", "fact_sales: 1 repeated keys", "fact_sales: 1 orphans of territory_id"]
+    assert validation.stored_problems({"dim_territory": territories.withColumn("x", F.lit(1)).drop("territory_name")}, specs) == ["fact_sales: not stored", "dim_territory: missing", "dim_territory: unexpected"]
+
+
+def test_jdbc_round_trip(spark, tmp_path):
+    """Spark ships an embedded database; the table keeps its columns when its rows are replaced."""
+    url = f"jdbc:derby:{tmp_path}/shop;create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.range(1, 101).selectExpr("id", "concat('n', cast(id as string)) as name", "cast(id * 1.5 as decimal(10,2)) as price")
+    readers.write_jdbc(rows, url, "ITEMS", "overwrite", batch_size=10, parts=2, properties=driver)
+    readers.write_jdbc(rows.where("id > 90").withColumn("id", F.col("id") + 100), url, "ITEMS", "append", properties=driver)
+    back = readers.jdbc(spark, url, "ITEMS", "id", 1, 200, 4, driver)
+    assert back.rdd.getNumPartitions() == 4 and back.count() == 110 and back.agg(F.sum("price")).first()[0] == rows.agg(F.sum("price")).first()[0] + rows.where("id > 90").agg(F.sum("price")).first()[0]
+    readers.write_jdbc(rows.limit(3), url, "ITEMS", "overwrite", properties=driver)
+    assert readers.jdbc(spark, url, "ITEMS", "id", 1, 200, 2, driver).count() == 3

@@ -9,6 +9,7 @@ from tidewell.functions.columns import MONEY, date_key
 from tidewell.operators.quality import ContractError, first_per_key
 from tidewell.sources.settled import settle
 
+#: The dimensions' columns, before any is renamed, and the fact's measures.
 CUSTOMER = ("customer_id", "customer_name", "customer_type", "customer_name_source", "person_id", "store_id", "territory_id", "account_number")
 PRODUCT = ("product_id", "product_name", "product_number", "product_line", "class", "style", "list_price", "standard_cost", "is_discontinued")
 TERRITORY = ("territory_id", "territory_name", "country_region_code", "territory_group")

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from tidewell.functions.columns import full_name, strip, to_date, to_number
 from tidewell.operators.quality import ConversionRules, dedup_by_signature
 
+#: Raw columns and their Silver names, per table, in the contract's order.
 HEADER = {
     "SalesOrderID": "sales_order_id", "OrderDate": "order_date", "DueDate": "due_date", "ShipDate": "ship_date", "CustomerID": "customer_id", "SalesPersonID": "salesperson_id",
-    "TerritoryID": "territory_id", "SubTotal": "sub_total", "TaxAmt": "tax_amt", "Freight": "freight", "TotalDue": "total_due", "OnlineOrderFlag": "online_order_flag", "Status": "status_code",
+    "TerritoryID": "territory_id", "SubTotal": "subtotal", "TaxAmt": "tax_amt", "Freight": "freight", "TotalDue": "total_due", "OnlineOrderFlag": "is_online_order", "Status": "status_code",
 }
 DETAIL = {
     "SalesOrderID": "sales_order_id", "SalesOrderDetailID": "sales_order_detail_id", "ProductID": "product_id", "OrderQty": "order_qty", "UnitPrice": "unit_price",
@@ -25,16 +26,16 @@ PRODUCT = {
     "ProductID": "product_id", "Name": "product_name", "ProductNumber": "product_number", "ProductLine": "product_line", "Class": "class", "Style": "style",
     "ListPrice": "list_price", "StandardCost": "standard_cost", "DiscontinuedDate": "discontinued_date",
 }
-LINEAGE = ("_load_date", "_record_hash")
+LINEAGE = ("_source_system", "_load_date", "_record_hash")
 
-#: Which raw columns must convert, per table.
+#: Which raw columns must convert, or must not be blank, per table.
 RULES: dict[str, ConversionRules] = {
     "sales_order_header": ConversionRules(("OrderDate", "DueDate", "ShipDate"), ("SubTotal", "TaxAmt", "Freight", "TotalDue"), ("SalesOrderID", "CustomerID")),
     "sales_order_detail": ConversionRules((), ("UnitPrice", "UnitPriceDiscount", "LineTotal"), ("SalesOrderDetailID", "SalesOrderID", "ProductID", "OrderQty")),
     "customer": ConversionRules(integers=("CustomerID",), texts=("AccountNumber",)),
-    "sales_territory": ConversionRules(integers=("TerritoryID",), texts=("Name",)),
+    "sales_territory": ConversionRules(integers=("TerritoryID",), texts=("Name", "CountryRegionCode", "Group")),
     "sales_person": ConversionRules((), ("SalesQuota", "Bonus", "CommissionPct"), ("BusinessEntityID",)),
-    "product": ConversionRules((), ("ListPrice", "StandardCost"), ("ProductID",), ("Name",)),
+    "product": ConversionRules((), ("ListPrice", "StandardCost"), ("ProductID",), ("Name", "ProductNumber")),
 }
 
 
@@ -46,16 +47,17 @@ def _named(frame: DataFrame, names: dict[str, str]) -> DataFrame:
 
 
 def _finished(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """One row a key, in the contract's columns; the order of rows is left to the sink."""
+    """One row a key, in the contract's columns; the sink puts rows in key order."""
     deduped = dedup_by_signature(frame, key) if "_load_date" in frame.columns else dedup_by_signature(frame.withColumn("_load_date", F.lit(None).cast("string")), key)
     return deduped.select(*columns, *[c for c in ("_record_hash",) if c in frame.columns])
 
 
 def clean_header(frame: DataFrame) -> DataFrame:
-    dates, amounts = ("order_date", "due_date", "ship_date"), ("sub_total", "tax_amt", "freight", "total_due")
+    dates, amounts = ("order_date", "due_date", "ship_date"), ("subtotal", "tax_amt", "freight", "total_due")
     named = _named(frame, HEADER)
+    named = named.withColumns({c: F.lit(None).cast("string") for c in ("_source_system", "_load_date") if c not in named.columns})
     converted = named.withColumns({c: to_date(F.col(c).cast("string")) for c in dates} | {c: to_number(F.col(c)) for c in amounts})
-    return _finished(converted, "sales_order_id", list(HEADER.values()))
+    return _finished(converted, "sales_order_id", [*HEADER.values(), "_source_system", "_load_date"])
 
 
 def clean_detail(frame: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ from pyspark.sql import types as T
 
 from tidewell.operators.gold import MEASURES
 from tidewell.operators.kpi import TOLERANCE, kpi_baseline, kpi_gold, kpi_variance
-from tidewell.operators.quality import ContractError
+from tidewell.operators.quality import ContractError, orphans
+from tidewell.sources.settled import settle
 
 LINEAGE = ("_source_system", "_source_table", "_load_date", "_record_hash")
 FORMULA_TOLERANCE = 1e-4
@@ -88,6 +89,26 @@ def silver_report(df: DataFrame, key: str, columns: tuple[str, ...], source_coun
     return report
 
 
+#: The values that Silver tables must have, per table, key first.
+REQUIRED = {
+    "sales_order_header": ("sales_order_id", "order_date", "customer_id"), "sales_order_detail": ("sales_order_detail_id", "sales_order_id", "product_id", "order_qty", "unit_price"),
+    "customer": ("customer_id", "customer_name"), "sales_territory": ("territory_id", "territory_name"), "sales_person": ("salesperson_id", "salesperson_name"),
+    "product": ("product_id", "product_name", "list_price"),
+}
+
+
+def silver_quality(bronze: DataFrame, clean: DataFrame, table: str) -> DataFrame:
+    """Rows before and after, repeated keys and missing required values (all columns together) of one table."""
+    key, *_ = REQUIRED[table]
+    missing = reduce(Column.__add__, [F.count_if(F.col(c).isNull()) for c in REQUIRED[table]])
+    groups = clean.groupBy(key).agg(F.count("*").alias("_n"), missing.alias("_missing"))
+    zero = F.lit(0).cast("bigint")
+    before = bronze.agg(F.count("*").alias("bronze_rows")).select("bronze_rows", zero.alias("silver_rows"), zero.alias("duplicate_key_groups"), zero.alias("missing_required"))
+    after = groups.agg(F.max(zero).alias("bronze_rows"), F.sum("_n").alias("silver_rows"), F.count_if(F.col("_n") > 1).alias("duplicate_key_groups"), F.sum("_missing").alias("missing_required"))
+    both = before.unionByName(after).agg(*[F.coalesce(F.sum(c), zero).alias(c) for c in before.columns])
+    return both.select(F.lit(table).alias("table_name"), "bronze_rows", "silver_rows", (F.col("silver_rows") <= F.col("bronze_rows")).alias("no_unexpected_rows"), "duplicate_key_groups", "missing_required")
+
+
 def output_schema(df: DataFrame, schema: T.StructType, extra: tuple[str, ...] = ()) -> Report:
     """Exactly the contract's columns (plus allowed extras) with its types."""
     wanted = {f.name: f.dataType for f in schema.fields}
@@ -124,6 +145,39 @@ def orphan_counts(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFram
     return lost.unionByName(none).groupBy("foreign_key").agg(F.sum("n").alias("orphans"))
 
 
+def gold_integrity(fact: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Every check of the star schema and the rows that fail it: keys, required values, formulas, orphans.
+    The fact is read by two aggregates, so it is written once rather than joined twice."""
+    fact = settle(fact.select(*FACT_COLUMNS), "fact")
+    counted = fact_counters(fact).drop("row_count")
+    facts = counted.select(F.explode(F.array(*[F.struct(F.lit(f"fact_sales.{c}").alias("check"), F.col(c).cast("bigint").alias("failures")) for c in counted.columns])).alias("c")).select("c.*")
+    keys = {name: key for name, key in FACT_KEYS.values()}
+    parts = []
+    for name, frame in dimensions.items():
+        counts = dimension_counters(frame, name, keys[name])
+        checks = [F.struct(F.lit(f"{name}.{c}").alias("check"), F.col(c).cast("bigint").alias("failures")) for c in ("null_keys", "duplicate_keys")]
+        parts.append(counts.select(F.explode(F.array(*checks)).alias("c")).select("c.*"))
+    lost = orphan_counts(fact, dimensions).select(F.concat(F.lit("orphans."), F.col("foreign_key")).alias("check"), F.col("orphans").alias("failures"))
+    return reduce(DataFrame.unionByName, [facts, *parts, lost]).withColumn("passed", F.col("failures") == 0)
+
+
+def stored_problems(frames: dict[str, DataFrame], specs: dict) -> list[str]:
+    """What is wrong with stored tables by their contracts (name -> ModelSpec): columns and types that are
+    missing, unexpected or different, keys that are null or repeat, foreign keys to nowhere."""
+    wrong = [f"{name}: not stored" for name in specs if name not in frames]
+    for name, frame in frames.items():
+        spec = specs[name]
+        wrong += [f"{name}: {check}" for check, fine in output_schema(frame, spec.schema).checks.items() if not fine]
+        if spec.key in frame.columns:
+            row = frame.agg(*key_counters(spec.key)).first()
+            wrong += [f"{name}: {n} {what}" for what, n in (("null keys", row["null_keys"]), ("repeated keys", row["duplicate_keys"])) if n]
+        for column, (parent, key) in spec.foreign_keys.items():
+            if parent in frames and column in frame.columns and key in frames[parent].columns:
+                n = orphans(frame.select(column), column, frames[parent], key).count()
+                wrong += [f"{name}: {n} orphans of {column}"] if n else []
+    return wrong
+
+
 def gold_report(fact: DataFrame, dimensions: dict[str, DataFrame], details: DataFrame, headers: DataFrame, tolerance: float = TOLERANCE) -> Report:
     """The gate before a version is published."""
     report = Report({"fact_columns": sorted(FACT_COLUMNS) == sorted(c for c in fact.columns if c in FACT_COLUMNS)})

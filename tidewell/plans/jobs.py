@@ -164,7 +164,9 @@ class SilverJob:
                 raise ContractError("sales_order_detail: repeated detail ids")
             cleaner = self.cleaners[name]
             clean = cleaner(valid, people) if name in ("customer", "sales_person") else cleaner(valid)
-            written = c.retry.run(lambda: self.versions.write(version, name, conform(clean, spec)))
+            # in key order over all files, as readers of key ranges skip what they don't need
+            ordered = conform(clean, spec).repartitionByRange(spec.key).sortWithinPartitions(spec.key)
+            written = c.retry.run(lambda: self.versions.write(version, name, ordered))
             kept = self.versions.read(version, name)
             validation.output_schema(kept, spec.schema).require(spec.name)
             validation.silver_report(kept, spec.key, spec.columns, source_count, spec.required, rejected, c.settings.silver_rejected_threshold).require(spec.name)

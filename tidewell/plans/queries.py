@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidewell.functions.columns import is_blank, is_whole, to_date, to_number
 from tidewell.operators import gold, kpi, quality, silver, validation
+from tidewell.plans.contracts import SILVER
 from tidewell.sources import raw, readers
 from tidewell.sources.adapter import RELATIONS, SalesTables
 
@@ -44,10 +45,12 @@ _GOLD = {
         FROM (SELECT unnest(generate_series(CAST(min(order_date) AS TIMESTAMP), CAST(max(order_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d FROM header)""",
     "fact": """SELECT sales_order_detail_id, d.sales_order_id, CAST(strftime(order_date, '%Y%m%d') AS BIGINT) AS order_date_id, customer_id, product_id, territory_id, salesperson_id, order_qty, unit_price,
         CAST(round(CAST(order_qty AS DECIMAL(5,0)) * CAST(unit_price AS DECIMAL(14,4)) - line_total, 4) AS DECIMAL(19,4)) AS discount_amount, line_total, line_total AS net_sales FROM detail d JOIN header h ON d.sales_order_id = h.sales_order_id""",
+    "spoilt": """SELECT * REPLACE (CASE WHEN sales_order_detail_id % 29 = 0 THEN discount_amount - 5000 ELSE discount_amount END AS discount_amount, CASE WHEN sales_order_detail_id % 31 = 0 THEN net_sales + 1 ELSE net_sales END AS net_sales) FROM fact""",
 }
 _NEEDS = {
     "detail": ("priced",), "names": ("person",), "dim_customer": ("cust", "names"), "dim_date": ("header",), "fact": ("detail", "header"),
     "raw_header": ("header",), "raw_detail": ("detail",), "raw_customer": ("cust",), "raw_product": ("product",),
+    "raw_territory": ("territory",), "raw_salesperson": ("salesperson",), "spoilt": ("fact",),
 }
 _ALL = RELATIONS | _GOLD | raw.RAW
 
@@ -94,6 +97,11 @@ def query(name: str, oracle: str | None = None, *names: str):
 # Frames that several queries share.
 
 
+def _spoilt(lines: DataFrame) -> DataFrame:
+    every = F.col("sales_order_detail_id")
+    return lines.withColumns({"discount_amount": F.when(every % 29 == 0, F.col("discount_amount") - 5000).otherwise(F.col("discount_amount")), "net_sales": F.when(every % 31 == 0, F.col("net_sales") + 1).otherwise(F.col("net_sales"))})
+
+
 def fact(t: SalesTables) -> DataFrame:
     return gold.fact_sales(t.detail(), t.header())
 
@@ -371,14 +379,28 @@ def union_batches(t):
     return readers.union_batches([lines.where("l_orderkey <= 5000"), lines.where("l_orderkey > 5000")]).groupBy("l_returnflag").agg(F.count("*").alias("rows"))
 
 
-@query("legacy_text_load", 'SELECT CAST(p_partkey AS VARCHAR) AS "p_partkey", p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size FROM part')
+@query("legacy_text_load", 'SELECT CAST(p_partkey AS VARCHAR) AS "p_partkey", p_name, p_brand, p_type, CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice FROM part')
 def legacy_text_load(t):
-    return readers.all_text(t.table("part").drop("p_retailprice"))
+    return readers.all_text(t.table("part"))
 
 
-@query("catalog_inventory")
+_CATALOG = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+_REFERS = {
+    ("nation", "n_regionkey"): "region.r_regionkey", ("customer", "c_nationkey"): "nation.n_nationkey", ("supplier", "s_nationkey"): "nation.n_nationkey", ("orders", "o_custkey"): "customer.c_custkey",
+    ("lineitem", "l_orderkey"): "orders.o_orderkey", ("lineitem", "l_partkey"): "part.p_partkey", ("lineitem", "l_suppkey"): "supplier.s_suppkey",
+}
+
+
+@query(
+    "catalog_inventory",
+    f"""SELECT c.table_name, c.column_name, CASE c.data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' WHEN 'DATE' THEN 'date'
+        WHEN 'TIMESTAMP WITH TIME ZONE' THEN 'timestamp' ELSE CASE WHEN c.data_type LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' ELSE lower(c.data_type) END END AS type,
+    CAST(c.ordinal_position AS BIGINT) AS place, row_count, coalesce(r.refers_to, '') AS refers_to
+    FROM information_schema.columns c JOIN ({" UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _CATALOG)}) n ON n.table_name = c.table_name
+    LEFT JOIN (VALUES {", ".join(f"('{t}', '{c}', '{to}')" for (t, c), to in _REFERS.items())}) r(table_name, column_name, refers_to) ON r.table_name = c.table_name AND r.column_name = c.column_name""",
+)
 def catalog_inventory(t):
-    return readers.catalog(t.spark, {n: t.table(n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")})
+    return readers.catalog(t.spark, {n: t.table(n) for n in _CATALOG}, _REFERS)
 
 
 @query("quarantine_date", """SELECT SalesOrderID, CAST(try_cast(OrderDate AS DATE) AS VARCHAR) AS order_date, OrderDate IS NOT NULL AND try_cast(OrderDate AS DATE) IS NULL AS rejected FROM raw_header""", "raw_header")
@@ -459,44 +481,55 @@ def null_pk(t):
 _LATEST_HEADER = "QUALIFY row_number() OVER (PARTITION BY SalesOrderID ORDER BY _load_date DESC NULLS LAST) = 1"
 
 
-@query(
-    "silver_header",
-    f"""SELECT SalesOrderID AS sales_order_id, CAST(CAST(OrderDate AS DATE) AS VARCHAR) AS order_date, CustomerID AS customer_id, SalesPersonID AS salesperson_id, TerritoryID AS territory_id, CAST(CAST(TotalDue AS DECIMAL(19,4)) AS DOUBLE) AS total_due, Status AS status_code
-    FROM (SELECT * FROM raw_header WHERE {_REASONS} = '') {_LATEST_HEADER}""",
-    "raw_header",
-)
+_CLEAN_HEADER = f"""SELECT SalesOrderID AS sales_order_id, CAST(CAST(OrderDate AS DATE) AS VARCHAR) AS order_date, DueDate AS due_date, ShipDate AS ship_date, CustomerID AS customer_id, SalesPersonID AS salesperson_id,
+    TerritoryID AS territory_id, CAST(SubTotal AS DOUBLE) AS subtotal, CAST(TaxAmt AS DOUBLE) AS tax_amt, CAST(Freight AS DOUBLE) AS freight, CAST(CAST(TotalDue AS DECIMAL(19,4)) AS DOUBLE) AS total_due,
+    OnlineOrderFlag AS is_online_order, Status AS status_code, _source_system, _load_date FROM (SELECT * FROM raw_header WHERE {_REASONS} = '') {_LATEST_HEADER}"""
+
+
+@query("silver_header", _CLEAN_HEADER, "raw_header")
 def silver_header(t):
-    clean = silver.clean_header(quality.valid_rows(raw.raw_header(t), _HEADER_RULES))
-    return clean.select("sales_order_id", "order_date", "customer_id", "salesperson_id", "territory_id", "total_due", "status_code")
+    return silver.clean_header(quality.valid_rows(raw.raw_header(t), silver.RULES["sales_order_header"])).drop("_record_hash")
 
 
-@query(
-    "silver_detail",
-    """SELECT SalesOrderDetailID AS sales_order_detail_id, SalesOrderID AS sales_order_id, ProductID AS product_id, CAST(OrderQty AS BIGINT) AS order_qty, CAST(CAST(UnitPrice AS DECIMAL(19,4)) AS DOUBLE) AS unit_price,
-    CAST(CAST(UnitPriceDiscount AS DECIMAL(19,4)) AS DOUBLE) AS unit_price_discount, CAST(CAST(LineTotal AS DECIMAL(19,4)) AS DOUBLE) AS line_total FROM raw_detail WHERE OrderQty <> '1.5' AND LineTotal <> '1,000'""",
-    "raw_detail",
-)
+_CLEAN_DETAIL = """SELECT SalesOrderDetailID AS sales_order_detail_id, SalesOrderID AS sales_order_id, ProductID AS product_id, CAST(OrderQty AS BIGINT) AS order_qty, CAST(CAST(UnitPrice AS DECIMAL(19,4)) AS DOUBLE) AS unit_price,
+    CAST(CAST(UnitPriceDiscount AS DECIMAL(19,4)) AS DOUBLE) AS unit_price_discount, CAST(CAST(LineTotal AS DECIMAL(19,4)) AS DOUBLE) AS line_total FROM raw_detail WHERE OrderQty <> '1.5' AND LineTotal <> '1,000'"""
+
+
+@query("silver_detail", _CLEAN_DETAIL, "raw_detail")
 def silver_detail(t):
     clean = silver.clean_detail(quality.valid_rows(raw.raw_detail(t), silver.RULES["sales_order_detail"]))
     return clean.select("sales_order_detail_id", "sales_order_id", "product_id", "order_qty", "unit_price", "unit_price_discount", "line_total")
 
 
-@query(
-    "silver_customer",
-    r"""SELECT CustomerID AS customer_id, CASE WHEN PersonID IS NOT NULL THEN n ELSE a END AS customer_name, CASE WHEN PersonID IS NOT NULL THEN 'INDIVIDUAL' ELSE 'STORE' END AS customer_type,
+_CLEAN_CUSTOMER = r"""SELECT CustomerID AS customer_id, CASE WHEN PersonID IS NOT NULL THEN n ELSE a END AS customer_name, CASE WHEN PersonID IS NOT NULL THEN 'INDIVIDUAL' ELSE 'STORE' END AS customer_type,
     CASE WHEN PersonID IS NOT NULL THEN 'PERSON' ELSE 'ACCOUNT' END AS customer_name_source, PersonID AS person_id, StoreID AS store_id, TerritoryID AS territory_id, a AS account_number
     FROM (SELECT *, regexp_replace(AccountNumber, '^\s+|\s+$', '', 'g') AS a FROM raw_customer WHERE trim(AccountNumber) <> '') LEFT JOIN names ON business_entity_id = PersonID
-    QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY _load_date DESC) = 1""",
-    "raw_customer", "names",
-)
+    QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY _load_date DESC) = 1"""
+
+
+@query("silver_customer", _CLEAN_CUSTOMER, "raw_customer", "names")
 def silver_customer(t):
     clean = silver.clean_customer(quality.valid_rows(raw.raw_customer(t), silver.RULES["customer"]), raw.raw_person(t))
     return clean.drop("_record_hash")
 
 
-@query("silver_territory", "SELECT territory_id, trim(territory_name) AS territory_name, country_region_code, territory_group FROM territory", "territory")
+_CLEAN_TERRITORY = r"""SELECT TerritoryID AS territory_id, trim(Name) AS territory_name, CountryRegionCode AS country_region_code, "Group" AS territory_group FROM raw_territory
+    WHERE regexp_replace(CountryRegionCode, '^\s+$', '') <> '' AND trim("Group") <> ''"""
+
+
+@query("silver_territory", _CLEAN_TERRITORY, "raw_territory")
 def silver_territory(t):
-    return silver.clean_territory(raw.raw_territory(t)).drop("_record_hash")
+    return silver.clean_territory(quality.valid_rows(raw.raw_territory(t), silver.RULES["sales_territory"])).drop("_record_hash")
+
+
+@query(
+    "silver_rejected_territory",
+    r"""SELECT CAST(TerritoryID AS VARCHAR) AS record_key, array_to_string(list_filter([CASE WHEN regexp_replace(CountryRegionCode, '^\s+$', '') = '' THEN 'blank string: CountryRegionCode' END,
+    CASE WHEN trim("Group") = '' THEN 'blank string: Group' END], lambda x: x IS NOT NULL), '; ') AS rejection_reason FROM raw_territory WHERE regexp_replace(CountryRegionCode, '^\s+$', '') = '' OR trim("Group") = ''""",
+    "raw_territory",
+)
+def silver_rejected_territory(t):
+    return quality.rejected_rows(raw.raw_territory(t), silver.RULES["sales_territory"], "TerritoryID")
 
 
 _SALESPERSON = """SELECT CASE WHEN salesperson_id % 10 = 0 THEN salesperson_id + 100000000 ELSE salesperson_id END AS salesperson_id, territory_id, coalesce(n, '') AS salesperson_name, CAST(250000 AS DOUBLE) AS sales_quota, CAST(0 AS DOUBLE) AS bonus,
@@ -518,12 +551,21 @@ def salesperson_fix(t):
     return silver.rebuild_salespeople(raw.raw_salesperson(t), people).drop("_record_hash")
 
 
+_CLEAN_PRODUCT = """SELECT ProductID AS product_id, trim(Name) AS product_name, ProductNumber AS product_number, ProductLine AS product_line, Class AS class, Style AS style, CAST(CAST(ListPrice AS DECIMAL(19,4)) AS DOUBLE) AS list_price,
+    CAST(NULL AS DOUBLE) AS standard_cost, DiscontinuedDate IS NOT NULL AS is_discontinued FROM raw_product WHERE ListPrice <> 'n/a' AND trim(ProductNumber) <> ''"""
+
+
 @query(
-    "silver_product",
-    """SELECT ProductID AS product_id, trim(Name) AS product_name, ProductNumber AS product_number, ProductLine AS product_line, Class AS class, Style AS style, CAST(CAST(ListPrice AS DECIMAL(19,4)) AS DOUBLE) AS list_price,
-    CAST(NULL AS DOUBLE) AS standard_cost, DiscontinuedDate IS NOT NULL AS is_discontinued FROM raw_product WHERE ListPrice <> 'n/a'""",
+    "silver_rejected_product",
+    """SELECT CAST(ProductID AS VARCHAR) AS record_key, CASE WHEN ListPrice <> 'n/a' THEN 'blank string: ProductNumber' WHEN trim(ProductNumber) = '' THEN 'invalid numeric: ListPrice; blank string: ProductNumber' ELSE 'invalid numeric: ListPrice' END AS rejection_reason
+    FROM raw_product WHERE ListPrice = 'n/a' OR trim(ProductNumber) = ''""",
     "raw_product",
 )
+def silver_rejected_product(t):
+    return quality.rejected_rows(raw.raw_product(t), silver.RULES["product"], "ProductID")
+
+
+@query("silver_product", _CLEAN_PRODUCT, "raw_product")
 def silver_product(t):
     return silver.clean_product(quality.valid_rows(raw.raw_product(t), silver.RULES["product"])).drop("_record_hash")
 
@@ -558,12 +600,12 @@ for _name, (_child, _id, _fk, _parent, _pk) in _SILVER_CHECKS.items():
 
     def _silver_orphans(t, child=_child, row=_id, fk=_fk, parent=_parent, pk=_pk):
         rows = getattr(t, child)().select(row, fk) if row != fk else getattr(t, child)().select(row)
-        return quality.orphans(rows.where(f"{row} % 5 <> 1"), fk, getattr(t, parent)().where(f"{pk} % 17 <> 0"), pk).select(row, fk)
+        return quality.orphans(rows, fk, getattr(t, parent)().where(f"{pk} % 17 <> 0"), pk).select(row, fk)
 
     _cte = "cust" if _parent == "customer" else _parent
     query(
         f"orphans_silver_{_name}",
-        f"SELECT {_id}, {_fk} FROM {_child} c WHERE {_id} % 5 <> 1 AND {_fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_cte} p WHERE p.{_pk} = c.{_fk} AND p.{_pk} % 17 <> 0)",
+        f"SELECT {_id}, {_fk} FROM {_child} c WHERE {_fk} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_cte} p WHERE p.{_pk} = c.{_fk} AND p.{_pk} % 17 <> 0)",
         _child, _cte,
     )(_silver_orphans)
 
@@ -615,9 +657,46 @@ def bronze_validation(t):
     return validation.bronze_counters(raw.raw_header(t), "SalesOrderID", "sales_order_header")
 
 
-@query("silver_validation", f"SELECT count(*) AS row_count, count(*) FILTER (WHERE salesperson_id IS NULL) AS null_keys, count(salesperson_id) - count(DISTINCT salesperson_id) AS duplicate_keys, count(*) FILTER (WHERE trim(salesperson_name) = '') AS missing_salesperson_name FROM ({_SALESPERSON})", "salesperson", "names")
+def _raw_frames(t: SalesTables) -> dict[str, DataFrame]:
+    return {
+        "sales_order_header": raw.raw_header(t), "sales_order_detail": raw.raw_detail(t), "customer": raw.raw_customer(t), "sales_territory": raw.raw_territory(t),
+        "sales_person": raw.raw_salesperson(t), "product": raw.raw_product(t),
+    }
+
+
+def _clean_frames(t: SalesTables, frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    people = raw.raw_person(t)
+    valid = {n: quality.valid_rows(df, silver.RULES[n]) for n, df in frames.items()}
+    return {n: silver.CLEANERS[n](df, people) if n in ("customer", "sales_person") else silver.CLEANERS[n](df) for n, df in valid.items()}
+
+
+#: The clean tables for DuckDB, with the relations they need.
+_CLEAN = {
+    "sales_order_header": (_CLEAN_HEADER, "raw_header"), "sales_order_detail": (_CLEAN_DETAIL, "raw_detail"), "customer": (_CLEAN_CUSTOMER, "raw_customer"),
+    "sales_territory": (_CLEAN_TERRITORY, "raw_territory"), "sales_person": (_SALESPERSON, "raw_salesperson"), "product": (_CLEAN_PRODUCT, "raw_product"),
+}
+_CLEAN_NEEDS = (*[n for _, n in _CLEAN.values()], "names", "salesperson")
+
+
+def _missing(columns: tuple[str, ...], blank: bool) -> str:
+    return " + ".join(f"count(*) FILTER (WHERE {c} IS NULL" + (f" OR trim(CAST({c} AS VARCHAR)) = ''" if blank else "") + ")" for c in columns) or "0"
+
+
+@query(
+    "silver_validation",
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS row_count, count(*) FILTER (WHERE {SILVER[n].key} IS NULL) AS null_keys, count({SILVER[n].key}) - count(DISTINCT {SILVER[n].key}) AS duplicate_keys, {_missing(SILVER[n].required, True)} AS missing_required FROM ({body})"
+        for n, (body, _) in _CLEAN.items()
+    ),
+    *_CLEAN_NEEDS,
+)
 def silver_validation(t):
-    return validation.silver_counters(silver.clean_salesperson(raw.raw_salesperson(t), raw.raw_person(t)), "salesperson_id", ("salesperson_name",))
+    parts = []
+    for name, df in _clean_frames(t, _raw_frames(t)).items():
+        counters = validation.silver_counters(df, SILVER[name].key, SILVER[name].required)
+        missing = sum((F.col(f"missing_{c}") for c in SILVER[name].required), F.lit(0).cast("bigint"))
+        parts.append(counters.select(F.lit(name).alias("table_name"), "row_count", "null_keys", "duplicate_keys", missing.alias("missing_required")))
+    return readers.union_batches(parts)
 
 
 @query("detail_grain", "SELECT count(*) AS row_count, count(DISTINCT k) AS distinct_keys, count(k) - count(DISTINCT k) AS duplicate_keys FROM (SELECT l_orderkey * 10 + l_linenumber AS k FROM lineitem)")
@@ -627,17 +706,16 @@ def detail_grain(t):
 
 @query(
     "silver_quality",
-    f"""SELECT 'sales_order_header' AS table_name, (SELECT count(*) FROM raw_header) AS bronze_rows, count(*) AS silver_rows, count(*) - count(DISTINCT SalesOrderID) AS duplicate_keys, count(*) FILTER (WHERE CustomerID IS NULL) AS missing_required
-    FROM (SELECT * FROM raw_header WHERE {_REASONS} = '' {_LATEST_HEADER})""",
-    "raw_header",
+    " UNION ALL ".join(
+        f"""SELECT '{n}' AS table_name, (SELECT count(*) FROM {bronze}) AS bronze_rows, count(*) AS silver_rows, count(*) <= (SELECT count(*) FROM {bronze}) AS no_unexpected_rows,
+        (SELECT count(*) FROM (SELECT 1 FROM ({body}) GROUP BY {validation.REQUIRED[n][0]} HAVING count(*) > 1)) AS duplicate_key_groups, {_missing(validation.REQUIRED[n], False)} AS missing_required FROM ({body})"""
+        for n, (body, bronze) in _CLEAN.items()
+    ),
+    *_CLEAN_NEEDS,
 )
 def silver_quality(t):
-    rows = raw.raw_header(t)
-    bronze = rows.agg(F.count("*").alias("bronze_rows"))
-    clean = silver.clean_header(quality.valid_rows(rows, _HEADER_RULES))
-    counters = clean.agg(F.count("*").alias("silver_rows"), (F.count("*") - F.count_distinct("sales_order_id")).alias("duplicate_keys"), F.count_if(F.col("customer_id").isNull()).alias("missing_required"))
-    one = F.lit("sales_order_header").alias("table_name")
-    return bronze.withColumn("table_name", one).join(counters.withColumn("table_name", one), "table_name")
+    frames = _raw_frames(t)
+    return readers.union_batches([validation.silver_quality(frames[n], df, n) for n, df in _clean_frames(t, frames).items()])
 
 
 @query(
@@ -667,14 +745,26 @@ def fact_validation(t):
     return validation.fact_counters(fact(t).withColumn("discount_amount", F.expr("if(sales_order_detail_id % 29 = 0, discount_amount - 5000, discount_amount)")))
 
 
+_INTEGRITY_DIMENSIONS = (("order_date_id", "date_id", "dim_date", "dim_date"), ("customer_id", "customer_id", "dim_customer", "cust"), ("product_id", "product_id", "dim_product", "product"), ("territory_id", "territory_id", "dim_territory", "territory"), ("salesperson_id", "salesperson_id", "dim_salesperson", "salesperson"))
+_FACT_CHECKS = {
+    "null_keys": "sales_order_detail_id IS NULL", **{f"negative_{m}": f"{m} < -1e-9" for m in gold.MEASURES}, **{f"null_{m}": f"{m} IS NULL" for m in gold.MEASURES},
+    "broken_discount": "abs(order_qty * unit_price - line_total - discount_amount) > 0.0001", "broken_net_sales": "net_sales <> line_total",
+}
+
+
 @query(
     "gold_integrity",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS foreign_key, count(*) AS orphans FROM fact f WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{k} = f.{c} AND p.{k} % 19 <> 0)"
-        for c, k, p in (("order_date_id", "date_id", "dim_date"), ("customer_id", "customer_id", "cust"), ("product_id", "product_id", "product"), ("territory_id", "territory_id", "territory"), ("salesperson_id", "salesperson_id", "salesperson"))
-    ),
-    "fact", "dim_date", "cust", "product", "territory", "salesperson",
+    "SELECT *, failures = 0 AS passed FROM ("
+    + " UNION ALL ".join(
+        [f"SELECT 'fact_sales.{n}' AS check, count(*) FILTER (WHERE {test}) AS failures FROM spoilt" for n, test in _FACT_CHECKS.items()]
+        + ["SELECT 'fact_sales.duplicate_keys', count(sales_order_detail_id) - count(DISTINCT sales_order_detail_id) FROM spoilt"]
+        + [f"SELECT '{d}.null_keys', count(*) FILTER (WHERE {k} IS NULL) FROM {p} WHERE {k} % 19 <> 0 UNION ALL SELECT '{d}.duplicate_keys', count({k}) - count(DISTINCT {k}) FROM {p} WHERE {k} % 19 <> 0" for _, k, d, p in _INTEGRITY_DIMENSIONS]
+        + [f"SELECT 'orphans.{c}', count(*) FROM spoilt f WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {p} p WHERE p.{k} = f.{c} AND p.{k} % 19 <> 0)" for c, k, _, p in _INTEGRITY_DIMENSIONS]
+    )
+    + ")",
+    "spoilt", "dim_date", "cust", "product", "territory", "salesperson",
 )
 def gold_integrity(t):
+    """Every nineteenth dimension row is left out, and every 29th line's discount and 31st line's net sales are spoilt."""
     keys = {d: k for d, k in validation.FACT_KEYS.values()}
-    return validation.orphan_counts(fact(t), {n: df.where(F.col(keys[n]) % 19 != 0) for n, df in dimensions(t).items()})
+    return validation.gold_integrity(_spoilt(fact(t)), {n: df.where(F.col(keys[n]) % 19 != 0) for n, df in dimensions(t).items()})

@@ -31,7 +31,10 @@ def raw_header(t: SalesTables) -> DataFrame:
         return [
             key.alias("SalesOrderID"), F.when(key % 97 == 0, "not-a-date").otherwise(F.col("order_date").cast("string")).alias("OrderDate"),
             F.when(key % 101 == 0, "12.5").otherwise(F.col("customer_id").cast("string")).alias("CustomerID"), F.col("salesperson_id").alias("SalesPersonID"), F.col("territory_id").alias("TerritoryID"),
-            F.when(key % 89 == 0, "abc").otherwise(amount.cast("decimal(19,4)").cast("string")).alias("TotalDue"), F.col("status_code").alias("Status"), F.lit(load_date).alias("_load_date"),
+            F.when(key % 89 == 0, "abc").otherwise(amount.cast("decimal(19,4)").cast("string")).alias("TotalDue"), F.col("status_code").alias("Status"),
+            F.date_add("order_date", 12).cast("string").alias("DueDate"), F.date_add("order_date", 7).cast("string").alias("ShipDate"),
+            (amount - F.lit("3.75").cast("decimal(3,2)")).cast("decimal(19,4)").cast("string").alias("SubTotal"), F.lit("2.5000").alias("TaxAmt"), F.lit("1.2500").alias("Freight"),
+            (key % 2 == 0).alias("OnlineOrderFlag"), F.lit(load_date).alias("_load_date"),
         ]
 
     base = t.header()
@@ -66,7 +69,12 @@ def raw_person(t: SalesTables) -> DataFrame:
 
 
 def raw_territory(t: SalesTables) -> DataFrame:
-    rows = t.territory().select(F.col("territory_id").alias("TerritoryID"), F.concat(F.lit("  "), F.col("territory_name"), F.lit(" ")).alias("Name"), F.col("country_region_code").alias("CountryRegionCode"), F.col("territory_group").alias("Group"))
+    """Every eleventh territory's country and every thirteenth's group are blank."""
+    key = F.col("territory_id")
+    rows = t.territory().select(
+        key.alias("TerritoryID"), F.concat(F.lit("  "), F.col("territory_name"), F.lit(" ")).alias("Name"), F.when(key % 11 == 0, " \t").otherwise(F.col("country_region_code")).alias("CountryRegionCode"),
+        F.when(key % 13 == 0, "").otherwise(F.col("territory_group")).alias("Group"),
+    )
     return with_lineage(rows, "sales_territory", OLD)
 
 
@@ -83,7 +91,7 @@ def raw_salesperson(t: SalesTables) -> DataFrame:
 def raw_product(t: SalesTables) -> DataFrame:
     key = F.col("product_id")
     rows = t.product().select(
-        key.alias("ProductID"), F.concat(F.lit("  "), F.col("product_name"), F.lit("  ")).alias("Name"), F.col("product_number").alias("ProductNumber"), F.col("product_line").alias("ProductLine"),
+        key.alias("ProductID"), F.concat(F.lit("  "), F.col("product_name"), F.lit("  ")).alias("Name"), F.when(key % 83 == 0, "  ").otherwise(F.col("product_number")).alias("ProductNumber"), F.col("product_line").alias("ProductLine"),
         F.col("class").alias("Class"), F.col("style").alias("Style"), F.when(key % 79 == 0, "n/a").otherwise(F.col("list_price").cast("string")).alias("ListPrice"), F.lit(None).cast("string").alias("StandardCost"),
         F.when(key % 5 == 0, "2024-01-01").alias("DiscontinuedDate"),
     )
@@ -91,7 +99,7 @@ def raw_product(t: SalesTables) -> DataFrame:
 
 
 def hash_sql(*columns: str) -> str:
-    values = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in sorted(columns))
+    values = ", ".join(f"coalesce(CAST(\"{c}\" AS VARCHAR), '\\N')" for c in sorted(columns))
     return f"sha256(concat_ws(chr(31), {values}))"
 
 
@@ -102,10 +110,12 @@ def _stamped(sql: str, source_table: str, columns: tuple[str, ...]) -> str:
 def _header_copy(amount: str, load_date: str) -> str:
     return f"""SELECT sales_order_id AS SalesOrderID, CASE WHEN sales_order_id % 97 = 0 THEN 'not-a-date' ELSE CAST(order_date AS VARCHAR) END AS OrderDate,
     CASE WHEN sales_order_id % 101 = 0 THEN '12.5' ELSE CAST(customer_id AS VARCHAR) END AS CustomerID, salesperson_id AS SalesPersonID, territory_id AS TerritoryID,
-    CASE WHEN sales_order_id % 89 = 0 THEN 'abc' ELSE CAST(CAST({amount} AS DECIMAL(19,4)) AS VARCHAR) END AS TotalDue, status_code AS Status, '{load_date}' AS _load_date FROM header"""
+    CASE WHEN sales_order_id % 89 = 0 THEN 'abc' ELSE CAST(CAST({amount} AS DECIMAL(19,4)) AS VARCHAR) END AS TotalDue, status_code AS Status,
+    CAST(order_date + 12 AS VARCHAR) AS DueDate, CAST(order_date + 7 AS VARCHAR) AS ShipDate, CAST(CAST({amount} - 3.75 AS DECIMAL(19,4)) AS VARCHAR) AS SubTotal, '2.5000' AS TaxAmt, '1.2500' AS Freight,
+    sales_order_id % 2 = 0 AS OnlineOrderFlag, '{load_date}' AS _load_date FROM header"""
 
 
-_HEADER = ("SalesOrderID", "OrderDate", "CustomerID", "SalesPersonID", "TerritoryID", "TotalDue", "Status")
+_HEADER = ("SalesOrderID", "OrderDate", "CustomerID", "SalesPersonID", "TerritoryID", "TotalDue", "Status", "DueDate", "ShipDate", "SubTotal", "TaxAmt", "Freight", "OnlineOrderFlag")
 _CUSTOMER = ("CustomerID", "PersonID", "StoreID", "TerritoryID", "AccountNumber")
 #: The raw frames for DuckDB, over the relations of the adapter.
 RAW: dict[str, str] = {
@@ -120,8 +130,18 @@ RAW: dict[str, str] = {
         UNION ALL SELECT customer_id, person_id, store_id, territory_id, account_number || '-v2', '{NEW}' FROM cust WHERE customer_id % 7 = 0""",
         "customer", _CUSTOMER,
     ),
+    "raw_territory": _stamped(
+        f"""SELECT territory_id AS TerritoryID, '  ' || territory_name || ' ' AS Name, CASE WHEN territory_id % 11 = 0 THEN ' ' || chr(9) ELSE country_region_code END AS CountryRegionCode,
+        CASE WHEN territory_id % 13 = 0 THEN '' ELSE territory_group END AS "Group", '{OLD}' AS _load_date FROM territory""",
+        "sales_territory", ("TerritoryID", "Name", "CountryRegionCode", "Group"),
+    ),
+    "raw_salesperson": _stamped(
+        f"""SELECT CASE WHEN salesperson_id % 10 = 0 THEN salesperson_id + 100000000 ELSE salesperson_id END AS BusinessEntityID, territory_id AS TerritoryID, '250000' AS SalesQuota, '0' AS Bonus, '0.0150' AS CommissionPct,
+        '{OLD}' AS _load_date FROM salesperson""",
+        "sales_person", ("BusinessEntityID", "TerritoryID", "SalesQuota", "Bonus", "CommissionPct"),
+    ),
     "raw_product": _stamped(
-        f"""SELECT product_id AS ProductID, '  ' || product_name || '  ' AS Name, product_number AS ProductNumber, product_line AS ProductLine, class AS Class, style AS Style,
+        f"""SELECT product_id AS ProductID, '  ' || product_name || '  ' AS Name, CASE WHEN product_id % 83 = 0 THEN '  ' ELSE product_number END AS ProductNumber, product_line AS ProductLine, class AS Class, style AS Style,
         CASE WHEN product_id % 79 = 0 THEN 'n/a' ELSE CAST(list_price AS VARCHAR) END AS ListPrice, CAST(NULL AS VARCHAR) AS StandardCost, CASE WHEN product_id % 5 = 0 THEN '2024-01-01' END AS DiscontinuedDate, '{OLD}' AS _load_date FROM product""",
         "product", ("ProductID", "Name", "ProductNumber", "ProductLine", "Class", "Style", "ListPrice", "StandardCost", "DiscontinuedDate"),
     ),

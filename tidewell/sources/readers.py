@@ -31,6 +31,14 @@ def jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: in
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=parts, properties=properties or {})
 
 
+def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch_size: int = 1000, parts: int | None = None, properties: dict[str, str] | None = None) -> None:
+    """Rows into a database table: multi-row inserts of ``batch_size``, at most ``parts`` connections at once.
+    With mode "overwrite" the table is emptied, not dropped, so its keys and grants stay.  A task that is
+    tried again appends its rows again, so load into a staging table and publish that by one statement."""
+    options = {"batchsize": str(batch_size), "truncate": "true"} | ({"numPartitions": str(parts)} if parts else {})
+    df.write.options(**options).jdbc(url, table, mode=mode, properties=properties or {})
+
+
 def scan(df: DataFrame, columns: list[str], key: str | None = None, after: int | str | None = None) -> DataFrame:
     """The named columns of a table, after a checkpoint (exclusive) if there is one."""
     rows = df if after is None else df.where(F.col(key) > F.lit(after))
@@ -61,7 +69,10 @@ def all_text(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
 
 
-def catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """A row a column: table, column, type, place."""
-    rows = [(name, f.name, f.dataType.simpleString(), i) for name, df in sorted(tables.items()) for i, f in enumerate(df.schema.fields, 1)]
-    return spark.createDataFrame(rows, "table_name string, column_name string, type string, place int")
+def catalog(spark: SparkSession, tables: dict[str, DataFrame], foreign_keys: dict[tuple[str, str], str]) -> DataFrame:
+    """A row a column: table, column, type, place, the table's rows and what the column refers to ("": nothing).
+    Schemas are read on the driver; rows are counted by one aggregate a table."""
+    rows = [(name, f.name, f.dataType.simpleString(), i, foreign_keys.get((name, f.name), "")) for name, df in sorted(tables.items()) for i, f in enumerate(df.schema.fields, 1)]
+    columns = spark.createDataFrame(rows, "table_name string, column_name string, type string, place int, refers_to string")
+    counts = union_batches([df.agg(F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()])
+    return columns.join(counts, "table_name")
