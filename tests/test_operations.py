@@ -263,7 +263,9 @@ def sources(spark, dirty=False):
         "sales_order_header": raw.raw_header(t), "sales_order_detail": raw.raw_detail(t), "customer": raw.raw_customer(t), "sales_territory": raw.raw_territory(t),
         "sales_person": raw.raw_salesperson(t).withColumn("BusinessEntityID", F.col("BusinessEntityID") % 100_000_000), "person": raw.raw_person(t), "product": raw.raw_product(t),
     }
+    plain["sales_territory"] = plain["sales_territory"].withColumns({c: F.when(F.trim(F.regexp_replace(c, "\\s", "")) == "", "x").otherwise(F.col(c)) for c in ("CountryRegionCode", "Group")})
     if not dirty:
+        plain["product"] = plain["product"].withColumn("ProductNumber", F.when(F.trim("ProductNumber") == "", "x").otherwise(F.col("ProductNumber")))
         bad = "OrderDate = 'not-a-date' or TotalDue = 'abc' or CustomerID = '12.5'"
         plain["sales_order_header"] = plain["sales_order_header"].where(f"_load_date = '{raw.OLD}'").withColumns({"OrderDate": F.when(F.expr(bad), "1999-01-01").otherwise(F.col("OrderDate")), "TotalDue": F.when(F.expr(bad), "1").otherwise(F.col("TotalDue")), "CustomerID": F.when(F.expr(bad), "3").otherwise(F.col("CustomerID"))})
         plain["sales_order_detail"] = plain["sales_order_detail"].where("OrderQty <> '1.5' and LineTotal <> '1,000'")
