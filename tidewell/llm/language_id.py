@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from tidewell.llm.common import chunked, held_out, mix, small_batches, table
 from tidewell.sources.settled import settle
 
-LENGTHS = (1, 2, 3, 4)
+LENGTHS = (1, 2, 3, 4)  # from 1 on, without gaps
 #: Expected labelled rows that training reads per language (chosen by hash of the text).
 SAMPLE_PER_LANGUAGE = 2_000
 MIN_SHARE, MIN_RATIO = 1e-4, 0.3
@@ -62,21 +62,23 @@ def pieces(text: str) -> Iterator[tuple[np.ndarray, int]]:
         yield points[keep].astype(np.uint64), int(np.count_nonzero(keep[: len(again)]))
 
 
-def grams(points: np.ndarray, n: int, had: int = 0) -> np.ndarray:
-    """Packed n-grams of 16 bits a character (larger code points fold), but for those inside the first
-    ``had`` points; boundaries only at the ends."""
-    points = points[max(0, had - n + 1) :]
-    size = len(points) - n + 1
-    if size <= 0:
-        return np.empty(0, dtype=np.uint64)
+def every_gram(points: np.ndarray, had: int = 0) -> Iterator[tuple[int, np.ndarray]]:
+    """Each length with its packed n-grams of 16 bits a character (larger code points fold), but for those
+    inside the first ``had`` points; boundaries only at the ends.  Each length is built on the one before."""
     folded = (points ^ (points >> np.uint64(16))) & np.uint64(0xFFFF)
-    out = np.zeros(size, dtype=np.uint64)
-    fine = points[:size] != 0x20 if n == 1 else np.ones(size, dtype=bool)
-    for k in range(n):
-        out = (out << np.uint64(16)) | folded[k : k + size]
-        if 0 < k < n - 1:
-            fine &= points[k : k + size] != 0x20
-    return out[fine]
+    letter = points != 0x20
+    out, fine = folded, letter
+    for n in LENGTHS:
+        if n > 1:
+            out = (out[:-1] << np.uint64(16)) | folded[n - 1 :]
+            fine = np.ones(len(out), dtype=bool) if n == 2 else fine[:-1] & letter[n - 2 : -1]
+        first = max(0, had - n + 1)
+        yield n, out[first:][fine[first:]]
+
+
+def grams(points: np.ndarray, n: int, had: int = 0) -> np.ndarray:
+    """The n-grams of one length."""
+    return dict(every_gram(points, had))[n]
 
 
 _COUNTS = pa.schema([("lang", pa.string()), ("length", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
@@ -88,8 +90,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             for points, had in pieces(text):
-                for n in LENGTHS:
-                    found, times = np.unique(grams(points, n, had), return_counts=True)
+                for n, several in every_gram(points, had):
+                    found, times = np.unique(several, return_counts=True)
                     for g, k in zip(found.view(np.int64).tolist(), times.tolist(), strict=True):
                         counts[lang, n, g] += k
                 if len(counts) > HELD:
@@ -100,7 +102,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Filter:
-    """languages in code point order; planes[p][slot]: bits of languages 64 p and up; share of slots set per language."""
+    """languages in code point order; planes[p][slot]: bits of languages 64 p and up (in words of fewer
+    bits where one plane's suffice); share of slots set per language."""
 
     languages: tuple[str, ...]
     planes: np.ndarray
@@ -142,8 +145,10 @@ def train(documents: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Filt
         step = (a >> np.uint64(32)) | np.uint64(1)
         for k in range(PROBES):
             planes[i // 64, (a + np.uint64(k) * step) & np.uint64(SLOTS - 1)] |= np.uint64(1 << (i % 64))
+    # one plane in the narrowest words that hold a bit per language, so that the probes stay in the cache
+    narrow = next((k for k in (8, 16, 32) if len(languages) <= k), 64)
     filled = np.array([np.count_nonzero(planes[i // 64] & np.uint64(1 << (i % 64))) / SLOTS for i in range(len(languages))])
-    return Filter(languages, planes, filled**PROBES)
+    return Filter(languages, planes.astype(f"uint{narrow}"), filled**PROBES)
 
 
 @cache
@@ -156,18 +161,14 @@ def decide(text: str | None, model: Filter) -> tuple[str, float, list[float]]:
     """The language, its score and the corrected share of n-grams of every language."""
     n_languages = len(model.languages)
     hits, total = np.zeros(n_languages), 0
-    for points, had in pieces(text or ""):
-        for n in LENGTHS:
-            found = grams(points, n, had)
-            if not len(found) or not n_languages:
-                continue
-            total += len(found)
-            bits = model.probe(found)
-            if n_languages <= 12:  # popcounts per language from a histogram of the bit patterns
-                seen = np.bincount(bits[0].astype(np.int64), minlength=1 << n_languages)
-                hits += seen @ _patterns(n_languages)
-            else:
-                hits += [np.count_nonzero(bits[i // 64] & np.uint64(1 << (i % 64))) for i in range(n_languages)]
+    for points, had in pieces(text or "") if n_languages else ():
+        found = np.concatenate([g for _, g in every_gram(points, had)])
+        total += len(found)
+        bits = model.probe(found)
+        if n_languages <= 12:  # popcounts per language from a histogram of the bit patterns
+            hits += np.bincount(bits[0].astype(np.int64), minlength=1 << n_languages) @ _patterns(n_languages)
+        else:
+            hits += [np.count_nonzero(bits[i // 64] & np.uint64(1 << (i % 64))) for i in range(n_languages)]
     if not total:
         return "und", 0.0, [0.0] * n_languages
     shares = np.clip((hits / total - model.false_positive) / np.maximum(1e-9, 1 - model.false_positive), 0, 1)
