@@ -102,6 +102,18 @@ def test_registers_merge_and_estimate():
     assert abs(got - 1500 / 2500) < 0.15
 
 
+def test_odd_sketches_bound_differences():
+    """Whole or folded, they never count more than the sets differ by, and whole ones come close to it."""
+    draw = np.random.default_rng(4)
+    for n, same in ((150, 130), (3000, 2400), (3000, 100), (40, 40)):
+        pool = draw.integers(0, 2**63, 2 * n).astype(np.uint64)
+        x, y = np.sort(pool[:n]), np.sort(np.concatenate([pool[:same], pool[n : 2 * n - same]]))
+        a, b = (np.frombuffer(near_dedup.odd_sketch(s, 1 << 15), dtype=np.uint64)[None] for s in (x, y))
+        apart, folds = (int(np.bitwise_count(f(a) ^ f(b)).sum()) for f in (lambda s: s, near_dedup.folded))
+        assert folds <= apart <= 2 * (n - same) and apart >= 0.8 * 2 * (n - same)
+        assert (near_dedup.folded(a)[0] == np.frombuffer(near_dedup.odd_sketch(x, 1 << 12), dtype=np.uint64)).all()
+
+
 def test_components(spark):
     links = [(1, 2), (2, 3), (3, 4), (9, 4), (20, 21), (22, 21), (30, 30)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

@@ -251,9 +251,18 @@ def _odd_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([*kept, pa.array(odd, type=pa.binary())], schema=_SKETCHED)
 
 
+def folded(sketches: np.ndarray) -> np.ndarray:
+    """Odd sketches (a row each) of an eighth of the places: parities of places that become one add up."""
+    return np.bitwise_xor.reduce(sketches.reshape(len(sketches), 8, -1), axis=1)
+
+
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of two blocks below one first node, the pairs of different components, not both of the main one,
-    whose shared counts and odd sketches allow a link."""
+    whose shared counts and odd sketches (first folded, then whole) allow a link."""
+
+    def close(one: np.ndarray, others: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        apart = np.bitwise_count(others ^ one).sum(axis=1, dtype=np.int64)
+        return (100 + LEAST_PERCENT) * apart <= (100 - LEAST_PERCENT) * sizes
 
     def side(column: pa.Array, k: int) -> tuple:
         *numbers, odd = column[k].values.flatten()
@@ -264,14 +273,15 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(batch.num_rows):
             same = batch.column(0)[k].as_py()
             (node, n, shared, component, inside, odd), (others, m, their, parts, within, sketches) = (side(batch.column(c), k) for c in (1, 2))
+            small, smaller = folded(odd), folded(sketches)
             for i in range(len(node)):
                 fine = (parts != component[i]) & ~(within & inside[i])
                 fine &= (100 + LEAST_PERCENT) * np.minimum(shared[i], their) >= LEAST_PERCENT * (n[i] + m)
                 if same:
                     fine[: i + 1] = False
                 at = np.flatnonzero(fine)
-                apart = np.bitwise_count(sketches[at] ^ odd[i]).sum(axis=1, dtype=np.int64)
-                at = at[(100 + LEAST_PERCENT) * apart <= (100 - LEAST_PERCENT) * (n[i] + m[at])]
+                at = at[close(small[i], smaller[at], n[i] + m[at])]
+                at = at[close(odd[i], sketches[at], n[i] + m[at])]
                 if len(at):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(node[i], others[at])), pa.array(np.maximum(node[i], others[at]))], schema=_PAIRS)
 
