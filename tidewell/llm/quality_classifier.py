@@ -16,7 +16,6 @@ labelled more than once counts once per label; null ids and null labels are not
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +36,14 @@ _BIAS, _EMPTY, _SAME, _SEEN = range(4)
 _RESERVED = 8
 #: Letters of either case, digits and other bytes become a, A, 9; spaces and punctuation stay (fixed values).
 _SHAPE = bytes(0x61 if 0x61 <= c <= 0x7A or c >= 0x80 else 0x41 if 0x41 <= c <= 0x5A else 0x39 if 0x30 <= c <= 0x39 else c for c in range(256))
-_RUN = re.compile(rb"(.)\1+", re.DOTALL)
+
+
+def shape(text: bytes) -> bytes:
+    """The text's kinds of characters, each run of one kind as one character."""
+    kinds = np.frombuffer(text.translate(_SHAPE), dtype=np.uint8)
+    keep = np.ones(len(kinds), dtype=bool)
+    keep[1:] = kinds[1:] != kinds[:-1]
+    return kinds[keep].tobytes()
 
 
 def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
@@ -47,12 +53,12 @@ def features(text: bytes | None) -> tuple[np.ndarray, np.ndarray]:
     if not words:
         return np.array([_BIAS, _EMPTY]), np.array([1.0, 1.0], dtype=np.float32)
     hashes = cheap_hashes(words)
-    shapes = cheap_hashes(_RUN.sub(rb"\1", text.translate(_SHAPE)).split())
+    shapes = cheap_hashes(shape(text).split())
     pairs = windows(hashes, 2)
     place, value = [np.array([_BIAS])], [np.ones(1)]
     for salt, group in enumerate((mix(hashes), pairs, mix(shapes), windows(shapes, 2), windows(shapes, 3))):
         if len(group):
-            at = mix(group + np.uint64(salt)) >> np.uint64(64 - BITS)
+            at = (mix(group + np.uint64(salt)) >> np.uint64(64 - BITS)).astype(np.uint32)  # short numbers sort faster
             found, times = np.unique(at, return_counts=True)
             place.append(np.maximum(found.astype(np.int64), _RESERVED))
             value.append(np.sqrt(times / len(group)))
