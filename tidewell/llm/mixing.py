@@ -35,9 +35,8 @@ _CHUNK, _BUCKET_ROWS, _FAN, _GUIDE = 4096, 256, 256, 1024
 
 
 def n_words(text: Column) -> Column:
-    """Number of runs of characters other than \\x20 and \\x09-\\x0D: runs of them become one space."""
-    spaced = F.trim(F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(spaced == "", 0).otherwise(F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit(""))) + 1).cast("long")
+    """Number of runs of characters other than \\x20 and \\x09-\\x0D."""
+    return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]++")).cast("long")
 
 
 def offsets(sums: DataFrame, place: str, last: int) -> DataFrame:
