@@ -155,3 +155,11 @@ def numbered_rows(documents: DataFrame) -> tuple[DataFrame, str]:
     while name in taken:
         name += "_"
     return settle(documents.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+#: DuckDB: h, the crc32 of the text k, for every row of ``crc_keys`` (part of a WITH RECURSIVE list).
+CRC_SQL = r"""
+crc_table AS (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256) t(i)),
+crc_steps AS (SELECT k, hex(encode(k)) AS x, 0 AS j, CAST(4294967295 AS BIGINT) AS c FROM crc_keys
+  UNION ALL SELECT k, x, j + 1, xor(c >> 8, v) FROM crc_steps JOIN crc_table ON i = xor(c & 255, 16 * (strpos('0123456789ABCDEF', x[2 * j + 1]) - 1) + strpos('0123456789ABCDEF', x[2 * j + 2]) - 1) WHERE 2 * j < length(x)),
+crcs AS (SELECT k, xor(c, 4294967295) AS h FROM crc_steps WHERE 2 * j = length(x))"""
