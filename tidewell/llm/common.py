@@ -145,6 +145,32 @@ def chunked(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Itera
         yield rows_to_batch(held, schema)
 
 
+_SHARED = pa.schema([("seq64", pa.int64()), ("name", pa.int64())])
+
+
+def shared_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (name, seq64), sorted, those whose name another sequence has too.  The first and
+    the last row of a partition may have theirs in the next one, so they always count."""
+    held, held_left = None, True
+    for batch in batches:
+        name, seq = (batch.column(k).to_numpy() for k in range(2))
+        if not len(name):
+            continue
+        if held is not None:
+            name, seq = np.concatenate([held[0], name]), np.concatenate([held[1], seq])
+        fresh = np.ones(len(name), dtype=bool)
+        fresh[1:] = (name[1:] != name[:-1]) | (seq[1:] != seq[:-1])
+        name, seq = name[fresh], seq[fresh]
+        left = np.empty(len(name), dtype=bool)
+        left[0], left[1:] = held_left, name[1:] == name[:-1]
+        out = left[:-1] | left[1:]
+        if out.any():
+            yield pa.RecordBatch.from_arrays([pa.array(seq[:-1][out]), pa.array(name[:-1][out])], schema=_SHARED)
+        held, held_left = (name[-1:], seq[-1:]), bool(left[-1])
+    if held is not None:
+        yield pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[0])], schema=_SHARED)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewell.llm import decontaminate, html_text, language_id, mixing, near_dedup, periodic_runs, pii, quality_classifier, quality_rules, spelling_variants, substring_dedup, url_filters
+from tidewell.llm import decontaminate, html_text, language_id, mixing, near_dedup, periodic_runs, pii, quality_classifier, quality_rules, spelling_variants, substring_dedup, suffix_dedup, url_filters
 
 QUERIES = {
     "op1_quality_classifier": quality_classifier.op1,
@@ -16,6 +16,7 @@ QUERIES = {
     "quality_rule_ablations": quality_rules.ablations,
     "op9_substring_dedup": substring_dedup.op9,
     "op10_decontaminate": decontaminate.op10,
+    "op11_suffix_dedup": suffix_dedup.op11,
     "op12_spelling_variants": spelling_variants.op12,
     "op13_periodic_runs": periodic_runs.op13,
 }
@@ -28,6 +29,7 @@ ORACLES = {
     "quality_rule_ablations": quality_rules.ABLATION_ORACLE,
     "op9_substring_dedup": substring_dedup.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_suffix_dedup": suffix_dedup.ORACLE,
     "op12_spelling_variants": spelling_variants.ORACLE,
     "op13_periodic_runs": periodic_runs.ORACLE,
 }

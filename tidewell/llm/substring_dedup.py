@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import batches_of, binaries, chunked, small_batches, table, windows, word_hashes
+from tidewell.llm.common import batches_of, binaries, chunked, shared_names, small_batches, table, windows, word_hashes
 from tidewell.sources.settled import release, settle
 
 WINDOW, PERIOD = 50, 31
@@ -75,32 +75,6 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from chunked(rows(batch), _SKETCH, 512)
 
 
-_SHARED = pa.schema([("seq64", pa.int64()), ("anchor", pa.int64())])
-
-
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (anchor, seq64), those whose anchor another sequence has too.  The first and
-    the last row of a partition may have theirs in the next one, so they always count."""
-    held, held_left = None, True
-    for batch in batches:
-        anchor, seq = (batch.column(k).to_numpy() for k in range(2))
-        if not len(anchor):
-            continue
-        if held is not None:
-            anchor, seq = np.concatenate([held[0], anchor]), np.concatenate([held[1], seq])
-        fresh = np.ones(len(anchor), dtype=bool)
-        fresh[1:] = (anchor[1:] != anchor[:-1]) | (seq[1:] != seq[:-1])
-        anchor, seq = anchor[fresh], seq[fresh]
-        left = np.empty(len(anchor), dtype=bool)
-        left[0], left[1:] = held_left, anchor[1:] == anchor[:-1]
-        out = left[:-1] | left[1:]
-        if out.any():
-            yield pa.RecordBatch.from_arrays([pa.array(seq[:-1][out]), pa.array(anchor[:-1][out])], schema=_SHARED)
-        held, held_left = (anchor[-1:], seq[-1:]), bool(left[-1])
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(held[1]), pa.array(held[0])], schema=_SHARED)
-
-
 _WINDOWS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("cid", pa.int64()), ("start", pa.int32())])
 
 
@@ -157,7 +131,7 @@ def dedup(documents: DataFrame) -> DataFrame:
     known = settle(sketches.select("doc_id", "seq", "n_words"), "rows")
     seq64 = F.xxhash64("seq")
     spread = sketches.select(F.explode("anchors").alias("anchor"), seq64.alias("seq64")).repartitionByRange("anchor", "seq64").sortWithinPartitions("anchor", "seq64")
-    shared = spread.mapInArrow(_shared, "seq64 long, anchor long").groupBy("seq64").agg(F.collect_set("anchor").alias("shared"))
+    shared = spread.mapInArrow(shared_names, "seq64 long, anchor long").groupBy("seq64").agg(F.collect_set("anchor").alias("shared"))
     long_rows = known.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= WINDOW))
     first = settle(long_rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "first")
     chosen = first.select("doc_id", "seq", seq64.alias("seq64")).join(shared, "seq64").select("doc_id", "seq", "shared")
