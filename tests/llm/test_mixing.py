@@ -83,12 +83,12 @@ def test_mixed_documents_keep_columns(spark):
 
 
 def test_one_source_over_many_levels(spark, monkeypatch):
-    """Tiny buckets, chunks and fans give four levels of sums, and the same words as a plan of one level."""
+    """Tiny ranges, chunks and fans give four levels of sums, and the same words as a plan of one level."""
     rows = [(i, prose(i, 1 + i % 60), None, "only", 0, 0, 0, "", "", "") for i in range(700)]
     rows += [(1000 + i, prose(i, 30), None, "b", 0, 0, 0, "", "", "") for i in range(40)]
     docs = frame(spark, rows)
     want = sorted(map(tuple, mixing.mix(docs).collect()))
-    for name, value in {"_CHUNK": 4, "_BUCKET_ROWS": 1, "_FAN": 4}.items():
+    for name, value in {"_CHUNK": 4, "_RANGE_ROWS": 12, "_FAN": 4}.items():
         monkeypatch.setattr(mixing, name, value)
     got = mixing.mix(docs).collect()
     check(rows, got)
@@ -100,3 +100,28 @@ def test_offsets(spark):
     sums = spark.createDataFrame(rows, "sid long, place long, n long")
     got = {(r["sid"], r["place"]): r["offset"] for r in mixing.offsets(sums, "place", 999).collect()}
     assert got == {(s, p): sum(n for t, q, n in rows if t == s and q < p) for s, p, _ in rows}
+
+
+def test_many_null_and_repeated_ids(spark, monkeypatch):
+    """Half the ids are null, a sixth are one id, and a third of all rows are equal: ranges stay small."""
+    monkeypatch.setattr(mixing, "_RANGE_ROWS", 100)
+    seen = []
+
+    def settled(df, name, before=mixing.settle):
+        seen.append((name, before(df, name)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(mixing, "settle", settled)
+    rows = [((None, i, None, 7, None, i)[i % 6], "same words again" if i % 3 == 0 else prose(i, 3 + i % 20), None, "hot" if i % 4 else "cold", 0, 0, 0, "", "", "") for i in range(3000)]
+    got = mixing.mix(frame(spark, rows)).collect()
+    check(rows, got)
+    again = mixing.mix(frame(spark, rows[::-1])).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, again), key=str)
+    sizes = [r["count"] for name, df in seen if name == "ranges" for r in df.groupBy("sid", "range").count().collect()]
+    assert max(sizes) < 400
+
+
+def test_many_sources(spark):
+    """More sources than cells of the guide, nearly all of them tiny."""
+    rows = [(i, prose(i, 4), None, f"s{i}" if i % 2 else "hot", 0, 0, 0, "", "", "") for i in range(5000)]
+    check(rows, mixing.mix(frame(spark, rows)).collect())

@@ -1,15 +1,15 @@
 """Mixing sources to target weights with a low-discrepancy schedule.
 
-Each source's documents are put into a shuffled order (by MD5 of a seed and the id) and cut into
-blocks of equally many words.  Slots are numbered 0, 1, 2, ...; slot i's golden-ratio point
+Each source's documents are put into a shuffled order (by MD5 of a seed and the id, or without an id the
+text) and cut into blocks of equally many words.  Slots are numbered 0, 1, 2, ...; slot i's golden-ratio point
 frac((i + 1) / phi) falls into one source's part of [0, 1), whose width is that source's share of
 the slots, so every stretch of the schedule holds the sources near their weights.  Slots are
 ranked within their source; rank r takes block r modulo the number of blocks, so a source is read
 again once it is used up.  A source's last slot is cut so that its words equal its target.
 
-Ranks and word offsets are prefix sums over a tree: inside a chunk or hash bucket, then over ``_FAN``
-neighbours at a time, level by level.  So no task holds a source's rows, nor its chunks or buckets,
-however large its share.  The plan alone, one row of a few numbers a source, is made in one task.  All
+Ranks and word offsets are prefix sums over a tree: inside a chunk of slots or a range of the order,
+then over ``_FAN`` neighbours at a time, level by level.  Ranges end inside a source, an id or equal rows
+as well, so no task holds a source's rows, nor those without an id, however large their share.  The plan alone, one row of a few numbers a source, is made in one task.  All
 work is SQL functions in the JVM.
 
 Defined results: null texts have size 0 and are never taken; null is a source of its own, the
@@ -31,7 +31,8 @@ WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
 #: 1 / phi and frac(2 ** 20 / phi): two parts keep the points exact for long schedules.
 _LOW, _HIGH, _PART = 0.6180339887498949, 0.8025870370864868, 1 << 20
-_CHUNK, _BUCKET_ROWS, _FAN, _GUIDE = 4096, 256, 256, 1024
+#: Slots of a chunk, rows of a range, neighbours in a window, cells of the guide at least.
+_CHUNK, _RANGE_ROWS, _FAN, _GUIDE = 4096, 32_768, 256, 1024
 
 
 def n_words(text: Column) -> Column:
@@ -89,14 +90,16 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_
 
 
 def schedule(sources: DataFrame, n_slots: int) -> DataFrame:
-    """slot, sid, block, first and last word (exclusive) in the source, for every slot in use."""
+    """slot, sid, block, first and last word (exclusive) in the source, for every slot in use.  A point
+    meets the sources of its cell; with as many cells as sources these are two on average."""
     spark = sources.sparkSession
+    cells = max(_GUIDE, 1 << sources.count().bit_length())
     rows_before = Window.orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
     reach = sources.where("n_slots > 0").select("sid", "n_slots", F.coalesce(F.sum("n_slots").over(rows_before), F.lit(0)).alias("low"))
     reach = reach.select("sid", (F.col("low") / n_slots).alias("low"), ((F.col("low") + F.col("n_slots")) / n_slots).alias("high"))
-    guide = reach.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * _GUIDE), F.least(F.lit(_GUIDE - 1), F.floor(F.col("high") * _GUIDE)))))
+    guide = reach.withColumn("cell", F.explode(F.sequence(F.floor(F.col("low") * cells), F.least(F.lit(cells - 1), F.floor(F.col("high") * cells)))))
     point = F.expr(f"(cast((id + 1) div {_PART} as double) * {_HIGH}D + cast((id + 1) % {_PART} as double) * {_LOW}D) % 1D")
-    points = spark.range(n_slots).select(F.col("id").alias("slot"), point.alias("point")).withColumn("cell", F.floor(F.col("point") * _GUIDE))
+    points = spark.range(n_slots).select(F.col("id").alias("slot"), point.alias("point")).withColumn("cell", F.floor(F.col("point") * cells))
     dealt = points.join(guide, "cell").where("point >= low and (point < high)").select("slot", "sid", F.expr(f"slot div {_CHUNK}").alias("chunk"))
     counts = dealt.groupBy("sid", "chunk").agg(F.count("*").alias("n"))
     local = F.row_number().over(Window.partitionBy("sid", "chunk").orderBy("slot")) - 1
@@ -118,7 +121,9 @@ def stream(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     these are the pieces of documents that training reads.
     """
     whole = [F.struct("*").alias("doc")] if carry else []
-    sized = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), *whole)
+    text = F.col("text").cast("string")
+    turn = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.when(F.col("doc_id").isNull(), F.md5(text.cast("binary"))), F.lit(""))).cast("binary"))
+    sized = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id"), F.col("source").cast("string").alias("source"), n_words(F.col("text")).alias("size"), turn.alias("turn"), *whole)
     sized = settle(sized, "sizes")
     sources = settle(plan(sized, weights, most, block), "sources")
     totals = sources.agg(F.coalesce(F.sum("n_slots"), F.lit(0)).alias("slots")).first()
@@ -126,15 +131,14 @@ def stream(documents: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     if not n_slots:
         empty = sized.where("false").selectExpr("0L as slot", "row", "0L as place", "0L as word_from", "0L as word_to")
         return empty, sized, sources
-    digits = 1  # hex digits of the hash prefix: about _BUCKET_ROWS rows or fewer in each bucket
-    while n_rows > _BUCKET_ROWS * 16**digits:
-        digits += 1
-    turn = F.md5(F.concat_ws(":", F.lit(SEED), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
     known = sized.where("size > 0").join(sources.select(F.col("source").alias("_source"), "sid", "block_words"), F.col("source").eqNullSafe(F.col("_source")))
-    known = known.select("row", "doc_id", "size", "sid", "block_words", turn.alias("turn")).withColumn("bucket", F.conv(F.substring("turn", 1, digits), 16, 10).cast("long"))
-    sums = known.groupBy("sid", "bucket").agg(F.sum("size").alias("n"))
-    running = F.sum("size").over(Window.partitionBy("sid", "bucket").orderBy("turn", "doc_id", "size", "row").rowsBetween(Window.unboundedPreceding, -1))
-    placed = known.withColumn("local", F.coalesce(running, F.lit(0))).join(offsets(sums, "bucket", 16**digits - 1), ["sid", "bucket"]).withColumn("start", F.col("local") + F.col("offset"))
+    order = ("sid", "turn", "doc_id", "size", "row")
+    dealt = known.select(*order, "block_words").repartitionByRange(1 + n_rows // _RANGE_ROWS, *order)
+    dealt = settle(dealt.withColumn("range", F.spark_partition_id()), "ranges")  # two reads of the ranges must agree
+    sums = dealt.groupBy("sid", "range").agg(F.sum("size").alias("n"))
+    running = F.sum("size").over(Window.partitionBy("sid", "range").orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, -1))
+    last = dealt.agg(F.max("range")).first()[0]
+    placed = dealt.withColumn("local", F.coalesce(running, F.lit(0))).join(offsets(sums, "range", last), ["sid", "range"]).withColumn("start", F.col("local") + F.col("offset"))
     pieces = placed.withColumn("block", F.explode(F.expr("sequence(start div block_words, (start + size - 1) div block_words)")))
     mixed = schedule(sources, n_slots).join(pieces.select("sid", "block", "row", "start", "size"), ["sid", "block"])
     mixed = mixed.selectExpr("slot", "row", "start as place", "greatest(first, start) - start as word_from", "least(last, start + size) - start as word_to").where("word_to > word_from")
@@ -164,7 +168,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: The level by repeated resharing is found here from the sorted ratios, and words taken in closed form.
 ORACLE = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(CAST(doc_id AS VARCHAR), md5(text), '') AS mark, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid FROM d GROUP BY source),
 w AS (SELECT *, sid % 3 + 1 AS weight, 3 * source_size AS cap FROM s),
 l AS (SELECT *, CAST((SELECT sum(source_size) FROM w) - coalesce(sum(cap) OVER p, 0) AS BIGINT) AS remaining,
@@ -175,7 +179,7 @@ t AS (SELECT w.source, source_size, cap, CASE WHEN cap * f.weights_left <= f.rem
              ELSE CAST(weight AS DOUBLE) * CAST(f.remaining AS DOUBLE) / CAST(f.weights_left AS DOUBLE) END AS target FROM w, f),
 q AS (SELECT *, least(CAST(round(target) AS BIGINT), cap) AS quota FROM t),
 c AS (SELECT d.doc_id, d.size, q.source_size, q.target, q.quota,
-             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), doc_id, size, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5('{SEED}:' || mark), doc_id, size, r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS a
       FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source)
 SELECT doc_id, size, source_size, target,
        CAST(CASE WHEN source_size = 0 THEN 0 ELSE quota // source_size * size + greatest(0, least(a + size, quota % source_size) - a) END AS BIGINT) AS taken FROM c
