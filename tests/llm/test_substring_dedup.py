@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
+import numpy as np
+
 from tests.llm.corpus import SCHEMA, awkward, edited, frame, prose
 from tidewell.llm import substring_dedup as s
 
@@ -51,3 +53,19 @@ def test_passages_at_every_alignment(spark):
 
 def test_empty_table(spark):
     assert s.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_equal_hashes_of_other_words(spark):
+    """Contexts go by the 128-bit hash of their words: equal ranks alone, here of all windows, remove nothing."""
+    words = [b"w%d" % i for i in range(400)]
+    same = np.zeros(len(words) - s.ANCHOR + 1, dtype=np.uint64)
+    low, high, rank = s.stretches(np.arange(len(words) - s.WINDOW + 1), same)
+    assert (rank == 0).all() and low[0] == 0 and high[-1] == len(words) - s.WINDOW and (low[1:] == high[:-1] + 1).all()
+    rows = [(i, i, 0, *s.name_of(b"context %d" % i), 0, 5) for i in range(4)] + [(9, 9, 0, *s.name_of(b"context 2"), 3, 8)]
+    contexts = spark.createDataFrame(rows, s.CONTEXT_SQL)
+    candidates = spark.createDataFrame([(i, i, f"text {i}") for i in (0, 1, 2, 3, 9)], "doc_id long, cid long, text string")
+
+    def cut(text, parts):
+        return [(low, text + b" string") for low, _ in parts]
+
+    assert [tuple(r) for r in s.earlier(contexts, candidates, cut).collect()] == [(9, 3, 8)]

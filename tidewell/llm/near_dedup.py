@@ -83,14 +83,14 @@ _SKETCH = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("print", pa.b
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row's set size and fingerprint, and the registers of each set once a task, on a row with an id."""
+    """Each row's set size and fingerprint, and the registers of each set once a task, on a numbered row."""
     seen: set[bytes] = set()
 
     def rows(batch: pa.RecordBatch):
         for row, doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), binaries(batch.column(2)), strict=True):
             found = shingles(text)
             mark = fingerprint(found)
-            new = doc_id is not None and len(found) > 0 and mark not in seen
+            new = row is not None and len(found) > 0 and mark not in seen
             if new:
                 seen.add(mark)
             yield row, doc_id, mark, len(found), registers(found).tobytes() if new else None
@@ -313,8 +313,8 @@ def _labels(texts: DataFrame, nodes: DataFrame) -> DataFrame:
         keys = nodes.select("node", "registers").mapInArrow(_band_rows, "key long, node long")
         crowded = keys.repartitionByRange("key", "node").sortWithinPartitions("key", "node").mapInArrow(_crowded, "key long, node long")
         crowded = settle(crowded, "crowded")
-    wanted = nodes.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "print", F.col("least.doc_id").alias("doc_id"))
-    sets = settle(texts.join(wanted, "doc_id").select("node", "print", "text").mapInArrow(_full_sets, "node long, n long, found array<long>"), "sets")
+    wanted = nodes.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "print", F.col("least.row").alias("row"))
+    sets = settle(texts.join(wanted, "row").select("node", "print", "text").mapInArrow(_full_sets, "node long, n long, found array<long>"), "sets")
     # shingles of one node only: none of its links can use them
     alone = sets.select("node", F.explode("found").alias("h")).groupBy("h").agg(F.min("node").alias("node"), F.count("*").alias("times")).where("times = 1")
     lone = alone.groupBy("node").agg(F.count("*").alias("lone"))
@@ -339,33 +339,36 @@ def _labels(texts: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _judged(documents: DataFrame, row: Column) -> DataFrame:
     """row, doc_id, n_shingles, and the id and row of the first document (least_id, least_row) of the
-    row's component, null without one; rows of one id are told apart by row."""
+    row's component, null without one.  Rows without a row number are linked with nothing; null ids are last."""
     spark = documents.sparkSession
     texts = documents.select(row.cast("long").alias("row"), F.col("doc_id").cast("long"), F.col("text").cast("string"))
     small_batches(spark)
     sketches = settle(texts.mapInArrow(_sketch, "row long, doc_id long, print binary, n long, registers binary"), "sketches")
-    sets_of = sketches.where("doc_id is not null and n > 0").groupBy("print").agg(F.min(F.struct("doc_id", "row")).alias("least"), F.max("n").alias("n"), F.max("registers").alias("registers"))
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")).alias("least")
+    sets_of = sketches.where("row is not null and n > 0").groupBy("print").agg(least, F.max("n").alias("n"), F.max("registers").alias("registers"))
     nodes = settle(sets_of.withColumn("node", F.monotonically_increasing_id()), "nodes")
     with scratch() as kept:
         labels = settle(_labels(texts, nodes), "labels")
         kept.append(labels)
-    smallest = nodes.select("node", "least").join(labels, "node").groupBy("component").agg(F.min("least").alias("of_all"))
-    known = nodes.select("node", "print", "least").join(labels, "node", "left").join(smallest, "component", "left")
+    # written before it is joined back, so that the join is one whose large components Spark can split
+    smallest = settle(nodes.select("node", "least").join(labels, "node").groupBy("component").agg(F.min("least").alias("of_all")), "smallest")
+    known = nodes.select("node", "print", "least").join(labels.join(smallest, "component").select("node", "of_all"), "node", "left")
     known = known.select("print", F.coalesce("of_all", "least").alias("least"))
     out = sketches.select("row", "doc_id", "print", F.col("n").alias("n_shingles")).join(known, "print", "left")
-    linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
+    linked = (F.col("n_shingles") > 0) & F.col("row").isNotNull()
     return out.select("row", "doc_id", "n_shingles", *[F.when(linked, F.col(f"least.{of}")).alias(f"least_{name}") for of, name in (("doc_id", "id"), ("row", "row"))])
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     component = F.coalesce("least_id", "doc_id")
-    return _judged(documents, F.lit(0)).select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return _judged(documents, F.col("doc_id")).select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_first(documents: DataFrame) -> DataFrame:
     """The documents, columns as they are, that their components keep: the row with the smallest id,
-    one of them if rows share it.  Rows with a null id stay.  Decisions go by row, not by id."""
+    one of them if rows share it, and one without an id only where no row has one.  Decisions go by row,
+    so copies without an id go as well."""
     numbered, row = numbered_rows(documents)
     gone = _judged(numbered, numbered[row]).where("row <> least_row").select(F.col("row").alias("_gone"))
     return numbered.join(gone, numbered[row] == gone["_gone"], "left_anti").drop(row)

@@ -5,17 +5,20 @@ Hashing every window of a corpus would shuffle a row per word, so only windows o
 start at cover positions are hashed: positions whose remainder modulo 31 is in a perfect difference
 set.  Two equal runs of 50 words contain, within their first 31 positions, one aligned pair of
 cover positions, so they share an anchor.  The anchors, sorted by range of (hash, sequence), show
-which hashes occur in two sequences; only windows around those are hashed in full (the extension),
-and a window goes if its smallest document is another one.
+which hashes occur in two sequences; only windows around those are extended.
+
+The extension puts windows side by side that chose the same 20 words (those with the least hash of the
+first 31) into one context, and compares contexts by the 128-bit hashes of their words; single windows become rows
+only at the ends of repeated passages (``passages``).
 
 Hot passages: anchors are split by range of (hash, sequence), so no task holds all occurrences of
-one; windows are aggregated before they are shuffled, and the join back to them is one that Spark
+one; contexts are aggregated before they are shuffled, and the joins back to them are ones that Spark
 splits by skew.  Exact copies of whole texts collapse inside each task before anchors are shuffled
 and are settled by the smallest id of their sequence.
 
 Defined results: null and wordless texts have 0 words and the hash of the empty text; texts under
 50 words lose nothing; rows with a null id lose nothing and take nothing away; rows that repeat an
-id get a row each and take nothing from each other; windows are compared by 64-bit hashes.
+id get a row each and take nothing from each other; windows are compared by the 128-bit hash of their words.
 """
 
 from __future__ import annotations
@@ -28,15 +31,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import batches_of, binaries, chunked, shared_names, small_batches, table, windows, word_hashes
+from tidewell.llm.common import binaries, chunked, shared_names, small_batches, table, windows, word_hashes
+from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, earlier, name_of
 from tidewell.sources.settled import release, settle
 
 WINDOW, PERIOD = 50, 31
 ANCHOR = WINDOW - PERIOD + 1
 #: A perfect difference set: every difference modulo 31 but 0 occurs exactly once (fixed values).
 COVER = (1, 5, 11, 24, 25, 27)
+_HASH, _PLACE = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
-_NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def cover_positions(n: int) -> np.ndarray:
@@ -75,24 +79,49 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from chunked(rows(batch), _SKETCH, 512)
 
 
-_WINDOWS = pa.schema([("h", pa.int64()), ("doc_id", pa.int64()), ("cid", pa.int64()), ("start", pa.int32())])
+def stretches(starts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last start, and rank, of the windows side by side that chose the same gram of ANCHOR words."""
+    least, width = (grams & _HASH) | np.arange(len(grams), dtype=np.uint64), 1
+    while 2 * width <= PERIOD:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    at = (np.minimum(least[starts], least[starts + PERIOD - width]) & _PLACE).astype(np.int64)
+    turns = np.flatnonzero((at[1:] != at[:-1]) | (np.diff(starts) > 1)) + 1
+    return starts[np.concatenate([[0], turns])], starts[np.concatenate([turns, [len(starts)]]) - 1], grams[at[np.concatenate([[0], turns])]].view(np.int64)
 
 
-def _extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Hashes of all windows that hold a shared anchor within their first PERIOD positions."""
-    for batch in batches:
+def _places(words: list[bytes]) -> tuple[bytes, list[int]]:
+    """The words joined by spaces, and where each starts (and a last one would)."""
+    return b" ".join(words), np.cumsum([0, *(len(w) + 1 for w in words)]).tolist()
+
+
+def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contexts of all windows that hold a shared anchor within their first PERIOD positions."""
+
+    def rows(batch: pa.RecordBatch):
         ids, cids, shared = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
         for k, text in enumerate(binaries(batch.column(2))):
-            hashes, at, found = anchors(text.split())
+            words = text.split()
+            hashes, at, found = anchors(words)
             hits = at[np.isin(found.view(np.int64), shared[k].values.to_numpy())]
             n = len(hashes) - WINDOW + 1
             edges = np.zeros(n + 1, dtype=np.int64)
             np.add.at(edges, np.minimum(np.maximum(0, hits - PERIOD + 1), n), 1)
             np.add.at(edges, np.minimum(hits + 1, n), -1)
-            start = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
-            if len(start):
-                h = windows(hashes, WINDOW, start).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), ids[k])), pa.array(np.full(len(h), cids[k])), pa.array(start.astype(np.int32))], schema=_WINDOWS)
+            starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
+            if len(starts):
+                joined, places = _places(words)
+                for low, high, rank in zip(*(x.tolist() for x in stretches(starts, windows(hashes, ANCHOR))), strict=True):
+                    yield ids[k], cids[k], rank, *name_of(joined[places[low] : places[high + WINDOW] - 1]), low, high
+
+    for batch in batches:
+        yield from chunked(rows(batch), CONTEXT)
+
+
+def _strings(text: bytes, parts: list[tuple[int, int]]) -> Iterator[tuple[int, bytes]]:
+    joined, places = _places(text.split())
+    for low, high in parts:
+        for at in range(low, high + 1):
+            yield at, joined[places[at] : places[at + WINDOW] - 1]
 
 
 _KEPT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("kept_text", pa.binary())])
@@ -102,13 +131,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The words outside the windows that go."""
 
     def rows(batch: pa.RecordBatch):
-        ids, seqs, starts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+        ids, seqs, gone = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
         for k, text in enumerate(binaries(batch.column(2))):
             words = text.split()
             edges = np.zeros(len(words) + 1, dtype=np.int64)
-            at = starts[k].values.to_numpy()
-            np.add.at(edges, at, 1)
-            np.add.at(edges, at + WINDOW, -1)
+            low, high = (gone[k].values.field(i).to_numpy() for i in (0, 1))
+            np.add.at(edges, low, 1)
+            np.add.at(edges, high + WINDOW, -1)
             keep = np.flatnonzero(np.cumsum(edges[:-1]) == 0).tolist()
             yield ids[k], seqs[k], len(words) - len(keep), b" ".join([words[i] for i in keep])
 
@@ -136,14 +165,11 @@ def dedup(documents: DataFrame) -> DataFrame:
     first = settle(long_rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "first")
     chosen = first.select("doc_id", "seq", seq64.alias("seq64")).join(shared, "seq64").select("doc_id", "seq", "shared")
     found = texts.where("doc_id is not null and text is not null").join(chosen, "doc_id").where(_right_text("seq", "text")).dropDuplicates(["doc_id", "seq"])
-    with batches_of(spark, 16_384):
-        candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
+    candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
     release(sketches)
-    hashed = candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_extend, "h long, doc_id long, cid long, start int")
-    owners = hashed.groupBy("h").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("h", "owner")
-    owners = settle(owners, "owners")  # a join of two plain exchanges is one whose hot keys Spark can split
-    doomed = hashed.join(owners, "h").where("doc_id > owner").groupBy("cid").agg(F.collect_list("start").alias("starts"))
-    cut = candidates.join(doomed, "cid").select("doc_id", "seq", "text", "starts").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text binary").withColumn("kept_text", F.col("kept_text").cast("string"))
+    contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, CONTEXT_SQL), "contexts")
+    gone = earlier(contexts, candidates, _strings).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
+    cut = candidates.join(gone, "cid").select("doc_id", "seq", "text", "gone").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text binary").withColumn("kept_text", F.col("kept_text").cast("string"))
     rows = known.join(first.select("seq", F.col("doc_id").alias("first_id")), "seq", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)) & (F.col("n_words") >= WINDOW)
     out = rows.join(cut, ["doc_id", "seq"], "left")

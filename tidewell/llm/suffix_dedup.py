@@ -30,11 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewell.llm.common import batches_of, binaries, chunked, mix, powers, shared_names, small_batches, table
+from tidewell.llm.common import binaries, chunked, mix, powers, shared_names, small_batches, table
+from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, earlier, name_of
 from tidewell.sources.settled import release, settle
 
 MATCH, GRAM = 100, 20
@@ -45,7 +45,6 @@ REACH = MATCH - PREFIX + 1
 BLOCK = 1 << 16
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 _HASH, _PLACE = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
-_NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _sums(text: bytes, start: int, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -134,16 +133,6 @@ def _own_repeats(text: bytes, starts: np.ndarray) -> np.ndarray:
     return np.sort(np.array(again, dtype=np.int64))
 
 
-def _name(string: bytes) -> tuple[int, int]:
-    """A 128-bit hash as two signed numbers."""
-    h = xxhash.xxh3_128_intdigest(string)
-    return (h >> 64) - (1 << 63), (h & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
-
-
-_CONTEXT = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("rank", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
-_CONTEXT_SQL = "doc_id long, cid long, rank long, a long, b long, low long, high long"
-
-
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The contexts of the samples that may repeat, with the first and last start of their strings; and
     (with null names) the stretches of bytes that repeat within a text."""
@@ -161,27 +150,16 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             left = last - first + 1 > np.searchsorted(again, last, side="right") - np.searchsorted(again, first)
             for i in np.flatnonzero(open_ & left).tolist():
                 low, high = int(first[i]), int(last[i])
-                yield ids[k], cids[k], int(ranks[i]), *_name(text[low : high + MATCH]), low, high
+                yield ids[k], cids[k], int(ranks[i]), *name_of(text[low : high + MATCH]), low, high
 
     for batch in batches:
-        yield from chunked(rows(batch), _CONTEXT)
-
-
-_STRING = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64())])
+        yield from chunked(rows(batch), CONTEXT)
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The single strings of contexts."""
-
-    def rows(batch: pa.RecordBatch):
-        ids, cids, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
-        for k, text in enumerate(binaries(batch.column(2))):
-            for low, high in (x.values() for x in parts[k].as_py()):
-                for at in range(low, high + 1):
-                    yield ids[k], cids[k], *_name(text[at : at + MATCH]), at
-
-    for batch in batches:
-        yield from chunked(rows(batch), _STRING)
+def _strings(text: bytes, parts: list[tuple[int, int]]) -> Iterator[tuple[int, bytes]]:
+    for low, high in parts:
+        for at in range(low, high + 1):
+            yield at, text[at : at + MATCH]
 
 
 _CUT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("spans", pa.int64()), ("kept", pa.binary())])
@@ -243,19 +221,10 @@ def dedup(documents: DataFrame) -> DataFrame:
     candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
     release(sketches)
     # Round 2: past the threshold, by contexts.
-    contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, _CONTEXT_SQL), "contexts")
-    named = contexts.where("a is not null")
-    owners = settle(named.groupBy("a", "b").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.min("rank").alias("rank")), "owners")
-    ends = settle(owners.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank", F.lit(True).alias("ends")), "ends")
-    owners = settle(owners.join(ends, "rank", "left").where("owner < last or ends").select("a", "b", "owner", F.coalesce("ends", F.lit(False)).alias("ends")), "owners")
-    judged = settle(named.join(owners, ["a", "b"]).where("doc_id > owner or ends").select("doc_id", "cid", "low", "high", (F.col("doc_id") > F.col("owner")).alias("gone")), "judged")
-    # Round 3: single strings at the ends of passages.
-    parts = judged.where("not gone").groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
-    strings = settle(candidates.select("doc_id", "cid", "text").join(parts, "cid").select("doc_id", "cid", "text", "parts").mapInArrow(_strings, "doc_id long, cid long, a long, b long, low long"), "strings")
-    older = settle(strings.groupBy("a", "b").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("a", "b", "owner"), "older")
-    single = strings.join(older, ["a", "b"]).where("doc_id > owner").select("cid", "low", (F.col("low") + MATCH).alias("high"))
-    whole = judged.where("gone").select("cid", "low", (F.col("high") + MATCH).alias("high"))
-    gone = single.unionByName(whole).unionByName(contexts.where("a is null").select("cid", "low", "high")).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
+    contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, CONTEXT_SQL), "contexts")
+    # Round 3, single strings, follows where contexts of one rank differ.
+    older = earlier(contexts.where("a is not null"), candidates, _strings).select("cid", "low", (F.col("high") + MATCH).alias("high"))
+    gone = older.unionByName(contexts.where("a is null").select("cid", "low", "high")).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
     cut = candidates.join(gone, "cid").select("doc_id", "seq", "text", "gone").mapInArrow(_cut, _CUT_SQL)
     rows = known.join(first.select("seq", F.col("doc_id").alias("first_id")), "seq", "left").join(cut, ["doc_id", "seq"], "left")
     copy, none = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)), F.lit(0).cast("long")
