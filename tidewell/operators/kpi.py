@@ -6,36 +6,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import ratio
+from tidewell.operators.partials import partials, total
 
 KPIS = ("total_revenue", "total_orders", "total_line_items", "total_units", "avg_order_value", "avg_item_price", "total_discount", "discount_rate", "total_customers")
 TOLERANCE = 0.02
 
 
-def _kpis(rows: DataFrame, revenue: Column, discount: Column) -> DataFrame:
-    """All nine from one aggregate; sums are decimals until the end."""
-    gross = F.col("unit_price").cast("decimal(14,4)") * F.col("order_qty").cast("decimal(5,0)")
-    sums = rows.agg(
-        F.coalesce(F.sum(revenue), F.lit(0)).alias("revenue"), F.count_distinct("sales_order_id").alias("orders"), F.count("*").alias("lines"),
-        F.coalesce(F.sum("order_qty"), F.lit(0)).alias("units"), F.coalesce(F.sum(gross), F.lit(0)).alias("gross"),
-        F.coalesce(F.sum(discount), F.lit(0)).alias("discount"), F.count_distinct("customer_id").alias("customers"),
-    )
-    c = F.col
-    return sums.select(
-        c("revenue").cast("double").alias("total_revenue"), c("orders").alias("total_orders"), c("lines").alias("total_line_items"), c("units").cast("bigint").alias("total_units"),
+def _gross() -> Column:
+    return F.col("unit_price").cast("decimal(14,4)") * F.col("order_qty").cast("decimal(5,0)")
+
+
+_SUMS = ("revenue", "units", "gross", "discount")
+
+
+def kpi_partials(rows: DataFrame, revenue: Column | None = None, discount: Column | None = None, part: Column | None = None) -> DataFrame:
+    """What the nine KPIs need of some lines, in parts that merge; sums are decimals until the end."""
+    sums = {"revenue": F.col("net_sales") if revenue is None else revenue, "units": F.col("order_qty"), "gross": _gross(), "discount": F.col("discount_amount") if discount is None else discount}
+    return partials(rows, sums, ("customer_id",), part=part)
+
+
+def kpis_of(parts: DataFrame) -> DataFrame:
+    """The nine KPIs of all parts together."""
+    c, none = F.col, F.lit(0)
+    whole = total(parts, _SUMS, ("customer_id",)).withColumns({n: F.coalesce(c(n), none) for n in _SUMS})
+    return whole.select(
+        c("revenue").cast("double").alias("total_revenue"), c("orders").alias("total_orders"), c("rows").alias("total_line_items"), c("units").cast("bigint").alias("total_units"),
         ratio(c("revenue"), c("orders")).alias("avg_order_value"), ratio(c("gross"), c("units")).alias("avg_item_price"), c("discount").cast("double").alias("total_discount"),
-        ratio(c("discount"), c("gross")).alias("discount_rate"), c("customers").alias("total_customers"),
+        ratio(c("discount"), c("gross")).alias("discount_rate"), c("customer_id").alias("total_customers"),
     )
 
 
 def kpi_gold(fact: DataFrame) -> DataFrame:
-    return _kpis(fact, F.col("net_sales"), F.col("discount_amount"))
+    return kpis_of(kpi_partials(fact))
 
 
 def kpi_baseline(details: DataFrame, headers: DataFrame) -> DataFrame:
     """The same KPIs from Silver; the discount is not rounded per line."""
     rows = details.join(headers.select("sales_order_id", "customer_id"), "sales_order_id")
-    gross = F.col("order_qty").cast("decimal(5,0)") * F.col("unit_price").cast("decimal(14,4)")
-    return _kpis(rows, F.col("line_total"), gross - F.col("line_total"))
+    return kpis_of(kpi_partials(rows, F.col("line_total"), _gross() - F.col("line_total")))
 
 
 def relative_variance(actual: Column, expected: Column) -> Column:
@@ -61,10 +69,11 @@ def _whole(column: Column, places: int = 2) -> Column:
 def dashboard_totals(fact: DataFrame, assigned_only: bool = False) -> DataFrame:
     """avg_line_value is per line, unlike the KPI avg_order_value."""
     rows = fact.where("salesperson_id is not null") if assigned_only else fact
-    return rows.agg(
-        F.count("*").alias("line_items"), F.count_distinct("sales_order_id").alias("orders"), F.count_distinct("customer_id").alias("customers"),
-        _whole(F.sum("net_sales")).alias("revenue"), _whole(F.sum("discount_amount")).alias("discount"), F.sum("order_qty").alias("units"),
-        F.round(ratio(F.sum("net_sales"), F.count("*")), 2).alias("avg_line_value"),
+    sums = {"revenue": F.col("net_sales"), "discount": F.col("discount_amount"), "units": F.col("order_qty")}
+    whole = total(partials(rows, sums, ("customer_id",)), tuple(sums), ("customer_id",))
+    return whole.select(
+        F.col("rows").alias("line_items"), "orders", F.col("customer_id").alias("customers"), _whole(F.col("revenue")).alias("revenue"), _whole(F.col("discount")).alias("discount"), "units",
+        F.round(ratio(F.col("revenue"), F.col("rows")), 2).alias("avg_line_value"),
     )
 
 
@@ -108,11 +117,11 @@ def top_customers(fact: DataFrame, customers: DataFrame, n: int = 20) -> DataFra
 
 
 def bi_validation(fact: DataFrame) -> DataFrame:
-    gross = F.sum(F.col("unit_price").cast("decimal(14,4)") * F.col("order_qty").cast("decimal(5,0)"))
-    return fact.agg(
-        _whole(F.sum("net_sales")).alias("revenue"), F.count_distinct("sales_order_id").alias("orders"), F.count("*").alias("line_items"), F.sum("order_qty").alias("units"),
-        F.round(ratio(F.sum("net_sales"), F.count_distinct("sales_order_id")), 2).alias("avg_order_value"), F.round(ratio(gross, F.sum("order_qty")), 2).alias("avg_item_price"),
-        _whole(F.sum("discount_amount")).alias("discount"), F.count_distinct("customer_id").alias("customers"), F.count_distinct("salesperson_id").alias("salespeople"),
+    sums, people = {"revenue": F.col("net_sales"), "units": F.col("order_qty"), "gross": _gross(), "discount": F.col("discount_amount")}, ("customer_id", "salesperson_id")
+    whole = total(partials(fact, sums, people), tuple(sums), people)
+    return whole.select(
+        _whole(F.col("revenue")).alias("revenue"), "orders", F.col("rows").alias("line_items"), "units", F.round(ratio(F.col("revenue"), F.col("orders")), 2).alias("avg_order_value"),
+        F.round(ratio(F.col("gross"), F.col("units")), 2).alias("avg_item_price"), _whole(F.col("discount")).alias("discount"), F.col("customer_id").alias("customers"), F.col("salesperson_id").alias("salespeople"),
     )
 
 

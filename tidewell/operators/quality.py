@@ -61,9 +61,16 @@ def dedup_latest(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
 
 
-def dedup_by_signature(df: DataFrame, key: str) -> DataFrame:
-    """The cleaners' rule: the latest load date, then the least signature of all columns but the key."""
-    place = Window.partitionBy(key).orderBy(F.col("_load_date").desc_nulls_last(), record_hash([c for c in df.columns if c != key]).asc())
+def with_signature(df: DataFrame, key: str) -> DataFrame:
+    """Adds the hash of all columns but the key."""
+    return df.withColumn("_signature", record_hash([c for c in df.columns if c != key]))
+
+
+def dedup_by_signature(df: DataFrame, key: str, signature: str | None = None) -> DataFrame:
+    """The cleaners' rule: the latest load date, then the least signature of all columns but the key.
+    Winners of parts, kept with their signatures, give the winner of the whole."""
+    least = F.col(signature) if signature else record_hash([c for c in df.columns if c != key])
+    place = Window.partitionBy(key).orderBy(F.col("_load_date").desc_nulls_last(), least.asc())
     return df.withColumn("_place", F.row_number().over(place)).where("_place = 1").drop("_place")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import full_name, strip, to_date, to_number
-from tidewell.operators.quality import ConversionRules, dedup_by_signature
+from tidewell.operators.quality import ConversionRules, dedup_by_signature, with_signature
 
 #: Raw columns and their Silver names, per table, in the contract's order.
 HEADER = {
@@ -40,30 +40,29 @@ RULES: dict[str, ConversionRules] = {
 
 
 def _named(frame: DataFrame, names: dict[str, str]) -> DataFrame:
-    """Renames what exists, adds what is missing as NULL, and drops the rest but lineage."""
-    missing = {old: F.lit(None).cast("string") for old in names if old not in frame.columns}
-    kept = [*names, *[c for c in LINEAGE if c in frame.columns]]
-    return frame.withColumns(missing).select(*[F.col(c).alias(names.get(c, c)) for c in kept]) if missing else frame.select(*[F.col(c).alias(names.get(c, c)) for c in kept])
+    """Renames what exists, adds what is missing (with source system and load date) as NULL, and drops the rest but lineage."""
+    missing = {old: F.lit(None).cast("string") for old in (*names, *LINEAGE[:2]) if old not in frame.columns}
+    full = frame.withColumns(missing) if missing else frame
+    return full.select(*[F.col(c).alias(names.get(c, c)) for c in (*names, *[c for c in LINEAGE if c in full.columns])])
 
 
-def _finished(frame: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """One row a key, in the contract's columns; the sink puts rows in key order."""
-    deduped = dedup_by_signature(frame, key) if "_load_date" in frame.columns else dedup_by_signature(frame.withColumn("_load_date", F.lit(None).cast("string")), key)
-    return deduped.select(*columns, *[c for c in ("_record_hash",) if c in frame.columns])
+def _finished(frame: DataFrame, key: str, columns: list[str], signature: bool) -> DataFrame:
+    """One row a key, in the contract's columns, with source system and load date, and the record hash if there
+    is one; with signature, also what decides between rows of one load date.  The sink puts rows in key order."""
+    deduped = dedup_by_signature(with_signature(frame, key), key, "_signature")
+    return deduped.select(*columns, *[c for c in LINEAGE if c in frame.columns], *(["_signature"] if signature else []))
 
 
-def clean_header(frame: DataFrame) -> DataFrame:
+def clean_header(frame: DataFrame, signature: bool = False) -> DataFrame:
     dates, amounts = ("order_date", "due_date", "ship_date"), ("subtotal", "tax_amt", "freight", "total_due")
-    named = _named(frame, HEADER)
-    named = named.withColumns({c: F.lit(None).cast("string") for c in ("_source_system", "_load_date") if c not in named.columns})
-    converted = named.withColumns({c: to_date(F.col(c).cast("string")) for c in dates} | {c: to_number(F.col(c)) for c in amounts})
-    return _finished(converted, "sales_order_id", [*HEADER.values(), "_source_system", "_load_date"])
+    converted = _named(frame, HEADER).withColumns({c: to_date(F.col(c).cast("string")) for c in dates} | {c: to_number(F.col(c)) for c in amounts})
+    return _finished(converted, "sales_order_id", list(HEADER.values()), signature)
 
 
-def clean_detail(frame: DataFrame) -> DataFrame:
+def clean_detail(frame: DataFrame, signature: bool = False) -> DataFrame:
     named = _named(frame, DETAIL)
     converted = named.withColumns({c: to_number(F.col(c)) for c in ("unit_price", "unit_price_discount", "line_total")} | {"order_qty": F.col("order_qty").cast("string").try_cast("bigint")})
-    return _finished(converted, "sales_order_detail_id", list(DETAIL.values()))
+    return _finished(converted, "sales_order_detail_id", list(DETAIL.values()), signature)
 
 
 def one_person(people: DataFrame, key: str = "BusinessEntityID") -> DataFrame:
@@ -72,7 +71,7 @@ def one_person(people: DataFrame, key: str = "BusinessEntityID") -> DataFrame:
     return people.withColumn("_place", F.row_number().over(place)).where("_place = 1").select(F.col(key).alias("_person"), F.col("FirstName").alias("_first"), F.col("LastName").alias("_last"))
 
 
-def clean_customer(frame: DataFrame, people: DataFrame) -> DataFrame:
+def clean_customer(frame: DataFrame, people: DataFrame, signature: bool = False) -> DataFrame:
     """Individuals are named by their person and stores by their account; an individual without both
     names raises when the row is read."""
     named = _named(frame, CUSTOMER).withColumn("account_number", strip("account_number"))
@@ -87,21 +86,21 @@ def clean_customer(frame: DataFrame, people: DataFrame) -> DataFrame:
         {"customer_type": F.when(individual, "INDIVIDUAL").otherwise("STORE"), "customer_name": name, "customer_name_source": F.when(individual, "PERSON").otherwise("ACCOUNT")}
     ).drop("_person", "_first", "_last")
     columns = ["customer_id", "customer_name", "customer_type", "customer_name_source", "person_id", "store_id", "territory_id", "account_number"]
-    return _finished(typed, "customer_id", columns)
+    return _finished(typed, "customer_id", columns, signature)
 
 
-def clean_territory(frame: DataFrame) -> DataFrame:
-    return _finished(_named(frame, TERRITORY).withColumn("territory_name", strip("territory_name")), "territory_id", list(TERRITORY.values()))
+def clean_territory(frame: DataFrame, signature: bool = False) -> DataFrame:
+    return _finished(_named(frame, TERRITORY).withColumn("territory_name", strip("territory_name")), "territory_id", list(TERRITORY.values()), signature)
 
 
-def clean_salesperson(frame: DataFrame, people: DataFrame) -> DataFrame:
+def clean_salesperson(frame: DataFrame, people: DataFrame, signature: bool = False) -> DataFrame:
     """Missing names become an empty text, which validation rejects later."""
     named = _named(frame, SALESPERSON)
     numbers = {c: to_number(F.col(c)) for c in ("sales_quota", "bonus", "commission_pct")}
     joined = named.withColumns(numbers).join(one_person(people), F.col("salesperson_id") == F.col("_person"), "left")
-    typed = joined.withColumns({"salesperson_name": full_name(F.col("_first"), F.col("_last")), "name_source": F.lit("PERSON")}).drop("_person", "_first", "_last")
-    columns = ["salesperson_id", "territory_id", "salesperson_name", "sales_quota", "bonus", "commission_pct", "name_source"]
-    return _finished(typed, "salesperson_id", columns)
+    typed = joined.withColumns({"business_entity_id": F.col("salesperson_id"), "salesperson_name": full_name(F.col("_first"), F.col("_last")), "name_source": F.lit("PERSON")}).drop("_person", "_first", "_last")
+    columns = ["salesperson_id", "business_entity_id", "territory_id", "salesperson_name", "sales_quota", "bonus", "commission_pct", "name_source"]
+    return _finished(typed, "salesperson_id", columns, signature)
 
 
 def rebuild_salespeople(frame: DataFrame, people: DataFrame, person_type: str = "SP") -> DataFrame:
@@ -110,13 +109,13 @@ def rebuild_salespeople(frame: DataFrame, people: DataFrame, person_type: str =
     return clean_salesperson(frame.withColumn("BusinessEntityID", F.col("BusinessEntityID").cast("string")), keyed)
 
 
-def clean_product(frame: DataFrame) -> DataFrame:
+def clean_product(frame: DataFrame, signature: bool = False) -> DataFrame:
     named = _named(frame, PRODUCT)
     typed = named.withColumns(
         {"list_price": to_number(F.col("list_price")), "standard_cost": to_number(F.col("standard_cost")), "product_name": strip("product_name"), "is_discontinued": F.col("discontinued_date").isNotNull()}
     )
     columns = ["product_id", "product_name", "product_number", "product_line", "class", "style", "list_price", "standard_cost", "is_discontinued"]
-    return _finished(typed, "product_id", columns)
+    return _finished(typed, "product_id", columns, signature)
 
 
 #: Cleaners of one frame; those of customers and salespeople also take the people.

@@ -89,12 +89,12 @@ BRONZE = {
     )
 }
 SILVER = {
-    "sales_order_header": _spec("sales_order_header_clean", "sales_order_id", "sales_order_id BIGINT, order_date DATE, customer_id STRING, territory_id BIGINT, salesperson_id BIGINT, total_due DECIMAL(19,4)", "customer_id", "order_date"),
-    "sales_order_detail": _spec("sales_order_detail_clean", "sales_order_detail_id", "sales_order_detail_id BIGINT, sales_order_id BIGINT, product_id BIGINT, order_qty BIGINT, unit_price DECIMAL(19,4), unit_price_discount DECIMAL(19,4), line_total DECIMAL(19,4)", "sales_order_id", "product_id"),
-    "customer": _spec("customer_clean", "customer_id", "customer_id BIGINT, customer_name STRING, customer_type STRING, customer_name_source STRING, person_id BIGINT, store_id BIGINT, territory_id BIGINT, account_number STRING", "customer_name"),
-    "sales_territory": _spec("sales_territory_clean", "territory_id", "territory_id BIGINT, territory_name STRING, country_region_code STRING, territory_group STRING", "territory_name"),
-    "sales_person": _spec("sales_person_clean", "salesperson_id", "salesperson_id BIGINT, territory_id BIGINT, salesperson_name STRING, sales_quota DECIMAL(19,4), bonus DECIMAL(19,4), commission_pct DECIMAL(19,4), name_source STRING", "salesperson_name"),
-    "product": _spec("product_clean", "product_id", "product_id BIGINT, product_name STRING, product_number STRING, product_line STRING, class STRING, style STRING, list_price DECIMAL(19,4), standard_cost DECIMAL(19,4), is_discontinued BOOLEAN", "product_name"),
+    "sales_order_header": _spec("sales_order_header_clean", "sales_order_id", "sales_order_id BIGINT, order_date DATE, customer_id STRING, territory_id BIGINT, salesperson_id BIGINT, total_due DECIMAL(19,4), _source_system STRING, _load_date STRING", "customer_id", "order_date"),
+    "sales_order_detail": _spec("sales_order_detail_clean", "sales_order_detail_id", "sales_order_detail_id BIGINT, sales_order_id BIGINT, product_id BIGINT, order_qty BIGINT, unit_price DECIMAL(19,4), unit_price_discount DECIMAL(19,4), line_total DECIMAL(19,4), _source_system STRING, _load_date STRING", "sales_order_id", "product_id"),
+    "customer": _spec("customer_clean", "customer_id", "customer_id BIGINT, customer_name STRING, customer_type STRING, customer_name_source STRING, person_id BIGINT, store_id BIGINT, territory_id BIGINT, account_number STRING, _source_system STRING, _load_date STRING", "customer_name"),
+    "sales_territory": _spec("sales_territory_clean", "territory_id", "territory_id BIGINT, territory_name STRING, country_region_code STRING, territory_group STRING, _source_system STRING, _load_date STRING", "territory_name"),
+    "sales_person": _spec("sales_person_clean", "salesperson_id", "salesperson_id BIGINT, business_entity_id BIGINT, territory_id BIGINT, salesperson_name STRING, sales_quota DECIMAL(19,4), bonus DECIMAL(19,4), commission_pct DECIMAL(19,4), name_source STRING, _source_system STRING, _load_date STRING", "salesperson_name"),
+    "product": _spec("product_clean", "product_id", "product_id BIGINT, product_name STRING, product_number STRING, product_line STRING, class STRING, style STRING, list_price DECIMAL(19,4), standard_cost DECIMAL(19,4), is_discontinued BOOLEAN, _source_system STRING, _load_date STRING", "product_name"),
 }
 GOLD = {
     s.name: s

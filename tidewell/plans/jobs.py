@@ -98,7 +98,7 @@ class BronzeJob:
             deadline.check()
             c.staging.update(staging, validated=True)
             high = log.checkpoint(after)
-            c.store.put(f"control/pointers/bronze.{spec.target}.json", names | {"paths": [*kept, *paths], "high": high})
+            c.store.put(f"control/pointers/bronze.{spec.target}.json", names | {"paths": [*kept, *paths], "fresh": paths, "high": high})
             c.staging.move(staging, Stage.PUBLISHED)
             status = Status.SUCCESS_WITH_REJECTIONS if rejected else Status.SUCCESS
             c.audit.finish("table", audit_name, status, rows_read=written + rejected, rows_written=written, rows_rejected=rejected)
@@ -120,6 +120,14 @@ def read_bronze(store: Store, target: str) -> DataFrame:
     return store.spark.read.parquet(*[store.path(p) for p in pointer["paths"]])
 
 
+def read_fresh(store: Store, target: str) -> DataFrame | None:
+    """The rows that the last run brought to a Bronze table; None if it brought none."""
+    pointer = store.get(f"control/pointers/bronze.{target}.json")
+    if pointer is None:
+        raise ContractError(f"bronze {target}: nothing is published")
+    return store.spark.read.parquet(*[store.path(p) for p in pointer["fresh"]]) if pointer["fresh"] else None
+
+
 def conform(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Exactly the contract's columns, in its types; a value that can't be cast raises."""
     if lost := validation.missing_columns(df, spec.columns):

@@ -18,6 +18,7 @@ from tidewell.plans.audit import Quarantine
 from tidewell.plans.batches import BatchLog, batch_of, plan_batches, read_committed, write_batches
 from tidewell.plans.contracts import BRONZE, GOLD, Status
 from tidewell.plans.gates import overall
+from tidewell.plans.increments import IncrementalGold, IncrementalSilver
 from tidewell.plans.jobs import conform
 from tidewell.plans.store import Store
 from tidewell.plans.versions import Versions
@@ -127,6 +128,33 @@ def silver_snapshot(t):
     return versions.read_current("customer", "snap-1").select("customer_id", "customer_name", "customer_type", "person_id", "store_id")
 
 
+def _bound(t: SalesTables) -> int:
+    """An order id that nine tenths of the orders do not pass; an aggregate of one row."""
+    return t.table("orders").agg(F.percentile_approx("o_orderkey", 0.9).alias("bound")).first()["bound"] or 0
+
+
+@q.query("incremental_silver", q._CLEAN_HEADER, "raw_header")
+def incremental_silver(t):
+    """Headers up to a bound are published; then the rest comes, with newer loads of orders below the bound."""
+    rows, bound = raw.raw_header(t), _bound(t)
+    later = (F.col("SalesOrderID") > bound) | ((F.col("SalesOrderID") > bound - bound // 10) & (F.col("_load_date") == raw.NEW))
+    increments = IncrementalSilver(_store(t))
+    for snapshot, part in (("snap-1", ~later), ("snap-2", later)):
+        increments.apply({"sales_order_header": rows.where(part)}, raw.raw_person(t), snapshot)
+    return increments.read("sales_order_header").drop("_record_hash")
+
+
+@q.query("incremental_kpis", q._KPI_GOLD, "fact")
+def incremental_kpis(t):
+    """KPIs from kept parts, after the orders past a bound came to a published fact, with changed lines below it."""
+    details, headers, bound = t.detail(), t.header(), _bound(t)
+    old = details.where(F.col("sales_order_id") <= bound).withColumn("order_qty", F.when(F.col("sales_order_id") % 50 == 0, F.lit(1).cast("long")).otherwise(F.col("order_qty")))
+    increments = IncrementalGold(_store(t))
+    increments.apply(old, headers, "snap-1")
+    increments.apply(details.where((F.col("sales_order_id") > bound) | (F.col("sales_order_id") % 50 == 0)), headers, "snap-2")
+    return increments.kpis()
+
+
 @q.query("quarantined_rows", f"SELECT DISTINCT CAST(SalesOrderID AS VARCHAR) AS record_key, {q._REASONS} AS rejection_reason FROM raw_header WHERE {q._REASONS} <> ''", "raw_header")
 def quarantined_rows(t):
     """Two loads reject the same rows; the quarantine has each key and reason once."""

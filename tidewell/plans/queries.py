@@ -492,17 +492,16 @@ def silver_header(t):
 
 
 _CLEAN_DETAIL = """SELECT SalesOrderDetailID AS sales_order_detail_id, SalesOrderID AS sales_order_id, ProductID AS product_id, CAST(OrderQty AS BIGINT) AS order_qty, CAST(CAST(UnitPrice AS DECIMAL(19,4)) AS DOUBLE) AS unit_price,
-    CAST(CAST(UnitPriceDiscount AS DECIMAL(19,4)) AS DOUBLE) AS unit_price_discount, CAST(CAST(LineTotal AS DECIMAL(19,4)) AS DOUBLE) AS line_total FROM raw_detail WHERE OrderQty <> '1.5' AND LineTotal <> '1,000'"""
+    CAST(CAST(UnitPriceDiscount AS DECIMAL(19,4)) AS DOUBLE) AS unit_price_discount, CAST(CAST(LineTotal AS DECIMAL(19,4)) AS DOUBLE) AS line_total, _source_system, _load_date FROM raw_detail WHERE OrderQty <> '1.5' AND LineTotal <> '1,000'"""
 
 
 @query("silver_detail", _CLEAN_DETAIL, "raw_detail")
 def silver_detail(t):
-    clean = silver.clean_detail(quality.valid_rows(raw.raw_detail(t), silver.RULES["sales_order_detail"]))
-    return clean.select("sales_order_detail_id", "sales_order_id", "product_id", "order_qty", "unit_price", "unit_price_discount", "line_total")
+    return silver.clean_detail(quality.valid_rows(raw.raw_detail(t), silver.RULES["sales_order_detail"])).drop("_record_hash")
 
 
 _CLEAN_CUSTOMER = r"""SELECT CustomerID AS customer_id, CASE WHEN PersonID IS NOT NULL THEN n ELSE a END AS customer_name, CASE WHEN PersonID IS NOT NULL THEN 'INDIVIDUAL' ELSE 'STORE' END AS customer_type,
-    CASE WHEN PersonID IS NOT NULL THEN 'PERSON' ELSE 'ACCOUNT' END AS customer_name_source, PersonID AS person_id, StoreID AS store_id, TerritoryID AS territory_id, a AS account_number
+    CASE WHEN PersonID IS NOT NULL THEN 'PERSON' ELSE 'ACCOUNT' END AS customer_name_source, PersonID AS person_id, StoreID AS store_id, TerritoryID AS territory_id, a AS account_number, _source_system, _load_date
     FROM (SELECT *, regexp_replace(AccountNumber, '^\s+|\s+$', '', 'g') AS a FROM raw_customer WHERE trim(AccountNumber) <> '') LEFT JOIN names ON business_entity_id = PersonID
     QUALIFY row_number() OVER (PARTITION BY CustomerID ORDER BY _load_date DESC) = 1"""
 
@@ -513,7 +512,7 @@ def silver_customer(t):
     return clean.drop("_record_hash")
 
 
-_CLEAN_TERRITORY = r"""SELECT TerritoryID AS territory_id, trim(Name) AS territory_name, CountryRegionCode AS country_region_code, "Group" AS territory_group FROM raw_territory
+_CLEAN_TERRITORY = r"""SELECT TerritoryID AS territory_id, trim(Name) AS territory_name, CountryRegionCode AS country_region_code, "Group" AS territory_group, _source_system, _load_date FROM raw_territory
     WHERE regexp_replace(CountryRegionCode, '^\s+$', '') <> '' AND trim("Group") <> ''"""
 
 
@@ -532,19 +531,19 @@ def silver_rejected_territory(t):
     return quality.rejected_rows(raw.raw_territory(t), silver.RULES["sales_territory"], "TerritoryID")
 
 
-_SALESPERSON = """SELECT CASE WHEN salesperson_id % 10 = 0 THEN salesperson_id + 100000000 ELSE salesperson_id END AS salesperson_id, territory_id, coalesce(n, '') AS salesperson_name, CAST(250000 AS DOUBLE) AS sales_quota, CAST(0 AS DOUBLE) AS bonus,
-    CAST(0.015 AS DOUBLE) AS commission_pct, 'PERSON' AS name_source FROM salesperson LEFT JOIN names ON business_entity_id = CASE WHEN salesperson_id % 10 = 0 THEN salesperson_id + 100000000 ELSE salesperson_id END"""
+_SALESPERSON = """SELECT e AS salesperson_id, e AS business_entity_id, territory_id, coalesce(n, '') AS salesperson_name, CAST(250000 AS DOUBLE) AS sales_quota, CAST(0 AS DOUBLE) AS bonus,
+    CAST(0.015 AS DOUBLE) AS commission_pct, 'PERSON' AS name_source, _source_system, _load_date FROM (SELECT BusinessEntityID AS e, TerritoryID AS territory_id, _source_system, _load_date FROM raw_salesperson) LEFT JOIN names ON business_entity_id = e"""
 
 
-@query("silver_salesperson", _SALESPERSON, "salesperson", "names")
+@query("silver_salesperson", _SALESPERSON, "raw_salesperson", "names")
 def silver_salesperson(t):
     return silver.clean_salesperson(raw.raw_salesperson(t), raw.raw_person(t)).drop("_record_hash")
 
 
 @query(
     "salesperson_fix",
-    f"""SELECT CAST(salesperson_id AS VARCHAR) AS salesperson_id, territory_id, CASE WHEN salesperson_id % 3 = 0 THEN salesperson_name ELSE '' END AS salesperson_name, sales_quota, bonus, commission_pct, name_source FROM ({_SALESPERSON})""",
-    "salesperson", "names",
+    f"""SELECT * REPLACE (CAST(salesperson_id AS VARCHAR) AS salesperson_id, CAST(business_entity_id AS VARCHAR) AS business_entity_id, CASE WHEN salesperson_id % 3 = 0 THEN salesperson_name ELSE '' END AS salesperson_name) FROM ({_SALESPERSON})""",
+    "raw_salesperson", "names",
 )
 def salesperson_fix(t):
     people = raw.raw_person(t).withColumn("PersonType", F.when(F.col("BusinessEntityID") % 3 == 0, "SP").otherwise("IN"))
@@ -552,7 +551,7 @@ def salesperson_fix(t):
 
 
 _CLEAN_PRODUCT = """SELECT ProductID AS product_id, trim(Name) AS product_name, ProductNumber AS product_number, ProductLine AS product_line, Class AS class, Style AS style, CAST(CAST(ListPrice AS DECIMAL(19,4)) AS DOUBLE) AS list_price,
-    CAST(NULL AS DOUBLE) AS standard_cost, DiscontinuedDate IS NOT NULL AS is_discontinued FROM raw_product WHERE ListPrice <> 'n/a' AND trim(ProductNumber) <> ''"""
+    CAST(NULL AS DOUBLE) AS standard_cost, DiscontinuedDate IS NOT NULL AS is_discontinued, _source_system, _load_date FROM raw_product WHERE ListPrice <> 'n/a' AND trim(ProductNumber) <> ''"""
 
 
 @query(
@@ -675,7 +674,7 @@ _CLEAN = {
     "sales_order_header": (_CLEAN_HEADER, "raw_header"), "sales_order_detail": (_CLEAN_DETAIL, "raw_detail"), "customer": (_CLEAN_CUSTOMER, "raw_customer"),
     "sales_territory": (_CLEAN_TERRITORY, "raw_territory"), "sales_person": (_SALESPERSON, "raw_salesperson"), "product": (_CLEAN_PRODUCT, "raw_product"),
 }
-_CLEAN_NEEDS = (*[n for _, n in _CLEAN.values()], "names", "salesperson")
+_CLEAN_NEEDS = (*[n for _, n in _CLEAN.values()], "names")
 
 
 def _missing(columns: tuple[str, ...], blank: bool) -> str:
