@@ -59,13 +59,13 @@ def test_equal_hashes_of_other_words(spark):
     """Contexts go by the 128-bit hash of their words: equal ranks alone, here of all windows, remove nothing."""
     words = [b"w%d" % i for i in range(400)]
     same = np.zeros(len(words) - s.ANCHOR + 1, dtype=np.uint64)
-    low, high, rank = s.stretches(np.arange(len(words) - s.WINDOW + 1), same)
-    assert (rank == 0).all() and low[0] == 0 and high[-1] == len(words) - s.WINDOW and (low[1:] == high[:-1] + 1).all()
-    rows = [(i, i, 0, *s.name_of(b"context %d" % i), 0, 5) for i in range(4)] + [(9, 9, 0, *s.name_of(b"context 2"), 3, 8)]
+    low, high, rank, place = s.stretches(np.arange(len(words) - s.WINDOW + 1), same)
+    assert (rank == 0).all() and low[0] == 0 and high[-1] == len(words) - s.WINDOW and (low[1:] == high[:-1] + 1).all() and (place >= high).all()
+    texts = {i: b" ".join([b"t%d" % i] * 6 + words[:60]) for i in range(4)} | {9: b" ".join(words[2:62] + [b"x"] * 6)}
+    part = lambda i, low, high: b" ".join(texts[i].split()[low : high + s.WINDOW])
+    # windows 8 to 16 of text i are windows 0 to 8 of text 9, and all contexts have one rank
+    rows = [(i, i, 0, *s.name_of(part(i, 0, 12)), 0, 12, 12) for i in range(4)] + [(9, 9, 0, *s.name_of(part(9, 0, 11)), 0, 11, 4)]
     contexts = spark.createDataFrame(rows, s.CONTEXT_SQL)
-    candidates = spark.createDataFrame([(i, i, f"text {i}") for i in (0, 1, 2, 3, 9)], "doc_id long, cid long, text string")
-
-    def cut(text, parts):
-        return [(low, text + b" string") for low, _ in parts]
-
-    assert [tuple(r) for r in s.earlier(contexts, candidates, cut).collect()] == [(9, 3, 8)]
+    candidates = spark.createDataFrame([(i, i, t.decode()) for i, t in texts.items()], "doc_id long, cid long, text string")
+    gone = {(r["cid"], at) for r in s.earlier(contexts, candidates, s._STRINGS).collect() for at in range(r["low"], r["high"] + 1)}
+    assert gone == {(i, at) for i in (1, 2, 3) for at in range(6, 13)} | {(9, at) for at in range(5)}

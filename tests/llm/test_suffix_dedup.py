@@ -50,7 +50,8 @@ def test_samples_depend_on_the_string_alone(monkeypatch):
         chosen = {}
         for _ in range(20):
             text = bytes(draw.choice(b"ab") for _ in range(draw.randrange(400)))
-            first, last, ranks = s.samples(text)
+            first, last, ranks, places = s.samples(text)
+            assert ((places >= last) & (places < first + s.REACH)).all()
             assert s._all_starts(first, last).tolist() == list(range(max(0, len(text) - s.MATCH + 1)))
             for low, high, rank in zip(first.tolist(), last.tolist(), ranks.tolist(), strict=True):
                 for at in range(low, high + 1):

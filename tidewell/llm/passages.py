@@ -1,15 +1,19 @@
 """Strings of a fixed width that also start in a document with a smaller id: what both passage dedups share.
 
 A context is a stretch of strings side by side that chose the same sample, so one row stands for all of
-them.  If a context stands in an earlier document, all its strings do.  Only where samples of equal rank
-have different contexts, at the ends of repeated passages, the strings become rows of their own.
-Contexts and strings are compared by 128-bit hashes; both are aggregated before they are shuffled, and the
+them.  If a context stands in an earlier document, all its strings do.  Where samples of equal rank have
+different contexts, at the ends of repeated passages, contexts are cut into parts at fixed distances from
+the sample.  The rank of a part is what all its strings share, and parts are judged like contexts; where
+parts of equal rank differ they are cut again, at last into single strings.
+
+Contexts and parts are compared by 128-bit hashes; both are aggregated before they are shuffled, and the
 joins back are joins of two plain exchanges, whose hot keys Spark can split.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
@@ -17,12 +21,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, chunked
-from tidewell.sources.settled import settle
+from tidewell.sources.settled import release, scratch, settle
 
-#: low and high: the first and the last start of a context's strings; a and b: its name.
-CONTEXT = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("rank", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
-CONTEXT_SQL = "doc_id long, cid long, rank long, a long, b long, low long, high long"
-_STRING = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64())])
+#: low, high and at: the first and the last start of a context's strings, and its sample's; a and b: its name.
+CONTEXT = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("rank", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("at", pa.int64())])
+CONTEXT_SQL = "doc_id long, cid long, rank long, a long, b long, low long, high long, at long"
+_SPAN = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("at", pa.int64()), ("content", pa.binary())])
+_PART = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("span", pa.int64()), ("rank", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
 
 def name_of(string: bytes) -> tuple[int, int]:
@@ -31,27 +36,74 @@ def name_of(string: bytes) -> tuple[int, int]:
     return (h >> 64) - (1 << 63), (h & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
 
 
-def earlier(contexts: DataFrame, candidates: DataFrame, cut: Callable[[bytes, list[tuple[int, int]]], Iterator[tuple[int, bytes]]]) -> DataFrame:
+@dataclass(frozen=True)
+class Strings:
+    """What strings are made of: units of a text, how many make a string, and the starts in a part, of each round."""
+
+    width: int
+    steps: tuple[int, ...]
+    units: Callable[[bytes], Sequence]
+    join: Callable[[Sequence], bytes]
+
+
+def _sql(schema: pa.Schema) -> str:
+    return ", ".join(f"{f.name} {'binary' if f.type == pa.binary() else 'long'}" for f in schema)
+
+
+def _judge(contexts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Contexts that an earlier document has, and those at the ends: the first documents' contexts whose rank has others in other documents."""
+    with scratch() as kept:
+        owners = settle(contexts.groupBy("a", "b").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.min("rank").alias("rank")), "owners")
+        ends = owners.groupBy("rank").agg(F.count("*").alias("n"), F.min("owner").alias("low"), F.max("last").alias("high")).where("n > 1 and low < high")
+        ends = settle(ends.select("rank", F.lit(True).alias("ends")), "ends")
+        named = owners.join(ends, "rank", "left").where("owner < last or ends").select("a", "b", "owner", F.coalesce("ends", F.lit(False)).alias("ends"))
+        met = contexts.drop("rank").join(settle(named, "named"), ["a", "b"]).where("doc_id > owner or ends")
+        judged = settle(met.withColumn("gone", F.col("doc_id") > F.col("owner")).drop("a", "b", "owner", "ends"), "judged")
+        kept.append(judged)
+    return judged.where("gone").select("cid", "low", "high"), judged.where("not gone").drop("gone")
+
+
+def earlier(contexts: DataFrame, candidates: DataFrame, of: Strings) -> DataFrame:
     """cid, low and high: first and last starts of strings that also start in a document with a smaller id.
-    contexts: a table; candidates: doc_id, cid, text; cut: start and content of each string in some stretches of a text."""
+    contexts: a settled table, which goes; candidates: doc_id, cid, text."""
 
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows(batch: pa.RecordBatch):
-            ids, cids, parts = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+            ids, cids, found = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
             for k, text in enumerate(binaries(batch.column(2))):
-                for at, string in cut(text, [tuple(x.values()) for x in parts[k].as_py()]):
-                    yield ids[k], cids[k], *name_of(string), at
+                units = of.units(text)
+                for low, high, at in (x.values() for x in found[k].as_py()):
+                    yield ids[k], cids[k], low, high, at, of.join(units[low : high + of.width])
 
         for batch in batches:
-            yield from chunked(rows(batch), _STRING)
-
-    owners = settle(contexts.groupBy("a", "b").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.min("rank").alias("rank")), "owners")
-    ends = settle(owners.groupBy("rank").agg(F.count("*").alias("n")).where("n > 1").select("rank", F.lit(True).alias("ends")), "ends")
-    owners = settle(owners.join(ends, "rank", "left").where("owner < last or ends").select("a", "b", "owner", F.coalesce("ends", F.lit(False)).alias("ends")), "owners")
-    judged = settle(contexts.join(owners, ["a", "b"]).where("doc_id > owner or ends").select("cid", "low", "high", (F.col("doc_id") > F.col("owner")).alias("gone")), "judged")
-    parts = judged.where("not gone").groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("parts"))
-    found = candidates.select("doc_id", "cid", "text").join(parts, "cid").select("doc_id", "cid", "text", "parts")
-    single = settle(found.mapInArrow(strings, "doc_id long, cid long, a long, b long, low long"), "strings")
-    older = settle(single.groupBy("a", "b").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("a", "b", "owner"), "older")
-    alone = single.join(older, ["a", "b"]).where("doc_id > owner").select("cid", "low", F.col("low").alias("high"))
-    return alone.unionByName(judged.where("gone").select("cid", "low", "high"))
+            yield from chunked(rows(batch), _SPAN, 1024)
+
+    def parts(step: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def rows(batch: pa.RecordBatch):
+            for doc_id, cid, span, at, content, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                units = of.units(content)
+                for low, high in (x.values() for x in found):
+                    for k in range((at - high) // step, (at - low) // step + 1):
+                        first, last = max(low, at - (k + 1) * step + 1), min(high, at - k * step)
+                        # what all strings at this distance from the sample share, wherever their part ends
+                        shared = of.join(units[at - k * step - span : at - (k + 1) * step + 1 - span + of.width])
+                        yield doc_id, cid, span, name_of(b"%d:%b" % (k, shared))[0], *name_of(of.join(units[first - span : last - span + of.width])), first, last
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield from chunked(rows(batch), _PART)
+
+        return run
+
+    whole, ends = _judge(contexts)
+    release(contexts)
+    found = candidates.select("doc_id", "cid", "text").join(ends.groupBy("cid").agg(F.collect_list(F.struct("low", "high", "at")).alias("found")), "cid")
+    contents = settle(found.select("doc_id", "cid", "text", "found").mapInArrow(spans, _sql(_SPAN)), "spans").withColumnRenamed("low", "span")
+    left = contents.withColumn("found", F.array(F.struct(F.col("span").alias("low"), "high")))
+    for step in of.steps:
+        made = settle(left.select("doc_id", "cid", "span", "at", "content", "found").mapInArrow(parts(step), _sql(_PART)), "parts")
+        cut, ends = _judge(made)
+        release(made)
+        whole = whole.unionByName(cut)
+        left = contents.join(ends.groupBy("cid", "span").agg(F.collect_list(F.struct("low", "high")).alias("found")), ["cid", "span"])
+    return whole

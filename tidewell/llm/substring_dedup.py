@@ -32,13 +32,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, chunked, shared_names, small_batches, table, windows, word_hashes
-from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, earlier, name_of
+from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, Strings, earlier, name_of
 from tidewell.sources.settled import release, settle
 
 WINDOW, PERIOD = 50, 31
 ANCHOR = WINDOW - PERIOD + 1
 #: A perfect difference set: every difference modulo 31 but 0 occurs exactly once (fixed values).
 COVER = (1, 5, 11, 24, 25, 27)
+_NOTHING = hashlib.sha256(b"").hexdigest()
 _HASH, _PLACE = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 _IN_COVER = np.isin(np.arange(PERIOD), COVER)
 
@@ -79,14 +80,15 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from chunked(rows(batch), _SKETCH, 512)
 
 
-def stretches(starts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last start, and rank, of the windows side by side that chose the same gram of ANCHOR words."""
+def stretches(starts: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of windows side by side that chose the same gram of ANCHOR words: first and last start, the gram's rank and place."""
     least, width = (grams & _HASH) | np.arange(len(grams), dtype=np.uint64), 1
     while 2 * width <= PERIOD:
         least, width = np.minimum(least[:-width], least[width:]), 2 * width
     at = (np.minimum(least[starts], least[starts + PERIOD - width]) & _PLACE).astype(np.int64)
     turns = np.flatnonzero((at[1:] != at[:-1]) | (np.diff(starts) > 1)) + 1
-    return starts[np.concatenate([[0], turns])], starts[np.concatenate([turns, [len(starts)]]) - 1], grams[at[np.concatenate([[0], turns])]].view(np.int64)
+    first = np.concatenate([[0], turns])
+    return starts[first], starts[np.concatenate([turns, [len(starts)]]) - 1], grams[at[first]].view(np.int64), at[first]
 
 
 def _places(words: list[bytes]) -> tuple[bytes, list[int]]:
@@ -110,21 +112,17 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
             if len(starts):
                 joined, places = _places(words)
-                for low, high, rank in zip(*(x.tolist() for x in stretches(starts, windows(hashes, ANCHOR))), strict=True):
-                    yield ids[k], cids[k], rank, *name_of(joined[places[low] : places[high + WINDOW] - 1]), low, high
+                for low, high, rank, place in zip(*(x.tolist() for x in stretches(starts, windows(hashes, ANCHOR))), strict=True):
+                    yield ids[k], cids[k], rank, *name_of(joined[places[low] : places[high + WINDOW] - 1]), low, high, place
 
     for batch in batches:
         yield from chunked(rows(batch), CONTEXT)
 
 
-def _strings(text: bytes, parts: list[tuple[int, int]]) -> Iterator[tuple[int, bytes]]:
-    joined, places = _places(text.split())
-    for low, high in parts:
-        for at in range(low, high + 1):
-            yield at, joined[places[at] : places[at + WINDOW] - 1]
+_STRINGS = Strings(WINDOW, (8, 1), bytes.split, b" ".join)
 
 
-_KEPT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("kept_text", pa.binary())])
+_KEPT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("kept_text", pa.binary()), ("digest", pa.string())])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,7 +137,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(edges, low, 1)
             np.add.at(edges, high + WINDOW, -1)
             keep = np.flatnonzero(np.cumsum(edges[:-1]) == 0).tolist()
-            yield ids[k], seqs[k], len(words) - len(keep), b" ".join([words[i] for i in keep])
+            kept = b" ".join([words[i] for i in keep])
+            yield ids[k], seqs[k], len(words) - len(keep), kept, hashlib.sha256(kept).hexdigest()
 
     for batch in batches:
         yield from chunked(rows(batch), _KEPT, 256)
@@ -151,8 +150,8 @@ def _right_text(seq: str, text: str) -> str:
 
 
 def dedup(documents: DataFrame) -> DataFrame:
-    """doc_id, seq (hash of the words), n_words, n_removed and kept_text, which is null where the
-    words are kept as they are; one row a document."""
+    """doc_id, seq (hash of the words), n_words, n_removed, kept_text, which is null where the words are
+    kept as they are, and the hash of the kept words; one row a document."""
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     small_batches(spark)
@@ -168,21 +167,19 @@ def dedup(documents: DataFrame) -> DataFrame:
     candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
     release(sketches)
     contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, CONTEXT_SQL), "contexts")
-    gone = earlier(contexts, candidates, _strings).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
-    cut = candidates.join(gone, "cid").select("doc_id", "seq", "text", "gone").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text binary").withColumn("kept_text", F.col("kept_text").cast("string"))
+    gone = earlier(contexts, candidates, _STRINGS).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
+    cut = candidates.join(gone, "cid").select("doc_id", "seq", "text", "gone").mapInArrow(_cut, "doc_id long, seq binary, removed long, kept_text binary, digest string").withColumn("kept_text", F.col("kept_text").cast("string"))
     rows = known.join(first.select("seq", F.col("doc_id").alias("first_id")), "seq", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)) & (F.col("n_words") >= WINDOW)
     out = rows.join(cut, ["doc_id", "seq"], "left")
     return out.select(
         "doc_id", "seq", "n_words", F.when(copy, F.col("n_words")).otherwise(F.coalesce("removed", F.lit(0).cast("long"))).alias("n_removed"),
-        F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"),
+        F.when(copy, F.lit("")).otherwise(F.col("kept_text")).alias("kept_text"), F.when(copy, F.lit(_NOTHING)).otherwise(F.coalesce("digest", F.lower(F.hex("seq")))).alias("kept_sha256"),
     )
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = dedup(table(spark, sf_dir, "documents"))
-    digest = F.when(F.col("kept_text").isNull(), F.lower(F.hex("seq"))).otherwise(F.sha2("kept_text", 256))
-    return done.select("doc_id", "n_words", "n_removed", digest.alias("kept_sha256"))
+    return dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 ORACLE = r"""

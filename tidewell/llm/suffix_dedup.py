@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, chunked, mix, powers, shared_names, small_batches, table
-from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, earlier, name_of
+from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, Strings, earlier, name_of
 from tidewell.sources.settled import release, settle
 
 MATCH, GRAM = 100, 20
@@ -43,6 +43,7 @@ PREFIX = 2 * GRAM
 REACH = MATCH - PREFIX + 1
 #: Starts of strings that are handled at a time.
 BLOCK = 1 << 16
+_NOTHING = hashlib.sha256(b"").hexdigest()
 _BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 _HASH, _PLACE = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF)
 
@@ -53,8 +54,8 @@ def _sums(text: bytes, start: int, size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_BYTES[part] * up[:size])]), down
 
 
-def samples(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of each sample: the first and the last start of the strings that chose it, and its rank."""
+def samples(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each sample: the first and the last start of the strings that chose it, its rank and its place."""
     found = []
     for base in range(0, len(text) - MATCH + 1, BLOCK):
         starts = min(BLOCK, len(text) - MATCH + 1 - base)
@@ -67,9 +68,9 @@ def samples(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         turns = np.flatnonzero(at[1:] != at[:-1]) + 1
         first, last = np.concatenate([[0], turns]), np.concatenate([turns - 1, [starts - 1]])
         at = at[first]
-        found.append((first + base, last + base, mix((sums[at + PREFIX] - sums[at]) * down[at]).view(np.int64)))
+        found.append((first + base, last + base, mix((sums[at + PREFIX] - sums[at]) * down[at]).view(np.int64), at + base))
     if not found:
-        return (np.empty(0, dtype=np.int64),) * 3
+        return (np.empty(0, dtype=np.int64),) * 4
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -140,30 +141,27 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def rows(batch: pa.RecordBatch):
         ids, cids, shared = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
         for k, text in enumerate(binaries(batch.column(2))):
-            first, last, ranks = samples(text)
+            first, last, ranks, places = samples(text)
             _, back, count = np.unique(ranks, return_inverse=True, return_counts=True)
             own, met = count[back] > 1, shared[k].values
             again = _own_repeats(text, _all_starts(first[own], last[own]))
             for low, high in _spans(again):
-                yield ids[k], cids[k], None, None, None, low, high
+                yield ids[k], cids[k], None, None, None, low, high, None
             open_ = own | np.isin(ranks, met.to_numpy()) if met is not None else own
             left = last - first + 1 > np.searchsorted(again, last, side="right") - np.searchsorted(again, first)
             for i in np.flatnonzero(open_ & left).tolist():
                 low, high = int(first[i]), int(last[i])
-                yield ids[k], cids[k], int(ranks[i]), *name_of(text[low : high + MATCH]), low, high
+                yield ids[k], cids[k], int(ranks[i]), *name_of(text[low : high + MATCH]), low, high, int(places[i])
 
     for batch in batches:
         yield from chunked(rows(batch), CONTEXT)
 
 
-def _strings(text: bytes, parts: list[tuple[int, int]]) -> Iterator[tuple[int, bytes]]:
-    for low, high in parts:
-        for at in range(low, high + 1):
-            yield at, text[at : at + MATCH]
+_STRINGS = Strings(MATCH, (16, 4, 1), lambda text: text, lambda units: units)
 
 
-_CUT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("spans", pa.int64()), ("kept", pa.binary())])
-_CUT_SQL = "doc_id long, seq binary, removed long, spans long, kept binary"
+_CUT = pa.schema([("doc_id", pa.int64()), ("seq", pa.binary()), ("removed", pa.int64()), ("spans", pa.int64()), ("kept", pa.binary()), ("digest", pa.string())])
+_CUT_SQL = "doc_id long, seq binary, removed long, spans long, kept binary, digest string"
 
 
 def without(text: bytes, low: np.ndarray, high: np.ndarray) -> tuple[int, int, bytes]:
@@ -181,7 +179,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, seqs, gone = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
         for k, text in enumerate(binaries(batch.column(2))):
             parts = gone[k].values
-            yield ids[k], seqs[k], *without(text, *(parts.field(i).to_numpy() for i in (0, 1)))
+            removed, stretches, kept = without(text, *(parts.field(i).to_numpy() for i in (0, 1)))
+            yield ids[k], seqs[k], removed, stretches, kept, hashlib.sha256(kept).hexdigest()
 
     for batch in batches:
         yield from chunked(rows(batch), _CUT, 128)
@@ -196,7 +195,7 @@ def _cut_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = _spans(_own_repeats(text, np.arange(max(0, len(text) - MATCH + 1))))
             low, high = np.array(spans, dtype=np.int64).reshape(-1, 2).T
             removed, stretches, kept = without(text, low, high)
-            yield None, hashlib.sha256(text).digest(), len(text), removed, stretches, kept
+            yield None, hashlib.sha256(text).digest(), len(text), removed, stretches, kept, hashlib.sha256(kept).hexdigest()
 
     schema = pa.schema([*list(_CUT)[:2], pa.field("n_bytes", pa.int64()), *list(_CUT)[2:]])
     for batch in batches:
@@ -204,8 +203,8 @@ def _cut_alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def dedup(documents: DataFrame) -> DataFrame:
-    """doc_id, seq (SHA-256 of the text), n_bytes, n_removed, n_spans and kept (the bytes that stay; null where
-    all do); one row a document."""
+    """doc_id, seq (SHA-256 of the text), n_bytes, n_removed, n_spans, kept (the bytes that stay; null where all
+    do) and their hash; one row a document."""
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     small_batches(spark)
@@ -222,24 +221,24 @@ def dedup(documents: DataFrame) -> DataFrame:
     release(sketches)
     # Round 2: past the threshold, by contexts.
     contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, CONTEXT_SQL), "contexts")
-    # Round 3, single strings, follows where contexts of one rank differ.
-    older = earlier(contexts.where("a is not null"), candidates, _strings).select("cid", "low", (F.col("high") + MATCH).alias("high"))
-    gone = older.unionByName(contexts.where("a is null").select("cid", "low", "high")).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
+    # Further rounds, over parts of contexts down to single strings, follow where contexts of one rank differ.
+    own = settle(contexts.where("a is null").select("cid", "low", "high"), "own")
+    older = earlier(contexts, candidates, _STRINGS).select("cid", "low", (F.col("high") + MATCH).alias("high"))
+    gone = older.unionByName(own).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))
     cut = candidates.join(gone, "cid").select("doc_id", "seq", "text", "gone").mapInArrow(_cut, _CUT_SQL)
     rows = known.join(first.select("seq", F.col("doc_id").alias("first_id")), "seq", "left").join(cut, ["doc_id", "seq"], "left")
     copy, none = F.coalesce(F.col("doc_id") > F.col("first_id"), F.lit(False)), F.lit(0).cast("long")
     out = rows.select(
         "doc_id", "seq", "n_bytes", F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("removed", none)).alias("n_removed"),
         F.when(copy, F.lit(1).cast("long")).otherwise(F.coalesce("spans", none)).alias("n_spans"), F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept"),
+        F.when(copy, F.lit(_NOTHING)).otherwise(F.coalesce("digest", F.lower(F.hex("seq")))).alias("kept_sha256"),
     )
-    alone = texts.where("doc_id is null").select("text").mapInArrow(_cut_alone, "doc_id long, seq binary, n_bytes long, n_removed long, n_spans long, kept binary")
+    alone = texts.where("doc_id is null").select("text").mapInArrow(_cut_alone, "doc_id long, seq binary, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     return out.unionByName(alone)
 
 
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = dedup(table(spark, sf_dir, "documents"))
-    digest = F.when(F.col("kept").isNull(), F.lower(F.hex("seq"))).otherwise(F.sha2("kept", 256))
-    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", digest.alias("kept_sha256"))
+    return dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 ORACLE = rf"""
