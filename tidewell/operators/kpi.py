@@ -138,8 +138,8 @@ def revenue_growth(fact: DataFrame, dates: DataFrame) -> DataFrame:
     return years.select("year", "revenue", F.when(before.isNotNull(), F.round((F.col("revenue") - before) / before, 6)).alias("growth"))
 
 
-def rfm(fact: DataFrame, as_of: int) -> DataFrame:
-    """Extension: recency (days), frequency (orders) and money of every customer."""
-    sums = fact.groupBy("customer_id").agg(F.max("order_date_id").alias("last"), F.count_distinct("sales_order_id").alias("frequency"), F.sum("net_sales").cast("double").alias("money"))
+def rfm(fact: DataFrame, as_of: int, exact: bool = False) -> DataFrame:
+    """Extension: recency (days), frequency (orders) and money of every customer; exact: money as the decimal it is."""
+    sums = fact.groupBy("customer_id").agg(F.max("order_date_id").alias("last"), F.count_distinct("sales_order_id").alias("frequency"), F.sum("net_sales").alias("money"))
     day = lambda c: F.to_date(c.cast("string"), "yyyyMMdd")
-    return sums.select("customer_id", F.datediff(day(F.lit(as_of)), day(F.col("last"))).cast("bigint").alias("recency"), "frequency", "money")
+    return sums.select("customer_id", F.datediff(day(F.lit(as_of)), day(F.col("last"))).cast("bigint").alias("recency"), "frequency", F.col("money") if exact else F.col("money").cast("double").alias("money"))

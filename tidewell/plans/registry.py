@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewell.plans import layer_queries  # noqa: F401  (registers its queries)
+from tidewell.plans import customer_queries, layer_queries, stream_queries  # noqa: F401  (registers its queries)
 from tidewell.plans.queries import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
