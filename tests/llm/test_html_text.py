@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import time
+from collections import Counter
 from html.parser import HTMLParser
 
+import pyarrow.parquet as pq
 import pytest
 
 from tidewell.llm import html_text
@@ -102,3 +105,42 @@ def test_whole_table_against_another_parser(spark):
         parser.cut()
         assert rows[r["page_id"]]["text"] == "\n\n".join(parser.found), r["page_id"]
         assert rows[r["page_id"]]["n_chars"] == len(rows[r["page_id"]]["text"])
+
+
+OPEN = "The shop is open from nine to five on all days of the week but Sunday, and it is closed when the river is over the road. "
+
+
+def test_no_page_is_lost_to_its_length_or_a_teaser():
+    short = OPEN.split(",")[0] + "."
+    assert html_text.main_text(f'<body><form id="aspnetForm"><p>{short}</p></form>') == short
+    assert html_text.main_text(f'<body><div class="sidebar"><p>{short}</p></div>') == short
+    assert html_text.main_text("<nav><a href=x>Home</a></nav><p>One.</p><footer>Ours</footer>") == "One."
+    paragraphs = [(OPEN * 3).strip(), (OPEN * 3)[5:].strip()]
+    page = f'<div id="content"><p>{paragraphs[0]}</p><p>{paragraphs[1]}</p></div><div class="more"><article>Read on: the river in spring.</article></div>'
+    text = html_text.main_text(page)
+    assert all(p in text for p in paragraphs)
+    assert html_text.main_text(f"<p>{OPEN}</p><article><p>{paragraphs[0]}</p></article>") == paragraphs[0]
+
+
+def test_links_and_comments_in_the_article():
+    long = OPEN.strip()
+    page = f"<article><p>{long}</p><p><a href=x>See how the river rose over the road</a></p><p>{long}</p>"
+    assert html_text.main_text(page + "</article>") == f"{long}\n\nSee how the river rose over the road\n\n{long}"
+    links = "<ul><li><a href=x>One more</a></li><li><a href=y>Another</a></li></ul>"
+    talk = f'<section class="discussion"><p>{long}</p></section>'
+    assert html_text.main_text(f"{page}{links}{talk}</article>") == f"{long}\n\nSee how the river rose over the road\n\n{long}"
+
+
+@pytest.mark.parametrize(("names", "precision"), [(True, 0.99), (False, 0.97)])
+def test_the_passes_decide_without_containers(names, precision):
+    """With article tags renamed, and all names gone, nearly the same blocks are good, and no page is empty."""
+    table = pq.read_table("/root/testdata/sf0.01/pages.parquet", columns=["html"])
+    right = wrong = lost = 0
+    for page in table.column("html").to_pylist():
+        want = Counter(html_text.main_text(page).split("\n\n"))
+        other = re.sub(r"<(/?)article\b", r"<\1div", page)
+        other = other if names else re.sub(r"""\s(class|id|role)=("[^"]*"|'[^']*'|[^\s>]+)""", "", other)
+        got = Counter(html_text.main_text(other).split("\n\n"))
+        assert got[""] == 0
+        right, wrong, lost = right + sum((want & got).values()), wrong + sum((got - want).values()), lost + sum((want - got).values())
+    assert right / (right + wrong) >= precision and right / (right + lost) >= 0.99

@@ -4,8 +4,10 @@ A page is cut into blocks at block-level tags.  The first pass classifies each b
 containers it stands in and from its length, stop-word density and link density: good, bad,
 or, if it is too short to tell, undecided.  The second pass gives an undecided block the label of
 the nearest decided neighbours in its own section: the label of both if they agree, else of the
-nearer one.  Good blocks are joined in page order.  Names (class, id) and forms around a block make it
-bad, but never reject a whole page: if no block is good, the passes decide again without them.  Where
+nearer one.  Headings start sections.  Good blocks are joined in page order.  Article and main decide where they
+hold most of the text.  Names (class, id) and forms around a block make it
+bad, but never reject a whole page: if no block is good, the passes decide again without them, and at last
+all is text that is not bad for another reason.  Where
 few stop words show that a page is in none of the known languages, their density decides nothing.
 
 Defined results: null, empty or textless html gives an empty text; unclosed and stray tags,
@@ -21,7 +23,7 @@ from __future__ import annotations
 import html as references
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -47,7 +49,7 @@ FORM_CONTAINERS = frozenset("form dialog fieldset".split())
 MAIN_CONTAINERS = frozenset("article main".split())
 #: Words of class, id and role attributes that name parts around the main text.
 BAD_NAMES = re.compile(
-    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navbox|navigation|navi|menu|menubar|menus|breadcrumbs?|sidebar|footer|masthead|cookie\w*|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|disqus|respond|reply|replies|pagination|pager|widget|toolbar|legal|copyright|alert|search",
+    r"ad|ads|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav|navbar|navbox|navigation|navi|menu|menubar|menus|breadcrumbs?|sidebar|footer|masthead|cookie\w*|consent|notice|gdpr|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommend\w*|comments?|commentlist|discussions?|disqus|respond|reply|replies|pagination|pager|widget|toolbar|legal|copyright|alert|search",
     re.IGNORECASE,
 )
 #: Those of them that name no layout, so what they name is never the main text.
@@ -59,10 +61,7 @@ PLAIN_NAMES = frozenset(
 SITE_HEADERS = re.compile(r"(?:^|\s)(?:(?:site|page|global|top|main)[_-]?)?header(?:$|\s)", re.IGNORECASE)
 BAD_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert".split())
 #: Length in characters below which a block can't be judged alone, and the densities that decide.
-SHORT, LINKS_MOST, STOPS_LOW, STOPS_HIGH = 70, 0.5, 0.1, 0.2
-
-#: A page without a good block is decided again without names and forms; that must give so many characters.
-LEAST_PAGE = 3 * SHORT
+SHORT, LINKS_MOST, LINKS_FEW, STOPS_LOW, STOPS_HIGH = 70, 0.5, 0.1, 0.1, 0.2
 
 _STOP = re.compile(r">|=\s*[\"']")
 _NAME = re.compile(r"[^\s/>]+")
@@ -193,6 +192,8 @@ class Block:
     wrapped: int | None = None
     #: Bad for another reason than a form or a name of a layout.
     firm: bool = False
+    #: Bad by its tag, its role or because it is hidden.
+    hard: bool = False
 
 
 def _is_bad_name(token: str) -> bool:
@@ -256,7 +257,7 @@ def blocks(page: str) -> list[Block]:
             hard = bad_parts["kind"] > 0
             bad = hard or bad_parts["form"] > 0 or named() > passed[-1]
             wrapped = around[-1][1] if bad and in_main and not hard and not bad_parts["form"] and named() == around[-1][0] else None
-            found.append(Block(text, in_main > 0, bad, heading, len(text), min(1.0, links / max(1, len(raw.strip()))), stops / len(words), wrapped, hard or bad_parts["firm"] > 0))
+            found.append(Block(text, in_main > 0, bad, heading, len(text), min(1.0, links / max(1, len(raw.strip()))), stops / len(words), wrapped, hard or bad_parts["firm"] > 0, hard))
 
     def leave(k: int) -> None:
         nonlocal in_main, in_link
@@ -330,27 +331,35 @@ def first_pass(block: Block, has_main: bool, known_language: bool = True) -> boo
         return None
     if block.stop_share >= STOPS_HIGH or not known_language:
         return True
-    return None if block.stop_share >= STOPS_LOW else False
+    return None if block.stop_share >= STOPS_LOW or block.link_share <= LINKS_FEW else False
 
 
 def second_pass(page_blocks: list[Block], labels: list[bool | None]) -> list[bool]:
     """Undecided blocks take the label of the nearest decided neighbours; blocks of menus, adverts
-    and the like are no neighbours, as they are of another section."""
+    and the like are no neighbours, as they are of another section.  A heading starts a section, so a block
+    above one is no neighbour of what is below it; what then has none, but a menu or the like before it, is
+    part of the page's head."""
     n = len(labels)
     before: list[tuple[int, bool] | None] = [None] * n
     after: list[tuple[int, bool] | None] = [None] * n
-    for order, side, step in ((range(n), before, 1), (range(n - 1, -1, -1), after, -1)):
+    for order, side in ((range(n), before), (range(n - 1, -1, -1), after)):
         last: dict[bool, tuple[int, bool]] = {}
         for i in order:
             section = page_blocks[i].in_main
             side[i] = last.get(section)
             if labels[i] is not None and not page_blocks[i].in_bad:
                 last[section] = (i, labels[i])
-    out = []
+            if side is after and page_blocks[i].heading and not page_blocks[i].in_bad:
+                last.pop(section, None)
+    out, headed = [], False
     for i, label in enumerate(labels):
+        headed |= page_blocks[i].hard
         if label is None:
             near = [x for x in (before[i], after[i]) if x]
-            label = min(near, key=lambda x: (abs(x[0] - i), not x[1]))[1] if near else page_blocks[i].in_main or page_blocks[i].stop_share >= STOPS_LOW
+            if near:
+                label = min(near, key=lambda x: (abs(x[0] - i), not x[1]))[1]
+            else:
+                label = page_blocks[i].in_main or (page_blocks[i].stop_share >= STOPS_LOW and not headed)
         out.append(label)
     return out
 
@@ -364,23 +373,38 @@ def unwrap(found: list[Block]) -> None:
             block.in_bad = False
 
 
+def _holds_most(found: list[Block]) -> bool:
+    """Whether article and main hold at least as much text as stands in long blocks elsewhere: short articles
+    beside it are teasers."""
+    inside = sum(b.n_chars for b in found if b.in_main and not b.in_bad)
+    outside = sum(b.n_chars for b in found if not b.in_main and not b.in_bad and b.n_chars >= SHORT and b.link_share <= LINKS_FEW)
+    return inside > 0 and inside >= outside
+
+
 def _good(found: list[Block]) -> list[Block]:
-    has_main = any(b.in_main and not b.in_bad for b in found)
-    prose = [b for b in found if not b.in_bad and b.n_chars >= SHORT and b.link_share <= LINKS_MOST]
+    has_main = _holds_most(found)
+    judged = found if has_main else [replace(b, in_main=False) for b in found]
+    prose = [b for b in judged if not b.in_bad and b.n_chars >= SHORT and b.link_share <= LINKS_MOST]
     known = not prose or sum(b.stop_share * b.n_chars for b in prose) >= STOPS_LOW * sum(b.n_chars for b in prose)
-    labels = second_pass(found, [first_pass(b, has_main, known) for b in found])
+    labels = [first_pass(b, has_main, known) for b in judged]
+    linked = [b.link_share > LINKS_MOST for b in judged]
+    for i, b in enumerate(judged):  # in the article a lone link is undecided, and links in a row are a list of them
+        if linked[i] and b.in_main and not b.in_bad and not any(linked[max(0, i - 1) : i] + linked[i + 1 : i + 2]):
+            labels[i] = None
+    labels = second_pass(judged, labels)
     return [b for b, good in zip(found, labels, strict=True) if good]
 
 
 def main_text(page: str | None) -> str:
+    """The good blocks; if there are none, those of the passes without names and forms; if these find none
+    either, all blocks that no tag, role or firm name makes bad and that are not mostly links."""
     found = blocks(page or "")
     unwrap(found)
     good = _good(found)
-    if not good and any(b.in_bad and not b.firm for b in found):
+    if not good:
         for block in found:
             block.in_bad = block.firm
-        again = _good(found)
-        good = again if sum(b.n_chars for b in again) >= LEAST_PAGE else []
+        good = _good(found) or [b for b in found if not b.in_bad and b.link_share <= LINKS_MOST]
     return "\n\n".join(b.text for b in good)
 
 
