@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.corpus import SCHEMA, awkward, frame, prose
 from tidewell.llm import decontaminate, html_text, language_id, pii, quality_classifier, quality_rules, url_filters
@@ -377,3 +379,16 @@ def test_url_filters_at_every_date(spark):
 def test_digest_columns(spark):
     row = decontaminate.op10(spark, "/root/testdata/sf0.001").where("n_items = 0").first()
     assert row["items_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def test_very_long_urls(spark):
+    """A megabyte of segments, labels or slashes takes no quadratic number of characters, and matches as it should."""
+    lists = spark.createDataFrame([("l", p, "2024-01-01", "block") for p in ("h.org/a/b", "h.org/c/", "x.h.net", "h.org/a/" + "q" * 40)], "list string, pattern string, since string, action string")
+    lists = lists.withColumn("since", F.to_date("since"))
+    many = "/s" * 500_000
+    urls = [f"http://h.org/a/b{many}", f"http://h.org//a//{'/' * 900_000}b", f"http://h.org/a/bb{many}", f"http://{'a.' * 500_000}x.h.net/y", f"http://{'a.' * 500_000}x.hh.net", "http://h.org/" + "z" * 1_000_000, "http://h.org/a/" + "q" * 41, "http://h.org/a/" + "Q" * 40 + "/r"]
+    captures = spark.createDataFrame([(i, u, "2024-02-02") for i, u in enumerate(urls)], "page_id long, url string, fetch_date string").withColumn("fetch_date", F.to_date("fetch_date"))
+    began = time.perf_counter()
+    got = {r["page_id"]: r["entry"] for r in url_filters.judge(captures, lists).select("page_id", "entry").collect()}
+    assert time.perf_counter() - began < 20
+    assert got == {0: "h.org/a/b", 1: "h.org/a/b", 2: None, 3: "x.h.net", 4: None, 5: None, 6: None, 7: "h.org/a/" + "q" * 40}

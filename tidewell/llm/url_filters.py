@@ -9,9 +9,9 @@ ones ``allow`` goes before ``block``, then the first list by name.
 
 The join is on the pattern, and only a capture's row id, date and patterns take part in it; what it
 finds (rows that an entry names) joins the captures back.  Spark broadcasts the intervals while they are
-small and else sorts and merges, splitting hot hosts.  Nothing is collected.
+small and else sorts and merges, splitting hot hosts.  One number is collected: the longest pattern's length.
 
-Defined results: a null or hostless URL matches nothing and is kept; user names, ports, letter
+Defined results: a URL of any length is read in time in proportion to it; a null or hostless URL matches nothing and is kept; user names, ports, letter
 case of the host and a final dot don't matter; repeated captures get a row each; repeated entries
 count once, and of entries of one date the last of remove, block, allow holds; entries with null
 fields are ignored; empty lists keep everything.
@@ -63,13 +63,19 @@ def host(url: Column) -> Column:
     return F.rtrim(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), _HOST, 1)), F.lit("."))
 
 
-def patterns(url: Column) -> Column:
-    """All patterns that could name a URL; empty without a host."""
-    labels = F.split(host(url), r"\.")
-    segments = F.filter(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), _PATH, 1), "/"), lambda x: x != "")
+def patterns(url: Column, longest: int) -> Column:
+    """All patterns of at most ``longest`` characters that could name a URL; empty without a host.  What is
+    further from the host's end or the path's start than a list's longest pattern can't be in one, so it is cut off
+    first: a URL costs time in proportion to its length, however many segments it has."""
+    name = host(url)
+    labels = F.split(F.when(F.length(name) > longest + 2, F.right(name, F.lit(longest + 2))).otherwise(name), r"\.")
+    path = F.regexp_replace(F.regexp_extract(F.coalesce(url, F.lit("")), _PATH, 1), "/+", "/")
+    segments = F.filter(F.split(F.left(path, F.lit(longest + 2)), "/"), lambda x: x != "")
     suffixes = F.transform(labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), "."))
-    prefixes = F.transform(segments, lambda _, i: F.concat(host(url), F.lit("/"), F.array_join(F.slice(segments, 1, i + 1), "/")))
-    return F.when(host(url) == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(suffixes, F.transform(prefixes, F.lower))))
+    prefixes = F.transform(segments, lambda _, i: F.lower(F.concat(name, F.lit("/"), F.array_join(F.slice(segments, 1, i + 1), "/"))))
+    paths = F.when(F.length(name) > longest, F.array().cast("array<string>")).otherwise(prefixes)
+    fitting = F.filter(F.array_distinct(F.concat(suffixes, paths)), lambda x: F.length(x) <= longest)
+    return F.when(name == "", F.array().cast("array<string>")).otherwise(fitting)
 
 
 def judge(captures: DataFrame, dated: DataFrame, url: str = "url", fetched: str = "fetch_date") -> DataFrame:
@@ -77,7 +83,8 @@ def judge(captures: DataFrame, dated: DataFrame, url: str = "url", fetched: str
     columns of these names)."""
     numbered, row = numbered_rows(captures)
     name = F.col(f"`{url}`").cast("string")
-    asked = numbered.select(F.col(row).alias("_row"), F.explode(patterns(name)).alias("_pattern"), F.col(f"`{fetched}`").cast("date").alias("_at"))
+    longest = dated.agg(F.max(F.length(F.lower("pattern")))).first()[0] or 0
+    asked = numbered.select(F.col(row).alias("_row"), F.explode(patterns(name, longest)).alias("_pattern"), F.col(f"`{fetched}`").cast("date").alias("_at"))
     valid = intervals(dated).select("list", F.col("pattern").alias("_entry"), "verdict", "since", "until")
     active = (F.col("_pattern") == F.col("_entry")) & (F.col("since") <= F.col("_at")) & (F.col("until").isNull() | (F.col("_at") < F.col("until")))
     # least by this order decides: longest pattern first, allow before block, then the list's name
