@@ -52,12 +52,13 @@ def scratch() -> Iterator[list[DataFrame]]:
                 _open[-1].append(table)
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, dense: bool = False) -> DataFrame:
     """Writes df as a table in the shared folder and reads it back: lineage ends there, so a lost
-    executor costs no recomputation and no plan is run twice.  The table goes when the driver ends."""
+    executor costs no recomputation and no plan is run twice.  The table goes when the driver ends.
+    dense: for whole texts, compressed harder than usual."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/tidewell-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd" if dense else None)
     atexit.register(discard, spark, path)
     table = spark.read.schema(df.schema).parquet(path)
     _settled[table] = path
