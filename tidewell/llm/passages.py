@@ -98,7 +98,7 @@ def earlier(contexts: DataFrame, candidates: DataFrame, of: Strings) -> DataFram
     whole, ends = _judge(contexts)
     release(contexts)
     found = candidates.select("doc_id", "cid", "text").join(ends.groupBy("cid").agg(F.collect_list(F.struct("low", "high", "at")).alias("found")), "cid")
-    contents = settle(found.select("doc_id", "cid", "text", "found").mapInArrow(spans, _sql(_SPAN)), "spans").withColumnRenamed("low", "span")
+    contents = settle(found.select("doc_id", "cid", "text", "found").mapInArrow(spans, _sql(_SPAN)), "spans", dense=True).withColumnRenamed("low", "span")
     left = contents.withColumn("found", F.array(F.struct(F.col("span").alias("low"), "high")))
     for step in of.steps:
         made = settle(left.select("doc_id", "cid", "span", "at", "content", "found").mapInArrow(parts(step), _sql(_PART)), "parts")

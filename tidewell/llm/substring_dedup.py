@@ -164,7 +164,7 @@ def dedup(documents: DataFrame) -> DataFrame:
     first = settle(long_rows.groupBy("seq").agg(F.min("doc_id").alias("doc_id")), "first")
     chosen = first.select("doc_id", "seq", seq64.alias("seq64")).join(shared, "seq64").select("doc_id", "seq", "shared")
     found = texts.where("doc_id is not null and text is not null").join(chosen, "doc_id").where(_right_text("seq", "text")).dropDuplicates(["doc_id", "seq"])
-    candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
+    candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates", dense=True)
     release(sketches)
     contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, CONTEXT_SQL), "contexts")
     gone = earlier(contexts, candidates, _STRINGS).groupBy("cid").agg(F.collect_list(F.struct("low", "high")).alias("gone"))

@@ -217,7 +217,7 @@ def dedup(documents: DataFrame) -> DataFrame:
     first = settle(known.where(F.col("n_bytes") >= MATCH).groupBy("seq").agg(F.min("doc_id").alias("doc_id"), F.max("own").alias("own")), "first")
     chosen = first.select("doc_id", "seq", "own", seq64.alias("seq64")).join(shared, "seq64", "left").where("own or shared is not null").select("doc_id", "seq", "shared")
     found = texts.where("doc_id is not null and text is not null").join(chosen, "doc_id").where("unhex(sha2(cast(text as binary), 256)) = seq").dropDuplicates(["doc_id", "seq"])
-    candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates")
+    candidates = settle(found.select("doc_id", F.monotonically_increasing_id().alias("cid"), "seq", "text", "shared"), "candidates", dense=True)
     release(sketches)
     # Round 2: past the threshold, by contexts.
     contexts = settle(candidates.select("doc_id", "cid", "text", "shared").mapInArrow(_contexts, CONTEXT_SQL), "contexts")
