@@ -8,6 +8,7 @@ import numpy as np
 
 from tests.llm.corpus import SCHEMA, awkward, edited, frame, prose
 from tidewell.llm import substring_dedup as s
+from tidewell.llm.passages import names_of
 
 
 def brute(rows, n=50):
@@ -64,7 +65,8 @@ def test_equal_hashes_of_other_words(spark):
     texts = {i: b" ".join([b"t%d" % i] * 6 + words[:60]) for i in range(4)} | {9: b" ".join(words[2:62] + [b"x"] * 6)}
     part = lambda i, low, high: b" ".join(texts[i].split()[low : high + s.WINDOW])
     # windows 8 to 16 of text i are windows 0 to 8 of text 9, and all contexts have one rank
-    rows = [(i, i, 0, *s.name_of(part(i, 0, 12)), 0, 12, 12) for i in range(4)] + [(9, 9, 0, *s.name_of(part(9, 0, 11)), 0, 11, 4)]
+    name = lambda string: (int(x[0]) for x in names_of([string]))
+    rows = [(i, i, 0, *name(part(i, 0, 12)), 0, 12, 12) for i in range(4)] + [(9, 9, 0, *name(part(9, 0, 11)), 0, 11, 4)]
     contexts = spark.createDataFrame(rows, s.CONTEXT_SQL)
     candidates = spark.createDataFrame([(i, i, t.decode()) for i, t in texts.items()], "doc_id long, cid long, text string")
     gone = {(r["cid"], at) for r in s.earlier(contexts, candidates, s._STRINGS).collect() for at in range(r["low"], r["high"] + 1)}

@@ -12,9 +12,10 @@ joins back are joins of two plain exchanges, whose hot keys Spark can split.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -30,10 +31,19 @@ _SPAN = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("low", pa.int64
 _PART = pa.schema([("doc_id", pa.int64()), ("cid", pa.int64()), ("span", pa.int64()), ("rank", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("low", pa.int64()), ("high", pa.int64())])
 
 
-def name_of(string: bytes) -> tuple[int, int]:
-    """A 128-bit hash as two signed numbers."""
-    h = xxhash.xxh3_128_intdigest(string)
-    return (h >> 64) - (1 << 63), (h & 0xFFFFFFFFFFFFFFFF) - (1 << 63)
+def names_of(strings: Iterable[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """128-bit hashes as two signed numbers each."""
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, strings)), dtype=np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def context_batch(found: list[tuple[int, int, np.ndarray, list[bytes], np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One batch of the contexts of several texts: doc_id, cid, ranks, contents, lows, highs and places of each."""
+    sizes = [len(x[2]) for x in found]
+    whole = lambda k: np.concatenate([np.empty(0, dtype=np.int64), *(x[k] for x in found)])
+    each = lambda k: np.repeat(np.array([x[k] for x in found], dtype=np.int64), sizes)
+    columns = [each(0), each(1), whole(2), *names_of(s for x in found for s in x[3]), whole(4), whole(5), whole(6)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=CONTEXT)
 
 
 @dataclass(frozen=True)
@@ -79,19 +89,28 @@ def earlier(contexts: DataFrame, candidates: DataFrame, of: Strings) -> DataFram
             yield from chunked(rows(batch), _SPAN, 1024)
 
     def parts(step: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-        def rows(batch: pa.RecordBatch):
-            for doc_id, cid, span, at, content, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                units = of.units(content)
-                for low, high in (x.values() for x in found):
-                    for k in range((at - high) // step, (at - low) // step + 1):
-                        first, last = max(low, at - (k + 1) * step + 1), min(high, at - k * step)
+        def made(batch: pa.RecordBatch) -> pa.RecordBatch:
+            owner, ranks, contents, lows, highs = [], [], [], [], []
+            spans, places, found = batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(5)
+            for i, content in enumerate(batch.column(4).to_pylist()):
+                units, span, at = of.units(content), spans[i], places[i]
+                low, high = (found[i].values.field(k).to_pylist() for k in (0, 1))
+                for low_, high_ in zip(low, high, strict=True):
+                    for k in range((at - high_) // step, (at - low_) // step + 1):
+                        first, last = max(low_, at - (k + 1) * step + 1), min(high_, at - k * step)
                         # what all strings at this distance from the sample share, wherever their part ends
                         shared = of.join(units[at - k * step - span : at - (k + 1) * step + 1 - span + of.width])
-                        yield doc_id, cid, span, name_of(b"%d:%b" % (k, shared))[0], *name_of(of.join(units[first - span : last - span + of.width])), first, last
+                        owner.append(i)
+                        ranks.append(xxhash.xxh3_64_intdigest(shared, k))
+                        contents.append(of.join(units[first - span : last - span + of.width]))
+                        lows.append(first)
+                        highs.append(last)
+            ids = [batch.column(k).to_numpy()[owner] if owner else np.empty(0, dtype=np.int64) for k in range(3)]
+            columns = [*ids, np.array(ranks, dtype=np.uint64).view(np.int64), *names_of(contents), np.array(lows, dtype=np.int64), np.array(highs, dtype=np.int64)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_PART)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                yield from chunked(rows(batch), _PART)
+            yield from map(made, batches)
 
         return run
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, chunked, shared_names, small_batches, table, windows, word_hashes
-from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, Strings, earlier, name_of
+from tidewell.llm.passages import CONTEXT_SQL, Strings, context_batch, earlier
 from tidewell.sources.settled import release, settle
 
 WINDOW, PERIOD = 50, 31
@@ -98,9 +98,8 @@ def _places(words: list[bytes]) -> tuple[bytes, list[int]]:
 
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contexts of all windows that hold a shared anchor within their first PERIOD positions."""
-
-    def rows(batch: pa.RecordBatch):
-        ids, cids, shared = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+    for batch in batches:
+        ids, cids, shared, made = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), []
         for k, text in enumerate(binaries(batch.column(2))):
             words = text.split()
             hashes, at, found = anchors(words)
@@ -112,11 +111,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             starts = np.flatnonzero(np.cumsum(edges[:-1]) > 0)
             if len(starts):
                 joined, places = _places(words)
-                for low, high, rank, place in zip(*(x.tolist() for x in stretches(starts, windows(hashes, ANCHOR))), strict=True):
-                    yield ids[k], cids[k], rank, *name_of(joined[places[low] : places[high + WINDOW] - 1]), low, high, place
-
-    for batch in batches:
-        yield from chunked(rows(batch), CONTEXT)
+                low, high, ranks, chosen = stretches(starts, windows(hashes, ANCHOR))
+                made.append((ids[k], cids[k], ranks, [joined[places[i] : places[j + WINDOW] - 1] for i, j in zip(low.tolist(), high.tolist(), strict=True)], low, high, chosen))
+        yield context_batch(made)
 
 
 _STRINGS = Strings(WINDOW, (8, 1), bytes.split, b" ".join)

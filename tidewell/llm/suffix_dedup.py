@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewell.llm.common import binaries, chunked, mix, powers, shared_names, small_batches, table
-from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, Strings, earlier, name_of
+from tidewell.llm.passages import CONTEXT, CONTEXT_SQL, Strings, context_batch, earlier
 from tidewell.sources.settled import release, settle
 
 MATCH, GRAM = 100, 20
@@ -137,24 +137,26 @@ def _own_repeats(text: bytes, starts: np.ndarray) -> np.ndarray:
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The contexts of the samples that may repeat, with the first and last start of their strings; and
     (with null names) the stretches of bytes that repeat within a text."""
-
-    def rows(batch: pa.RecordBatch):
+    for batch in batches:
         ids, cids, shared = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3)
+        found, own_rows = [], []
         for k, text in enumerate(binaries(batch.column(2))):
             first, last, ranks, places = samples(text)
+            met = shared[k].values
+            open_ = np.isin(ranks, met.to_numpy()) if met is not None else np.zeros(len(ranks), dtype=bool)
             _, back, count = np.unique(ranks, return_inverse=True, return_counts=True)
-            own, met = count[back] > 1, shared[k].values
-            again = _own_repeats(text, _all_starts(first[own], last[own]))
-            for low, high in _spans(again):
-                yield ids[k], cids[k], None, None, None, low, high, None
-            open_ = own | np.isin(ranks, met.to_numpy()) if met is not None else own
-            left = last - first + 1 > np.searchsorted(again, last, side="right") - np.searchsorted(again, first)
-            for i in np.flatnonzero(open_ & left).tolist():
-                low, high = int(first[i]), int(last[i])
-                yield ids[k], cids[k], int(ranks[i]), *name_of(text[low : high + MATCH]), low, high, int(places[i])
-
-    for batch in batches:
-        yield from chunked(rows(batch), CONTEXT)
+            if len(count) < len(ranks):
+                own = count[back] > 1
+                again = _own_repeats(text, _all_starts(first[own], last[own]))
+                own_rows += [(ids[k], cids[k], None, None, None, low, high, None) for low, high in _spans(again)]
+                left = last - first + 1 > np.searchsorted(again, last, side="right") - np.searchsorted(again, first)
+                open_ = (open_ | own) & left
+            at = np.flatnonzero(open_)
+            low, high = first[at], last[at]
+            found.append((ids[k], cids[k], ranks[at], [text[i:j] for i, j in zip(low.tolist(), (high + MATCH).tolist(), strict=True)], low, high, places[at]))
+        yield context_batch(found)
+        if own_rows:
+            yield from chunked(own_rows, CONTEXT)
 
 
 _STRINGS = Strings(MATCH, (16, 4, 1), lambda text: text, lambda units: units)
