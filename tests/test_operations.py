@@ -4,18 +4,20 @@ from __future__ import annotations
 
 import json
 import logging
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidewell.operators import gold
 from tidewell.operators.quality import ContractError
 from tidewell.plans import cli, logs
 from tidewell.plans.audit import Audit, Quarantine
-from tidewell.plans.batches import Action, BatchLog, plan_batches, read_committed, write_batches
+from tidewell.plans.batches import Action, BatchLog, batch_of, plan_batches, read_committed, write_batches
 from tidewell.plans.contracts import BRONZE, SILVER, Status, TableSpec
 from tidewell.plans.gates import layer_gate, overall
 from tidewell.plans.jobs import BronzeJob, Context, GoldJob, SilverJob, read_bronze
-from tidewell.plans.retry import Deadline, Retry, is_transient
+from tidewell.plans.retry import Deadline, Retry, cancelled_after, is_transient
 from tidewell.plans.runner import Runner, bootstrap, health, render
 from tidewell.plans.settings import Settings
 from tidewell.plans.staging import Stage, Staging, staging_name
@@ -69,6 +71,36 @@ def test_deadline():
         limit.check()
 
 
+def slow(spark):
+    """A job that would take minutes, in tasks that can be ended."""
+
+    def wait(batches):
+        for batch in batches:
+            time.sleep(90)
+            yield batch
+
+    return spark.range(4).mapInPandas(wait, "id long")
+
+
+def test_jobs_of_a_thread_end_with_its_time(spark):
+    began = time.monotonic()
+    with pytest.raises(TimeoutError, match="table t took more than 2"), cancelled_after(spark, 2, "table t"):
+        slow(spark).count()
+    assert time.monotonic() - began < 30
+    with cancelled_after(spark, 60, "table u"):
+        assert spark.range(10).count() == 10
+    with pytest.raises(ValueError, match="mine"), cancelled_after(spark, 60, "table v"):
+        raise ValueError("mine")
+    assert not spark.sparkContext.getJobTags()
+
+
+def test_a_hung_table_ends_and_the_others_go_on(spark, store):
+    specs = {n: TableSpec(n, n, "id", ("id",)) for n in ("hung", "fine")}
+    results = BronzeJob(Context(store, Settings(table_timeout_seconds=25, batch_timeout_seconds=25, retry_max_attempts=1)), lambda spec: slow(spark) if spec.target == "hung" else spark.range(3), specs).run("s", "2024-01-01")
+    assert results["hung"]["status"] == Status.FAILED and "hung took more than 25 seconds" in results["hung"]["error"]
+    assert results["fine"]["published"] and read_bronze(store, "fine").count() == 3
+
+
 def test_settings():
     s = Settings.from_environment({"TIDEWELL_BATCH_SIZE": "5", "TIDEWELL_SOURCE_PASSWORD": "hush", "OTHER": "x"})
     assert s.batch_size == 5 and "hush" not in str(s.safe_summary())
@@ -153,11 +185,41 @@ def test_batches_of_text_and_date_keys(spark, store):
         assert [m["rows"] for m in log.committed()] == [7, 7, 7, 7, 2]
 
 
-def test_bounds_on_the_driver_are_few(spark, monkeypatch):
+def test_too_many_batches_raise(spark, monkeypatch):
+    """The size asked for is kept; nobody gets larger batches without a word."""
     from tidewell.plans import batches as module
 
     monkeypatch.setattr(module, "MOST_BATCHES", 4)
-    assert len(plan_batches(spark.range(1, 101), "t", "id", 10, "s")) == 4
+    assert len(plan_batches(spark.range(1, 101), "t", "id", 25, "s")) == 4
+    with pytest.raises(ContractError, match="ask for larger"):
+        plan_batches(spark.range(1, 101), "t", "id", 10, "s")
+
+
+def test_batches_of_a_key_that_repeats(spark, store):
+    """Three quarters of the rows have one key, which stays in one batch; the load breaks off and is taken up."""
+    df = spark.range(40).selectExpr("case when id < 3 then id when id < 33 then 5 else id end as k", "id as v")
+    batches = plan_batches(df, "t", "k", 10, "s")
+    assert [(b.low, b.high) for b in batches] == [(None, 5), (5, 39)] and len({b.batch_id for b in batches}) == 2
+    assert sorted(map(tuple, gold.fact_batches(df, 10, "k").collect())) == [(1, None, 5, 33), (2, 5, 39, 7)]
+    log = BatchLog(store, "hot")
+
+    def fail(batch):
+        if batch.number == 2:
+            raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError):
+        write_batches(df, "k", batches, log, "staging/hot", before=fail)
+    assert log.checkpoint() == 5 and write_batches(df, "k", batches, log, "staging/hot") == 40
+    assert [m["rows"] for m in log.committed()] == [33, 7] and read_committed(log, "staging/hot").distinct().count() == 40
+    assert plan_batches(df.where("k is null"), "t", "k", 10, "s") == []
+
+
+def test_batch_of_every_key(spark):
+    """Keys on, between and beyond bounds, for any number of blocks."""
+    for n in (1, 2, 3, 7, 16, 50):
+        batches = plan_batches(spark.range(1, 2 * n + 1).selectExpr("id * 3 as k"), "t", "k", 2, "s")
+        found = spark.range(1, 6 * n + 1).select("id", batch_of(F.col("id"), batches).alias("b")).collect()
+        assert len(batches) == n and all(r["b"] == next(b.batch_id for b in batches if r["id"] <= b.high) for r in found)
 
 
 def test_redaction_of_credentials():

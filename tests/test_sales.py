@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidewell.functions import identity
-from tidewell.operators import gold, kpi, quality, silver, validation
+from tidewell.operators import gold, holidays, kpi, quality, silver, validation
 from tidewell.operators.quality import ContractError
 from tidewell.plans.contracts import GOLD, check_contract, ddl
 from tidewell.plans.registry import ORACLES, QUERIES
@@ -231,3 +231,43 @@ def test_jdbc_round_trip(spark, tmp_path):
     assert back.rdd.getNumPartitions() == 4 and back.count() == 110 and back.agg(F.sum("price")).first()[0] == rows.agg(F.sum("price")).first()[0] + rows.where("id > 90").agg(F.sum("price")).first()[0]
     readers.write_jdbc(rows.limit(3), url, "ITEMS", "overwrite", properties=driver)
     assert readers.jdbc(spark, url, "ITEMS", "id", 1, 200, 2, driver).count() == 3
+
+
+def test_jdbc_ranges_of_equal_rows(spark, tmp_path):
+    """Nine tenths of the keys lie in a thousandth of their range: equal widths would put them in one partition."""
+    url = f"jdbc:derby:{tmp_path}/skewed;create=true"
+    driver = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.range(2000).selectExpr("case when id % 10 > 0 then id else id * 1000 end as K", "id as V").unionByName(spark.range(5).selectExpr("cast(null as bigint) as K", "id as V"))
+    readers.write_jdbc(rows, url, "skewed", properties=driver)
+    read = readers.jdbc_balanced(spark, url, "skewed", "K", 0, 2_000_000, 8, driver)
+    sizes = sorted(r["count"] for r in read.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    assert sum(sizes) == 2005 and len(sizes) == 8 and sizes[-1] < 2 * sizes[4]
+    assert read.where("v % 2 = 0").count() == 1003 and read.distinct().count() == 2005
+    assert readers.quantile_ranges(spark.createDataFrame([], "k long"), "k", 4) == ["1 = 1"]
+    assert readers.quantile_ranges(spark.createDataFrame([(5,)] * 9, "k long"), "k", 3) == ["k <= 5 OR k IS NULL", "k > 5"]
+    with pytest.raises(ValueError, match="safe"):
+        readers.jdbc_balanced(spark, url, "skewed", "k or 1=1", 0, 9, 2, driver)
+
+
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_malformed_lines_by_kind(spark, tmp_path, kind):
+    lines = {"csv": ["1,a", "2", "x,b", "3,c,d", '4,"e,f"', ""], "json": ['{"k":1,"v":"a"}', '{"k":2,', '{"k":"x","v":"b"}', "[3", '{"k":4,"v":"e,f"}', ""]}[kind]
+    (tmp_path / "lines.txt").write_text("\n".join(lines) + "\n")
+    valid, rejected = readers.read_lines(spark, str(tmp_path / "lines.txt"), kind, "k int, v string")
+    assert sorted(map(tuple, valid.collect())) == [(1, "a"), (4, "e,f")] and valid.columns == ["k", "v"]
+    assert {r["line"] for r in rejected.collect()} == set(lines[1:4]) and rejected.select("record_key").distinct().count() == 3
+    assert {r["rejection_reason"] for r in rejected.collect()} == {f"malformed {kind} line"} and valid.select("v").count() == 2
+    with pytest.raises(ContractError, match="no lines"):
+        readers.read_lines(spark, str(tmp_path), "parquet", "k int")
+
+
+def test_easter_of_600_years(spark):
+    def computus(y):
+        a, b, c = y % 19, y // 100, y % 100
+        h = (19 * a + b - b // 4 - (b - (b + 8) // 25 + 1) // 3 + 15) % 30
+        l = (32 + 2 * (b % 4) + 2 * (c // 4) - h - c % 4) % 7  # noqa: E741
+        m = (a + 11 * h + 22 * l) // 451
+        return (h + l - 7 * m + 114) // 31, (h + l - 7 * m + 114) % 31 + 1
+
+    got = spark.range(1700, 2300).select(F.col("id").cast("int").alias("y")).withColumn("d", holidays.easter(F.col("y"))).collect()
+    assert all((r["d"].month, r["d"].day) == computus(r["y"]) for r in got)

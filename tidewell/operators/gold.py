@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewell.functions.columns import MONEY, date_key
 from tidewell.operators.quality import ContractError, first_per_key
-from tidewell.sources.settled import settle
+from tidewell.operators.ranks import global_ranks
 
 #: The dimensions' columns, before any is renamed, and the fact's measures.
 CUSTOMER = ("customer_id", "customer_name", "customer_type", "customer_name_source", "person_id", "store_id", "territory_id", "account_number")
@@ -66,16 +66,12 @@ def require_unique(df: DataFrame, key: str, what: str) -> None:
 
 
 def fact_batches(details: DataFrame, batch_size: int, key: str = "sales_order_detail_id") -> DataFrame:
-    """Batches of up to batch_size rows in key order: number, exclusive lower and inclusive upper bound,
-    rows.  Ranks are prefix sums over ranges of the key, so no task sorts the whole table; the ranges
-    are written once, as two reads of them must agree."""
+    """Batches in key order: number, exclusive lower and inclusive upper bound, rows.  A batch has batch_size
+    rows, and more where its last key repeats, as a key's rows stay together; rows without a key are in none.
+    Ranks are prefix sums over ranges of the key, so no task sorts the whole table; only the batches, one row
+    each, are numbered in one task."""
     keys = details.select(F.col(key).alias("k")).where("k is not null")
-    spread = keys.repartitionByRange("k").select("k", F.spark_partition_id().alias("p"))
-    local = F.row_number().over(Window.partitionBy("p").orderBy("k"))
-    placed = settle(spread.withColumn("r", local), "ranks")
-    counts = placed.groupBy("p").agg(F.count("*").alias("n"))
-    offsets = counts.select("p", (F.sum("n").over(Window.orderBy("p")) - F.col("n")).alias("offset"))
-    numbered = placed.join(F.broadcast(offsets), "p").select("k", F.expr(f"cast((offset + r - 1) div {batch_size} + 1 as bigint)").alias("batch_number"))
-    out = numbered.groupBy("batch_number").agg(F.max("k").alias("upper_bound"), F.count("*").alias("rows"))
-    before = out.select((F.col("batch_number") + 1).alias("batch_number"), F.col("upper_bound").alias("lower_bound"))
-    return out.join(before, "batch_number", "left").select("batch_number", "lower_bound", "upper_bound", "rows")
+    ranked, _ = global_ranks(keys.groupBy("k").agg(F.count("*").alias("_rows")), [F.asc("k")], "_place", weight="_rows")
+    out = ranked.groupBy(F.expr(f"cast(_place div {batch_size} as bigint)").alias("b")).agg(F.max("k").alias("upper_bound"), F.sum("_rows").alias("rows"))
+    in_order = Window.orderBy("b")
+    return out.select(F.row_number().over(in_order).cast("bigint").alias("batch_number"), F.lag("upper_bound").over(in_order).alias("lower_bound"), "upper_bound", "rows")

@@ -2,18 +2,18 @@
 
 All batches that are not committed are written by one job, and one aggregate gives their hashes and
 rows, so the number of Spark jobs does not depend on the number of batches.  A batch without a marker
-never happened, whatever files it left; its folder is overwritten when it is tried again.  The checkpoint of a load is the upper bound of the last batch of an unbroken row
-of markers.
+never happened, whatever files it left; its folder is overwritten when it is tried again.  The checkpoint
+of a load is the upper bound of the last batch of an unbroken row of markers.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from enum import StrEnum
+from itertools import pairwise
 from typing import Any
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ from tidewell.operators.quality import ContractError
 from tidewell.plans.retry import Retry
 from tidewell.plans.store import Store
 
-#: Batches of one load, about, at most: their bounds and markers pass through the driver.
+#: Batches of one load at most: their bounds and markers pass through the driver.
 MOST_BATCHES = 10_000
 
 
@@ -41,15 +41,14 @@ class Action(StrEnum):
 
 
 def plan_batches(df: DataFrame, table: str, key: str, size: int, snapshot: str, after: Any = None) -> list[Batch]:
-    """Batches of up to size rows in key order, or of more rows if there were more than MOST_BATCHES;
-    only their bounds reach the driver."""
+    """Batches of size rows in key order; rows of one key stay together, so a batch whose last key repeats has more.
+    Only the bounds reach the driver; a size that makes more than MOST_BATCHES of them raises."""
     rows = df if after is None else df.where(F.col(key) > F.lit(after))
-    size = max(size, -(-rows.count() // MOST_BATCHES))
-    out, low = [], after
-    for r in fact_batches(rows, size, key).orderBy("batch_number").collect():
-        out.append(Batch(r["batch_number"], low, r["upper_bound"], batch_id(table, key, low, r["upper_bound"], snapshot)))
-        low = r["upper_bound"]
-    return out
+    found = fact_batches(rows, size, key).orderBy("batch_number").limit(MOST_BATCHES + 1).collect()
+    if len(found) > MOST_BATCHES:
+        raise ContractError(f"{table}: batches of {size} rows are more than {MOST_BATCHES}; ask for larger ones")
+    bounds = [after, *(r["upper_bound"] for r in found)]
+    return [Batch(n, low, high, batch_id(table, key, low, high, snapshot)) for n, (low, high) in enumerate(pairwise(bounds), 1)]
 
 
 def inside(key: str, batches: list[Batch]) -> Column:
@@ -68,15 +67,15 @@ def inside(key: str, batches: list[Batch]) -> Column:
 
 
 def batch_of(key: Column, batches: list[Batch]) -> Column:
-    """The id of the batch that a key inside of them is in: the first whose upper bound is not below it.
-    A binary search over Arrow batches of keys, as SQL has no join by the nearest bound."""
-    highs, ids = pd.Index([b.high for b in batches]), pd.Series([b.batch_id for b in batches])
-
-    @F.pandas_udf("string")
-    def found(keys: pd.Series) -> pd.Series:
-        return ids.iloc[highs.searchsorted(keys)].reset_index(drop=True)
-
-    return found(key)
+    """The id of the batch that a key inside of them is in: the first whose upper bound is not below it.  Bounds
+    lie in blocks of about as many bounds as there are blocks: a key is compared with the blocks' last bounds, then
+    with those of its block."""
+    width = max(1, math.isqrt(len(batches)))
+    blocks = [batches[i : i + width] for i in range(0, len(batches), width)]
+    below = lambda bounds: F.size(F.filter(bounds, lambda high: high < key))
+    block = F.least(below(F.array(*[F.lit(b[-1].high) for b in blocks])), F.lit(len(blocks) - 1))
+    place = below(F.array(*[F.array(*[F.lit(x.high) for x in b]) for b in blocks])[block])
+    return F.array(*[F.array(*[F.lit(x.batch_id) for x in b]) for b in blocks])[block][place]
 
 
 class BatchLog:

@@ -21,7 +21,7 @@ from tidewell.plans.batches import BatchLog, plan_batches, read_committed, write
 from tidewell.plans.contracts import BRONZE, GOLD, SILVER, ModelSpec, Status, TableSpec, check_contract
 from tidewell.plans.gates import layer_gate, overall, require_gate
 from tidewell.plans.logs import event
-from tidewell.plans.retry import Deadline, Retry
+from tidewell.plans.retry import Deadline, Retry, cancelled_after
 from tidewell.plans.settings import Settings
 from tidewell.plans.staging import Stage, Staging
 from tidewell.plans.store import Store
@@ -65,46 +65,48 @@ class BronzeJob:
         return results
 
     def _table(self, spec: TableSpec, snapshot_id: str, load_date: str, run_id: str, mode: str, load_id: str | None) -> dict:
+        """One table's load; its Spark jobs end when its time is up, and the other tables go on."""
         c, s = self.context, self.context.settings
         load_id = load_id or new_id()
         names = {"target_table": spec.target, "run_id": run_id, "load_id": load_id, "snapshot_id": snapshot_id}
         audit_name, staging = f"{run_id}-{spec.target}", None
         c.audit.start("table", audit_name, **names)
         try:
-            deadline = Deadline(s.table_timeout_seconds, spec.target)
-            rows = self.source(spec)
-            if lost := validation.missing_columns(rows, spec.required):
-                raise ContractError(f"{spec.source} lacks {', '.join(lost)}")
-            before = c.store.get(f"control/pointers/bronze.{spec.target}.json")
-            after = before["high"] if mode == "incremental" and before else None
-            rows = with_lineage(rows, spec.target, load_date)
-            rows = rows if after is None else rows.where(F.col(spec.order_by) > F.lit(after))
-            rejected = c.quarantine.add(null_key_rows(rows, spec.key), spec.target, run_id, load_id)
-            if rejected > s.bronze_rejected_threshold:
-                raise ContractError(f"{spec.target}: {rejected} rejected rows, {s.bronze_rejected_threshold} allowed")
-            valid = rows.where(F.col(spec.key).isNotNull())
-            staging = c.staging.open(spec.target, load_id, snapshot_id)
-            log, folder = BatchLog(c.store, staging), f"staging/{staging}"
-            batches = plan_batches(valid, spec.source, spec.order_by, s.batch_size, snapshot_id, after)
-            deadline.check()
-            written = write_batches(valid, spec.order_by, batches, log, folder, retry=c.retry, before=lambda _: deadline.check())
-            paths = [f"{folder}/batch_id={m['batch_id']}" for m in log.committed()]
-            kept = before["paths"] if after is not None else []
-            if not [*kept, *paths]:
-                raise ContractError(f"{spec.source} has no rows")
-            if paths:
-                report = validation.bronze_report(read_committed(log, folder), spec.key, spec.target, spec.required, valid.count() + rejected, rejected, s.bronze_rejected_threshold)
-                report.require(spec.target)
-            deadline.check()
-            c.staging.update(staging, validated=True)
-            high = log.checkpoint(after)
-            c.store.put(f"control/pointers/bronze.{spec.target}.json", names | {"paths": [*kept, *paths], "fresh": paths, "high": high})
-            c.staging.move(staging, Stage.PUBLISHED)
-            status = Status.SUCCESS_WITH_REJECTIONS if rejected else Status.SUCCESS
-            c.audit.finish("table", audit_name, status, rows_read=written + rejected, rows_written=written, rows_rejected=rejected)
-            c.staging.update(staging, audited=True)
-            event(LOG, "bronze_table", status=status, rows_written=written, rows_rejected=rejected, **{k: v for k, v in names.items()})
-            return names | {"status": status, "published": True, "rows_read": written + rejected, "rows_written": written, "rows_rejected": rejected}
+            with cancelled_after(c.store.spark, s.table_timeout_seconds, spec.target):
+                deadline = Deadline(s.table_timeout_seconds, spec.target)
+                rows = self.source(spec)
+                if lost := validation.missing_columns(rows, spec.required):
+                    raise ContractError(f"{spec.source} lacks {', '.join(lost)}")
+                before = c.store.get(f"control/pointers/bronze.{spec.target}.json")
+                after = before["high"] if mode == "incremental" and before else None
+                rows = with_lineage(rows, spec.target, load_date)
+                rows = rows if after is None else rows.where(F.col(spec.order_by) > F.lit(after))
+                rejected = c.quarantine.add(null_key_rows(rows, spec.key), spec.target, run_id, load_id)
+                if rejected > s.bronze_rejected_threshold:
+                    raise ContractError(f"{spec.target}: {rejected} rejected rows, {s.bronze_rejected_threshold} allowed")
+                valid = rows.where(F.col(spec.key).isNotNull())
+                staging = c.staging.open(spec.target, load_id, snapshot_id)
+                log, folder = BatchLog(c.store, staging), f"staging/{staging}"
+                batches = plan_batches(valid, spec.source, spec.order_by, s.batch_size, snapshot_id, after)
+                deadline.check()
+                written = write_batches(valid, spec.order_by, batches, log, folder, retry=c.retry, before=lambda _: deadline.check())
+                paths = [f"{folder}/batch_id={m['batch_id']}" for m in log.committed()]
+                kept = before["paths"] if after is not None else []
+                if not [*kept, *paths]:
+                    raise ContractError(f"{spec.source} has no rows")
+                if paths:
+                    report = validation.bronze_report(read_committed(log, folder), spec.key, spec.target, spec.required, valid.count() + rejected, rejected, s.bronze_rejected_threshold)
+                    report.require(spec.target)
+                deadline.check()
+                c.staging.update(staging, validated=True)
+                high = log.checkpoint(after)
+                c.store.put(f"control/pointers/bronze.{spec.target}.json", names | {"paths": [*kept, *paths], "fresh": paths, "high": high})
+                c.staging.move(staging, Stage.PUBLISHED)
+                status = Status.SUCCESS_WITH_REJECTIONS if rejected else Status.SUCCESS
+                c.audit.finish("table", audit_name, status, rows_read=written + rejected, rows_written=written, rows_rejected=rejected)
+                c.staging.update(staging, audited=True)
+                event(LOG, "bronze_table", status=status, rows_written=written, rows_rejected=rejected, **{k: v for k, v in names.items()})
+                return names | {"status": status, "published": True, "rows_read": written + rejected, "rows_written": written, "rows_rejected": rejected}
         except Exception as error:
             if staging and c.staging.get(staging)["state"] == Stage.ACTIVE:
                 c.staging.move(staging, Stage.FAILED)

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import random
+import threading
 import time
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from typing import TypeVar
 
+from pyspark.sql import SparkSession
+
 Result = TypeVar("Result")
 #: Parts of messages of errors that may pass.
 TRANSIENT_MARKS = ("timeout", "connection reset", "temporarily unavailable", "deadlock", "could not connect")
@@ -54,13 +59,43 @@ class Retry:
                 sleep(self.wait(failures))
 
 
+@contextmanager
+def cancelled_after(spark: SparkSession, seconds: float, what: str) -> Iterator[None]:
+    """Ends the Spark jobs that this thread starts inside once the time is up, and raises; those of other
+    threads, with other tags, go on."""
+    context, tag, late = spark.sparkContext, f"tidewell-{uuid.uuid4().hex}", threading.Event()
+
+    def stop() -> None:
+        late.set()
+        while not done.wait(0.5):  # a job may start just after the others were ended
+            context.cancelJobsWithTag(tag)
+
+    done, timer = threading.Event(), threading.Timer(seconds, stop)
+    timer.daemon = True
+    context.addJobTag(tag)
+    timer.start()
+    try:
+        yield
+    except Exception as error:
+        if late.is_set():
+            raise TimeoutError(f"{what} took more than {seconds:g} seconds: timeout") from error
+        raise
+    finally:
+        done.set()
+        timer.cancel()
+        context.removeJobTag(tag)
+
+
 class Deadline:
-    """A time limit that steps check between actions."""
+    """A time limit that steps check between actions; what runs then, ``cancelled_after`` ends."""
 
     def __init__(self, seconds: float, what: str, clock: Callable[[], float] = time.monotonic):
         self.what, self.seconds, self.clock = what, seconds, clock
         self.until = clock() + seconds
 
+    def left(self) -> float:
+        return max(0.0, self.until - self.clock())
+
     def check(self) -> None:
         if self.clock() > self.until:
             raise TimeoutError(f"{self.what} took more than {self.seconds:g} seconds: timeout")

@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import pairwise
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewell.functions.identity import safe_name
 from tidewell.operators.quality import ContractError
+from tidewell.sources.settled import settle
 
 FORMATS = ("parquet", "orc", "json", "csv")
 
@@ -20,6 +23,22 @@ def read(spark: SparkSession, path: str, kind: str = "parquet", schema: str | No
     return (reader.schema(schema) if schema else reader).load(path)
 
 
+CORRUPT = "_corrupt_line"
+
+
+def read_lines(spark: SparkSession, path: str, kind: str, schema: str, **options: str) -> tuple[DataFrame, DataFrame]:
+    """Rows of csv or json lines, and what of them is malformed: record_key (the line's SHA-256), rejection_reason and
+    the line.  A line is malformed if it does not parse, lacks or exceeds columns, or holds a value of another type.
+    The lines are parsed once, with all columns, and written as a table: which lines are malformed must not depend on what is asked for."""
+    if kind not in ("csv", "json"):
+        raise ContractError(f"{kind} has no lines")
+    reader = spark.read.format(kind).options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
+    parsed = settle(reader.schema(f"{schema}, {CORRUPT} string").load(path), "lines")
+    bad = parsed.where(F.col(CORRUPT).isNotNull())
+    rejected = bad.select(F.sha2(CORRUPT, 256).alias("record_key"), F.lit(f"malformed {kind} line").alias("rejection_reason"), F.col(CORRUPT).alias("line"))
+    return parsed.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rejected
+
+
 def write(df: DataFrame, path: str, kind: str = "parquet", mode: str = "errorifexists", partition_by: tuple[str, ...] = ()) -> None:
     if kind not in FORMATS:
         raise ContractError(f"format {kind} is not one of {', '.join(FORMATS)}")
@@ -31,6 +50,26 @@ def jdbc(spark: SparkSession, url: str, table: str, key: str, low: int, high: in
     return spark.read.jdbc(url, table, column=key, lowerBound=low, upperBound=high, numPartitions=parts, properties=properties or {})
 
 
+def quantile_ranges(keys: DataFrame, key: str, parts: int, accuracy: int = 10_000) -> list[str]:
+    """SQL conditions that cut a table into ``parts`` ranges of about equally many rows, wherever its whole-number keys
+    lie; rows without a key are in the first.  Keys that repeat very often stay in one range."""
+    shares = [i / parts for i in range(1, parts)]
+    found = keys.agg(F.percentile_approx(key, F.lit(shares), F.lit(accuracy)).alias("cuts")).first()["cuts"] if shares else []
+    cuts = sorted({int(c) for c in found or []})
+    if not cuts:
+        return ["1 = 1"]
+    inner = [f"{key} > {low} AND {key} <= {high}" for low, high in pairwise(cuts)]
+    return [f"{key} <= {cuts[0]} OR {key} IS NULL", *inner, f"{key} > {cuts[-1]}"]
+
+
+def jdbc_balanced(spark: SparkSession, url: str, table: str, key: str, low: int, high: int, parts: int, properties: dict[str, str] | None = None) -> DataFrame:
+    """A database table read in parallel ranges of about equally many rows: one pass over the keys, in ranges of equal
+    width, finds their quantiles."""
+    name = safe_name(key)
+    keys = jdbc(spark, url, table, name, low, high, parts, properties).select(name)
+    return spark.read.jdbc(url, table, predicates=quantile_ranges(keys, name, parts), properties=properties or {})
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batch_size: int = 1000, parts: int | None = None, properties: dict[str, str] | None = None) -> None:
     """Rows into a database table: multi-row inserts of ``batch_size``, at most ``parts`` connections at once.
     With mode "overwrite" the table is emptied, not dropped, so its keys and grants stay.  A task that is
