@@ -176,6 +176,35 @@ def test_jobs_do_not_grow_with_batches(spark, store):
     assert jobs[15, 0] == jobs[10, 0] > 0 and jobs[15, 1] == jobs[10, 1] > 0
 
 
+def test_markers_are_few_documents(spark, store):
+    """A commit's markers are one document however many batches it has, also if the load breaks off; single ones are read beside them."""
+    df = spark.range(1, 61).withColumn("v", F.col("id") * 2)
+    batches, log = plan_batches(df, "t", "id", 2, "s"), BatchLog(store, "many")
+
+    def fail(batch):
+        if batch.number == 20:
+            raise RuntimeError("lost")
+
+    log.commit(batches[29], "x", 2)
+    with pytest.raises(ContractError, match="other content"):
+        write_batches(df, "id", batches, log, "staging/many")
+    store.delete(f"{log.folder}/{batches[29].batch_id}.json")
+    with pytest.raises(RuntimeError):
+        write_batches(df, "id", batches, log, "staging/many", before=fail)
+    assert len(log.committed()) == 19 and log.checkpoint() == 38 and len(store.names(log.folder)) == 1
+    assert log.resolve(batches[5].batch_id, log.committed()[5]["content_hash"]) is Action.SKIP and log.resolve(batches[19].batch_id, "x") is Action.WRITE
+    with pytest.raises(ContractError, match="other content"):
+        log.resolve(batches[5].batch_id, "x")
+    assert write_batches(df, "id", batches, log, "staging/many") == 60 and len(store.names(log.folder)) == 2
+    assert [m["number"] for m in log.committed()] == list(range(1, 31)) and read_committed(log, "staging/many").distinct().count() == 60
+
+
+def test_a_load_may_have_many_batches(spark):
+    """A table of 10,000 batches and more is planned, each with its own bounds."""
+    batches = plan_batches(spark.range(1, 12_002), "t", "id", 1, "s")
+    assert len(batches) == 12_001 and [b.high for b in batches] == list(range(1, 12_002))
+
+
 def test_batches_of_text_and_date_keys(spark, store):
     rows = spark.range(1, 31).selectExpr("concat('k', lpad(cast(id as string), 3, '0')) as k", "date_add(date'2024-01-01', cast(id as int)) as d", "id as v")
     for key in ("k", "d"):

@@ -1,14 +1,14 @@
-"""Batches with commit markers: write the data, then one marker file each; the marker is the truth.
+"""Batches with commit markers: write the data, then the markers; the marker is the truth.
 
 All batches that are not committed are written by one job, and one aggregate gives their hashes and
-rows, so the number of Spark jobs does not depend on the number of batches.  A batch without a marker
-never happened, whatever files it left; its folder is overwritten when it is tried again.  The checkpoint
+rows, so the number of Spark jobs does not depend on the number of batches.  The markers of batches that
+are committed together are one document, as a file each would take longer than the data.  A batch without a
+marker never happened, whatever files it left; its folder is overwritten when it is tried again.  The checkpoint
 of a load is the upper bound of the last batch of an unbroken row of markers.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass
 from enum import StrEnum
@@ -23,8 +23,8 @@ from tidewell.operators.quality import ContractError
 from tidewell.plans.retry import Retry
 from tidewell.plans.store import Store
 
-#: Batches of one load at most: their bounds and markers pass through the driver.
-MOST_BATCHES = 10_000
+#: Batches of one load at most: their bounds and markers pass through the driver, about a kilobyte each.
+MOST_BATCHES = 200_000
 
 
 @dataclass(frozen=True)
@@ -66,20 +66,47 @@ def inside(key: str, batches: list[Batch]) -> Column:
     return found
 
 
+def place_of(key: Column, batches: list[Batch]) -> Column:
+    """The place in the list of the batch that a key inside of them is in: the first whose upper bound is not below
+    it.  A binary search over the bounds, so a key's cost grows with the logarithm of their number."""
+    last = len(batches) - 1
+    bounds = F.array(*[F.lit(b.high) for b in batches])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(last.bit_length()))]).cast("array<int>")
+
+    def step(at: Column, width: Column) -> Column:
+        return F.when((at + width <= last) & (F.get(bounds, at + width - 1) < key), at + width).otherwise(at)
+
+    return F.aggregate(steps, F.lit(0), step)
+
+
+def id_at(place: Column, batches: list[Batch]) -> Column:
+    """The id of the batch at a place in the list."""
+    return F.get(F.split(F.lit(" ".join(b.batch_id for b in batches)), " "), place)
+
+
 def batch_of(key: Column, batches: list[Batch]) -> Column:
-    """The id of the batch that a key inside of them is in: the first whose upper bound is not below it.  Bounds
-    lie in blocks of about as many bounds as there are blocks: a key is compared with the blocks' last bounds, then
-    with those of its block."""
-    width = max(1, math.isqrt(len(batches)))
-    blocks = [batches[i : i + width] for i in range(0, len(batches), width)]
-    below = lambda bounds: F.size(F.filter(bounds, lambda high: high < key))
-    block = F.least(below(F.array(*[F.lit(b[-1].high) for b in blocks])), F.lit(len(blocks) - 1))
-    place = below(F.array(*[F.array(*[F.lit(x.high) for x in b]) for b in blocks])[block])
-    return F.array(*[F.array(*[F.lit(x.batch_id) for x in b]) for b in blocks])[block][place]
+    """The id of the batch that a key inside of them is in."""
+    return id_at(place_of(key, batches), batches)
+
+
+#: The end of the name of a document that holds the markers of several batches.
+_MANY = ".batches.json"
+
+
+def _marker(batch: Batch, digest: str, rows: int) -> dict:
+    return {"number": batch.number, "low": batch.low, "high": batch.high, "batch_id": batch.batch_id, "content_hash": digest, "rows": rows}
+
+
+def _held(marker: dict | None, batch: str, digest: str) -> Action:
+    if marker is None:
+        return Action.WRITE
+    if marker["content_hash"] != digest:
+        raise ContractError(f"batch {batch} is committed with other content")
+    return Action.SKIP
 
 
 class BatchLog:
-    """Markers of the batches of one load."""
+    """Markers of the batches of one load: a document for each commit, of one marker or of a list."""
 
     def __init__(self, store: Store, load: str):
         self.store, self.folder = store, f"control/batches/{load}"
@@ -87,22 +114,26 @@ class BatchLog:
     def _name(self, batch: str) -> str:
         return f"{self.folder}/{batch}.json"
 
+    def _markers(self, ending: str) -> list[dict]:
+        found = [self.store.get(f"{self.folder}/{n}") for n in self.store.names(self.folder) if n.endswith(ending)]
+        return [m for document in found for m in (document if isinstance(document, list) else [document])]
+
     def committed(self) -> list[dict]:
         """Markers by batch number."""
-        found = [self.store.get(f"{self.folder}/{n}") for n in self.store.names(self.folder) if n.endswith(".json")]
-        return sorted(found, key=lambda m: m["number"])
+        return sorted(self._markers(".json"), key=lambda m: m["number"])
 
     def resolve(self, batch: str, digest: str) -> Action:
         """SKIP what is committed with the same content; other content under the same id is a conflict."""
-        marker = self.store.get(self._name(batch))
-        if marker is None:
-            return Action.WRITE
-        if marker["content_hash"] != digest:
-            raise ContractError(f"batch {batch} is committed with other content")
-        return Action.SKIP
+        marker = self.store.get(self._name(batch)) or next((m for m in self._markers(_MANY) if m["batch_id"] == batch), None)
+        return _held(marker, batch, digest)
 
     def commit(self, batch: Batch, digest: str, rows: int) -> None:
-        self.store.put(self._name(batch.batch_id), {"number": batch.number, "low": batch.low, "high": batch.high, "batch_id": batch.batch_id, "content_hash": digest, "rows": rows})
+        self.store.put(self._name(batch.batch_id), _marker(batch, digest, rows))
+
+    def commit_all(self, found: list[tuple[Batch, str, int]]) -> None:
+        """Commits batches, with their hashes and rows, at once: readers see all of them or none."""
+        if found:
+            self.store.put(f"{self.folder}/{found[0][0].batch_id}{_MANY}", [_marker(*x) for x in found])
 
     def checkpoint(self, start: Any = None) -> Any:
         """The last bound up to which everything after start is committed; start if nothing is."""
@@ -118,30 +149,36 @@ def write_batches(
     df: DataFrame, key: str, batches: list[Batch], log: BatchLog, folder: str, build: Callable[[DataFrame], DataFrame] = lambda x: x, retry: Retry = Retry(), before: Callable[[Batch], None] | None = None
 ) -> int:
     """Writes what is not committed yet, and holds what is against the rows as they are now; returns the
-    rows of all committed batches.  before: called ahead of each commit."""
-    spark, done = df.sparkSession, {m["batch_id"] for m in log.committed()}
-    closed, fresh = [b for b in batches if b.batch_id in done], [b for b in batches if b.batch_id not in done]
+    rows of all committed batches.  before: called ahead of each commit; if it raises, the batches ahead are committed."""
+    spark, marks = df.sparkSession, {m["batch_id"]: m for m in log.committed()}
+    closed, fresh = [b for b in batches if b.batch_id in marks], [b for b in batches if b.batch_id not in marks]
 
     def of(some: list[Batch]) -> DataFrame:
-        return build(df.where(inside(key, some))).withColumn("batch_id", batch_of(F.col(key), some))
+        return build(df.where(inside(key, some))).withColumn("_batch", place_of(F.col(key), some))
+
+    def named(rows: DataFrame, some: list[Batch]) -> DataFrame:
+        return rows.withColumn("batch_id", id_at(F.col("_batch"), some)).drop("_batch")
 
     if closed:
-        now = content_hashes(of(closed), "batch_id")
+        now = content_hashes(named(of(closed), closed), "batch_id")
         for batch in closed:
-            log.resolve(batch.batch_id, now.get(batch.batch_id, ("no rows", 0))[0])
+            _held(marks[batch.batch_id], batch.batch_id, now.get(batch.batch_id, ("no rows", 0))[0])
     if fresh:
-        rows = of(fresh).repartitionByRange(key)  # a task writes a few batches, not a bit of each
+        rows = named(of(fresh).repartition("_batch"), fresh)  # a task writes whole batches, and no sampling runs the plan once more
 
         def step() -> dict[Any, tuple[str, int]]:
             rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(log.store.path(folder))
             written = spark.read.schema(rows.schema).parquet(log.store.path(folder))
             return content_hashes(written.where(F.col("batch_id").isin([b.batch_id for b in fresh])), "batch_id")
 
-        found = retry.run(step)
-        for batch in fresh:
-            if before:
-                before(batch)
-            log.commit(batch, *found[batch.batch_id])
+        found, ready = retry.run(step), []
+        try:
+            for batch in fresh:
+                if before:
+                    before(batch)
+                ready.append((batch, *found[batch.batch_id]))
+        finally:
+            log.commit_all(ready)
     return sum(m["rows"] for m in log.committed())
 
 
