@@ -38,18 +38,18 @@ _FACT = """SELECT sales_order_detail_id, sales_order_id, order_date_id, customer
 q._RETURNS |= {"batched_fact_load": ("salesperson_id",), "published_fact": ("salesperson_id",), "silver_snapshot": ("person_id", "store_id")}
 
 
-def _loaded(t: SalesTables, store: Store) -> DataFrame:
-    """The fact in batches of 10,000."""
+def _loaded(t: SalesTables, store: Store) -> BatchLog:
+    """Writes the fact in batches of 10,000; their markers."""
     headers, details = t.header(), t.detail()
     batches = plan_batches(details, "fact_sales", "sales_order_detail_id", 10_000, "snap-1")
     log = BatchLog(store, "load-1")
     write_batches(details, "sales_order_detail_id", batches, log, "staging/fact", lambda rows: conform(gold.fact_sales(rows, headers), GOLD["fact_sales"]))
-    return read_committed(log, "staging/fact")
+    return log
 
 
 @q.query("batched_fact_load", _FACT, "fact")
 def batched_fact_load(t):
-    return _loaded(t, _store(t))
+    return read_committed(_loaded(t, _store(t)), "staging/fact")
 
 
 @q.query(
@@ -59,9 +59,7 @@ def batched_fact_load(t):
 )
 def committed_batches(t):
     """The commit markers of such a load, which later runs resume from."""
-    store = _store(t)
-    _loaded(t, store)
-    marks = BatchLog(store, "load-1").committed()
+    marks = _loaded(t, _store(t)).committed()
     return t.spark.createDataFrame([(m["number"], m["high"], m["rows"]) for m in marks], "number long, high long, rows long")
 
 
