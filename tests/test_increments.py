@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidewell.operators import gold, kpi, quality, silver
-from tidewell.operators.partials import partials, total
+from tidewell.operators.partials import partials, partials_of_heads, total
 from tidewell.operators.quality import ContractError
 from tidewell.plans.contracts import BRONZE
 from tidewell.plans.increments import BucketedTables, IncrementalGold, IncrementalSilver
@@ -136,3 +136,40 @@ def test_parts_merge(spark):
     assert tuple(total(partials(lines.where("false"), sums, ("a",)), ("v",), ("a",)).first()) == (0, 0, None, 0)
     plan = total(partials(lines, sums, ("a", "b")), ("v",), ("a", "b"))._jdf.queryExecution().toString()
     assert "Expand" not in plan
+
+
+def shuffles(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_fact_increments_shuffle_once(spark, store):
+    """Lines in the store and new ones are dealt by bucket, and by nothing else; filters on orders reach the scan of lines."""
+    t = SalesTables(spark, SMALL)
+    layer = IncrementalGold(store, buckets=4)
+    fresh, old = (spark.createDataFrame([(k, k // 3, k % 4) for k in range(n)], "sales_order_detail_id long, sales_order_id long, bucket int") for n in (20, 90))
+    assert shuffles(layer._newest(fresh, None)) == shuffles(layer._newest(fresh, old)) == 1
+    assert "EqualTo(l_orderkey,5)" in t.detail().where("sales_order_id = 5")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_changed_order_may_have_fewer_lines(spark, store):
+    t = SalesTables(spark, SMALL)
+    details, headers = t.detail().where("sales_order_id < 100").cache(), t.header().cache()
+    again = details.where("sales_order_id % 5 = 0 and sales_order_detail_id % 10000 = 1")
+    layer = IncrementalGold(store, buckets=4)
+    layer.apply(details, headers, "snap-1")
+    layer.apply(again, headers, "snap-2")
+    want = gold.fact_sales(details.where("sales_order_id % 5 <> 0").unionByName(again), headers)
+    assert same(layer.fact(), want) and same(layer.kpis(), kpi.kpi_gold(want))
+
+
+def test_parts_of_marked_orders(spark):
+    """With one line of each order marked, the same sums and counts, and nothing is grouped by order."""
+    rows = [(i // 3 if i % 50 else None, i * 70_000 % 600_000 - 5 if i % 5 else None, i % 3 or None, i % 3 == 0, i % 2) for i in range(300)]
+    lines = spark.createDataFrame(rows, "sales_order_id long, a long, v long, head boolean, part long").where("sales_order_id is not null or not head")
+    sums = {"v": F.col("v")}
+    marked = lines.withColumn("part", F.col("sales_order_id") % 2)
+    heads = partials_of_heads(marked, sums, ("a",), F.col("head"), part=F.col("part"))
+    complete = marked.where("sales_order_id is null or sales_order_id % 50 <> 0")
+    for frame, made in ((complete, partials_of_heads(complete, sums, ("a",), F.col("head"), part=F.col("part"))), (marked.where("false"), heads.where("false"))):
+        assert tuple(total(made, ("v",), ("a",)).first()) == tuple(total(partials(frame, sums, ("a",), part=F.col("part")), ("v",), ("a",)).first())
+    assert "AS _order" not in heads._jdf.queryExecution().executedPlan().toString()

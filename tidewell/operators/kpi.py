@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.columns import ratio
-from tidewell.operators.partials import partials, total
+from tidewell.operators.partials import partials, partials_of_heads, total
 
 KPIS = ("total_revenue", "total_orders", "total_line_items", "total_units", "avg_order_value", "avg_item_price", "total_discount", "discount_rate", "total_customers")
 TOLERANCE = 0.02
@@ -19,10 +19,11 @@ def _gross() -> Column:
 _SUMS = ("revenue", "units", "gross", "discount")
 
 
-def kpi_partials(rows: DataFrame, revenue: Column | None = None, discount: Column | None = None, part: Column | None = None) -> DataFrame:
-    """What the nine KPIs need of some lines, in parts that merge; sums are decimals until the end."""
+def kpi_partials(rows: DataFrame, revenue: Column | None = None, discount: Column | None = None, part: Column | None = None, head: Column | None = None) -> DataFrame:
+    """What the nine KPIs need of some lines, in parts that merge; sums are decimals until the end.  head: true
+    for one line of each order, where that is known."""
     sums = {"revenue": F.col("net_sales") if revenue is None else revenue, "units": F.col("order_qty"), "gross": _gross(), "discount": F.col("discount_amount") if discount is None else discount}
-    return partials(rows, sums, ("customer_id",), part=part)
+    return partials(rows, sums, ("customer_id",), part=part) if head is None else partials_of_heads(rows, sums, ("customer_id",), head, part=part)
 
 
 def kpis_of(parts: DataFrame) -> DataFrame:

@@ -33,6 +33,18 @@ def partials(lines: DataFrame, sums: dict[str, Column], distinct: tuple[str, ...
     )
 
 
+def partials_of_heads(lines: DataFrame, sums: dict[str, Column], distinct: tuple[str, ...], head: Column, order: str = "sales_order_id", part: Column | None = None) -> DataFrame:
+    """The same for lines of which one of each order is marked (head), so nothing is shuffled per order: a row of
+    sums a part, and rows of ids.  The lines, which should be a table, are read once for the sums and once for the ids."""
+    part = F.lit(0).cast("long") if part is None else part
+    whole = lines.groupBy(part.alias("part")).agg(F.count("*").alias("rows"), F.count_if(head & F.col(order).isNotNull()).alias("orders"), *[F.sum(c).alias(n) for n, c in sums.items()])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("long").alias("id")) for c in distinct]))
+    seen = lines.select(part.alias("part"), each.alias("_id")).where("_id.id is not null")
+    number = F.col("_id.id")
+    ids = seen.groupBy("part", F.col("_id.column").alias("column"), F.bitmap_bucket_number(number).alias("range")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("ids"))
+    return ids.unionByName(whole, allowMissingColumns=True)
+
+
 def total(parts: DataFrame, sums: tuple[str, ...], distinct: tuple[str, ...] = ()) -> DataFrame:
     """rows, orders, the sums (NULL without rows), and the number of distinct ids of each column; one row."""
     merged = parts.groupBy("column", "range").agg(F.bitmap_or_agg("ids").alias("ids"), *[F.sum(c).alias(c) for c in ("rows", "orders", *sums)])

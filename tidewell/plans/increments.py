@@ -5,13 +5,16 @@ changed.  An increment reads the buckets of its keys, merges them with its rows,
 new folders; then one document is replaced, so readers see all tables before the increment or all after
 it.  An increment that broke off leaves folders that no document names, and can be applied again: rows
 that were merged already win against themselves.
+
+Rows are shuffled once an increment, by bucket: a task has whole buckets, so windows over the keys of a bucket
+pick the rows that stay, in the order in which they are written.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewell.functions.identity import new_id
@@ -20,10 +23,14 @@ from tidewell.operators.quality import ContractError, dedup_by_signature, valid_
 from tidewell.plans.contracts import SILVER
 from tidewell.plans.store import Store
 from tidewell.sources.readers import union_batches
-from tidewell.sources.settled import settle
+from tidewell.sources.settled import release, settle
 
 #: Buckets of a table; one is a task's work, so a table of 10 billion rows wants some ten thousand.
 BUCKETS = 64
+#: Partitions for each bucket that is dealt: hashes of buckets seldom meet in so many, so few tasks have several.
+_SPREAD = 2
+#: Marks one line of each order in the fact's folders, for the KPIs' parts.
+_HEAD = "_head"
 
 
 def bucket_of(key: str, buckets: int) -> Column:
@@ -42,20 +49,26 @@ class BucketedTables:
         return self.store.get(self.document, {"tables": {}})
 
     def read(self, table: str, buckets: list[int] | None = None) -> DataFrame | None:
-        """The rows of a table (in some buckets), with their bucket; None if there are none."""
+        """The rows of a table (in some buckets), with their bucket, without marks; None if there are none."""
         where = self.current()["tables"].get(table, {})
         folders = sorted({f for b, f in where.items() if buckets is None or int(b) in buckets})
         parts = []
         for folder in folders:
             held = [int(b) for b, f in where.items() if f == folder and (buckets is None or int(b) in buckets)]
-            parts.append(self.store.spark.read.parquet(self.store.path(folder)).where(F.col("bucket").isin(held)))
+            parts.append(self.store.spark.read.parquet(self.store.path(folder)).where(F.col("bucket").isin(held)).drop(_HEAD))
         return union_batches(parts) if parts else None
 
-    def stage(self, table: str, rows: DataFrame, touched: list[int]) -> dict[str, str]:
-        """Writes whole buckets (rows has a column bucket) to a new folder; where each is then."""
+    def dealt(self, rows: DataFrame, buckets: int | None = None) -> DataFrame:
+        """rows (with a column bucket, of so many values) dealt so that a task has whole buckets."""
+        return rows.repartition(_SPREAD * (buckets or self.buckets), "bucket")
+
+    def stage(self, table: str, rows: DataFrame, touched: list[int] | None = None) -> dict[str, str]:
+        """Writes whole buckets (rows are dealt) to a new folder; where each is then.  touched: these
+        buckets, if they are known."""
         folder = f"{self.layer}/{table}/{new_id()}"
-        rows.repartition(len(touched), "bucket").write.partitionBy("bucket").parquet(self.store.path(folder))
-        return {str(b): folder for b in touched}
+        rows.write.partitionBy("bucket").parquet(self.store.path(folder), compression="zstd")
+        written = [n.removeprefix("bucket=") for n in self.store.names(folder) if n.startswith("bucket=")]
+        return {b: folder for b in (written if touched is None else map(str, touched))}
 
     def publish(self, staged: dict[str, dict[str, str]], **more) -> None:
         """Moves all staged buckets of all tables at once."""
@@ -63,15 +76,19 @@ class BucketedTables:
         tables = {t: now["tables"].get(t, {}) | staged.get(t, {}) for t in {*now["tables"], *staged}}
         self.store.put(self.document, now | more | {"tables": tables})
 
-    def merge(self, table: str, rows: DataFrame, key: str, resolve: Callable[[DataFrame], DataFrame]) -> tuple[dict[str, str], list[int]]:
-        """Stages the buckets of rows' keys with the rows merged in (resolve: picks a row a key); these buckets.
+    def merge(self, table: str, rows: DataFrame, key: str, resolve: Callable[[DataFrame, DataFrame | None], DataFrame]) -> tuple[dict[str, str], list[int]]:
+        """Stages the buckets of rows' keys with the rows merged in; these buckets.  resolve: the rows that stay, of
+        new ones and of those in the same buckets, dealt.  A table's first rows are not written before they are dealt.
         Only the numbers of buckets reach the driver."""
-        fresh = settle(rows.withColumn("bucket", bucket_of(key, self.buckets)), "increment")
+        fresh = rows.withColumn("bucket", bucket_of(key, self.buckets))
+        if not self.current()["tables"].get(table):
+            where = self.stage(table, resolve(fresh, None))
+            return where, sorted(map(int, where))
+        fresh = settle(fresh, "increment", dense=True)
         touched = sorted(r["bucket"] for r in fresh.select("bucket").distinct().collect())
-        if not touched:
-            return {}, []
-        old = self.read(table, touched)
-        return self.stage(table, resolve(fresh if old is None else old.unionByName(fresh)), touched), touched
+        where = self.stage(table, resolve(fresh, self.read(table, touched)), touched) if touched else {}
+        release(fresh)
+        return where, touched
 
 
 class IncrementalSilver:
@@ -89,10 +106,14 @@ class IncrementalSilver:
         for name, raw in fresh.items():
             valid, key = valid_rows(raw, silver.RULES[name]), SILVER[name].key
             clean = self.cleaners[name](valid, people, signature=True) if name in ("customer", "sales_person") else self.cleaners[name](valid, signature=True)
-            staged[name], changed[name] = self.tables.merge(name, clean, key, lambda rows, key=key: dedup_by_signature(rows, key, "_signature"))
+            staged[name], changed[name] = self.tables.merge(name, clean, key, lambda fresh, old, key=key: self._latest(fresh, old, key))
         self.tables.publish(staged, snapshot=snapshot)
         return changed
 
+    def _latest(self, fresh: DataFrame, old: DataFrame | None, key: str) -> DataFrame:
+        """One row a key."""
+        return dedup_by_signature(self.tables.dealt(fresh if old is None else old.unionByName(fresh)), key, "_signature", "bucket")
+
     def read(self, name: str) -> DataFrame:
         rows = self.tables.read(name)
         if rows is None:
@@ -111,19 +132,22 @@ class IncrementalGold:
         orders, and the parts of their buckets; these buckets."""
         if self.tables.current().get("snapshot") == snapshot:
             return []
-        built = gold.fact_sales(details, headers).withColumn("bucket", bucket_of("sales_order_id", self.tables.buckets))
-        lines = settle(built, "lines")
-        touched = sorted(r["bucket"] for r in lines.select("bucket").distinct().collect())
+        where, touched = self.tables.merge("fact_sales", gold.fact_sales(details, headers), "sales_order_id", self._newest)
         if not touched:
             return []
-        old = self.tables.read("fact_sales", touched)
-        kept = lines if old is None else old.join(lines.select("sales_order_id").distinct(), "sales_order_id", "left_anti").unionByName(lines)
-        where = self.tables.stage("fact_sales", kept, touched)
         written = self.tables.store.spark.read.parquet(self.tables.store.path(next(iter(where.values()))))
-        parts = kpi.kpi_partials(written, part=F.col("bucket").cast("long")).withColumn("bucket", F.col("part").cast("int"))
-        self.tables.publish({"fact_sales": where, "kpi_parts": self.tables.stage("kpi_parts", parts, touched)}, snapshot=snapshot)
+        parts = kpi.kpi_partials(written, part=F.col("bucket").cast("long"), head=F.col(_HEAD)).withColumn("bucket", F.col("part").cast("int"))
+        self.tables.publish({"fact_sales": where, "kpi_parts": self.tables.stage("kpi_parts", self.tables.dealt(parts, len(touched)), touched)}, snapshot=snapshot)
         return touched
 
+    def _newest(self, fresh: DataFrame, old: DataFrame | None) -> DataFrame:
+        """The lines of orders that come again, and the old ones of the others; one line of each order is marked."""
+        new = fresh.withColumn("_new", F.lit(True))
+        rows = self.tables.dealt(new if old is None else old.withColumn("_new", F.lit(False)).unionByName(new))
+        lines = Window.partitionBy("bucket", "sales_order_id").orderBy(F.col("_new").desc(), "sales_order_detail_id")
+        marked = rows.withColumns({_HEAD: F.row_number().over(lines) == 1, "_again": F.first("_new").over(lines)})
+        return marked.where("_new = _again").drop("_new", "_again")
+
     def fact(self) -> DataFrame:
         return self.tables.read("fact_sales").drop("bucket")
 
