@@ -9,7 +9,7 @@ from tidewell.operators import gold, kpi, quality, silver
 from tidewell.operators.partials import partials, partials_of_heads, total
 from tidewell.operators.quality import ContractError
 from tidewell.plans.contracts import BRONZE
-from tidewell.plans.increments import BucketedTables, IncrementalGold, IncrementalSilver
+from tidewell.plans.increments import BucketedTables, IncrementalGold, IncrementalSilver, bucket_of
 from tidewell.plans.jobs import BronzeJob, Context, read_bronze, read_fresh
 from tidewell.plans.settings import Settings
 from tidewell.plans.store import Store
@@ -151,6 +151,16 @@ def test_fact_increments_shuffle_once(spark, store):
     assert "EqualTo(l_orderkey,5)" in t.detail().where("sales_order_id = 5")._jdf.queryExecution().executedPlan().toString()
 
 
+def test_silver_increments_shuffle_once(spark, store):
+    """Cleaning for a merge shuffles nothing, and the merge deals rows by bucket, and by nothing else."""
+    rows = raw.raw_product(SalesTables(spark, SMALL))
+    layer = IncrementalSilver(store, buckets=4)
+    clean = silver.clean_product(rows.unionByName(rows), signature=True)
+    fresh = clean.withColumn("bucket", bucket_of("product_id", 4))
+    assert shuffles(clean) == 0 and shuffles(layer._latest(fresh, None, "product_id")) == shuffles(layer._latest(fresh, fresh, "product_id")) == 1
+    assert same(layer._latest(fresh, fresh, "product_id").drop("bucket", "_signature"), silver.clean_product(rows))
+
+
 def test_a_changed_order_may_have_fewer_lines(spark, store):
     t = SalesTables(spark, SMALL)
     details, headers = t.detail().where("sales_order_id < 100").cache(), t.header().cache()

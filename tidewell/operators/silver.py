@@ -48,9 +48,11 @@ def _named(frame: DataFrame, names: dict[str, str]) -> DataFrame:
 
 def _finished(frame: DataFrame, key: str, columns: list[str], signature: bool) -> DataFrame:
     """One row a key, in the contract's columns, with source system and load date, and the record hash if there
-    is one; with signature, also what decides between rows of one load date.  The sink puts rows in key order."""
-    deduped = dedup_by_signature(with_signature(frame, key), key, "_signature")
-    return deduped.select(*columns, *[c for c in LINEAGE if c in frame.columns], *(["_signature"] if signature else []))
+    is one.  With signature, all rows, with what decides between those of one load date: they are merged with
+    others of their keys, which takes one row a key anyway.  The sink puts rows in key order."""
+    signed = with_signature(frame, key)
+    rows = signed if signature else dedup_by_signature(signed, key, "_signature")
+    return rows.select(*columns, *[c for c in LINEAGE if c in frame.columns], *(["_signature"] if signature else []))
 
 
 def clean_header(frame: DataFrame, signature: bool = False) -> DataFrame:
